@@ -12,6 +12,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.secret_scan import KINDS, named, scan
+
+    out = scan(_table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
+    return out.select("doc_id", *counts, F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
+
+
+def op4_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.cuckoo import exact_duplicates
+
+    out = exact_duplicates(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+_OP4_SQL = r"""
+with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents),
+g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from d group by 1)
+select doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) as kept, text_sha256 from d join g using (text_sha256)
+"""
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tickframe.llm.packing import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.simhash import near_duplicates
 
@@ -20,8 +50,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_simhash": op10_simhash}
+    return {"op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_secrets": op3_secrets, "op4_cuckoo": _OP4_SQL}
