@@ -16,7 +16,7 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.secret_scan import KINDS, named, scan
 
     out = scan(_table(spark, sf_dir, "documents"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {k})) as long)").alias(f"n_{name}") for k, name in enumerate(KINDS[:3])]
     return out.select("doc_id", *counts, F.sha2(named(F.col("base")), 256).alias("base_sha256"), named(F.col("spans")).alias("spans"))
 
 
@@ -34,6 +34,15 @@ select doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) as kept, t
 """
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.quality import held_out, score, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, train(docs, _table(spark, sf_dir, "labels")))
+    p = F.col("quality_score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), p.alias("score"), (p >= 0.7).cast("int").alias("predicted"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -50,7 +59,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
+    return {"op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
