@@ -12,6 +12,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.hamming import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.secret_scan import KINDS, named, scan
 
@@ -59,8 +65,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
+    return {"op1_itq": op1_itq, "op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_secrets": op3_secrets, "op4_cuckoo": _OP4_SQL}
+    return {"op1_itq": op1_itq, "op3_secrets": op3_secrets, "op4_cuckoo": _OP4_SQL}

@@ -164,11 +164,10 @@ def _edges(g: pd.DataFrame, radius: int) -> pd.DataFrame:
 
 
 def blocked(df: DataFrame, group: str, row: str, most: int) -> DataFrame:
-    """df with columns i, j: rows of a group of over `most` rows are dealt to blocks of about most/2,
-    and every pair of blocks is a task of its own (i < j); other groups are (0, 0)."""
+    """df with columns i, j, block, blocks: rows of a group of over `most` rows are dealt to blocks of
+    about most/2, and every pair of blocks is a task of its own (i < j); other groups are (0, 0)."""
     sizes = df.groupBy(group).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
-    cut = df.join(materialise(sizes, "sizes"), group, "left").withColumn("_b", F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(most / 2)).cast("int"))
-    own = F.pmod(F.xxhash64(F.col(row)), F.col("_b")).cast("int")
-    other = F.when(F.col("_b") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("_b") - 1), F.col("_own")))
-    cut = cut.withColumn("_own", own).withColumn("_other", F.explode(other))
-    return cut.withColumn("i", F.least("_own", "_other")).withColumn("j", F.greatest("_own", "_other")).drop("_n", "_b", "_own", "_other")
+    cut = df.join(materialise(sizes, "sizes"), group, "left").withColumn("blocks", F.ceil(F.coalesce("_n", F.lit(1)) / F.lit(most / 2)).cast("int"))
+    other = F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(F.array_remove(F.sequence(F.lit(0), F.col("blocks") - 1), F.col("block")))
+    cut = cut.withColumn("block", F.pmod(F.xxhash64(F.col(row)), F.col("blocks")).cast("int")).withColumn("_other", F.explode(other))
+    return cut.withColumn("i", F.least("block", "_other")).withColumn("j", F.greatest("block", "_other")).drop("_n", "_other")
