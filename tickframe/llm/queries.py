@@ -18,6 +18,16 @@ def op1_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.bloom_lm import score, train
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    model = train(docs.where(~held_out))
+    out = score(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.secret_scan import KINDS, named, scan
 
@@ -65,7 +75,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_itq": op1_itq, "op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
+    return {"op1_itq": op1_itq, "op2_lm": op2_lm, "op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
