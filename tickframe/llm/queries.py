@@ -67,6 +67,24 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.url_rules import judge
+
+    return judge(_table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encodes every whole text, decodes the ids, and tells whether the text came back."""
+    import public_tokenizers
+
+    from tickframe.llm.pieces import decode, encode, ids_crc32
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    text = F.coalesce("text", F.lit(""))
+    ids = _table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), encode(text, model).alias("ids"))
+    return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), ids_crc32(F.col("ids")).alias("ids_crc32"), (decode(F.col("ids"), model) == F.col("text")).alias("round_trip"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.simhash import near_duplicates
 
@@ -75,7 +93,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_itq": op1_itq, "op2_lm": op2_lm, "op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op10_simhash": op10_simhash}
+    return {"op1_itq": op1_itq, "op2_lm": op2_lm, "op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op7_urls": op7_urls, "op8_pieces": op8_pieces, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
