@@ -1,10 +1,83 @@
-"""Corpus pipeline (stages are added as their operators are)."""
+"""A corpus pipeline: quality classifier, exact dedup, near-dedup, secret scan, packing."""
 
-STAGES = []
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tickframe.llm.cuckoo import exact_duplicates
+from tickframe.llm.packing import pack
+from tickframe.llm.quality import score, train
+from tickframe.llm.secret_scan import redact, scan
+from tickframe.llm.simhash import near_duplicates
+from tickframe.ship import ship
+
+#: Below this score the classifier rejects a document.
+LEAST_QUALITY = 0.7
+#: Near copies: a similarity of 0.8 of the shingles of five words. Fingerprints of such texts differ
+#: in about nine of 64 bits at most; five trees search one bit further each.
+WIDTH, SIMILARITY, RADIUS, TREES = 5, 0.8, 9, 5
+_KEY = ["_id", "_text_hash"]
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Rows are named by id and whole text, so that rows of one id (or of none) with different texts
+    stay apart."""
+    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).withColumn("_text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+
+def _named(decisions: DataFrame, *more: str) -> DataFrame:
+    return decisions.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("text_hash").alias("_text_hash"), *[F.col(c).alias(f"_{c}") for c in more])
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    ship(spark)
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    columns = docs.columns
+    return score(docs, model).where(F.col("quality_score") >= LEAST_QUALITY).select(*columns)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document of the smallest id stays, and one row of it."""
+    ship(spark)
+    kept = _named(exact_duplicates(docs).where("kept")).distinct()
+    return _keyed(docs).join(kept, _KEY, "left_semi").dropDuplicates(_KEY).select(*docs.columns)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the smallest id stays."""
+    ship(spark)
+    found = near_duplicates(docs, width=WIDTH, radius=RADIUS, trees=TREES, similarity=SIMILARITY)
+    kept = _named(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))).distinct()
+    return _keyed(docs).join(kept, _KEY, "left_semi").select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced in the text by a mark; every document stays."""
+    found = scan(docs).where(F.size("spans") > 0)
+    found = _named(found, "spans").dropDuplicates(_KEY)
+    out = _keyed(docs).join(found, _KEY, "left")
+    text = F.when(F.col("_spans").isNotNull(), redact(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
+    chars = F.when(F.col("_spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return out.withColumn("text", text).withColumn("n_chars", chars).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents' token ids and their places in sequences."""
+    import public_tokenizers
+
+    ship(spark)
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+STAGES = [("quality classifier", quality), ("exact dedup", exact), ("SimHash near-dedup", near), ("secret scans", secrets), ("best-fit packing", packing)]
+
+#: SQL can't express the classifier, the fingerprints' retrieval or the packing.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)

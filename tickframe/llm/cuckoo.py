@@ -201,15 +201,16 @@ class CuckooIndex:
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
-    """Every row of docs as (doc_id, digest, keep_id, group_size, kept), through a new CuckooIndex.
+    """Every row of docs as (doc_id, digest, keep_id, group_size, kept, text_hash), through a new
+    CuckooIndex; text_hash is xxhash64 of the whole text.
 
     Texts are equal when identical after white-space runs are made one space; null counts as empty;
     the smallest doc_id of a group stays. Repeated rows are counted in group_size and come back as
-    often as read, each flagged as its document is; a null doc_id never stays unless its whole group
-    has none (keep_id is then null and kept false). Empty tables give an empty result; other columns
+    often as read, each flagged as its document is; a null doc_id doesn't stay unless its whole group
+    has none (keep_id is then null and kept true). Empty tables give an empty result; other columns
     aren't looked at. Shards grow in number with the distinct digests (about keys_per_shard each)."""
-    rows = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest_of(F.col(text_col)).alias("digest")), "digests")
+    rows = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest_of(F.col(text_col)).alias("digest"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")), "digests")
     distinct = rows.agg(F.approx_count_distinct("digest")).first()[0]
     index = CuckooIndex(docs.sparkSession, shards=max(1, math.ceil(distinct / keys_per_shard)))
     index.insert(rows)
-    return index.lookup(rows).select("doc_id", "digest", "keep_id", F.col("copies").alias("group_size"), F.coalesce(F.col("doc_id") == F.col("keep_id"), F.lit(False)).alias("kept"))
+    return index.lookup(rows).select("doc_id", "digest", "keep_id", F.col("copies").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_hash")

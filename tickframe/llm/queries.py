@@ -46,7 +46,7 @@ def op4_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
 _OP4_SQL = r"""
 with d as (select doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) as text_sha256 from documents),
 g as (select text_sha256, min(doc_id) as keep_id, count(*) as group_size from d group by 1)
-select doc_id, keep_id, group_size, coalesce(doc_id = keep_id, false) as kept, text_sha256 from d join g using (text_sha256)
+select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept, text_sha256 from d join g using (text_sha256)
 """
 
 
@@ -85,6 +85,37 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), ids_crc32(F.col("ids")).alias("ids_crc32"), (decode(F.col("ids"), model) == F.col("text")).alias("round_trip"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads the counts of all documents under two tokenizer versions (and the same batch again, which
+    changes nothing), recounts texts of several lines with a token for each line break, and retracts
+    every copy of a text but the one of the smallest doc_id."""
+    from tickframe.llm.token_rollup import TokenRollup, counted
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    rollup = TokenRollup(spark)
+    loaded = counted(docs)
+    rollup.commit("load", loaded)
+    rollup.commit("load", loaded)
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
+    lines = docs.where(breaks > 0)
+    rollup.commit("recount", counted(lines, {"words-1": lambda t: F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")) + breaks}, op="revise"))
+    first = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    copies = first.join(first.groupBy("h").agg(F.min("doc_id").alias("keep")), "h").where("doc_id <> keep").select("doc_id")
+    rollup.commit("retract", copies.withColumn("tokenizer", F.explode(F.array(F.lit("words-1"), F.lit("bytes-1")))).withColumn("op", F.lit("delete")))
+    return rollup.totals()
+
+
+_OP9_SQL = r"""
+with d as (select doc_id, source, lang, coalesce(text, '') as t, min(doc_id) over (partition by coalesce(text, '')) as keep from documents),
+k as (select * from d where doc_id = keep)
+select source, lang, 'words-1' as tokenizer, count(*) as docs,
+       sum(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) + length(t) - length(replace(t, chr(10), '')))::bigint as tokens
+from k group by 1, 2
+union all
+select source, lang, 'bytes-1', count(*), sum(strlen(t))::bigint from k group by 1, 2
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.simhash import near_duplicates
 
@@ -93,8 +124,19 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_itq": op1_itq, "op2_lm": op2_lm, "op3_secrets": op3_secrets, "op4_cuckoo": op4_cuckoo, "op5_quality": op5_quality, "op6_packing": op6_packing, "op7_urls": op7_urls, "op8_pieces": op8_pieces, "op10_simhash": op10_simhash}
+    return {
+        "op1_itq": op1_itq,
+        "op2_lm": op2_lm,
+        "op3_secrets": op3_secrets,
+        "op4_cuckoo": op4_cuckoo,
+        "op5_quality": op5_quality,
+        "op6_packing": op6_packing,
+        "op7_urls": op7_urls,
+        "op8_pieces": op8_pieces,
+        "op9_token_counts": op9_token_counts,
+        "op10_simhash": op10_simhash,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_itq": op1_itq, "op3_secrets": op3_secrets, "op4_cuckoo": _OP4_SQL}
+    return {"op4_cuckoo": _OP4_SQL, "op9_token_counts": _OP9_SQL}

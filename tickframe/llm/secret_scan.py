@@ -145,7 +145,8 @@ def _thresholds(cands: DataFrame, q: float) -> dict[int, float]:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: float = 0.01, fit: float = 0.001) -> DataFrame:
-    """Every row of docs as (doc_id, base, spans), arrays of (start, kind, end) by start, then kind.
+    """Every row of docs as (doc_id, base, spans, text_hash), arrays of (start, kind, end) by start,
+    then kind, and xxhash64 of the whole text.
 
     base: the fixed patterns' spans. spans: these and "random" ones: runs of 20 or more characters of
     the base-64 alphabets that overlap no base span, look random (no test of the battery below `fit`)
@@ -155,9 +156,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
     columns aren't looked at."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     cand = _located(F.col("t"), CANDIDATE, lambda found: found)
-    d = d.select("doc_id", base_spans(F.col("t")).alias("base"), cand.alias("cand"))
+    d = d.select("doc_id", F.xxhash64("t").alias("text_hash"), base_spans(F.col("t")).alias("base"), cand.alias("cand"))
     free = "filter(cand, c -> not exists(base, b -> b.start < c.start + length(c.match) and c.start < b.end))"
-    d = materialise(d.select("doc_id", "base", F.expr(f"transform({free}, c -> struct(c.start as start, c.match as token))").alias("cand")).withColumn("row", F.monotonically_increasing_id()), "spans")
+    d = materialise(d.select("doc_id", "text_hash", "base", F.expr(f"transform({free}, c -> struct(c.start as start, c.match as token))").alias("cand")).withColumn("row", F.monotonically_increasing_id()), "spans")
     tested = _battery(d.select("row", F.inline("cand"))).select("row", "start", (F.col("start") + F.length("token")).alias("end"), F.floor(F.log2("n")).cast("int").alias("size"), "p", "fit")
     tested = materialise(tested, "tested")
     limit = F.lit(None).cast("double")
@@ -167,7 +168,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", q: flo
     random = F.struct("start", F.lit(KINDS.index("random")).alias("kind"), "end")
     found = found.groupBy("row").agg(F.collect_list(random).alias("more"))  # at most a text's own runs
     none = F.expr(f"cast(array() as {SPANS})")
-    return d.join(found, "row", "left").select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"))
+    return d.join(found, "row", "left").select("doc_id", "base", F.array_sort(F.concat("base", F.coalesce("more", none))).alias("spans"), "text_hash")
 
 
 def named(spans: Column) -> Column:

@@ -11,40 +11,47 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
 
 from tickframe.llm.components import connected_components
 from tickframe.llm.storage import materialise
 
 SEED = 42
+BINS = 128
 
 
-def fingerprint_of(text: str, width: int) -> int:
-    """64 majority bits over the XXH64 of all word shingles, as a signed long."""
+def shingle_hashes(text: str, width: int) -> np.ndarray:
+    """XXH64 of each run of `width` words of the lower-cased text; of all words where there are fewer."""
     words = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
     if len(words) <= width:
-        hashes = [xxhash.xxh64_intdigest(joined, SEED)]
-    else:
-        ends = list(accumulate([len(w) + 1 for w in words]))
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[s : e - 1], SEED) for s, e in zip([0, *ends], ends[width - 1 :], strict=False)]
-    octets = np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8)
-    ones = np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], "<u8")
+    ends = list(accumulate([len(w) + 1 for w in words]))
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(joined[s : e - 1], SEED) for s, e in zip([0, *ends], ends[width - 1 :], strict=False)], "<u8")
+
+
+def majority_bits(hashes: np.ndarray) -> int:
+    """The 64-bit fingerprint, as a signed long: the bits that are set in over half of the hashes."""
+    if not len(hashes):
+        return 0
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def fingerprint(text, width: int = 4):
-    """Column of fingerprints of a text column; null counts as empty, an empty text gives 0."""
+def fingerprint_of(text: str, width: int) -> int:
+    return majority_bits(shingle_hashes(text, width))
 
-    @pandas_udf("long")
-    def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in texts:
-            yield pd.Series([fingerprint_of(t, width) for t in s], dtype="int64")
 
-    return of(F.coalesce(text, F.lit("")))
+def sketch_of(hashes: np.ndarray) -> bytes:
+    """One-permutation min-hash: for each of BINS ranges of the hashes the low octet of its smallest
+    one, and whether the range is empty."""
+    values = np.zeros(2 * BINS, np.uint8)
+    bins, first = np.unique((hashes := np.sort(hashes)) >> np.uint64(64 - BINS.bit_length() + 1), return_index=True)
+    values[bins.astype(np.int64)] = (hashes[first] & np.uint64(255)).astype(np.uint8)
+    values[BINS + bins.astype(np.int64)] = 1
+    return values[:BINS].tobytes() + np.packbits(values[BINS:]).tobytes()
 
 
 class Forest:
@@ -100,65 +107,112 @@ class Forest:
         return np.concatenate(rows), np.concatenate(shards)
 
 
-def linked_within(prints: np.ndarray, radius: int) -> np.ndarray:
-    """Per row the first row of its component under "differs by at most radius bits"; itself if alone.
-    Linear memory: blocks of comparisons, then a breadth-first walk over the rows that have a link."""
-    n, out = len(prints), np.arange(len(prints))
-    some = np.zeros(n, bool)
-    step = max(1, 2_000_000 // max(1, n))
-    for a in range(0, n, step):
-        near = np.bitwise_count(prints[a : a + step, None] ^ prints[None, :]) <= radius
-        some[a : a + step] = near.sum(axis=1) > 1
-    rest = np.flatnonzero(some)
-    while len(rest):
-        root, frontier, rest = rest[0], rest[:1], rest[1:]
-        while len(frontier) and len(rest):
-            now, frontier = frontier[:256], frontier[256:]
-            hit = (np.bitwise_count(prints[rest][:, None] ^ prints[now][None, :]) <= radius).any(axis=1)
-            out[rest[hit]] = root
-            frontier, rest = np.concatenate([frontier, rest[hit]]), rest[~hit]
-    return out
+class Links:
+    """Which rows of a shard are linked: fingerprints within `radius` bits, and, where sketches are
+    given, an estimated Jaccard similarity of the shingles of at least `similarity`."""
+
+    def __init__(self, prints: np.ndarray, radius: int, sketches: list[bytes] | None = None, similarity: float | None = None):
+        self.prints, self.radius, self.similarity = prints, radius, similarity
+        if similarity is not None:
+            raw = np.frombuffer(b"".join(sketches), np.uint8).reshape(len(prints), -1)
+            self.values, self.full = raw[:, :BINS], np.unpackbits(raw[:, BINS:], axis=1).astype(bool)
+
+    def between(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Matrix of links of rows a with rows b."""
+        near = np.bitwise_count(self.prints[a][:, None] ^ self.prints[b][None, :]) <= self.radius
+        if self.similarity is not None:
+            i, j = np.nonzero(near)
+            for k in range(0, len(i), 100_000):
+                x, y = a[i[k : k + 100_000]], b[j[k : k + 100_000]]
+                both, either = self.full[x] & self.full[y], self.full[x] | self.full[y]
+                same = ((self.values[x] == self.values[y]) & both).sum(axis=1)
+                near[i[k : k + 100_000], j[k : k + 100_000]] = same >= self.similarity * either.sum(axis=1)
+        return near
+
+    def roots(self) -> np.ndarray:
+        """Per row the first row of its component; itself if alone. Linear memory: blocks of
+        comparisons, then a breadth-first walk over the rows that have a link."""
+        n = len(self.prints)
+        every, out, some = np.arange(n), np.arange(n), np.zeros(n, bool)
+        step = max(1, 2_000_000 // max(1, n))
+        for a in range(0, n, step):
+            some[a : a + step] = self.between(every[a : a + step], every).sum(axis=1) > 1
+        rest = np.flatnonzero(some)
+        while len(rest):
+            root, frontier, rest = rest[0], rest[:1], rest[1:]
+            while len(frontier) and len(rest):
+                now, frontier = frontier[:256], frontier[256:]
+                hit = self.between(now, rest).any(axis=0)
+                out[rest[hit]] = root
+                frontier, rest = np.concatenate([frontier, rest[hit]]), rest[~hit]
+        return out
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, radius: int = 4, trees: int = 3, shard_rows: int = 4096, max_depth: int = 16, sample_rows: int = 16384
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = 4,
+    radius: int = 4,
+    trees: int = 3,
+    similarity: float | None = None,
+    shard_rows: int = 4096,
+    max_depth: int = 16,
+    sample_rows: int = 16384,
 ) -> DataFrame:
-    """Every row of docs as (doc_id, fingerprint long, component_id): rows whose fingerprints differ
-    by at most `radius` bits are linked, component_id is the smallest id reachable by links.
-
-    Rows of one fingerprint are merged first, so copies of any number count once. The forest is
-    fitted on at most `sample_rows` fingerprints and routes every one; it is broadcast, with at most
-    trees * 2**max_depth nodes of 16 bytes. A shard above 4 * shard_rows is cut into blocks and its
+    """Every row of docs as (doc_id, fingerprint long, component_id, text_hash): rows whose fingerprints
+    differ by at most `radius` bits are linked, component_id is the smallest id reachable by links.
+    With a similarity, linked rows must also have that Jaccard similarity of their shingles, as their
+    min-hash sketches estimate it. text_hash is xxhash64 of the whole text.
+
+    Rows of one fingerprint (and sketch) are merged first, so copies of any number count once. The
+    forest is fitted on at most `sample_rows` fingerprints and routes every one; it is broadcast, with at
+    most trees * 2**max_depth nodes of 16 bytes. A shard above 4 * shard_rows is cut into blocks and its
     pairs of blocks go to separate tasks, so a task's memory is bounded and no pair is lost. Shards
     return one edge per linked row, never the pairs.
 
     Null or blank texts have fingerprint zero and link like others; repeated rows come back as often
     as read; a null id never names a component (a group of nulls alone has a null component); an
     empty table gives an empty result; other columns of docs are not looked at."""
-    rows = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), fingerprint(F.col(text_col), width).alias("fp")), "prints")
-    reps = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "reps")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+
+    def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            hashes = [shingle_hashes(t, width) for t in b.text]
+            yield pd.DataFrame(
+                {
+                    "doc_id": b.doc_id.astype("Int64"),
+                    "fp": np.array([majority_bits(h) for h in hashes], np.int64),
+                    "sketch": [sketch_of(h) if similarity is not None else b"" for h in hashes],
+                    "text_hash": b.text_hash,
+                }
+            )
+
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long"), "prints")
+    reps = materialise(rows.groupBy("fp", "sketch").agg(F.min("doc_id").alias("rep")), "reps")
     named = reps.where("rep is not null")
     n = named.count()
     depth = min(max_depth, max(0, math.ceil(math.log2(max(n, 1) / shard_rows))))
-    sample = named.orderBy(F.xxhash64("fp")).limit(sample_rows).toPandas().fp.to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
+    sample = named.select("fp").orderBy(F.xxhash64("fp")).limit(sample_rows).toPandas().fp.to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
     forest = docs.sparkSession.sparkContext.broadcast(Forest(sample, radius, trees if depth else 1, depth))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             row, shard = forest.value.shards(b.fp.to_numpy(np.int64).view(np.uint64))
-            yield pd.DataFrame({"shard": shard, "rep": b.rep.to_numpy()[row], "fp": b.fp.to_numpy()[row]})
+            yield b.iloc[row].assign(shard=shard)
 
-    routed = materialise(named.select("rep", "fp").mapInPandas(route, "shard long, rep long, fp long"), "shards")
-    edges = blocked(routed, "shard", "rep", 4 * shard_rows).groupBy("shard", "i", "j").applyInPandas(lambda g: _edges(g, radius), "src long, dst long")
+    routed = materialise(named.select("rep", "fp", "sketch").mapInPandas(route, "rep long, fp long, sketch binary, shard long"), "shards")
+    edges = blocked(routed, "shard", "rep", 4 * shard_rows).groupBy("shard", "i", "j").applyInPandas(lambda g: _edges(g, radius, similarity), "src long, dst long")
     known = reps.join(connected_components(edges).withColumnRenamed("node", "rep"), "rep", "left")
-    known = materialise(known.select("fp", F.coalesce("component", "rep").alias("component_id")), "classes")
-    return rows.join(known, "fp", "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id")
+    known = materialise(known.select("fp", "sketch", F.coalesce("component", "rep").alias("component_id")), "classes")
+    return rows.join(known, ["fp", "sketch"], "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
 
 
-def _edges(g: pd.DataFrame, radius: int) -> pd.DataFrame:
+def _edges(g: pd.DataFrame, radius: int, similarity: float | None) -> pd.DataFrame:
     g = g.sort_values("rep", ignore_index=True)
     rep = g.rep.to_numpy()
-    root = linked_within(g.fp.to_numpy(np.int64).view(np.uint64), radius)
+    root = Links(g.fp.to_numpy(np.int64).view(np.uint64), radius, list(g.sketch), similarity).roots()
     own = root != np.arange(len(root))
     return pd.DataFrame({"src": rep[own], "dst": rep[root[own]]})
 
