@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import sentencepiece
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
@@ -64,8 +64,8 @@ class Codec:
             self._octets[i] = bytes([b])
         pairs = {(ord(a) << 21) | ord(b) for t in texts for a, b in zip(t, t[1:], strict=False)}
         self._pairs = np.array(sorted(pairs), np.int64)
-        self._memory: dict[str, np.ndarray] = {}
-        self._parts: dict[str, np.ndarray] = {}
+        self._memory: dict[str, bytes] = {}  # ids as 32-bit numbers, as in _parts
+        self._parts: dict[str, bytes] = {}
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All occurrences of all pieces in text as (start, length, id), sorted by position. Every
@@ -113,12 +113,12 @@ class Codec:
             known.update(zip(new, self._encode_parts(new), strict=True))
         ids = [known[p] for p in parts]
         upto = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-        flat = np.concatenate(ids)
+        flat = b"".join(ids)
         first = np.searchsorted(cuts, np.concatenate([[0], ends[:-1] + 1]))
         last = np.searchsorted(cuts, ends)
         self._memory.update((c, flat[x:y]) for c, x, y in zip(chunks, upto[first].tolist(), upto[last].tolist(), strict=True))
 
-    def _encode_parts(self, parts: list[str]) -> list[np.ndarray]:
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
         text = "\n".join(parts)
         start, length, ids = self.edges(text)
         keys = (start << self._shift) | length  # sorted, as edges are
@@ -145,8 +145,9 @@ class Codec:
         width[missing] = [len(x) for x in octets]
         flat = np.repeat(own, width).astype(np.int32)
         flat[flat < 0] = [x for some in octets for x in some]
-        bounds = np.concatenate([[0], np.cumsum(np.bincount(part, width, len(parts)).astype(np.int64))]).tolist()
-        return [flat[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
+        bounds = (4 * np.concatenate([[0], np.cumsum(np.bincount(part, width, len(parts)).astype(np.int64))])).tolist()
+        raw = flat.tobytes()
+        return [raw[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
 
     def _rounds(self, firsts: np.ndarray, sizes: np.ndarray, names: np.ndarray, found) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Symbols (begin, end, part) after all merges. Every round makes one merge in each part that
@@ -239,7 +240,7 @@ class Codec:
             new = list({c for chunks in cut for c in chunks if c not in known})
             if new:
                 self._learn(new)
-            out += [np.concatenate([known[c] for c in chunks]) if chunks else np.zeros(0, np.int32) for chunks in cut]
+            out += [np.frombuffer(b"".join([known[c] for c in chunks]), np.int32) for chunks in cut]
             at = upto
         return out
 
@@ -281,12 +282,27 @@ def decode(ids: Column, model: str) -> Column:
     return of(F.coalesce(ids, F.expr("cast(array() as array<int>)")))
 
 
-def ids_crc32(ids: Column) -> Column:
-    """CRC-32 of an array of ids as little-endian unsigned 32-bit numbers; null as an empty array."""
-
-    @F.pandas_udf("long")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series([zlib.crc32(np.asarray(x, "<u4").tobytes()) for x in s], dtype="int64")
-
-    return of(F.coalesce(ids, F.expr("cast(array() as array<int>)")))
+def coded(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every row of docs as (doc_id, n_ids, ids_crc32, round_trip): the text is encoded, its ids are
+    counted and summed up by CRC-32 (little-endian unsigned 32-bit), and decoded again; round_trip tells
+    whether the text came back. One pass in one worker, so ids never cross to the JVM.
+
+    A null text counts as empty (no ids, round trip true); repeated rows come back as often as read, null
+    ids stay null; an empty table gives an empty result; other columns aren't looked at. A literal space
+    mark in a text decodes to a space: round_trip is false there."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = codec(model)
+        for b in batches:
+            ids = own.encode(b.text.tolist())
+            yield pd.DataFrame(
+                {
+                    "doc_id": b.doc_id.astype("Int64"),
+                    "n_ids": np.array([len(x) for x in ids], np.int64),
+                    "ids_crc32": np.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], np.int64),
+                    "round_trip": np.array([own.decode(x.tolist()) == t for x, t in zip(ids, b.text, strict=True)], bool),
+                }
+            )
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return rows.mapInPandas(run, "doc_id long, n_ids long, ids_crc32 long, round_trip boolean")
