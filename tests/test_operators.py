@@ -86,7 +86,7 @@ def test_times(spark):
 @pytest.mark.parametrize("size", [1, 2, 7, 64])
 def test_block_scan_is_the_recursion(spark, size):
     xs = [float((i * 37) % 23) for i in range(150)]
-    d = block_scan(row_index(bars(spark, xs, step=dt.timedelta(minutes=30))), [("e", "close", 0.2), ("f", "close", 1 / 14)], size)
+    d = block_scan(bars(spark, xs, step=dt.timedelta(minutes=30)), [("e", "close", 0.2), ("f", "close", 1 / 14)], size)
     for name, a in (("e", 0.2), ("f", 1 / 14)):
         y, want = None, []
         for x in xs:
@@ -95,6 +95,24 @@ def test_block_scan_is_the_recursion(spark, size):
         assert values(d, name) == pytest.approx(want, rel=1e-9)
 
 
+@pytest.mark.parametrize(("block", "step"), [(None, 1), (7, 1), (1, 45), (None, 2000), (3, 700)])
+def test_indicators_are_the_recursions(spark, block, step):
+    xs = [100 + float((i * 37) % 23) - float((i * 11) % 7) for i in range(70)]
+    rows = I.recursions(bars(spark, xs, step=dt.timedelta(minutes=step)), block=block).orderBy("timestamp").collect()
+    e = {n: xs[0] for n in (9, 12, 20, 26)}
+    sig, up, down = 0.0, None, None
+    for i, (r, x) in enumerate(zip(rows, xs, strict=True)):
+        if i:
+            e = {n: e[n] + (x - e[n]) * 2 / (n + 1) for n in e}
+            sig += (e[12] - e[26] - sig) * 0.2
+            g, lo = max(x - xs[i - 1], 0), max(xs[i - 1] - x, 0)
+            up, down = (g, lo) if i == 1 else (up + (g - up) / 14, down + (lo - down) / 14)
+        assert r.rn == i
+        assert r.ema_20 == (pytest.approx(e[20], rel=1e-9) if i >= 19 else None) and r.ema_9 == (pytest.approx(e[9], rel=1e-9) if i >= 8 else None)
+        assert r.macd_signal == (pytest.approx(sig, rel=1e-7, abs=1e-9) if i >= 33 else None)
+        assert r.rsi_14 == (pytest.approx(100 - 100 / (1 + up / down), rel=1e-9) if i >= 14 else None)
+
+
 def test_row_index_ignores_the_order_of_input(spark):
     b = bars(spark, [float(i) for i in range(60)], step=dt.timedelta(hours=1))
     assert values(row_index(b.orderBy(F.rand(1))), "rn") == list(range(60))

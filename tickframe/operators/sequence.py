@@ -33,41 +33,66 @@ def with_halo(df: DataFrame, rows: int, block: int = 4096) -> tuple[DataFrame, o
     return out, Window.partitionBy("ticker", "_block").orderBy("rn")
 
 
-def block_scan(df: DataFrame, series: Sequence[tuple[str, str, float]], block: int | None = None) -> DataFrame:
-    """df(ticker, rn, ...) with, for each (out, x, alpha), y[0] = x[0] and
-    y[i] = (1 - alpha) y[i-1] + alpha x[i], which starts at the first rn that has an x.
-
-    Within a block y is (1 - alpha)^i times a running sum of alpha (1 - alpha)^(-i) x; blocks are put
-    together by their end values, one row per block. The block is as long as the powers stay far
-    inside a double's range (1e50)."""
-    most = min(int(50 * math.log(10) / -math.log(1 - a)) for _, _, a in series)
-    size = min(512, most) if block is None else block
-    d = df.withColumn("_b", F.floor(F.col("rn") / size)).withColumn("_i", (F.col("rn") % size).cast("double"))
-    running = Window.partitionBy("ticker", "_b").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
-    first = df.groupBy("ticker").agg(*[F.min(F.when(F.col(x).isNotNull(), F.col("rn"))).alias(f"_f_{out}") for out, x, _ in series])
-    d = d.join(first, "ticker")
-    for out, x, a in series:
-        weight = F.when(F.col("rn") == F.col(f"_f_{out}"), F.lit(1.0)).otherwise(F.lit(a))
-        term = F.coalesce(weight * F.col(x) * F.pow(F.lit(1 - a), -F.col("_i")), F.lit(0.0))
-        d = d.withColumn(f"_y_{out}", F.sum(term).over(running) * F.pow(F.lit(1 - a), F.col("_i")))
-    ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct("_i", *[f"_y_{out}" for out, _, _ in series]), "_i").alias("_end"))
-    each = F.array_sort(F.collect_list(F.struct("_b", "_end")))
-    folded = ends.groupBy("ticker").agg(each.alias("_ends"))  # a row per 512 of a ticker's rows
-
-    def carried(ends_: Column) -> Column:
-        zero = F.struct(*[F.lit(0.0).alias(f"_c_{out}") for out, _, _ in series])
-
-        def step(acc: Column, e: Column) -> Column:
-            now = F.element_at(acc, -1)
-            nxt = F.struct(*[(now[f"_c_{out}"] * F.pow(F.lit(1 - a), e["_end"]["_i"] + 1) + e["_end"][f"_y_{out}"]).alias(f"_c_{out}") for out, _, a in series])
-            return F.concat(acc, F.array(nxt))
-
-        return F.aggregate(ends_, F.array(zero), step)
-
-    carries = folded.select("ticker", F.explode(F.arrays_zip(F.transform("_ends", lambda e: e["_b"]).alias("_b"), carried(F.col("_ends")).alias("_c"))).alias("_x"))
-    carries = carries.where("_x._b is not null").select("ticker", F.col("_x._b").alias("_b"), "_x._c.*")
-    d = d.join(carries, ["ticker", "_b"])
-    for out, _, a in series:
-        y = F.col(f"_y_{out}") + F.col(f"_c_{out}") * F.pow(F.lit(1 - a), F.col("_i") + 1)
-        d = d.withColumn(out, F.when(F.col("rn") >= F.col(f"_f_{out}"), y))
-    return d.select(*df.columns, *[out for out, _, _ in series])
+def in_blocks(df: DataFrame, ts: str, size: int) -> tuple[DataFrame, object]:
+    """(df with _b and _i, a running window over blocks): rows are numbered within their ticker's day
+    and cut into blocks of `size`. _b sorts by time, _i is 0, 1, ... in a block; no other row is needed
+    for either."""
+    within = Window.partitionBy("ticker", "_day").orderBy(ts)
+    d = df.withColumn("_day", F.to_date(ts)).withColumn("_n", F.row_number().over(within) - 1)
+    d = d.withColumn("_b", F.struct("_day", F.floor(F.col("_n") / size).alias("k"))).withColumn("_i", (F.col("_n") % size).cast("double"))
+    running = Window.partitionBy("ticker", "_day", "_b").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    return d.drop("_n"), running
+
+
+def carry_blocks(d: DataFrame, end: Sequence[Column], zero: Column, step) -> DataFrame:
+    """d with `_c`: what is carried into each block. end: columns of a block's last row; zero: what is
+    carried into a ticker's first block; step(carried, end) gives what goes into the next one.
+
+    A row per block is folded along each ticker, in one aggregate; the blocks' rows are joined."""
+    ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct(*end), "_i").alias("_end"))
+    listed = ends.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct("_b", "_end"))).alias("_ends"))
+    start = F.struct(F.expr("cast(null as struct<_day:date,k:bigint>)").alias("_b"), zero.alias("_c"))
+
+    def fold(acc: Column, e: Column) -> Column:
+        now = F.element_at(acc, -1)["_c"]
+        own = F.struct(e["_b"].alias("_b"), now.alias("_c"))
+        return F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(own), F.array(F.struct(F.lit(None).cast("struct<_day:date,k:bigint>").alias("_b"), step(now, e["_end"]).alias("_c"))))
+
+    carried = listed.select("ticker", F.inline(F.aggregate("_ends", F.array(start), fold))).where("_b is not null")
+    return d.join(carried, ["ticker", "_b"])
+
+
+def ema_term(x: Column, alpha: float, running) -> Column:
+    """The recursion y[i] = (1 - alpha) y[i-1] + alpha x[i] within a block, from nothing before it."""
+    return F.sum(alpha * x * F.pow(F.lit(1 - alpha), -F.col("_i"))).over(running) * F.pow(F.lit(1 - alpha), F.col("_i"))
+
+
+def block_size(alphas: Sequence[float]) -> int:
+    """As long as the powers of 1 - alpha stay far inside a double's range (1e50), 512 at most."""
+    return min(512, *(int(50 * math.log(10) / -math.log(1 - a)) for a in alphas))
+
+
+def block_scan(df: DataFrame, series: Sequence[tuple[str, str, float]], block: int | None = None, ts: str = "timestamp") -> DataFrame:
+    """df with rn, the number of a ticker's rows before, and for each (out, x, alpha) y[0] = x[0] and
+    y[i] = (1 - alpha) y[i-1] + alpha x[i]. A null x counts as 0.
+
+    Within a block, y is (1 - alpha)^i times a running sum of alpha (1 - alpha)^(-i) x; what is carried
+    into it is added on. The input is read twice, whatever the number of series."""
+    d, running = in_blocks(df, ts, block or block_size([a for _, _, a in series]))
+    d = d.withColumns({f"_y_{out}": F.coalesce(ema_term(F.col(x), a, running), F.lit(0.0)) for out, x, a in series})
+    d = d.withColumns({f"_x_{out}": F.first(F.coalesce(F.col(x), F.lit(0.0))).over(running) for out, x, _ in series})
+    end = [F.col(c) for c in ("_i", *[f"_{k}_{out}" for out, _, _ in series for k in "yx"])]
+    zero = F.struct(F.lit(0).cast("long").alias("rn"), *[F.lit(0.0).alias(out) for out, _, _ in series])
+
+    def into(c: Column, e: Column, out: str) -> Column:
+        return F.when(c["rn"] == 0, e[f"_x_{out}"]).otherwise(c[out])  # as if the first x had always been
+
+    def step(c: Column, e: Column) -> Column:
+        power = e["_i"] + 1
+        ys = [(into(c, e, out) * F.pow(F.lit(1 - a), power) + e[f"_y_{out}"]).alias(out) for out, _, a in series]
+        return F.struct((c["rn"] + power.cast("long")).alias("rn"), *ys)
+
+    d = carry_blocks(d, end, zero, step)
+    c, here = F.col("_c"), F.struct(*[f"_x_{out}" for out, _, _ in series])
+    ys = {out: F.col(f"_y_{out}") + into(c, here, out) * F.pow(F.lit(1 - a), F.col("_i") + 1) for out, _, a in series}
+    return d.withColumns({**ys, "rn": c["rn"] + F.col("_i").cast("long")}).select(*[c for c in df.columns if c != "rn"], "rn", *ys)
