@@ -77,18 +77,16 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes every whole text, decodes the ids, and tells whether the text came back."""
     import public_tokenizers
 
-    from tickframe.llm.pieces import decode, encode, ids_crc32
+    from tickframe.llm.pieces import coded
 
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    text = F.coalesce("text", F.lit(""))
-    ids = _table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), encode(text, model).alias("ids"))
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), ids_crc32(F.col("ids")).alias("ids_crc32"), (decode(F.col("ids"), model) == F.col("text")).alias("round_trip"))
+    return coded(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads the counts of all documents under two tokenizer versions (and the same batch again, which
     changes nothing), recounts texts of several lines with a token for each line break, and retracts
     every copy of a text but the one of the smallest doc_id."""
+    from tickframe.llm.storage import materialise
     from tickframe.llm.token_rollup import TokenRollup, counted
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
@@ -100,7 +98,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = docs.where(breaks > 0)
     rollup.commit("recount", counted(lines, {"words-1": lambda t: F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")) + breaks}, op="revise"))
     first = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
-    copies = first.join(first.groupBy("h").agg(F.min("doc_id").alias("keep")), "h").where("doc_id <> keep").select("doc_id")
+    groups = materialise(first.groupBy("h").agg(F.min("doc_id").alias("keep")), "groups")  # a plain side, so that a hot text's rows can be split
+    copies = first.join(groups, "h").where("doc_id <> keep").select("doc_id")
     rollup.commit("retract", copies.withColumn("tokenizer", F.explode(F.array(F.lit("words-1"), F.lit("bytes-1")))).withColumn("op", F.lit("delete")))
     return rollup.totals()
 
