@@ -17,7 +17,8 @@ from tickframe.llm.storage import materialise
 
 CAPACITY = 2048
 END = 0
-SALTS = 256
+SALT_ROWS = 100_000
+OPEN = 0.3
 
 
 @cache
@@ -43,15 +44,17 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     return rows.mapInPandas(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def _ranked(items: DataFrame) -> DataFrame:
+def _ranked(items: DataFrame, counts: DataFrame) -> DataFrame:
     """items with `rank`, 0, 1, ... among those of the same length: the range sort by length, without
-    one task for a length. Pieces of a length are salted, ranked within the salt, and moved up by the
-    number in lower salts."""
-    items = items.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(SALTS)).cast("int"))
-    counts = items.groupBy("length", "salt").agg(F.count("*").alias("c"))  # at most capacity * SALTS rows
-    below = counts.withColumn("below", F.sum("c").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)))
+    one task for a length. A length's pieces are dealt to salts of about SALT_ROWS, ranked within the
+    salt, and moved up by the number in lower salts. counts(length, c): at most `capacity` rows."""
+    salts = counts.select("length", F.ceil(F.col("c") / SALT_ROWS).alias("salts"))
+    items = items.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.col("salts")).cast("int")).drop("salts")
+    parts = items.groupBy("length", "salt").agg(F.count("*").alias("c"))  # one row per SALT_ROWS items and length
+    before = F.sum("c").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
+    below = materialise(parts.select("length", "salt", F.coalesce(before, F.lit(0)).alias("below")), "below")
     own = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "piece"))
-    return items.withColumn("own", own).join(F.broadcast(below.select("length", "salt", "below")), ["length", "salt"]).withColumn("rank", F.col("own") - 1 + F.coalesce("below", F.lit(0)))
+    return items.withColumn("own", own).join(below, ["length", "salt"]).withColumn("rank", F.col("own") - 1 + F.col("below"))
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -62,15 +65,15 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[i
     A round is one sweep upwards through gaps: each takes the longest piece that fits and isn't
     taken, so every piece goes to its tightest open gap (its successor); where runs of unequal counts
     meet, ranks decide which members match and the rest goes on. Gaps are then shortened and the
-    sweep is repeated until nothing fits; the longest pieces left, as many as the rest needs at the
-    least, then open sequences of their own.
+    sweep is repeated until nothing fits; the longest pieces left, OPEN of as many as the rest needs
+    at the least, then open sequences of their own (opening all at once leaves more gaps unfilled).
 
     Returns placements (length, first rank, count, first sequence, offset) and the number of sequences."""
     left = sorted((n, 0, c) for n, c in counts.items() if c)
     gaps: list[tuple[int, int, int]] = []
     placed, sequences = [], 0
     while left:
-        need = -(-sum(n * c for n, _, c in left) // capacity)
+        need = max(1, int(OPEN * sum(n * c for n, _, c in left) / capacity))
         while need and left:  # open new sequences with the longest pieces
             n, rank, c = left.pop()
             take = min(need, c) if 2 * n <= capacity else c  # two pieces above one half never share
@@ -113,8 +116,8 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     A null or empty text is one piece of length 1; repeated rows are packed as often as read; null ids
     stay null; an empty table gives an empty result; other columns aren't looked at."""
     cut = materialise(pieces(docs, tokenizer, id_col, text_col, capacity), "pieces")
-    counts = {r["length"]: r["c"] for r in cut.groupBy("length").agg(F.count("*").alias("c")).collect()}  # at most capacity rows
-    placed, _ = plan(counts, capacity)
+    counts = materialise(cut.groupBy("length").agg(F.count("*").alias("c")), "lengths")  # at most capacity rows
+    placed, _ = plan({r["length"]: r["c"] for r in counts.collect()}, capacity)
     by_length: dict[int, list] = {}
     for n, rank, _count, first, offset in sorted(placed):
         by_length.setdefault(n, []).append((rank, first, offset))
@@ -131,4 +134,4 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
             yield b.drop(columns="rank").assign(sequence_id=sequence, offset=offset)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    return _ranked(cut).select(*cut.columns, "rank").mapInPandas(lambda x: (f.astype({"doc_id": "Int64"}) for f in place(x)), schema)
+    return _ranked(cut, counts).select(*cut.columns, "rank").mapInPandas(lambda x: (f.astype({"doc_id": "Int64"}) for f in place(x)), schema)
