@@ -44,9 +44,9 @@ def normalize_minmax(master: DataFrame, n: int = 100, guard: int = 0) -> DataFra
     next, each a running extreme: a row costs the same for any n."""
     indexed, over = with_halo(row_index(master), n, max(4096, 8 * (n + 1)))
     d = indexed.withColumn("_stretch", F.floor(F.col("rn") / (n + 1)))
-    inner = Window.partitionBy("ticker", "_block", "_stretch").orderBy("rn")
-    before = inner.rowsBetween(Window.unboundedPreceding, 0)
-    after = inner.rowsBetween(0, Window.unboundedFollowing)
+    inner = Window.partitionBy("ticker", "_block", "_stretch")
+    before = inner.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+    after = inner.orderBy(F.col("rn").desc()).rowsBetween(Window.unboundedPreceding, 0)  # runs backwards: a frame up to the end is made anew for each row
     measures = [c for c in master.columns if c in SCALES]
     d = d.withColumns({f"_p_{c}": F.struct(F.min(c).over(before).alias("lo"), F.max(c).over(before).alias("hi")) for c in measures})
     d = d.withColumns({f"_s_{c}": F.struct(F.min(c).over(after).alias("lo"), F.max(c).over(after).alias("hi")) for c in measures})

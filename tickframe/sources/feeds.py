@@ -24,7 +24,8 @@ NEWS = (
     "description string, keywords array<string>"
 )
 INDICATORS = "ticker string, timestamp timestamp_ntz, indicator_type string, window int, value double, signal double, histogram double"
-DEFAULT_UNIVERSE = ("AMZN", "TSLA", "AAPL", "MSFT", "GOOGL", "META", "NVDA", "AMD")
+#: The default universe (fixed values).
+DEFAULT_UNIVERSE = ("AAPL", "AMZN", "TSLA", "NVDA", "MSFT", "GOOGL", "META", "AMD")
 
 _RAW_BARS = "ticker string, timestamp bigint, open double, high double, low double, close double, volume double, vwap double, transactions bigint"
 _RAW_TRADES = (
