@@ -17,7 +17,7 @@ from tickframe.llm.storage import materialise
 
 CAPACITY = 2048
 END = 0
-SALT_ROWS = 100_000
+SALT_ROWS = 1000
 OPEN = 0.3
 
 
