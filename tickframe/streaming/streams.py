@@ -97,7 +97,7 @@ def start_master(bars: DataFrame, sources: Callable[[], tuple[DataFrame, DataFra
 
     def batch(rows: DataFrame, _: int) -> None:
         rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-        days = F.broadcast(rows.select(F.to_date("timestamp").alias("_d")).distinct())  # the days of one micro-batch
+        days = rows.select(F.to_date("timestamp").alias("_d")).distinct()
         quotes, trades, indicators = (df.join(days, F.to_date(ts) == F.col("_d"), "left_semi") for df, ts in zip(sources(), ("sip_timestamp", "sip_timestamp", "timestamp"), strict=True))
         upsert(master_view(rows, quotes, trades, indicators), out, ["ticker", "timestamp"])
 
@@ -113,7 +113,7 @@ def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: i
         rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
         upsert(rows, source, ["ticker", "timestamp"])
         first = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"))
-        stored = read_table(rows.sparkSession, source).select(*columns).join(F.broadcast(first), "ticker")  # a row per ticker
+        stored = read_table(rows.sparkSession, source).select(*columns).join(first, "ticker")
         back = F.row_number().over(Window.partitionBy("ticker").orderBy(F.col("timestamp").desc()))
         halo = stored.where("timestamp < _from").withColumn("_n", back).where(F.col("_n") <= n).drop("_n")
         scaled = normalize_minmax(stored.where("timestamp >= _from").unionByName(halo).drop("_from").select(*columns), n)
