@@ -107,7 +107,8 @@ class FactorisationMachine:
 
 
 def held_out(doc_id):
-    return F.crc32(doc_id.cast("string")) % 4 == 2
+    """Whether the label of an id is kept back from training; false for a null id."""
+    return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> FactorisationMachine:
