@@ -187,3 +187,35 @@ def test_similarity_by_sketches(spark):
     a, b = sketch_of(shingle_hashes(rows[0][1], 5)), sketch_of(shingle_hashes(rows[1][1], 5))
     link = Links(np.zeros(2, np.uint64), 0, [a, b], 0.8)
     assert link.between(np.array([0]), np.array([1]))[0, 0]
+
+
+def brute_force_components(rows, least):
+    """Per id the smallest id reachable by links of that Jaccard similarity of shingles of five words."""
+    sets = [set(shingle_hashes(t, 5).tolist()) for _, t in rows]
+    linked = np.array([[len(a & b) >= least * len(a | b) - 1e-9 for b in sets] for a in sets])
+    label = closure(linked)
+    ids = np.array([i for i, _ in rows])
+    return {i: int(ids[label == label[k]].min()) for k, (i, _) in enumerate(rows)}
+
+
+def near_copies(rng, vocabulary, n, edits, length=150):
+    """n texts and an altered copy of each, with edits(k) words of the copy replaced."""
+    rows = []
+    for k in range(n):
+        words = list(rng.choice(vocabulary, length))
+        copy = words.copy()
+        for p in np.linspace(2, length - 8, edits(k)).astype(int):
+            copy[p] = f"new{k}x{p}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    return rows
+
+
+def test_similarity_beyond_the_radius(spark):
+    rng = np.random.default_rng(11)
+    line = " ".join(f"c{i}" for i in range(12))
+    rows = near_copies(rng, [f"w{i}" for i in range(5000)], 60, lambda k: 1 + k % 3)  # 0.81 to 0.94
+    rows = [(i, t + " " + line if i % 3 else t) for i, t in rows] + [(500, ""), (501, line), (502, line + " c12")]
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(spark, rows), width=5, radius=9, trees=5, similarity=0.8).collect()}
+    assert got == brute_force_components(rows, 0.8)
+    prints = np.array([fingerprint_of(t, 5) for _, t in rows[:120]], np.int64).view(np.uint64)
+    assert (np.bitwise_count(prints[::2] ^ prints[1::2]) > 9).any()

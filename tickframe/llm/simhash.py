@@ -1,4 +1,5 @@
-"""SimHash near-dedup: exact pairs within a Hamming radius by a forest of vantage-point trees."""
+"""SimHash near-dedup: exact pairs within a Hamming radius by a forest of vantage-point trees, and the
+pairs of a Jaccard similarity that lie beyond the radius by a prefix join."""
 
 from __future__ import annotations
 
@@ -13,10 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components
-from tickframe.llm.storage import materialise
+from tickframe.llm.storage import discard, materialise
 
 SEED = 42
 BINS = 128
+#: Shingles that the order of the prefix join knows as common, and bits of the map of linked ids.
+COMMON, ID_BITS = 500_000, 1 << 22
+#: Room for the rounding of a similarity times a count.
+EPS = 1e-9
 
 
 def shingle_hashes(text: str, width: int) -> np.ndarray:
@@ -54,6 +59,20 @@ def sketch_of(hashes: np.ndarray) -> bytes:
     return values[:BINS].tobytes() + np.packbits(values[BINS:]).tobytes()
 
 
+def prefix_of(hashes: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of n distinct hashes (sorted) the first n - ceil(similarity * n) + 1 in the order of (count, hash).
+    Two sets of that Jaccard similarity share at least ceil(similarity * n) hashes of either, and so one
+    of their prefixes; this holds for any order, and rare hashes first keep the shared ones few."""
+    n = len(hashes)
+    if not n:
+        return hashes
+    seen = np.zeros(n, np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        seen = np.where(common[at] == hashes, counts[at], 0)
+    return hashes[np.lexsort((hashes, seen))[: n - math.ceil(similarity * n - EPS) + 1]]
+
+
 class Forest:
     """Vantage-point trees, one for each of `len(masks)` disjoint groups of bits.
 
@@ -163,7 +182,8 @@ def near_duplicates(
     """Every row of docs as (doc_id, fingerprint long, component_id, text_hash): rows whose fingerprints
     differ by at most `radius` bits are linked, component_id is the smallest id reachable by links.
     With a similarity, linked rows must also have that Jaccard similarity of their shingles, as their
-    min-hash sketches estimate it. text_hash is xxhash64 of the whole text.
+    min-hash sketches estimate it; pairs of that similarity beyond the radius are found by a prefix join
+    and linked by their whole sets of shingles, so that none is lost. text_hash is xxhash64 of the whole text.
 
     Rows of one fingerprint (and sketch) are merged first, so copies of any number count once. The
     forest is fitted on at most `sample_rows` fingerprints and routes every one; it is broadcast, with at
@@ -175,11 +195,13 @@ def near_duplicates(
     as read; a null id never names a component (a group of nulls alone has a null component); an
     empty table gives an empty result; other columns of docs are not looked at."""
     text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    common = docs.sparkSession.sparkContext.broadcast(_common(source, width, sample_rows // 2) if similarity is not None else None)
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             hashes = [shingle_hashes(t, width) for t in b.text]
-            yield pd.DataFrame(
+            out = pd.DataFrame(
                 {
                     "doc_id": b.doc_id.astype("Int64"),
                     "fp": np.array([majority_bits(h) for h in hashes], np.int64),
@@ -187,9 +209,14 @@ def near_duplicates(
                     "text_hash": b.text_hash,
                 }
             )
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long"), "prints")
+            if similarity is not None:
+                sets = [np.unique(h) for h in hashes]
+                out["n"] = np.array([len(h) for h in sets], np.int32)
+                out["prefix"] = [prefix_of(h, similarity, *common.value).view("<i8") for h in sets]
+            yield out
+
+    more = ", n int, prefix array<long>" if similarity is not None else ""
+    rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long" + more), "prints")
     reps = materialise(rows.groupBy("fp", "sketch").agg(F.min("doc_id").alias("rep")), "reps")
     named = reps.where("rep is not null")
     n = named.count()
@@ -204,11 +231,86 @@ def near_duplicates(
 
     routed = materialise(named.select("rep", "fp", "sketch").mapInPandas(route, "rep long, fp long, sketch binary, shard long"), "shards")
     edges = blocked(routed, "shard", "rep", 4 * shard_rows).groupBy("shard", "i", "j").applyInPandas(lambda g: _edges(g, radius, similarity), "src long, dst long")
+    if similarity is not None:
+        edges = materialise(edges, "links")
+        parts = connected_components(edges)
+        edges = edges.unionByName(_verified(_beyond(rows, parts, similarity), source, width, similarity))
     known = reps.join(connected_components(edges).withColumnRenamed("node", "rep"), "rep", "left")
     known = materialise(known.select("fp", "sketch", F.coalesce("component", "rep").alias("component_id")), "classes")
     return rows.join(known, ["fp", "sketch"], "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
 
 
+def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that occur in several of about `sample` texts, sorted, with the number of these
+    texts: at most COMMON. They only set the order of the prefixes, which holds for any counts."""
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for t in b.text:
+                yield pd.DataFrame({"h": np.unique(shingle_hashes(t, width)).view("<i8")})
+
+    every = max(1, source.count() // max(1, sample))
+    texts = source.where(F.pmod(F.xxhash64("text_hash"), F.lit(every)) == 0).dropDuplicates(["text_hash"]).select("text").limit(2 * sample)
+    counted = texts.mapInPandas(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
+    found = counted.orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
+    hashes, counts = found.h.to_numpy(np.int64).view(np.uint64), found.n.to_numpy(np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def _beyond(rows: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+    """(src, dst): pairs of ids in different components that share a hash of their prefixes and whose
+    numbers of shingles allow the similarity. A hash that a single id or component has goes before any
+    join of its rows, and inside a component no pair is made, so a group of linked copies stays linear."""
+    entries = rows.where("doc_id is not null").select(F.explode("prefix").alias("h"), "doc_id", "n").repartition("h")
+    shared = entries.groupBy("h").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("h")
+    entries = entries.join(shared, "h", "left_semi").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    entries = materialise(entries.select("h", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")).distinct(), "entries")
+    shared = entries.groupBy("h").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a < _b").select("h")
+    entries = materialise(entries.join(shared, "h", "left_semi"), "entries")
+    groups = entries.groupBy("h", "c").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    left, right = (groups.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("c", "least", "most")]) for k in "ab")
+    fits = lambda small, large: F.col(large) * F.lit(similarity) <= F.col(small) + F.lit(EPS)
+    pairs = left.join(right, "h").where(F.col("c_a") < F.col("c_b")).where(fits("least_a", "most_b") & fits("least_b", "most_a")).select("h", "c_a", "c_b")
+    for k in "ab":
+        pairs = pairs.join(entries.select("h", F.col("c").alias(f"c_{k}"), F.col("doc_id").alias(f"id_{k}"), F.col("n").alias(f"n_{k}")), ["h", f"c_{k}"])
+    return materialise(pairs.where(fits("n_a", "n_b") & fits("n_b", "n_a")).select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")).distinct(), "pairs")
+
+
+def _verified(pairs: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs of ids (written out) whose whole sets of shingles have the similarity. Sets are made for
+    the ids of pairs only: a map of ID_BITS bits keeps other texts back, and a join those that it lets by."""
+    ids = pairs.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).cast("int").alias("bit")
+    linked = np.zeros(ID_BITS, bool)
+    linked[ids.select(bit).distinct().toPandas().bit.to_numpy(np.int64)] = True
+    linked = source.sparkSession.sparkContext.broadcast(np.packbits(linked))
+
+    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = np.unpackbits(linked.value).astype(bool)
+        for b in batches:
+            b = b[held[b.bit.to_numpy(np.int64)]]
+            yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "text_hash": b.text_hash, "shingles": [np.unique(shingle_hashes(t, width)).tobytes() for t in b.text]})
+
+    def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            keep = np.array([jaccard(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) >= similarity - EPS for x, y in zip(b.a, b.b, strict=True)], bool)
+            yield b.loc[keep, ["src", "dst"]]
+
+    made = source.where("doc_id is not null").select("doc_id", "text", "text_hash", bit).mapInPandas(sets, "doc_id long, text_hash long, shingles binary")
+    made = materialise(made.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "shingles"), "sets")
+    both = pairs.join(made.select(F.col("doc_id").alias("src"), F.col("shingles").alias("a")), "src").join(made.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("b")), "dst")
+    out = materialise(both.select("src", "dst", "a", "b").mapInPandas(alike, "src long, dst long").distinct(), "links")
+    discard(made)
+    return out
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sorted sets of hashes; 1 for two empty ones."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
+
+
 def _edges(g: pd.DataFrame, radius: int, similarity: float | None) -> pd.DataFrame:
     g = g.sort_values("rep", ignore_index=True)
     rep = g.rep.to_numpy()
