@@ -215,7 +215,20 @@ def test_similarity_beyond_the_radius(spark):
     line = " ".join(f"c{i}" for i in range(12))
     rows = near_copies(rng, [f"w{i}" for i in range(5000)], 60, lambda k: 1 + k % 3)  # 0.81 to 0.94
     rows = [(i, t + " " + line if i % 3 else t) for i, t in rows] + [(500, ""), (501, line), (502, line + " c12")]
+    rows += [(700 - k, rows[k][1].upper()) for k in range(12)]
     got = {r.doc_id: r.component_id for r in near_duplicates(docs(spark, rows), width=5, radius=9, trees=5, similarity=0.8).collect()}
     assert got == brute_force_components(rows, 0.8)
     prints = np.array([fingerprint_of(t, 5) for _, t in rows[:120]], np.int64).view(np.uint64)
     assert (np.bitwise_count(prints[::2] ^ prints[1::2]) > 9).any()
+
+
+def test_similarity_is_verified(spark):
+    rng = np.random.default_rng(12)
+    rows = near_copies(rng, [f"w{i}" for i in range(5000)], 60, lambda k: 13 + k % 4, 500)  # 0.74 to 0.80
+    rows += [(900, "two words and more of them"), (901, "Two  words and more of them"), (902, "x " * 40), (903, "x " * 50)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs(spark, rows), width=5, radius=9, trees=5, similarity=0.8).collect()}
+    assert got == brute_force_components(rows, 0.8)
+    prints = np.array([fingerprint_of(t, 5) for _, t in rows], np.int64).view(np.uint64)
+    links = Links(prints, 9, [sketch_of(shingle_hashes(t, 5)) for _, t in rows], 0.8)
+    estimated = [bool(links.between(np.array([k]), np.array([k + 1]))[0, 0]) for k in range(0, 120, 2)]
+    assert any(e and got[2 * k] != got[2 * k + 1] for k, e in enumerate(estimated))

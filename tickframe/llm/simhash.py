@@ -148,9 +148,10 @@ class Links:
                 near[i[k : k + 100_000], j[k : k + 100_000]] = same >= self.similarity * either.sum(axis=1)
         return near
 
-    def roots(self) -> np.ndarray:
-        """Per row the first row of its component; itself if alone. Linear memory: blocks of
-        comparisons, then a breadth-first walk over the rows that have a link."""
+    def roots(self, direct: bool = False) -> np.ndarray:
+        """Per row the first row of its component, or if direct the row that the walk reached it from,
+        which it has a link with; itself if alone. Linear memory: blocks of comparisons, then a
+        breadth-first walk over the rows that have a link."""
         n = len(self.prints)
         every, out, some = np.arange(n), np.arange(n), np.zeros(n, bool)
         step = max(1, 2_000_000 // max(1, n))
@@ -161,8 +162,9 @@ class Links:
             root, frontier, rest = rest[0], rest[:1], rest[1:]
             while len(frontier) and len(rest):
                 now, frontier = frontier[:256], frontier[256:]
-                hit = self.between(now, rest).any(axis=0)
-                out[rest[hit]] = root
+                links = self.between(now, rest)
+                hit = links.any(axis=0)
+                out[rest[hit]] = now[links.argmax(axis=0)[hit]] if direct else root
                 frontier, rest = np.concatenate([frontier, rest[hit]]), rest[~hit]
         return out
 
@@ -181,11 +183,12 @@ def near_duplicates(
 ) -> DataFrame:
     """Every row of docs as (doc_id, fingerprint long, component_id, text_hash): rows whose fingerprints
     differ by at most `radius` bits are linked, component_id is the smallest id reachable by links.
-    With a similarity, linked rows must also have that Jaccard similarity of their shingles, as their
-    min-hash sketches estimate it; pairs of that similarity beyond the radius are found by a prefix join
-    and linked by their whole sets of shingles, so that none is lost. text_hash is xxhash64 of the whole text.
+    With a similarity, rows are linked if and only if the Jaccard similarity of their whole sets of
+    shingles (as 64-bit hashes) is at least that, whatever their fingerprints: the forest's links, less
+    those that min-hash sketches estimate as less similar, are verified and group most copies; all pairs
+    between these groups come by a prefix join and are verified too. text_hash is xxhash64 of the whole text.
 
-    Rows of one fingerprint (and sketch) are merged first, so copies of any number count once. The
+    Rows of one fingerprint (with a similarity, of one set of shingles) are merged first, so copies of any number count once. The
     forest is fitted on at most `sample_rows` fingerprints and routes every one; it is broadcast, with at
     most trees * 2**max_depth nodes of 16 bytes. A shard above 4 * shard_rows is cut into blocks and its
     pairs of blocks go to separate tasks, so a task's memory is bounded and no pair is lost. Shards
@@ -209,15 +212,18 @@ def near_duplicates(
                     "text_hash": b.text_hash,
                 }
             )
-            if similarity is not None:
+            if similarity is None:
+                out["key"] = out.fp
+            else:
                 sets = [np.unique(h) for h in hashes]
+                out["key"] = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], np.uint64).view("<i8")
                 out["n"] = np.array([len(h) for h in sets], np.int32)
                 out["prefix"] = [prefix_of(h, similarity, *common.value).view("<i8") for h in sets]
             yield out
 
     more = ", n int, prefix array<long>" if similarity is not None else ""
-    rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long" + more), "prints")
-    reps = materialise(rows.groupBy("fp", "sketch").agg(F.min("doc_id").alias("rep")), "reps")
+    rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long, key long" + more), "prints")
+    reps = materialise(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "reps")
     named = reps.where("rep is not null")
     n = named.count()
     depth = min(max_depth, max(0, math.ceil(math.log2(max(n, 1) / shard_rows))))
@@ -232,12 +238,13 @@ def near_duplicates(
     routed = materialise(named.select("rep", "fp", "sketch").mapInPandas(route, "rep long, fp long, sketch binary, shard long"), "shards")
     edges = blocked(routed, "shard", "rep", 4 * shard_rows).groupBy("shard", "i", "j").applyInPandas(lambda g: _edges(g, radius, similarity), "src long, dst long")
     if similarity is not None:
-        edges = materialise(edges, "links")
-        parts = connected_components(edges)
-        edges = edges.unionByName(_verified(_beyond(rows, parts, similarity), source, width, similarity))
+        edges = materialise(edges.distinct(), "links")
+        discard(routed)
+        edges = _verified(edges, source, width, similarity)
+        edges = edges.unionByName(_verified(_beyond(rows, named, connected_components(edges), similarity), source, width, similarity))
     known = reps.join(connected_components(edges).withColumnRenamed("node", "rep"), "rep", "left")
-    known = materialise(known.select("fp", "sketch", F.coalesce("component", "rep").alias("component_id")), "classes")
-    return rows.join(known, ["fp", "sketch"], "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
+    known = materialise(known.select("key", F.coalesce("component", "rep").alias("component_id")), "classes")
+    return rows.join(known, "key", "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
 
 
 def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -258,13 +265,13 @@ def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.
     return hashes[order], counts[order]
 
 
-def _beyond(rows: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+def _beyond(rows: DataFrame, named: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
     """(src, dst): pairs of ids in different components that share a hash of their prefixes and whose
-    numbers of shingles allow the similarity. A hash that a single id or component has goes before any
+    numbers of shingles allow the similarity. A hash that a single set or component has goes before any
     join of its rows, and inside a component no pair is made, so a group of linked copies stays linear."""
-    entries = rows.where("doc_id is not null").select(F.explode("prefix").alias("h"), "doc_id", "n").repartition("h")
-    shared = entries.groupBy("h").agg(F.min("doc_id").alias("_a"), F.max("doc_id").alias("_b")).where("_a < _b").select("h")
-    entries = entries.join(shared, "h", "left_semi").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    entries = rows.where("doc_id is not null").select(F.explode("prefix").alias("h"), "key", "n").repartition("h")
+    shared = entries.groupBy("h").agg(F.min("key").alias("_a"), F.max("key").alias("_b")).where("_a < _b").select("h")
+    entries = entries.join(shared, "h", "left_semi").join(named.select("key", F.col("rep").alias("doc_id")), "key").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     entries = materialise(entries.select("h", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")).distinct(), "entries")
     shared = entries.groupBy("h").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a < _b").select("h")
     entries = materialise(entries.join(shared, "h", "left_semi"), "entries")
@@ -278,31 +285,28 @@ def _beyond(rows: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs of ids (written out) whose whole sets of shingles have the similarity. Sets are made for
-    the ids of pairs only: a map of ID_BITS bits keeps other texts back, and a join those that it lets by."""
+    """The pairs of ids (written out) whose whole sets of shingles have the similarity. Texts travel
+    for the ids of pairs only: a map of ID_BITS bits keeps others back, and the join those that it lets by."""
     ids = pairs.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
     bit = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).cast("int").alias("bit")
     linked = np.zeros(ID_BITS, bool)
     linked[ids.select(bit).distinct().toPandas().bit.to_numpy(np.int64)] = True
     linked = source.sparkSession.sparkContext.broadcast(np.packbits(linked))
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.unpackbits(linked.value).astype(bool)
         for b in batches:
-            b = b[held[b.bit.to_numpy(np.int64)]]
-            yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "text_hash": b.text_hash, "shingles": [np.unique(shingle_hashes(t, width)).tobytes() for t in b.text]})
+            yield b.loc[held[b.bit.to_numpy(np.int64)], ["doc_id", "text", "text_hash"]]
 
     def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keep = np.array([jaccard(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) >= similarity - EPS for x, y in zip(b.a, b.b, strict=True)], bool)
+            keep = np.array([jaccard(np.unique(shingle_hashes(x, width)), np.unique(shingle_hashes(y, width))) >= similarity - EPS for x, y in zip(b.a, b.b, strict=True)], bool)
             yield b.loc[keep, ["src", "dst"]]
 
-    made = source.where("doc_id is not null").select("doc_id", "text", "text_hash", bit).mapInPandas(sets, "doc_id long, text_hash long, shingles binary")
-    made = materialise(made.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "shingles"), "sets")
-    both = pairs.join(made.select(F.col("doc_id").alias("src"), F.col("shingles").alias("a")), "src").join(made.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("b")), "dst")
-    out = materialise(both.select("src", "dst", "a", "b").mapInPandas(alike, "src long, dst long").distinct(), "links")
-    discard(made)
-    return out
+    texts = source.where("doc_id is not null").select("doc_id", "text", "text_hash", bit).mapInPandas(named, "doc_id long, text string, text_hash long")
+    texts = texts.repartition("doc_id").dropDuplicates(["doc_id", "text_hash"])
+    both = pairs.join(texts.select(F.col("doc_id").alias("src"), F.col("text").alias("a")), "src").join(texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("b")), "dst")
+    return materialise(both.select("src", "dst", "a", "b").mapInPandas(alike, "src long, dst long").distinct(), "links")
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -314,7 +318,7 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 def _edges(g: pd.DataFrame, radius: int, similarity: float | None) -> pd.DataFrame:
     g = g.sort_values("rep", ignore_index=True)
     rep = g.rep.to_numpy()
-    root = Links(g.fp.to_numpy(np.int64).view(np.uint64), radius, list(g.sketch), similarity).roots()
+    root = Links(g.fp.to_numpy(np.int64).view(np.uint64), radius, list(g.sketch), similarity).roots(direct=similarity is not None)
     own = root != np.arange(len(root))
     return pd.DataFrame({"src": rep[own], "dst": rep[root[own]]})
 
