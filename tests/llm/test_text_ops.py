@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickframe.llm import bloom_lm, packing, pieces, quality, secret_scan, token_rollup, url_rules
+from tickframe.llm.bpe import Encoder
 
 DOCS = "doc_id long, text string, source string, lang string, row int, t string, score double, n int"
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -159,12 +160,72 @@ def test_packing(spark, capacity):
     assert packing.pack(docs(spark, []), BPE).count() == 0
 
 
-def test_plan_is_close_to_the_bound():
+def test_ids_equal_the_library():
+    own, coded = Tokenizer.from_file(BPE), Encoder(BPE)
+    end, rng = "<|endoftext|>", np.random.default_rng(6)
+    texts = [f"a {end} b", end, end * 2, f"the cat{end} sat", f"a{end[:-1]}", " " * 10**6, "\n" * 10**6, "\t" * 10**6 + "x", " " * 1500 + "'s", "\u3000" * 1200 + "b", "\x1c" * 1500 + "b", f"a{' ' * 1200}{end}{' ' * 1300}b"]
+    texts += [f"a{' ' * n}b" for n in (999, 1000, 1001)] + [f"a{' ' * 999}\n{x}" for x in ("", "b", " b", "1")]
+    parts = [" ", "\n", "\t", "a", "\u00e9", "1", "!", "'s", "\xa0", "\u2003", end, " " * 1000, "\n " * 600]
+    texts += ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(60)]
+    for t in texts:
+        assert coded.ids(t).tolist() == own.encode(t, add_special_tokens=False).ids, (t[:50], len(t))
+    own.encode_special_tokens = True
+    for t in texts[:5]:
+        assert Encoder(BPE, special_as_text=True).ids(t).tolist() == own.encode(t, add_special_tokens=False).ids
+
+
+def placed(spark, sizes, capacity):
+    units = spark.createDataFrame([(i, int(n)) for i, n in enumerate(sizes)], "id long, size long")
+    rows = packing.place(units, capacity).collect()
+    assert sorted(r.id for r in rows) == list(range(len(sizes)))
+    by: dict[int, list] = {}
+    for r in rows:
+        by.setdefault(r.sequence_id, []).append((r.offset, int(sizes[r.id])))
+    for s in by.values():
+        at = 0
+        for offset, n in sorted(s):
+            assert offset == at
+            at += n
+        assert at <= capacity
+    return len(by)
+
+
+def test_places_are_close_to_the_bound(spark, monkeypatch):
     rng = np.random.default_rng(2)
-    counts = Counter(int(x) for x in np.clip(rng.lognormal(5, 1.2, 20_000), 1, 2048))
-    placed, n = packing.plan(dict(counts), 2048)
-    assert sum(c for _, _, c, _, _ in placed) == 20_000
-    assert n <= math.ceil(sum(k * c for k, c in counts.items()) / 2048) * 1.01 + 1
+    sizes = np.clip(rng.lognormal(5, 1.2, 3000), 1, 2048).astype(int)
+    assert placed(spark, sizes, 2048) <= math.ceil(sizes.sum() / 2048) * 1.02 + 1
+    monkeypatch.setattr(packing, "SALT_ROWS", 7)  # salts
+    assert placed(spark, rng.integers(1, 9, 300), 8) <= 300
+    assert placed(spark, [3] * 50, 8) == 25 and placed(spark, [8] * 5, 8) == 5 and placed(spark, [5] * 5, 8) == 5 and placed(spark, [], 8) == 0
+
+
+def best_fit_sweep(rows):
+    """Brute force: upwards through the gaps, each takes the longest unit that fits and isn't taken."""
+    units, pairs = sorted((n, i) for k, n, i in rows if k == packing.ITEM), []
+    for room, gap in sorted((n, i) for k, n, i in rows if k == packing.GAP):
+        fit = [u for u in units if u[0] <= room]
+        if fit:
+            units.remove(fit[-1])
+            pairs.append((fit[-1][0], room))
+    return sorted(pairs)
+
+
+def test_sweep_matches_brute_force(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    for salt_rows in (1000, 3):
+        monkeypatch.setattr(packing, "SALT_ROWS", salt_rows)
+        rows = [(int(rng.integers(0, 2)), int(rng.integers(1, 12)), i) for i in range(120)]
+        open_ = spark.createDataFrame(rows, "kind int, size long, id long").withColumn("slot", F.lit(0).cast("long")).withColumn("room", F.col("size"))
+        got = packing._sweep(open_, packing._totals(open_)).collect()
+        mates = {r.id: r.mate for r in got}
+        assert all(r.mate is None or mates[r.mate] == r.id for r in got) and len(got) == len(rows)
+        assert sorted((r.size, r.other) for r in got if r.kind == packing.ITEM and r.mate is not None) == best_fit_sweep(rows)
+
+
+def test_short_documents(spark):
+    texts = ["a"] * 900 + ["a b c"] * 50 + [None] * 400
+    rows = packing.pack(docs(spark, texts), BPE, capacity=128).collect()
+    assert check_packed(rows, texts, 128) <= math.ceil(sum(r.length for r in rows) / 128) + 1
 
 
 URLS = [

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 import json
+import re
 
 import numpy as np
 import tiktoken
 
 #: The pre-token pattern that belongs to the vocabulary (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Unicode white space, as \s of the pattern above means it; Python's own \s has four more characters.
+_WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Runs of white space from this length on are pre-tokens made here, as the pattern's engine keeps a
+#: place to go back to for each of their characters.
+LONG_RUN = 1000
+_LONG = re.compile(f"[{_WHITE}]{{{LONG_RUN},}}")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -21,16 +28,39 @@ def _byte_letters() -> dict[str, int]:
 
 class Encoder:
     """ids of texts by a vocabulary file in JSON, equal to those of that file's own library with
-    add_special_tokens=False; strings of special tokens are ordinary text. The library that does the
-    merges here is several times faster on the same vocabulary."""
+    add_special_tokens=False, whose merges take several times as long.
 
-    def __init__(self, path: str):
+    The strings of the file's added tokens become these tokens where a text holds them, as that
+    library's default has it; with special_as_text they are ordinary text."""
+
+    def __init__(self, path: str, special_as_text: bool = False):
         with open(path, encoding="utf-8") as f:
             model = json.load(f)
-        special = {x["content"] for x in model.get("added_tokens", ())}
+        added = {x["content"]: x["id"] for x in model.get("added_tokens", ())}
         letters = _byte_letters()
-        ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
+        ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in added}
         self._bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._added = {} if special_as_text else added
+        self._split = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
 
     def ids(self, text: str) -> np.ndarray:
-        return self._bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        if self._split is None or not (cuts := list(self._split.finditer(text))):
+            return self._plain(text)
+        parts, at = [], 0
+        for m in cuts:
+            parts += [self._plain(text[at : m.start()]), np.array([self._added[m[0]]], "<u4")]
+            at = m.end()
+        return np.concatenate([*parts, self._plain(text[at:])])
+
+    def _plain(self, text: str) -> np.ndarray:
+        """A stretch without added tokens. A long run of white space is one pre-token, but for its last
+        character where something follows, which belongs to what follows."""
+        if len(text) < LONG_RUN or not (runs := list(_LONG.finditer(text))):
+            return self._bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        parts, at = [], 0
+        for m in runs:
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            parts.append(self._bpe.encode_to_numpy(text[at : m.start()], disallowed_special=()))
+            parts.append(np.array(self._bpe._encode_single_piece(text[m.start() : end]), np.uint32))
+            at = end
+        return np.concatenate([*parts, self._bpe.encode_to_numpy(text[at:], disallowed_special=())]).astype("<u4", copy=False)
