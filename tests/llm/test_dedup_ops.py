@@ -81,6 +81,24 @@ def test_embeddings_recall_and_precision(spark, monkeypatch, shard_rows, most):
     assert hamming.near_duplicates(frame.where("false")).count() == 0
 
 
+def test_embeddings_of_null_and_repeated_ids(spark):
+    def at(*degrees):
+        return [float(np.cos(np.radians(degrees[0]))), float(np.sin(np.radians(degrees[0]))), *[0.0] * 6]
+
+    rows = [(1, at(0), "a"), (2, at(40), "a"), (None, at(20), "a"), (10, at(90), "a"), (10, at(180), "a"), (11, at(185), "a"), (3, at(0), "b"), (1, at(270), "b"), (1, at(90), "b"), (None, at(90), "b"),
+            (None, at(0), "c"), (None, at(5), "c"), (None, at(90), "c"), (1, at(300), "a")]
+    got = hamming.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")).collect()
+    unit = np.array([v for _, v, _ in rows])
+    linked = ((unit @ unit.T) >= 0.93) & (np.array([r[2] for r in rows])[:, None] == np.array([r[2] for r in rows])[None])
+    np.fill_diagonal(linked, False)
+    label = closure(linked)
+    want = []
+    for k, (i, _, _) in enumerate(rows):
+        ids = [rows[j][0] for j in np.flatnonzero(label == label[k]) if rows[j][0] is not None]
+        want.append((i, int(linked[k].sum()), min(ids, default=None), i is not None and i == min(ids, default=None)))
+    assert sorted(map(repr, want)) == sorted(repr((r.vec_id, r.n_links, r.component_id, r.kept)) for r in got)
+
+
 def normal(t):
     return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
 
@@ -155,14 +173,17 @@ def test_forest_keeps_every_pair_together(radius, trees):
     assert all(homes[i] & homes[i + 400] for i in range(400))
 
 
-@pytest.mark.parametrize("shard_rows", [4096, 16, 4])
-def test_near_duplicates(spark, shard_rows):
+@pytest.mark.parametrize(("shard_rows", "leaf"), [(4096, 256), (4096, 4), (16, 8), (4, 256)])
+def test_near_duplicates(spark, shard_rows, leaf):
     rng = np.random.default_rng(3)
     vocabulary = [f"w{i}" for i in range(60)]
     texts = [" ".join(rng.choice(vocabulary, 120)) for _ in range(40)]
     texts += [t + " tail" for t in texts[:12]] + [" ".join(t.split()[1:]) for t in texts[:8]] + texts[:5] + ["", None, " ", "one", "ONE", "a b c d"]
-    rows = [(1000 - i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (1000, texts[0])]
-    got = near_duplicates(docs(spark, rows), shard_rows=shard_rows).collect()
+    rows = [(1000 - i, t) for i, t in enumerate(texts)] + [(None, texts[0]), (1000, texts[0]), (1000, texts[20]), (951, texts[21] + " more"), (None, " ".join(rng.choice(vocabulary, 120)))]
+    prints = [fingerprint_of(t or "", 4) % 2**64 for _, t in rows]
+    edge = [k for k in range(12) if prints[k] != prints[40 + k]]
+    rows = [(None if k in edge[:4] else i, t) for k, (i, t) in enumerate(rows)]  # nulls beside others, and between some
+    got = near_duplicates(docs(spark, rows), shard_rows=shard_rows, leaf_rows=leaf).collect()
     prints = np.array([fingerprint_of(t or "", 4) for _, t in rows], np.int64).view(np.uint64)
     linked = np.bitwise_count(prints[:, None] ^ prints[None]) <= 4
     label = closure(linked)
@@ -174,6 +195,34 @@ def test_near_duplicates(spark, shard_rows):
     assert near_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize(("radius", "trees"), [(4, 3), (9, 5)])
+def test_leaves_keep_every_pair_together(radius, trees):
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 2**63, 40, dtype=np.uint64)[rng.integers(0, 40, 700)] ^ (np.uint64(1) << rng.integers(0, 64, 700).astype(np.uint64))
+    forest = Forest(np.zeros(0, np.uint64), radius, trees, 0)
+    for tree, mask in enumerate(forest.masks):
+        together = np.zeros((700, 700), bool)
+        parts = list(forest.leaves(base, tree, most=50))
+        assert len(parts) > 1
+        for own in parts:
+            together[np.ix_(own, own)] = True
+        near = np.bitwise_count((base[:, None] ^ base[None]) & mask) <= radius // trees
+        assert together[near].all()
+
+
+def test_a_bridge_without_id(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(400)]
+    text = list(rng.choice(words, 300))
+    middle = [*text[:-20], *rng.choice(words, 20)]
+    rows = [(9, " ".join(text)), (None, " ".join(middle)), (4, " ".join([*rng.choice(words, 20), *middle[20:]])), (4, "another text of id four"), (None, "alone")]
+    got = near_duplicates(docs(spark, rows), width=5, radius=9, trees=5, similarity=0.8).collect()
+    sets = [set(shingle_hashes(t, 5).tolist()) for _, t in rows]
+    linked = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets])
+    assert linked[0, 1] and linked[1, 2] and not linked[0, 2]
+    assert sorted(repr((r.doc_id, r.component_id)) for r in got) == sorted(map(repr, [(9, 4), (None, 4), (4, 4), (4, 4), (None, None)]))
+
+
 def test_similarity_by_sketches(spark):
     rng = np.random.default_rng(4)
     words = [f"w{i}" for i in range(2000)]

@@ -46,3 +46,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def smallest_of_component(classes: DataFrame, components: DataFrame, node: str, name: str) -> DataFrame:
+    """classes(node, name, ...) with component_id, the smallest name of all classes of the node's
+    component (its own name if the node is in none; null where no class of it has a name).
+
+    Names may be null or repeated, nodes are unique. The smallest is found by a partial aggregate and
+    goes back by a join with a plain exchange on both sides, so that a great component can be split."""
+    d = classes.join(components.withColumnRenamed("node", node), node, "left").withColumn("_part", F.coalesce("component", node)).drop("component")
+    d = materialise(d, "classes")
+    smallest = materialise(d.groupBy("_part").agg(F.min(name).alias("component_id")), "names")
+    return d.join(smallest, "_part").drop("_part")

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.components import connected_components
+from tickframe.llm.components import connected_components, smallest_of_component
 from tickframe.llm.simhash import blocked
 from tickframe.llm.storage import materialise
 
@@ -82,18 +82,19 @@ def _pairs(keys: np.ndarray, near: np.ndarray, most: int = 400_000) -> Iterator[
 
 
 def _search(g: pd.DataFrame, least: float, floats: str) -> pd.DataFrame:
-    """One shard of one table: (rep, links, root), the weight of a row's partners found here and the
-    smallest row that its links here lead to. A pair is counted in one place only: in the first table
-    that finds it, there in the lowest prefix that has both, and of a shard in blocks in one task."""
-    g = g.sort_values("rep", ignore_index=True)
+    """One shard of one table: (node, links, root), the weight of a class's partners found here and the
+    smallest class that its links here lead to. Vectors of unequal dimensions never meet."""
+    return pd.concat([_search_even(own, least, floats) for _, own in g.groupby("dim")])
+
+
+def _search_even(g: pd.DataFrame, least: float, floats: str) -> pd.DataFrame:
+    """_search of vectors of one dimension. A pair is counted in one place only: in the first table that
+    finds it, there in the lowest prefix that has both, and of a shard in blocks in one task."""
+    g = g.sort_values("node", ignore_index=True)
     table, i, j, blocks = (int(g[c].iloc[0]) for c in ("t", "i", "j", "blocks"))
-    codes, rep, copies, block, shard = g.code.to_numpy(np.int64).view(np.uint64), g.rep.to_numpy(), g.copies.to_numpy(np.int64), g.block.to_numpy(), g.prefix.to_numpy(np.int64)
-    group, dims = pd.factorize(g.label.astype(str) + "|" + g.dim.astype(str))[0].astype(np.int64), g.dim.to_numpy()
-    vectors = np.zeros((len(g), int(dims.max())))  # shorter ones are filled up with zeros: the same cosine
-    for d in np.unique(dims):
-        own = np.flatnonzero(dims == d)
-        vectors[own, :d] = np.frombuffer(b"".join(g.vector.iloc[own]), floats).reshape(-1, d)
-    vectors = _unit(vectors)
+    codes, node, copies, block, shard = g.code.to_numpy(np.int64).view(np.uint64), g.node.to_numpy(), g.copies.to_numpy(np.int64), g.block.to_numpy(), g.prefix.to_numpy(np.int64)
+    group = pd.factorize(g.label)[0].astype(np.int64)
+    vectors = _unit(np.frombuffer(b"".join(g.vector), floats).reshape(len(g), -1).astype(float))
     substring, shift = _part(codes, table), WIDTH - g.depth.to_numpy(np.int64)
     links, parent = np.zeros(len(g), np.int64), np.arange(len(g))
     for a, b in _pairs((group << WIDTH) | substring, _patterns()):
@@ -107,7 +108,7 @@ def _search(g: pd.DataFrame, least: float, floats: str) -> pd.DataFrame:
         links += np.bincount(a, copies[b], len(g)).astype(np.int64) + np.bincount(b, copies[a], len(g)).astype(np.int64)
         parent = _joined(parent, a, b)
     some = links > 0
-    return pd.DataFrame({"rep": rep[some], "links": links[some], "root": rep[parent][some]})
+    return pd.DataFrame({"node": node[some], "links": links[some], "root": node[parent][some]})
 
 
 def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -137,26 +138,31 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
     """Every row of embeddings as (vec_id, n_links, component_id, kept): rows of equal labels (not
     null) and dimensions are linked at a cosine of at least `least`, computed in double precision.
 
-    Equal vectors of a label are merged first. Codes are learnt on at most `sample_rows` vectors for
+    Equal vectors of a label are merged first, into classes with numbers of their own: ids only come
+    back in with the answer. Codes are learnt on at most `sample_rows` vectors for
     all; every vector is indexed in TABLES tables by a part of its code, and a pair is retrieved by
     any part that differs in at most REACH bits: at a cosine of 0.93 the expected recall is 0.99, and
     higher above (the tests measure it against brute force). All retrieved pairs are reranked by the original
     vectors, so no link is wrong. A label of more than SHARD_ROWS vectors is sharded by the leading
     bits of the part, each vector also being sent to the prefixes one bit away; what is still too large
-    (close vectors in great number) goes to tasks by pairs of blocks. Tasks return a row per vector.
+    (close vectors in great number) goes to tasks by pairs of blocks. Tasks return a row per vector. The
+    quantisers that are broadcast hold 64 planes for each dimension in the sample, so their size is
+    bounded by 65 times that of the sample.
 
     Vectors that are null, empty, all zero or hold null or non-finite components, and null labels,
-    link with nothing: 0, their own id, kept. Repeated rows count as vectors of their own. A row with a
-    null id links but names no component; an empty table gives an empty result; other columns aren't
-    looked at."""
+    link with nothing: 0, their own id, kept. Repeated rows count as vectors of their own, and so do
+    rows of one id with different vectors or labels. A row with a null id links like others and is
+    counted, but names no component: one of such rows alone has a null component_id. An empty table
+    gives an empty result; other columns aren't looked at."""
     spark = embeddings.sparkSession
     floats = "<f8" if dict(embeddings.dtypes)[vector_col] == "array<double>" else "<f4"
     kind = "array<double>" if floats == "<f8" else "array<float>"
     rows = embeddings.select(F.col(id_col).cast("long").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast(kind).alias("vector"))
     good = "label is not null and vector is not null and forall(vector, x -> x is not null and not isnan(x) and abs(x) < double('Infinity')) and exists(vector, x -> x <> 0)"
     rows = materialise(rows.withColumn("good", F.expr(f"coalesce({good}, false)")), "vectors")
-    reps = materialise(rows.where("good").groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "distinct")
-    named = reps.where("rep is not null").withColumn("dim", F.size("vector"))
+    reps = rows.where("good").groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+    reps = materialise(reps.withColumn("node", F.monotonically_increasing_id()), "distinct")  # numbers are fixed once written
+    named = reps.withColumn("dim", F.size("vector")).drop("rep")
     sample = named.select("dim", "vector").orderBy(F.xxhash64("label", "vector")).limit(sample_rows).toPandas()
     made: dict[int, Quantiser] = {int(d): Quantiser(_unit(np.stack(list(x)).astype(float)), int(d)) for d, x in sample.groupby("dim").vector}
     quantisers = spark.sparkContext.broadcast(made)
@@ -169,7 +175,7 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
                 codes[own] = model.codes(_unit(np.stack(list(b.vector.iloc[own])).astype(float)))
             yield b.assign(code=codes.view(np.int64), vector=[np.asarray(v).astype(floats).tobytes() for v in b.vector])
 
-    coded = materialise(named.mapInPandas(encode, "label string, vector binary, rep long, copies long, dim int, code long"), "codes")
+    coded = materialise(named.mapInPandas(encode, "label string, vector binary, copies long, node long, dim int, code long"), "codes")
     total = coded.count()
     sizes = coded.groupBy("label").agg(F.count("*").alias("n"))
     depth = F.greatest(F.lit(0), F.least(F.lit(WIDTH), F.ceil(F.log2(F.col("n") / SHARD_ROWS)))).cast("int")
@@ -180,14 +186,11 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
     small = F.pmod(F.xxhash64("label"), F.lit(max(1, math.ceil(total / SHARD_ROWS))))
     shard = F.when(F.col("depth") == 0, F.xxhash64(small)).otherwise(F.xxhash64("label", "prefix"))
     tables = tables.withColumn("shard", shard.bitwiseAND(F.lit(-TABLES)).bitwiseOR(F.col("t").cast("long")))
-    found = blocked(tables, "shard", "rep", 4 * SHARD_ROWS).groupBy("shard", "i", "j").applyInPandas(lambda g: _search(g, least, floats), "rep long, links long, root long")
+    found = blocked(tables, "shard", "node", 4 * SHARD_ROWS).groupBy("shard", "i", "j").applyInPandas(lambda g: _search(g, least, floats), "node long, links long, root long")
     found = materialise(found, "links")
-    known = (
-        reps.join(found.groupBy("rep").agg(F.sum("links").alias("links")), "rep", "left")
-        .join(connected_components(found.select(F.col("rep").alias("src"), F.col("root").alias("dst"))).withColumnRenamed("node", "rep"), "rep", "left")
-        .select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
-    )
-    known = materialise(known, "classes")
+    known = reps.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
+    known = smallest_of_component(known, connected_components(found.select(F.col("node").alias("src"), F.col("root").alias("dst"))), "node", "rep")
+    known = materialise(known.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "classes")
     linked = rows.where("good").join(known, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not good").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))

@@ -13,13 +13,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.components import connected_components
+from tickframe.llm.components import connected_components, smallest_of_component
 from tickframe.llm.storage import discard, materialise
 
 SEED = 42
 BINS = 128
-#: Shingles that the order of the prefix join knows as common, and bits of the map of linked ids.
-COMMON, ID_BITS = 500_000, 1 << 22
+#: Shingles that the order of the prefix join knows as common, texts that it learns them from, and bits of the map of linked texts.
+COMMON, COMMON_TEXTS, ID_BITS = 500_000, 8192, 1 << 22
+LEAF = 256
 #: Room for the rounding of a similarity times a count.
 EPS = 1e-9
 
@@ -96,22 +97,44 @@ class Forest:
         width = int(np.bitwise_count(mask))
         for k in range(size):
             own = subsets.pop(k)
-            best = None
-            for _ in range(6):  # of a few vantage points, the one that splits best
-                p = own[rng.integers(len(own))] if len(own) else rng.integers(0, 2**63, dtype=np.uint64) & mask
-                held = np.bincount(np.bitwise_count(own ^ p).astype(np.int64), minlength=width + self.reach + 2)
-                upto = np.cumsum(held)
-                inside, outside = upto[self.reach : width + self.reach + 1], len(own) - upto[: width + 1]
-                cost = np.maximum(inside, outside) + 0.25 * (inside + outside)
-                mu = int(np.argmin(cost)) if len(own) else width // 2
-                if best is None or cost[mu] < best[0]:
-                    best = (cost[mu], p, mu)
+            best = self._split(own, width, rng) if len(own) else (0.0, rng.integers(0, 2**63, dtype=np.uint64) & mask, width // 2)
             points[k], bounds[k] = best[1], best[2]
             if 2 * k + 2 < size:
                 d = np.bitwise_count(own ^ best[1]).astype(np.int64)
                 subsets[2 * k + 1], subsets[2 * k + 2] = own[d <= best[2] + self.reach], own[d > best[2]]
         return points, bounds
 
+    def leaves(self, prints: np.ndarray, tree: int, most: int = LEAF, seed: int = 1) -> Iterator[np.ndarray]:
+        """Row numbers by leaf: a shard of a tree is split on as its nodes are, by vantage points of its
+        own, while that saves comparisons. Two points within the search radius share a leaf."""
+        rng, mask = np.random.default_rng(seed), self.masks[tree]
+        points, width = prints & mask, int(np.bitwise_count(mask))
+        stack = [np.arange(len(prints))]
+        while stack:
+            own = stack.pop()
+            if len(own) > most:
+                cost, p, mu = self._split(points[own[rng.integers(len(own), size=1024)]], width, rng)
+                d = np.bitwise_count(points[own] ^ p).astype(np.int64)
+                inside, outside = own[d <= mu + self.reach], own[d > mu]
+                if len(inside) ** 2 + len(outside) ** 2 < 0.9 * len(own) ** 2:
+                    stack += [inside, outside]
+                    continue
+            yield own
+
+    def _split(self, own: np.ndarray, width: int, rng) -> tuple[float, np.uint64, int]:
+        """Of a few vantage points the one that splits best: (cost, point, bound)."""
+        best = None
+        for _ in range(6):
+            p = own[rng.integers(len(own))]
+            held = np.bincount(np.bitwise_count(own ^ p).astype(np.int64), minlength=width + self.reach + 2)
+            upto = np.cumsum(held)
+            inside, outside = upto[self.reach : width + self.reach + 1], len(own) - upto[: width + 1]
+            cost = np.maximum(inside, outside) + 0.25 * (inside + outside)
+            mu = int(np.argmin(cost))
+            if best is None or cost[mu] < best[0]:
+                best = (cost[mu], p, mu)
+        return best
+
     def shards(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and the shards that they belong to; a row may belong to several."""
         rows, shards = [], []
@@ -177,9 +200,10 @@ def near_duplicates(
     radius: int = 4,
     trees: int = 3,
     similarity: float | None = None,
-    shard_rows: int = 4096,
-    max_depth: int = 16,
-    sample_rows: int = 16384,
+    shard_rows: int = 8192,
+    max_depth: int = 18,
+    sample_rows: int = 1 << 18,
+    leaf_rows: int = LEAF,
 ) -> DataFrame:
     """Every row of docs as (doc_id, fingerprint long, component_id, text_hash): rows whose fingerprints
     differ by at most `radius` bits are linked, component_id is the smallest id reachable by links.
@@ -188,18 +212,22 @@ def near_duplicates(
     those that min-hash sketches estimate as less similar, are verified and group most copies; all pairs
     between these groups come by a prefix join and are verified too. text_hash is xxhash64 of the whole text.
 
-    Rows of one fingerprint (with a similarity, of one set of shingles) are merged first, so copies of any number count once. The
-    forest is fitted on at most `sample_rows` fingerprints and routes every one; it is broadcast, with at
-    most trees * 2**max_depth nodes of 16 bytes. A shard above 4 * shard_rows is cut into blocks and its
-    pairs of blocks go to separate tasks, so a task's memory is bounded and no pair is lost. Shards
-    return one edge per linked row, never the pairs.
+    Rows of one fingerprint (with a similarity, of one set of shingles) are merged first, so copies of
+    any number count once; such a class goes by its fingerprint (or its set's hash), and ids only come
+    back in with the answer. The forest is fitted on at most `sample_rows` fingerprints and routes every
+    one; its depth follows the number of different ones, and it is broadcast with at most
+    trees * 2**max_depth nodes of 16 bytes. Within its task a shard is split on by vantage points of its
+    own down to leaves of leaf_rows, within which all pairs are compared. A shard above 4 * shard_rows is cut into blocks and its pairs of blocks go to
+    separate tasks, so a task's memory is bounded and no pair is lost. Shards return one edge per
+    linked row, never the pairs.
 
     Null or blank texts have fingerprint zero and link like others; repeated rows come back as often
-    as read; a null id never names a component (a group of nulls alone has a null component); an
-    empty table gives an empty result; other columns of docs are not looked at."""
+    as read, and rows of one id with different texts are documents of their own; a null id links but
+    never names a component (a group of nulls alone has a null component); an empty table gives an
+    empty result; other columns of docs are not looked at."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    common = docs.sparkSession.sparkContext.broadcast(_common(source, width, sample_rows // 2) if similarity is not None else None)
+    common = docs.sparkSession.sparkContext.broadcast(_common(source, width, COMMON_TEXTS) if similarity is not None else None)
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -223,28 +251,27 @@ def near_duplicates(
 
     more = ", n int, prefix array<long>" if similarity is not None else ""
     rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long, key long" + more), "prints")
-    reps = materialise(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch")), "reps")
-    named = reps.where("rep is not null")
+    named = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("text_hash").alias("text_hash"))
+    named = materialise(named, "classes")
     n = named.count()
     depth = min(max_depth, max(0, math.ceil(math.log2(max(n, 1) / shard_rows))))
     sample = named.select("fp").orderBy(F.xxhash64("fp")).limit(sample_rows).toPandas().fp.to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
-    forest = docs.sparkSession.sparkContext.broadcast(Forest(sample, radius, trees if depth else 1, depth))
+    forest = docs.sparkSession.sparkContext.broadcast(Forest(sample, radius, trees, depth))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             row, shard = forest.value.shards(b.fp.to_numpy(np.int64).view(np.uint64))
             yield b.iloc[row].assign(shard=shard)
 
-    routed = materialise(named.select("rep", "fp", "sketch").mapInPandas(route, "rep long, fp long, sketch binary, shard long"), "shards")
-    edges = blocked(routed, "shard", "rep", 4 * shard_rows).groupBy("shard", "i", "j").applyInPandas(lambda g: _edges(g, radius, similarity), "src long, dst long")
+    routed = materialise(named.select("key", "fp", "sketch").mapInPandas(route, "key long, fp long, sketch binary, shard long"), "shards")
+    edges = blocked(routed, "shard", "key", 4 * shard_rows).groupBy("shard", "i", "j").applyInPandas(lambda g: _edges(g, forest.value, radius, similarity, leaf_rows), "src long, dst long")
+    edges = materialise(edges.distinct(), "links")
+    discard(routed)
     if similarity is not None:
-        edges = materialise(edges.distinct(), "links")
-        discard(routed)
-        edges = _verified(edges, source, width, similarity)
-        edges = edges.unionByName(_verified(_beyond(rows, named, connected_components(edges), similarity), source, width, similarity))
-    known = reps.join(connected_components(edges).withColumnRenamed("node", "rep"), "rep", "left")
-    known = materialise(known.select("key", F.coalesce("component", "rep").alias("component_id")), "classes")
-    return rows.join(known, "key", "left").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
+        edges = _verified(edges, named, source, width, similarity)
+        edges = edges.unionByName(_verified(_beyond(rows, connected_components(edges), similarity), named, source, width, similarity))
+    known = smallest_of_component(named.select("key", "rep"), connected_components(edges), "key", "rep")
+    return rows.join(materialise(known.select("key", "component_id"), "known"), "key").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
 
 
 def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -265,14 +292,14 @@ def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.
     return hashes[order], counts[order]
 
 
-def _beyond(rows: DataFrame, named: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
-    """(src, dst): pairs of ids in different components that share a hash of their prefixes and whose
+def _beyond(rows: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
+    """(src, dst): pairs of classes in different components that share a hash of their prefixes and whose
     numbers of shingles allow the similarity. A hash that a single set or component has goes before any
     join of its rows, and inside a component no pair is made, so a group of linked copies stays linear."""
-    entries = rows.where("doc_id is not null").select(F.explode("prefix").alias("h"), "key", "n").repartition("h")
+    entries = rows.select(F.explode("prefix").alias("h"), "key", "n").repartition("h")
     shared = entries.groupBy("h").agg(F.min("key").alias("_a"), F.max("key").alias("_b")).where("_a < _b").select("h")
-    entries = entries.join(shared, "h", "left_semi").join(named.select("key", F.col("rep").alias("doc_id")), "key").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    entries = materialise(entries.select("h", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")).distinct(), "entries")
+    entries = entries.join(shared, "h", "left_semi").join(parts.withColumnRenamed("node", "key"), "key", "left")
+    entries = materialise(entries.select("h", "key", "n", F.coalesce("component", "key").alias("c")).distinct(), "entries")
     shared = entries.groupBy("h").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a < _b").select("h")
     entries = materialise(entries.join(shared, "h", "left_semi"), "entries")
     groups = entries.groupBy("h", "c").agg(F.min("n").alias("least"), F.max("n").alias("most"))
@@ -280,32 +307,36 @@ def _beyond(rows: DataFrame, named: DataFrame, parts: DataFrame, similarity: flo
     fits = lambda small, large: F.col(large) * F.lit(similarity) <= F.col(small) + F.lit(EPS)
     pairs = left.join(right, "h").where(F.col("c_a") < F.col("c_b")).where(fits("least_a", "most_b") & fits("least_b", "most_a")).select("h", "c_a", "c_b")
     for k in "ab":
-        pairs = pairs.join(entries.select("h", F.col("c").alias(f"c_{k}"), F.col("doc_id").alias(f"id_{k}"), F.col("n").alias(f"n_{k}")), ["h", f"c_{k}"])
-    return materialise(pairs.where(fits("n_a", "n_b") & fits("n_b", "n_a")).select(F.col("id_a").alias("src"), F.col("id_b").alias("dst")).distinct(), "pairs")
-
-
-def _verified(pairs: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs of ids (written out) whose whole sets of shingles have the similarity. Texts travel
-    for the ids of pairs only: a map of ID_BITS bits keeps others back, and the join those that it lets by."""
-    ids = pairs.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(ID_BITS)).cast("int").alias("bit")
+        pairs = pairs.join(entries.select("h", F.col("c").alias(f"c_{k}"), F.col("key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}")), ["h", f"c_{k}"])
+    return materialise(pairs.where(fits("n_a", "n_b") & fits("n_b", "n_a")).select(F.col("key_a").alias("src"), F.col("key_b").alias("dst")).distinct(), "pairs")
+
+
+def _verified(pairs: DataFrame, named: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs of classes (written out) whose whole sets of shingles have the similarity. One text
+    travels for each class of a pair: a map of ID_BITS bits keeps others back, and the join those that
+    it lets by."""
+    hashes = named.select("key", "text_hash")
+    for end in ("src", "dst"):
+        pairs = pairs.join(hashes.select(F.col("key").alias(end), F.col("text_hash").alias(f"text_{end}")), end)
+    pairs = materialise(pairs, "pairs")
+    bit = F.pmod(F.xxhash64("text_hash"), F.lit(ID_BITS)).cast("int").alias("bit")
     linked = np.zeros(ID_BITS, bool)
-    linked[ids.select(bit).distinct().toPandas().bit.to_numpy(np.int64)] = True
+    linked[pairs.select(F.explode(F.array("text_src", "text_dst")).alias("text_hash")).select(bit).distinct().toPandas().bit.to_numpy(np.int64)] = True
     linked = source.sparkSession.sparkContext.broadcast(np.packbits(linked))
 
-    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = np.unpackbits(linked.value).astype(bool)
         for b in batches:
-            yield b.loc[held[b.bit.to_numpy(np.int64)], ["doc_id", "text", "text_hash"]]
+            yield b.loc[held[b.bit.to_numpy(np.int64)], ["text", "text_hash"]]
 
     def alike(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             keep = np.array([jaccard(np.unique(shingle_hashes(x, width)), np.unique(shingle_hashes(y, width))) >= similarity - EPS for x, y in zip(b.a, b.b, strict=True)], bool)
             yield b.loc[keep, ["src", "dst"]]
 
-    texts = source.where("doc_id is not null").select("doc_id", "text", "text_hash", bit).mapInPandas(named, "doc_id long, text string, text_hash long")
-    texts = texts.repartition("doc_id").dropDuplicates(["doc_id", "text_hash"])
-    both = pairs.join(texts.select(F.col("doc_id").alias("src"), F.col("text").alias("a")), "src").join(texts.select(F.col("doc_id").alias("dst"), F.col("text").alias("b")), "dst")
+    texts = source.select("text", "text_hash", bit).mapInPandas(wanted, "text string, text_hash long")
+    texts = texts.repartition("text_hash").dropDuplicates(["text_hash"])
+    both = pairs.join(texts.select(F.col("text_hash").alias("text_src"), F.col("text").alias("a")), "text_src").join(texts.select(F.col("text_hash").alias("text_dst"), F.col("text").alias("b")), "text_dst")
     return materialise(both.select("src", "dst", "a", "b").mapInPandas(alike, "src long, dst long").distinct(), "links")
 
 
@@ -315,12 +346,17 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
 
 
-def _edges(g: pd.DataFrame, radius: int, similarity: float | None) -> pd.DataFrame:
-    g = g.sort_values("rep", ignore_index=True)
-    rep = g.rep.to_numpy()
-    root = Links(g.fp.to_numpy(np.int64).view(np.uint64), radius, list(g.sketch), similarity).roots(direct=similarity is not None)
-    own = root != np.arange(len(root))
-    return pd.DataFrame({"src": rep[own], "dst": rep[root[own]]})
+def _edges(g: pd.DataFrame, forest: Forest, radius: int, similarity: float | None, leaf_rows: int) -> pd.DataFrame:
+    """A shard's links, searched leaf by leaf: each linked row with the row that the walk reached it from
+    (with a similarity) or the first of its leaf's component."""
+    key, prints, sketches = g.key.to_numpy(), g.fp.to_numpy(np.int64).view(np.uint64), g.sketch.to_numpy()
+    found = []
+    for own in forest.leaves(prints, int(g.shard.iloc[0]) >> 32, leaf_rows):
+        root = Links(prints[own], radius, sketches[own], similarity).roots(direct=similarity is not None)
+        linked = root != np.arange(len(root))
+        found.append(np.stack([key[own[linked]], key[own[root[linked]]]]))
+    src, dst = np.concatenate(found, axis=1)
+    return pd.DataFrame({"src": src, "dst": dst})
 
 
 def blocked(df: DataFrame, group: str, row: str, most: int) -> DataFrame:
