@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tickframe.llm import bloom_lm, packing, pieces, quality, secret_scan, token_rollup, url_rules
-from tickframe.llm.bpe import Encoder
+from tickframe.llm.bpe import Encoder, RankEncoder
+from tickframe.llm.queries import op9_token_counts
 
 DOCS = "doc_id long, text string, source string, lang string, row int, t string, score double, n int"
 BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
@@ -287,30 +288,101 @@ def test_suffix_array():
     assert pieces.suffix_array(text, 16).tolist() == sorted(range(7), key=lambda i: text[i:].tolist())
 
 
+WORDS = {"w": lambda t: F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+"))}
+
+
 def totals(r):
     return {(x.source, x.lang, x.tokenizer): (x.docs, x.tokens) for x in r.totals().collect()}
 
 
 def test_rollup(spark):
     r = token_rollup.TokenRollup(spark)
-    first = token_rollup.counted(docs(spark, ["a b", None, "c d e\nf"]), {"w": token_rollup.VERSIONS["words-1"]})
+    first = token_rollup.counted(docs(spark, ["a b", None, "c d e\nf"]), WORDS)
+    assert not r.compact() and r.totals().count() == 0
     assert r.commit("one", first) and not r.commit("one", first)
     assert totals(r) == {("s0", None, "w"): (1, 2), ("s1", "en", "w"): (1, 0), ("s0", "en", "w"): (1, 4)}
     change = spark.createDataFrame(
-        [(0, "w", "revise", 1, "s9", None, 7), (0, "w", "revise", 0, "s8", None, 9), (2, "w", "delete", 0, None, None, None), (77, "w", "delete", 0, None, None, None), (1, "v", "insert", 0, "s1", "en", None)],
-        "doc_id long, tokenizer string, op string, seq int, source string, lang string, tokens long",
+        [("0", "w", "revise", 1, "s9", None, 7), ("0", "w", "revise", 0, "s8", None, 9), ("2", "w", "delete", 0, None, None, None), ("77", "w", "delete", 0, None, None, None), ("1", "v", "insert", 0, "s1", "en", None), (None, "v", "insert", 0, "s7", "en", 3)],
+        "doc string, tokenizer string, op string, seq int, source string, lang string, tokens long",
     )
     assert r.commit("two/\u00e9", change)
-    assert totals(r) == {("s9", None, "w"): (1, 7), ("s1", "en", "w"): (1, 0), ("s1", "en", "v"): (1, 0)}
-    assert r.commit("three", change.where("false")) and r.commit("four", change.where("doc_id = 2"))
-    assert totals(r)[("s9", None, "w")] == (1, 7)
-    assert token_rollup.TokenRollup(spark, r.path).totals().count() == 3
+    want = {("s9", None, "w"): (1, 7), ("s1", "en", "w"): (1, 0), ("s1", "en", "v"): (1, 0), ("s7", "en", "v"): (1, 3)}
+    assert totals(r) == want
+    assert r.compact() and totals(r) == want and not r.commit("one", first) and not r.commit("two/\u00e9", change)
+    assert r.commit("three", change.where("false")) and r.commit("four", change.where("doc = '2'"))
+    assert r.compact() and totals(r) == want and not r.commit("four", change)
+    assert token_rollup.TokenRollup(spark, r.path).totals().count() == 4
+    assert r.commit("five", change.where("doc is null").withColumn("op", F.lit("delete")))
+    assert ("s7", "en", "v") not in totals(r)
 
 
-def test_word_counts(spark):
-    d = docs(spark)
-    got = {(x.doc_id, x.tokenizer): x.tokens for x in token_rollup.counted(d).collect()}
-    assert got == {(i, k): n for i, t in enumerate(TEXTS) for k, n in (("words-1", len(words_of(t))), ("bytes-1", len((t or "").encode())))}
+def test_documents_without_id_stay_apart(spark):
+    r = token_rollup.TokenRollup(spark)
+    d = docs(spark, [], [(None, "a b"), (None, "c"), (None, "a b"), (5, "a b")])
+    assert r.commit("x", token_rollup.counted(d, WORDS))
+    assert totals(r) == {("s0", "en", "w"): (3, 5)}
+
+
+def test_of_two_writers_one_begins_again(spark, monkeypatch):
+    a = token_rollup.TokenRollup(spark)
+    b = token_rollup.TokenRollup(spark, a.path)
+    rows = [("1", "w", "insert", "s", "en", 5)]
+    schema = "doc string, tokenizer string, op string, source string, lang string, tokens long"
+    write, met = token_rollup.TokenRollup._write, []
+
+    def slow(self, last, log, version, place):
+        write(self, last, log, version, place)
+        if self is a and not met:  # the other writer comes between the state that was read and the claim
+            met.append(version)
+            assert b.commit("other", spark.createDataFrame([("1", "w", "revise", "s", "en", 7), ("2", "w", "insert", "s", "en", 1)], schema))
+
+    monkeypatch.setattr(token_rollup.TokenRollup, "_write", slow)
+    assert a.commit("mine", spark.createDataFrame(rows, schema)) and met == [1]
+    assert totals(a) == {("s", "en", "w"): (2, 6)} and [x["batch"] for x in a.log()] == ["other", "mine"]
+    met.clear()
+    monkeypatch.setattr(token_rollup.TokenRollup, "_write", write)
+
+    def same(self, last, log, version, place):
+        write(self, last, log, version, place)
+        if self is a and not met:  # ... with the same batch
+            met.append(version)
+            assert b.commit("twice", spark.createDataFrame(rows, schema))
+
+    monkeypatch.setattr(token_rollup.TokenRollup, "_write", same)
+    assert not a.commit("twice", spark.createDataFrame(rows, schema))
+    assert totals(a) == {("s", "en", "w"): (2, 6)}
+
+
+def test_token_counts_against_the_libraries(spark):
+    import base64
+
+    import tiktoken
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(x): int(y) for x, y in map(bytes.split, f)}
+    multi, own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}), Tokenizer.from_file(BPE)
+    got = {(x.doc, x.tokenizer): x.tokens for x in token_rollup.counted(docs(spark), {"a": token_rollup.token_counter(BPE), "b": token_rollup.token_counter(path)}).collect()}
+    assert got == {(str(i), k): n for i, t in enumerate(TEXTS) for k, n in (("a", len(own.encode(t or "", add_special_tokens=False).ids)), ("b", len(multi.encode_ordinary(t or ""))))}
+
+
+def test_token_count_query(spark):
+    """The registered query against a plain count."""
+    own, multi = Encoder(BPE), RankEncoder(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "source", "lang", "text").collect()
+    keep = {}
+    for r in rows:
+        keep[r.text or ""] = min(r.doc_id, keep.get(r.text or "", r.doc_id))
+    want = Counter()
+    for r in rows:
+        if keep[t := r.text or ""] == r.doc_id:
+            for name, n in (("byte-bpe-50k", len(own.ids(t)) + t.count("\n")), ("byte-bpe-multi-50k", len(multi.ids(t)))):
+                want[r.source, r.lang, name, "docs"] += 1
+                want[r.source, r.lang, name, "tokens"] += n
+    got = {}
+    for r in op9_token_counts(spark, "/root/testdata/sf0.001").collect():
+        got |= {(r.source, r.lang, r.tokenizer, "docs"): r.docs, (r.source, r.lang, r.tokenizer, "tokens"): r.tokens}
+    assert got == dict(want)
 
 
 def test_digest_is_of_the_normal_form(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 import re
 
@@ -26,7 +27,38 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Encoder:
+class _Bpe:
+    """The merges of a vocabulary, on texts without added tokens."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self._bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _plain(self, text: str) -> np.ndarray:
+        """A stretch without added tokens. A long run of white space is one pre-token, but for its last
+        character where something follows, which belongs to what follows."""
+        if len(text) < LONG_RUN or not (runs := list(_LONG.finditer(text))):
+            return self._bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
+        parts, at = [], 0
+        for m in runs:
+            end = m.end() if m.end() == len(text) else m.end() - 1
+            parts.append(self._bpe.encode_to_numpy(text[at : m.start()], disallowed_special=()))
+            parts.append(np.array(self._bpe._encode_single_piece(text[m.start() : end]), np.uint32))
+            at = end
+        return np.concatenate([*parts, self._bpe.encode_to_numpy(text[at:], disallowed_special=())]).astype("<u4", copy=False)
+
+
+class RankEncoder(_Bpe):
+    """ids by a file of ranks (a token in base 64 and its id on each line), which has no added tokens."""
+
+    def __init__(self, path: str):
+        with open(path, "rb") as f:
+            super().__init__({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)})
+
+    def ids(self, text: str) -> np.ndarray:
+        return self._plain(text)
+
+
+class Encoder(_Bpe):
     """ids of texts by a vocabulary file in JSON, equal to those of that file's own library with
     add_special_tokens=False, whose merges take several times as long.
 
@@ -38,8 +70,7 @@ class Encoder:
             model = json.load(f)
         added = {x["content"]: x["id"] for x in model.get("added_tokens", ())}
         letters = _byte_letters()
-        ranks = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in added}
-        self._bpe = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        super().__init__({bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in added})
         self._added = {} if special_as_text else added
         self._split = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
 
@@ -51,16 +82,3 @@ class Encoder:
             parts += [self._plain(text[at : m.start()]), np.array([self._added[m[0]]], "<u4")]
             at = m.end()
         return np.concatenate([*parts, self._plain(text[at:])])
-
-    def _plain(self, text: str) -> np.ndarray:
-        """A stretch without added tokens. A long run of white space is one pre-token, but for its last
-        character where something follows, which belongs to what follows."""
-        if len(text) < LONG_RUN or not (runs := list(_LONG.finditer(text))):
-            return self._bpe.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False)
-        parts, at = [], 0
-        for m in runs:
-            end = m.end() if m.end() == len(text) else m.end() - 1
-            parts.append(self._bpe.encode_to_numpy(text[at : m.start()], disallowed_special=()))
-            parts.append(np.array(self._bpe._encode_single_piece(text[m.start() : end]), np.uint32))
-            at = end
-        return np.concatenate([*parts, self._bpe.encode_to_numpy(text[at:], disallowed_special=())]).astype("<u4", copy=False)

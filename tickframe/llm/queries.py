@@ -84,37 +84,31 @@ def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loads the counts of all documents under two tokenizer versions (and the same batch again, which
-    changes nothing), recounts texts of several lines with a token for each line break, and retracts
-    every copy of a text but the one of the smallest doc_id."""
+    changes nothing), revises those of texts of several lines by a token for each line break under one
+    of them, retracts every copy of a text but the one of the smallest doc_id, and compacts."""
+    import public_tokenizers
+
     from tickframe.llm.storage import materialise
-    from tickframe.llm.token_rollup import TokenRollup, counted
+    from tickframe.llm.token_rollup import TokenRollup, counted, doc_key, token_counter
 
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    versions = {"byte-bpe-50k": token_counter(public_tokenizers.path("byte_bpe_50k.json")), "byte-bpe-multi-50k": token_counter(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))}
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
     rollup = TokenRollup(spark)
-    loaded = counted(docs)
+    loaded = materialise(counted(docs.withColumn("breaks", breaks), versions, keep=("breaks",)), "loaded")
     rollup.commit("load", loaded)
     rollup.commit("load", loaded)
-    breaks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit("")))
-    lines = docs.where(breaks > 0)
-    rollup.commit("recount", counted(lines, {"words-1": lambda t: F.regexp_count(t, F.lit(r"[^\x20\x09-\x0D]+")) + breaks}, op="revise"))
-    first = docs.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    lines = loaded.where("breaks > 0 and tokenizer = 'byte-bpe-50k'")
+    rollup.commit("revise", lines.withColumn("tokens", F.col("tokens") + F.col("breaks")).withColumn("op", F.lit("revise")))
+    first = docs.select("doc_id", doc_key(F.col("doc_id"), F.col("text")).alias("doc"), F.sha2("text", 256).alias("h"))
     groups = materialise(first.groupBy("h").agg(F.min("doc_id").alias("keep")), "groups")  # a plain side, so that a hot text's rows can be split
-    copies = first.join(groups, "h").where("doc_id <> keep").select("doc_id")
-    rollup.commit("retract", copies.withColumn("tokenizer", F.explode(F.array(F.lit("words-1"), F.lit("bytes-1")))).withColumn("op", F.lit("delete")))
+    stays = F.coalesce(F.col("keep").cast("string"), F.concat(F.lit("text:"), F.col("h")))
+    copies = first.join(groups, "h").where(F.col("doc") != stays).select("doc")
+    rollup.commit("retract", copies.withColumn("tokenizer", F.explode(F.array(*map(F.lit, versions)))).withColumn("op", F.lit("delete")))
+    rollup.compact()
     return rollup.totals()
 
 
-_OP9_SQL = r"""
-with d as (select doc_id, source, lang, coalesce(text, '') as t, min(doc_id) over (partition by coalesce(text, '')) as keep from documents),
-k as (select * from d where doc_id = keep)
-select source, lang, 'words-1' as tokenizer, count(*) as docs,
-       sum(len(regexp_extract_all(t, '[^\x20\x09-\x0D]+')) + length(t) - length(replace(t, chr(10), '')))::bigint as tokens
-from k group by 1, 2
-union all
-select source, lang, 'bytes-1', count(*), sum(strlen(t))::bigint from k group by 1, 2
-"""
-
-
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tickframe.llm.simhash import near_duplicates
 
@@ -138,4 +132,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_cuckoo": _OP4_SQL, "op9_token_counts": _OP9_SQL}
+    return {"op4_cuckoo": _OP4_SQL}
