@@ -118,7 +118,7 @@ def test_exact(spark):
 
 
 def test_index_inserts_and_deletes(spark):
-    index = CuckooIndex(spark, shards=2)
+    index = CuckooIndex(spark, keys_per_shard=20)
 
     def rows(*pairs):
         return spark.createDataFrame(list(pairs), "doc_id long, text string").select("doc_id", digest_of("text").alias("digest"))
@@ -132,8 +132,41 @@ def test_index_inserts_and_deletes(spark):
     assert known("t7") == (7, 3) and known("new") == (201, 1) and known("absent") == (None, None)
     index.delete(rows((7, "t7"), (201, "new"), (999, "t3")))
     assert known("t7") == (57, 2) and known("new") == (None, None) and known("t3") == (3, 2)
-    index.insert(rows(*[(1000 + i, f"grow{i}") for i in range(600)]))  # the filters have to grow
-    assert known("grow599") == (1599, 1) and known("t9") == (9, 2)
+    before = index.shards
+    index.insert(rows(*[(1000 + i, f"grow{i}") for i in range(600)]))  # more shards
+    assert known("grow599") == (1599, 1) and known("t9") == (9, 2) and index.shards > before and index.resized
+    index = CuckooIndex(spark, index.path, keys_per_shard=20)  # reopened
+    assert known("grow0") == (1000, 1) and known("t7") == (57, 2) and known("new") == (None, None)
+    index.insert(rows((3, "new"), (None, "t7"), (2, "t7"), (2, "t7")))
+    assert known("new") == (3, 1) and known("t7") == (2, 5)
+    index.delete(rows((2, "t7"), (None, "t7")))
+    assert known("t7") == (57, 2)
+    wide = CuckooIndex(spark)
+    wide.insert(rows(*[(i, f"a{i}") for i in range(60)]))
+    assert not wide.resized
+    wide.insert(rows(*[(i, f"b{i}") for i in range(400)], (500, "a3")))  # the only shard's filter overflows
+    assert wide.resized == 1 and wide.shards == 1
+    found = wide.lookup(rows(*[(0, f"{k}{i}") for k in "abc" for i in range(60)])).where("copies is not null")
+    assert found.count() == 120 and found.where("keep_id = 3 and copies = 2").count() == 1
+
+
+def test_only_hits_are_looked_up(spark, monkeypatch):
+    index, asked = CuckooIndex(spark), []
+    keys = CuckooIndex.keys
+
+    def watched(self, of=None):
+        asked.extend(bytes(r.digest) for r in of.collect()) if of is not None else None
+        return keys(self, of)
+
+    monkeypatch.setattr(CuckooIndex, "keys", watched)
+
+    def rows(*texts):
+        return spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").select("doc_id", digest_of("text").alias("digest"))
+
+    index.insert(rows("a", "b", "b"))
+    assert not asked
+    index.insert(rows("c", "d", "b", "e"))
+    assert asked == [hashlib.sha256(b"b").digest()]
 
 
 def test_filter_overflow_and_deletion():

@@ -1,27 +1,32 @@
 """Exact dedup: a sharded cuckoo-filter index of live text digests, with the stored keys beside it.
 
-State is a chain of versions in one folder, each written whole before the next starts:
-  members  (digest, doc_id)                          one row per live document
-  shards   (shard, kind, digest, keep_id, copies, cells)
-           kind "key": a distinct live digest with its smallest doc_id and its number of copies;
-           kind "filter": the shard's cuckoo filter.
-Tasks only see distinct digests, so a text that a third of all rows share is one key."""
+State is a chain of versions in one folder; a version holds what it adds, and counts from the moment its
+entry is in log/:
+  v<n>/keys     (digest, keep_id, copies, version)  live digests that changed: smallest doc_id, rows; 0 copies: gone
+  v<n>/members  (digest, doc_id, n)                 rows that came (n > 0) or went (n < 0)
+  v<n>/filters  (shard, cells)                      the cuckoo filters of all shards, about 2.5 octets a key
+The filter decides what happens to a digest: one that it misses is new and is looked up nowhere; one that
+it hits is verified against the stored keys, which are bucketed by digest. Tasks only see distinct digests,
+so a text that a third of all rows share is one key."""
 
 from __future__ import annotations
 
-import math
+import json
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm.storage import materialise, new_path
+from tickframe.llm.storage import discard, materialise, new_path
 
 SLOTS = 4
 KICKS = 500
 KEYS_PER_SHARD = 100_000
-_SHARDS = "shard int, kind string, digest binary, keep_id long, copies long, cells binary"
+BATCHES = 4
+_KEYS = "digest binary, keep_id long, copies long, version long"
+_MEMBERS = "digest binary, doc_id long, n long"
+_FILTERS = "shard int, cells binary"
 
 
 def digest_of(text):
@@ -60,28 +65,33 @@ class CuckooFilter:
         return ((self.cells[a] == tag[:, None]) | (self.cells[b] == tag[:, None])).any(axis=1)
 
     def insert(self, digests: list[bytes]) -> bool:
-        """False when a key found no place: the caller then resizes from its stored keys."""
+        """False when a key found no place: the caller then resizes from its stored keys. Keys go to the
+        free slots of their two buckets all at once; those that are left push others out one by one."""
         if not digests:
             return True
+        tag, a, b = self._places(digests)
+        left = np.arange(len(tag))
+        for bucket in (a, b):
+            order = left[np.argsort(bucket[left], kind="stable")]
+            at = bucket[order]
+            rank = np.arange(len(at)) - np.searchsorted(at, at)  # among the keys of the same bucket
+            taken = self.cells != 0
+            free = np.argsort(taken, axis=1, kind="stable")  # the free slots come first
+            fits = rank < SLOTS - taken.sum(axis=1)[at]
+            self.cells[at[fits], free[at[fits], rank[fits]]] = tag[order[fits]]
+            left = order[~fits]
         rng = np.random.default_rng(len(digests))
-        for tag, a, b in zip(*self._places(digests), strict=True):
-            for bucket in (a, b):
+        for own, bucket in zip(tag[left], np.where(rng.random(len(left)) < 0.5, a[left], b[left]), strict=True):
+            for _ in range(KICKS):
+                slot = rng.integers(SLOTS)
+                own, self.cells[bucket, slot] = self.cells[bucket, slot], own
+                bucket = self._other(np.int64(bucket), own)
                 free = np.flatnonzero(self.cells[bucket] == 0)
                 if len(free):
-                    self.cells[bucket, free[0]] = tag
+                    self.cells[bucket, free[0]] = own
                     break
             else:
-                bucket = a if rng.random() < 0.5 else b
-                for _ in range(KICKS):
-                    slot = rng.integers(SLOTS)
-                    tag, self.cells[bucket, slot] = self.cells[bucket, slot], tag
-                    bucket = self._other(np.int64(bucket), tag)
-                    free = np.flatnonzero(self.cells[bucket] == 0)
-                    if len(free):
-                        self.cells[bucket, free[0]] = tag
-                        break
-                else:
-                    return False
+                return False
         return True
 
     def delete(self, digests: list[bytes]) -> None:
@@ -105,112 +115,172 @@ class CuckooFilter:
         return made
 
 
-def _apply(stored: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
-    """One shard: bring its filter and keys up to date. changes: digest, keep_id, copies (0: gone)."""
-    shard = int((stored if len(stored) else changes).shard.iloc[0])
-    keys = stored[stored.kind == "key"]
-    index = {d: (k, c) for d, k, c in zip(keys.digest, keys.keep_id, keys.copies, strict=True)}
-    cells = stored.cells[stored.kind == "filter"]
-    live = CuckooFilter.from_bytes(cells.iloc[0]) if len(cells) else CuckooFilter()
-    hits = live.contains(list(changes.digest))
-    new, gone = [], []
-    for digest, hit, keep, copies in zip(changes.digest, hits, changes.keep_id, changes.copies, strict=True):
-        known = bool(hit) and digest in index  # a hit counts only with its stored key
-        if copies == 0:
-            if known:
-                gone.append(digest)
-                del index[digest]
-            continue
-        if not known:
-            new.append(digest)
-        index[digest] = (keep, copies)
-    live.delete(gone)
-    if not live.insert(new):
-        live = CuckooFilter.holding(list(index), 2 * len(live.cells))
-    rows = [(shard, "key", d, k, c, None) for d, (k, c) in index.items()]
-    return pd.DataFrame([*rows, (shard, "filter", None, None, None, live.to_bytes())], columns=["shard", "kind", "digest", "keep_id", "copies", "cells"]).astype(
-        {"keep_id": "Int64", "copies": "Int64"}
-    )
+def _changed(held: pd.DataFrame, changes: pd.DataFrame) -> pd.DataFrame:
+    """One shard's filter with the digests of changes put in (sign 1) or taken out (sign -1); no cells
+    where they overflow. Without changes it stays as it is."""
+    shard = int((held if len(held) else changes).shard.iloc[0])
+    live = CuckooFilter.from_bytes(held.cells.iloc[0]) if len(held) else CuckooFilter()
+    live.delete(list(changes.digest[changes.sign < 0]))
+    fits = live.insert(list(changes.digest[changes.sign > 0]))
+    return pd.DataFrame({"shard": [shard], "cells": [live.to_bytes() if fits else None]})
 
 
 class CuckooIndex:
-    """Live digests of documents. insert() and delete() take frames (doc_id long, digest binary);
-    a pair that is there already, or is to go and isn't there, changes nothing."""
-
-    def __init__(self, spark: SparkSession, path: str | None = None, shards: int = 1):
-        self.spark, self.path, self.shards, self.version = spark, path or new_path(spark, "cuckoo"), shards, 0
-
-    def _read(self, name: str, schema: str) -> DataFrame:
-        if not self.version:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/v{self.version}/{name}")
-
-    def members(self) -> DataFrame:
-        return self._read("members", "digest binary, doc_id long")
-
-    def state(self) -> DataFrame:
-        return self._read("shards", _SHARDS)
-
-    def keys(self) -> DataFrame:
-        return self.state().where("kind = 'key'").select("digest", "keep_id", "copies")
+    """Live digests of documents. insert() and delete() take frames (doc_id long, digest binary); a row
+    that is there from an earlier commit, or is to go and isn't there, changes nothing. An index at a
+    path that holds one is opened as it was left. One writer at a time: a second one that starts from
+    the same version fails, as the version's folder is taken."""
+
+    def __init__(self, spark: SparkSession, path: str | None = None, keys_per_shard: int = KEYS_PER_SHARD):
+        self.spark, self.path, self.keys_per_shard = spark, path or new_path(spark, "cuckoo"), keys_per_shard
+        self.version, self.shards, self.total, self.resized = 0, 1, 0, 0
+        fs, place = self._fs(f"{self.path}/log")
+        if fs.exists(place):
+            self.version = max((int(x.getPath().getName()) for x in fs.listStatus(place) if x.getPath().getName().isdigit()), default=0)
+        if self.version:
+            stream = fs.open(self._fs(f"{self.path}/log/{self.version}")[1])
+            entry = json.loads(bytes(stream.readAllBytes()).decode())
+            stream.close()
+            self.shards, self.total = entry["shards"], entry["keys"]
+
+    def _fs(self, path: str):
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return place.getFileSystem(self.spark._jsc.hadoopConfiguration()), place
+
+    def _read(self, name: str, schema: str, versions=None) -> DataFrame:
+        found = [f"{self.path}/v{k}/{name}" for k in versions or range(1, self.version + 1)]
+        return self.spark.read.schema(schema).parquet(*found) if found else self.spark.createDataFrame([], schema)
+
+    def keys(self, of: DataFrame | None = None) -> DataFrame:
+        """(digest, keep_id, copies) of the live digests, or of those among `of`: the last version's word."""
+        rows = self._read("keys", _KEYS)
+        rows = rows.join(of.select("digest"), "digest", "left_semi") if of is not None else rows
+        last = rows.groupBy("digest").agg(F.max_by(F.struct("keep_id", "copies"), "version").alias("k")) if self.version != 1 else rows.select("digest", F.struct("keep_id", "copies").alias("k"))
+        return last.select("digest", "k.*").where("copies > 0")
+
+    def members(self, of: DataFrame | None = None) -> DataFrame:
+        """(digest, doc_id, n): how many rows of a document are live, of the digests among `of`."""
+        rows = self._read("members", _MEMBERS)
+        rows = rows.join(of.select("digest").distinct(), "digest", "left_semi") if of is not None else rows
+        return rows.groupBy("digest", "doc_id").agg(F.sum("n").alias("n")).where("n > 0")
+
+    def filters(self) -> DataFrame:
+        return self._read("filters", _FILTERS, [self.version]) if self.version else self.spark.createDataFrame([], _FILTERS)
 
     def _shard(self, df: DataFrame) -> DataFrame:
         return df.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(self.shards)).cast("int"))
 
-    def _commit(self, members: DataFrame, touched: DataFrame | None) -> None:
-        """Write the next version. touched: distinct digests whose copies may have changed; None: all."""
-        place = f"{self.path}/v{self.version + 1}"
-        members.write.parquet(f"{place}/members")
-        members = self.spark.read.schema("digest binary, doc_id long").parquet(f"{place}/members")
-        groups = members.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("copies"))
-        if touched is not None:
-            groups = touched.join(groups, "digest", "left").select("digest", "keep_id", F.coalesce("copies", F.lit(0)).alias("copies"))
-        (
-            self._shard(self.state().drop("shard").where("kind = 'key'")).unionByName(self.state().where("kind = 'filter'"), allowMissingColumns=True)
-            .groupBy("shard").cogroup(self._shard(groups).groupBy("shard")).applyInPandas(_apply, _SHARDS).write.parquet(f"{place}/shards")
-        )
-        self.version += 1
+    def probe(self, digests: DataFrame) -> DataFrame:
+        """digests(digest) with hit: whether its shard's filter has it (it may be wrong where it says yes)."""
+
+        def ask(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            hit = CuckooFilter.from_bytes(held.cells.iloc[0]).contains(list(asked.digest)) if len(held) and len(asked) else np.zeros(len(asked), bool)
+            return pd.DataFrame({"digest": asked.digest, "hit": hit})
+
+        asked = self._shard(digests.select("digest"))
+        return materialise(asked.groupBy("shard").cogroup(self.filters().groupBy("shard")).applyInPandas(ask, "digest binary, hit boolean"), "probed")
 
     def insert(self, rows: DataFrame) -> None:
-        rows = rows.select("digest", "doc_id")
-        if self.version:
-            rows = materialise(rows.distinct().join(self.members(), ["digest", "doc_id"], "left_anti"), "insert")
-            self._commit(self.members().unionByName(rows), rows.select("digest").distinct())
-        else:
-            self._commit(rows, None)
+        pairs = materialise(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")), "pairs")
+        probed = self.probe(pairs.select("digest").distinct())
+        hits = probed.where("hit")
+        stored = materialise(self.keys(hits), "stored")  # what the filter hit, and rightly so
+        there = self.members(stored).select(F.col("digest").alias("d"), F.col("doc_id").alias("i"))
+        again = pairs.join(stored.select("digest"), "digest", "left_semi").join(there, (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i")), "left_anti")
+        fresh = pairs.join(stored.select("digest"), "digest", "left_anti")
+        came = materialise(fresh.unionByName(again), "came")
+        groups = came.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("copies"))
+        old = stored.select("digest", F.col("keep_id").alias("k"), F.col("copies").alias("c"))
+        keys = materialise(groups.join(old, "digest", "left").select("digest", F.least("keep_id", "k").alias("keep_id"), (F.col("copies") + F.coalesce("c", F.lit(0))).alias("copies"), F.col("c").isNull().alias("new")), "keys")
+        self._commit(keys, came, keys.where("new").select("digest", F.lit(1).alias("sign")))
+        for old in (pairs, probed, stored, came, keys):
+            discard(old)
 
     def delete(self, rows: DataFrame) -> None:
-        rows = materialise(rows.select("digest", "doc_id").distinct(), "delete")
-        self._commit(self.members().join(rows, ["digest", "doc_id"], "left_anti"), rows.select("digest").distinct())
+        pairs = materialise(rows.select("digest", "doc_id").distinct(), "pairs")
+        probed = self.probe(pairs.select("digest").distinct())
+        there = materialise(self.members(probed.where("hit")), "there")
+        asked = pairs.select(F.col("digest").alias("d"), F.col("doc_id").alias("i"))
+        same = (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("i"))
+        went = materialise(there.join(asked, same, "left_semi").withColumn("n", -F.col("n")), "went")
+        left = there.join(asked, same, "left_anti").groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.sum("n").alias("copies"))
+        keys = materialise(went.select("digest").distinct().join(left, "digest", "left").select("digest", "keep_id", F.coalesce("copies", F.lit(0)).cast("long").alias("copies")), "keys")
+        self._commit(keys, went, keys.where("copies = 0").select("digest", F.lit(-1).alias("sign")))
+        for old in (pairs, probed, there, went, keys):
+            discard(old)
+
+    def _commit(self, keys: DataFrame, members: DataFrame, changes: DataFrame) -> None:
+        """Write the next version. changes(digest, sign): what goes into the filters and out of them. A
+        filter that overflows is made anew, larger, from the stored keys of its shard; where the keys
+        have become too many for the shards, there are more of these, and all are made anew."""
+        filters, last = self.filters(), self.version + 1
+        place = f"{self.path}/v{last}"
+        keys.select("digest", "keep_id", "copies", F.lit(last).cast("long").alias("version")).write.parquet(f"{place}/keys")
+        members.select("digest", "doc_id", "n").write.parquet(f"{place}/members")
+        changed = materialise(filters.groupBy("shard").cogroup(self._shard(changes).groupBy("shard")).applyInPandas(_changed, _FILTERS), "filters")
+        self.version, shards = last, self.shards
+        self.total += changes.agg(F.sum("sign")).first()[0] or 0
+        while self.total > 2 * shards * self.keys_per_shard:
+            shards *= 2
+        again = changed.where("cells is null").select("shard")
+        if shards != self.shards:
+            self.shards, again, changed = shards, None, changed.limit(0)
+        held = self._shard(self.keys().select("digest"))
+        held = held if again is None else held.join(again, "shard", "left_semi")
+        if again is None or not again.isEmpty():
+            self.resized += 1
+        made = held.groupBy("shard").applyInPandas(_made, _FILTERS)
+        changed.where("cells is not null").unionByName(made).write.parquet(f"{place}/filters")
+        fs, entry = self._fs(f"{self.path}/log/{last}")
+        out = fs.create(entry, False)
+        out.write(json.dumps({"shards": self.shards, "keys": self.total}).encode())
+        out.close()
 
     def lookup(self, rows: DataFrame) -> DataFrame:
         """rows with keep_id and copies of their digest; both null where it isn't live. Distinct
         digests probe their shard's filter, hits are verified against the stored keys, and the answer
         goes back to the rows by an equi-join, whose hot digests adaptive execution can split."""
-        asked = self._shard(rows.select("digest").distinct())
-        filters = self.state().where("kind = 'filter'").select("shard", "cells")
+        hits = self.probe(rows.select("digest").distinct()).where("hit")
+        return rows.join(materialise(self.keys(hits), "found"), "digest", "left")
+
+
+def _made(held: pd.DataFrame) -> pd.DataFrame:
+    """A shard's filter from its stored keys."""
+    return pd.DataFrame({"shard": [int(held.shard.iloc[0])], "cells": [CuckooFilter.holding(list(held.digest)).to_bytes()]})
+
+
+def digests_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, digest, text_hash) of every row of docs, written out."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest_of(F.col(text_col)).alias("digest"), F.xxhash64(text).alias("text_hash")), "digests")
+
 
-        def probe(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-            if not len(asked) or not len(held):
-                return asked.iloc[:0][["digest"]]
-            return asked[CuckooFilter.from_bytes(held.cells.iloc[0]).contains(list(asked.digest))][["digest"]]
+def portion(rows: DataFrame, k: int, batches: int) -> DataFrame:
+    """The k-th of `batches` parts of rows, by document."""
+    return rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == k)
 
-        hits = asked.groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(probe, "digest binary")
-        found = materialise(hits.join(self.keys(), "digest"), "found")
-        return rows.join(found, "digest", "left")
 
+def indexed(rows: DataFrame, keys_per_shard: int = KEYS_PER_SHARD, batches: int = BATCHES) -> CuckooIndex:
+    """A new index of rows(doc_id, digest), inserted in `batches` parts."""
+    index = CuckooIndex(rows.sparkSession, keys_per_shard=keys_per_shard)
+    for k in range(batches):
+        index.insert(portion(rows, k, batches))
+    return index
 
-def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD) -> DataFrame:
+
+def answer(rows: DataFrame, index: CuckooIndex) -> DataFrame:
+    """Every row of digests_of as (doc_id, digest, keep_id, group_size, kept, text_hash)."""
+    return index.lookup(rows).select("doc_id", "digest", "keep_id", F.col("copies").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_hash")
+
+
+def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys_per_shard: int = KEYS_PER_SHARD, batches: int = BATCHES) -> DataFrame:
     """Every row of docs as (doc_id, digest, keep_id, group_size, kept, text_hash), through a new
-    CuckooIndex; text_hash is xxhash64 of the whole text.
+    CuckooIndex that takes them in `batches` parts; text_hash is xxhash64 of the whole text.
 
     Texts are equal when identical after white-space runs are made one space; null counts as empty;
     the smallest doc_id of a group stays. Repeated rows are counted in group_size and come back as
     often as read, each flagged as its document is; a null doc_id doesn't stay unless its whole group
     has none (keep_id is then null and kept true). Empty tables give an empty result; other columns
-    aren't looked at. Shards grow in number with the distinct digests (about keys_per_shard each)."""
-    rows = materialise(docs.select(F.col(id_col).cast("long").alias("doc_id"), digest_of(F.col(text_col)).alias("digest"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash")), "digests")
-    distinct = rows.agg(F.approx_count_distinct("digest")).first()[0]
-    index = CuckooIndex(docs.sparkSession, shards=max(1, math.ceil(distinct / keys_per_shard)))
-    index.insert(rows)
-    return index.lookup(rows).select("doc_id", "digest", "keep_id", F.col("copies").alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_hash")
+    aren't looked at. Shards grow in number with the distinct digests (up to twice keys_per_shard each)."""
+    rows = digests_of(docs, id_col, text_col)
+    return answer(rows, indexed(rows, keys_per_shard, batches))

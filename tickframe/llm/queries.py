@@ -37,10 +37,17 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_cuckoo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.llm.cuckoo import exact_duplicates
-
-    out = exact_duplicates(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    """All documents go into an index in parts; the last part is taken out again and, after the index was
+    reopened, put back, which leaves the answer as it was."""
+    from tickframe.llm.cuckoo import BATCHES, CuckooIndex, answer, digests_of, indexed, portion
+
+    rows = digests_of(_table(spark, sf_dir, "documents"))
+    index = indexed(rows)
+    last = portion(rows, BATCHES - 1, BATCHES)
+    index.delete(last)
+    index = CuckooIndex(spark, index.path)
+    index.insert(last)
+    return answer(rows, index).select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 _OP4_SQL = r"""
