@@ -91,6 +91,43 @@ def test_secrets(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_random_tokens_are_found_in_each_encoding(spark):
+    rng, lower, upper, digits = np.random.default_rng(3), secret_scan.LOWER, secret_scan.UPPER, secret_scan.DIGITS
+    kinds = {"digits": digits, "lower": lower, "hex": digits + "ABCDEF", "base 32": upper + "234567", "lower and digits": lower + digits, "upper and digits": upper + digits,
+             "letters and digits": lower + upper + digits, "base 64 for URLs": lower + upper + digits + "-_", "base 64": lower + upper + digits + "+/"}
+    meta = [(kind, n) for kind in kinds for n in (20, 32, 64, 128) for _ in range(20)]
+    texts = [f"see the note {''.join(rng.choice(list(kinds[kind]), n))} of the day" for kind, n in meta]
+    plain = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select((F.col("doc_id") + 100_000).alias("doc_id"), "text")
+    d = docs(spark, texts).select("doc_id", "text").unionByName(plain)
+    got = {r.doc_id: r.s for r in secret_scan.scan(d).select("doc_id", secret_scan.named(F.col("spans")).alias("s")).collect()}
+    assert not any("random" in s for i, s in got.items() if i >= 100_000)
+    found = {}
+    for i, (kind, n) in enumerate(meta):
+        found.setdefault((kind, n), []).append(got[i] == f"{'hex' if kind == 'digits' else 'random'}:13:{13 + n}")
+    recall = {k: np.mean(v) for k, v in found.items()}
+    least = {"digits": 32, "lower": 64}
+    powered = {k: x for k, x in recall.items() if k[1] >= least.get(k[0], 20)}
+    assert np.mean(list(powered.values())) >= 0.9 and min(powered.values()) >= 0.7, recall
+
+
+def test_many_matches_in_one_text(spark):
+    n = 20_000
+    text = "x secret=hunter22 y \U0001f642\n" * n
+    row = docs(spark, [text]).select(secret_scan.base_spans(F.col("text")).alias("b"), secret_scan.redact(F.col("text"), secret_scan.base_spans(F.col("text"))).alias("t")).first()
+    assert [tuple(s) for s in row.b] == base_spans(text) and row.t == "x [SECRET] y \U0001f642\n" * n
+
+
+@pytest.mark.parametrize("spans", [[(0, 3)], [(1, 4), (2, 3), (3, 6), (8, 9)], [(0, 2), (2, 4)], [(0, 10)], [(4, 10)], []])
+def test_redaction_of_overlaps(spark, spans):
+    text, at, want = "ab\u00e9d\U0001f642fghij", 0, ""
+    for start, end in sorted(spans):
+        if start > at or not want and start == at:
+            want += text[at:start] + "*"
+        at = max(at, end)
+    d = spark.createDataFrame([(text, [(a, 0, b) for a, b in sorted(spans)])], f"text string, spans {secret_scan.SPANS}")
+    assert d.select(secret_scan.redact(F.col("text"), F.col("spans"), "*").alias("t")).first().t == want + text[at:]
+
+
 def test_redaction(spark):
     d = docs(spark, ["a password=hunter22 b token = \"24be64439e3e49cf46b2d7c90f3602a3d0b907ff\" \u00e9", "clean"])
     out = {r.doc_id: r.x for r in d.select("doc_id", secret_scan.redact(F.col("text"), secret_scan.base_spans(F.col("text"))).alias("x")).collect()}
