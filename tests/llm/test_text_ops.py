@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
@@ -155,6 +156,29 @@ def test_quality(spark):
     assert quality.score(d, untrained).count() == len(texts)
 
 
+def test_scores_against_a_plain_machine(spark):
+    texts = ["The cat sat. The dog sat.", None, "", "w " * 300, "A b\nA b\n$$$ 12", "\u00e9\u00e9 x"]
+    m, rng = quality.FactorisationMachine(), np.random.default_rng(3)
+    m.bias, m.linear = 0.2, rng.normal(0, 0.5, quality.WIDTH)
+    m.factors = rng.normal(0, 0.5, m.factors.shape)
+    out = {r.doc_id: r.quality_score for r in quality.score(docs(spark, texts), m).select("doc_id", "quality_score").collect()}
+    for k, t in enumerate(texts):
+        index, value = quality.features(t or "")
+        z = m.bias + sum(m.linear[i] * v for i, v in zip(index, value, strict=True))
+        z += sum(float(m.factors[index[a]] @ m.factors[index[b]]) * value[a] * value[b] for a in range(len(index)) for b in range(a + 1, len(index)))
+        assert out[k] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+
+
+def test_training_rows_are_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality.FactorisationMachine, "fit", lambda self, rows, labels, **_: seen.append((len(rows), labels.tolist())) or self)
+    d = docs(spark, ["good text"] * 9, [(4, f"copy {k}") for k in range(400)])
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(9)] * 3, "doc_id long, quality int, toxic int")
+    quality.train(d, labels, rows=5)
+    quality.train(d, labels)
+    assert seen[0][0] == 5 and seen[1][0] == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(9))
+
+
 def test_machine_uses_the_pair_identity():
     m = quality.FactorisationMachine()
     index, value = np.array([3, 50, 70]), np.array([0.5, 1.0, 2.0])
@@ -300,10 +324,46 @@ def test_urls(spark):
 
 def test_mined_rules_reach_confidence(spark):
     rows = [(["a", "b"], "block")] * 9 + [(["a"], "allow")] * 9 + [(["b"], "allow")] * 3
-    rules = {(tuple(r.antecedent), r.verdict): (r.confidence, r.rare) for r in url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.05, 0.7).collect()}
+    rows = [(k, t, v) for k, (t, v) in enumerate(rows)]
+    rules = {(tuple(r.antecedent), r.verdict): (r.confidence, r.rare) for r in url_rules.mine(spark.createDataFrame(rows, "row long, tokens array<string>, verdict string"), 0.05, 0.7).collect()}
     assert rules == {(("a", "b"), "block"): (1.0, "b"), (("b",), "block"): (0.75, "b")}
 
 
+def brute_force_rules(sets, support, confidence):
+    """All rules from all combinations of tokens: {(antecedent, verdict): (confidence, support)}."""
+    total, freq = len(sets), Counter()
+    same = {}
+    for t in sorted({t for tokens, _ in sets for t in tokens}):
+        same.setdefault(frozenset(k for k, (tokens, _) in enumerate(sets) if t in tokens), t)
+    own = {t for rows, t in same.items() if len(rows) >= support * total}
+    for tokens, verdict in sets:
+        for n in range(1, len(own) + 1):
+            for c in combinations(sorted(own & set(tokens)), n):
+                freq[c] += 1
+                freq[c, verdict] += 1
+    rules = {k: (freq[k] / freq[k[0]], freq[k] / total) for k in freq if len(k) == 2 and isinstance(k[0], tuple) and freq[k] >= support * total and freq[k] >= confidence * freq[k[0]] - 1e-12}
+    weaker = {(a, v) for (a, v), (c, _) in rules.items() for k in range(len(a)) if rules.get((a[:k] + a[k + 1 :], v), (-1,))[0] >= c}
+    return {k: x for k, x in rules.items() if k not in weaker}
+
+
+def test_mined_verdicts_against_brute_force(spark):
+    rng = np.random.default_rng(9)
+    hosts, words = ["a.net", "b.net", "www.a.net", "c.org", "x.com", "y-1.com", "example.com"], ["es", "fr", "en", "ads", "page", "x", "7"]
+    urls = [f"http{'s' * int(rng.integers(2))}://{rng.choice(hosts)}/" + "/".join(rng.choice(words, rng.integers(0, 4))) + ("?q=1&r" if rng.random() < 0.2 else "") for _ in range(150)]
+    d = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    host, path = url_rules.host_and_path(F.col("url"))
+    tokens = {r.page_id: r.t for r in d.select("page_id", url_rules.url_tokens(F.col("url"), host, path).alias("t")).collect()}
+    assert all(f"segment:{s.replace('7', '#')}" in tokens[k] for k, u in enumerate(urls) for s in u.split("/", 3)[3].split("?")[0].split("/") if s)
+    fixed = {k: url_oracle(u)[3] for k, u in enumerate(urls)}
+    rules = brute_force_rules([(tokens[k], v) for k, v in fixed.items() if v], 0.05, 0.7)
+    want = {}
+    for k in tokens:
+        fired = [(c, s, len(a), list(a), v) for (a, v), (c, s) in rules.items() if set(a) <= set(tokens[k])]
+        want[k] = (fixed[k], "fixed") if fixed[k] else (max(fired)[4], "mined") if fired else ("allow", "default")
+    got = {r.page_id: (r.verdict, r.by) for r in url_rules.judge(d, support=0.05, confidence=0.7).collect()}
+    assert got == want and {by for _, by in got.values()} >= {"fixed", "mined"}
+
+
 def test_pieces(spark):
     own = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     texts = ["" if t is None else t for t in TEXTS] + ["\u2581x", "the" * 400, "a" * 700, "  lead", "<s>", "\x00"]

@@ -114,11 +114,13 @@ def held_out(doc_id):
 def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, id_col: str = "doc_id", text_col: str = "text") -> FactorisationMachine:
     """Fit on at most `rows` labelled documents (the lowest by a hash of their id) that aren't held
     out. labels(doc_id, quality); null ids or labels are left out, a label other than 0 counts as 1,
-    of several labels the highest. Features are made on the executors; what comes to the driver is
-    bounded by `rows`. Texts of the sample are used whole."""
+    of several labels the highest, of several rows of an id the one whose text has the lowest hash.
+    Features are made on the executors, and what comes to the driver is one row of them for each of at
+    most `rows` ids. Texts of the sample are used whole."""
     own = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max((F.col("quality") != 0).cast("double")).alias("y"))
     own = own.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).join(F.broadcast(own), "doc_id")
+    found = found.groupBy("doc_id", "y").agg(F.min_by("t", F.struct(F.xxhash64("t"), "t")).alias("t"))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -39,36 +39,48 @@ def fixed_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]
 
 
 def url_tokens(url: Column, host: Column, path: Column) -> Column:
-    """A URL's tokens, each with its place: at most twelve, taken from the whole URL. Digits of the
-    path are written as #, so that numbered pages share tokens."""
-    labels = F.split(host, r"\.")
-    last = F.when(host != "", F.element_at(labels, -1))
+    """A URL's tokens, each with its place: every ending of the host at a dot, every segment of the path,
+    the first and the last one, their number, every key of the query, and marks of the whole. Digits of
+    the path are written as #, so that numbered pages share tokens."""
+    labels = F.filter(F.split(host, r"\."), lambda s: s != "")
     segments = F.filter(F.split(F.regexp_replace(path, r"[0-9]+", "#"), "/"), lambda s: s != "")
     query = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[^?#]*\?([^#]*)", 1)
-    keys = F.array_sort(F.array_distinct(F.transform(F.split(query, "&"), lambda p: F.regexp_extract(p, r"^[^=]*", 0))))
-    tokens = F.array(
+    keys = F.filter(F.transform(F.split(query, "&"), lambda p: F.regexp_extract(p, r"^[^=]*", 0)), lambda k: k != "")
+    endings = F.when(F.size(labels) > 0, F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.concat(F.lit("host:"), F.concat_ws(".", F.slice(labels, -k, k)))))
+    marks = F.array(
         F.concat(F.lit("scheme:"), F.nullif(F.regexp_extract(F.coalesce(url, F.lit("")), r"^([^:/?#]*)://", 1), F.lit(""))),
-        F.concat(F.lit("zone:"), last),
-        F.when(F.size(labels) >= 2, F.concat(F.lit("domain:"), F.concat_ws(".", F.slice(labels, -2, 2)))),
-        F.when(F.size(labels) >= 3, F.concat(F.lit("site:"), F.concat_ws(".", F.slice(labels, -3, 3)))),
-        F.when(F.size(labels) >= 4, F.concat(F.lit("sub:"), F.element_at(labels, 1))),
         F.concat(F.lit("first:"), F.get(segments, F.lit(0))),
         F.concat(F.lit("last:"), F.when(F.size(segments) > 1, F.element_at(segments, -1))),
-        F.concat(F.lit("depth:"), F.least(F.size(segments), F.lit(5)).cast("string")),
-        F.when(query != "", F.concat(F.lit("query:"), F.concat_ws("&", keys))),
+        F.concat(F.lit("depth:"), F.size(segments).cast("string")),
         F.when(F.contains(F.coalesce(url, F.lit("")), F.lit("#")), F.lit("has:fragment")),
-        F.when(F.contains(host, F.lit("-")), F.lit("host:hyphen")),
-        F.when(host.rlike("[0-9]"), F.lit("host:digit")),
+        F.when(F.contains(host, F.lit("-")), F.lit("host has:hyphen")),
+        F.when(host.rlike("[0-9]"), F.lit("host has:digit")),
     )
-    return F.filter(tokens, lambda t: t.isNotNull())
+
+    def tagged(tag: str, x: Column) -> Column:
+        return F.transform(x, lambda s: F.concat(F.lit(tag), s))
+
+    return F.array_distinct(F.filter(F.concat(F.coalesce(endings, F.expr("cast(array() as array<string>)")), tagged("segment:", segments), tagged("query:", keys), marks), lambda t: t.isNotNull()))
+
+
+def telling(labelled: DataFrame, support: float) -> list[str]:
+    """Of the tokens of labelled(tokens, verdict) those that reach the support; of several that the very
+    same URLs have, which would only multiply the combinations, the first by name. Their number is at
+    most that of a URL's tokens over the support, on average."""
+    total = labelled.count()
+    rows = labelled.select(F.explode("tokens").alias("token"), F.xxhash64("tokens", "verdict", "row").alias("h"))
+    held = rows.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.shiftright("h", 20)).alias("s")).where(F.col("n") >= support * total)
+    return sorted(r["token"] for r in held.groupBy("n", "x", "s").agg(F.min("token").alias("token")).collect())
 
 
 def mine(labelled: DataFrame, support: float = 0.01, confidence: float = 0.8) -> DataFrame:
-    """labelled(tokens, verdict) -> (rare, antecedent, verdict, confidence, support): the rules that
-    end in a verdict, with at least this share of all labelled URLs and this confidence. rare is the
-    antecedent's least frequent token, under which the inverted index files the rule. A rule is pruned
-    if a part of its antecedent gives the same verdict with the same confidence or more."""
-    sets = labelled.select(F.concat("tokens", F.array(F.concat(F.lit("="), F.col("verdict")))).alias("items"))
+    """labelled(row, tokens, verdict) -> (rare, antecedent, verdict, confidence, support): the rules that
+    end in a verdict, with at least this share of all labelled URLs and this confidence, over the tokens
+    that tell URLs apart (see `telling`). rare is the antecedent's least frequent token, under which the
+    inverted index files the rule. A rule is pruned if a rule of one token less gives the same verdict
+    with the same confidence or more."""
+    tokens = F.array_intersect("tokens", F.lit(telling(labelled, support)).cast("array<string>"))
+    sets = labelled.select(F.concat(tokens, F.array(F.concat(F.lit("="), F.col("verdict")))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(sets)
     rules = model.associationRules.select("antecedent", F.element_at("consequent", 1).alias("to"), "confidence", "support").where(F.col("to").startswith("="))
     rules = materialise(rules.withColumn("antecedent", F.array_sort("antecedent")).withColumn("verdict", F.substring("to", 2, 99)).drop("to"), "rules")
@@ -101,7 +113,7 @@ def judge(pages: DataFrame, rules=RULES, support: float = 0.01, confidence: floa
     name, verdict = fixed_rule(F.col("host"), F.col("path"), rules)
     d = d.withColumn("rule", name).withColumn("fixed", verdict).withColumn("tokens", url_tokens(url, F.col("host"), F.col("path")))
     d = materialise(d.drop("url").withColumn("row", F.monotonically_increasing_id()), "urls")
-    labelled = d.where("fixed is not null").select("tokens", F.col("fixed").alias("verdict"))
+    labelled = d.where("fixed is not null").select("row", "tokens", F.col("fixed").alias("verdict"))
     if labelled.isEmpty():
         return d.select("page_id", "host", "path", "rule", F.lit(otherwise).alias("verdict"), F.lit("default").alias("by"))
     index = materialise(mine(labelled, support, confidence), "index")
