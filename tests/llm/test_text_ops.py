@@ -11,6 +11,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -53,6 +54,61 @@ def test_lm_base_and_modes(spark):
     assert all(r.n_known == 0 and r.base_score == 0 for r in bloom_lm.score(d, empty).collect())
 
 
+def plain_probe(bits, h, levels=len(bloom_lm.LEVELS)):
+    """The level of a hash in a part of the filter, one bit at a time."""
+    def mixed(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB % 2**64
+        return x ^ (x >> 31)
+
+    for level in range(1, levels + 1):
+        a = mixed((h + level * 0x9E3779B97F4A7C15) % 2**64)
+        step = mixed(a) | 1
+        for _ in range(bloom_lm.PROBES):
+            place = (a >> 32) * (8 * len(bits)) >> 32
+            if not bits[place >> 3] >> (place & 7) & 1:
+                return level - 1
+            a = (a + step) % 2**64
+    return levels
+
+
+def test_lm_scores_against_a_plain_filter(spark):
+    rng = np.random.default_rng(12)
+    texts = [*TEXTS, *[" ".join(rng.choice(["the", "cat", "sat", "on", "mat", "dog"], 80)) for _ in range(30)]]
+    d = docs(spark, texts)
+    model = bloom_lm.train(d.where("doc_id % 3 <> 1"))
+    parts = {r["shard"]: bytes(r["bits"]) for r in model.parts.collect()}
+
+    def count(h):
+        part = parts.get(h >> 64 - model.shard_bits)
+        return float(bloom_lm.MIDDLE[plain_probe(part, h)]) if part else 0.0
+
+    end = int(bloom_lm.END)
+    seqs = [[*(xxhash.xxh64_intdigest(w, bloom_lm.SEED) for w in words_of(t)), end] for t in texts]
+    want, exact = {}, Counter(h for k, s in enumerate(seqs) if k % 3 != 1 for h in s)
+    for k, seq in enumerate(seqs):
+        total = 0.0
+        for before, word in zip([end, *seq], seq, strict=False):
+            pair = int(bloom_lm.bigrams(np.array([before, word], np.uint64))[1])
+            c_before, c_word = count(before), count(word)
+            share = min(1.0, (c_word + 1) / (model.n + model.v + 1))
+            total += math.log10((min(count(pair), c_before) + bloom_lm.PRIOR * share) / (c_before + bloom_lm.PRIOR))
+        want[k] = total
+    assert all(count(h) >= bloom_lm.MIDDLE[np.searchsorted(bloom_lm.LEVELS, c, "right")] - 1e-9 for h, c in exact.items())
+    for mode in (1 << 30, 0):
+        got = {r.doc_id: r.score for r in bloom_lm.score(d, model, most_bytes=mode).collect()}
+        assert got == pytest.approx(want, rel=1e-9) and max(got.values()) <= 0
+
+
+def test_word_hashes_of_like_words_differ():
+    a = "ab"
+    for _ in range(10):
+        a += a.translate(str.maketrans("ab", "ba"))
+    words, sizes = bloom_lm.tokens([a + " " + a.translate(str.maketrans("ab", "ba")), "\u00a0x", ""])
+    assert len(a) == 2048 and len(set(words.tolist())) == 4 and sizes.tolist() == [3, 2, 1]
+    assert bloom_lm._logs(np.array([141.4]), np.array([100.0]), np.array([100.0]), 100, 1, np.minimum) <= 1
+
+
 def test_filter_levels_never_fall_short():
     hashes = np.random.default_rng(1).integers(0, 2**63, 3000, dtype=np.uint64)
     counts = np.random.default_rng(2).integers(1, 500, 3000)

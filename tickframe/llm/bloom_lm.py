@@ -8,9 +8,11 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,12 +30,21 @@ MOST_BYTES = 1 << 30
 LEVELS = np.unique(np.floor(2.0 ** (np.arange(100) / 2))).astype(np.int64)
 #: What a level stands for: the middle of its range, in ratio.
 MIDDLE = np.concatenate([[0.0], np.sqrt(LEVELS[:-1] * (LEVELS[1:] - 1.0)), [float(LEVELS[-1])]])
-_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
-_rng = np.random.default_rng(20)
-_LETTERS = _rng.integers(0, 2**64, 256, np.uint64)
-_RADIX = int(_rng.integers(0, 2**61, dtype=np.uint64)) * 8 + 3
 _ONE = np.ones(1, np.uint64)  # a plain 1 beside uint64 would make floats
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+SEED, KNOWN_WORDS = 7, 1_000_000
+
+
+class _Hashes(dict):
+    """XXH64 of words, kept for the words that come again."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        out = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return out
+
+
+_HASHES = _Hashes()
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -45,31 +56,15 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 END = _mixed(np.array([1], np.uint64))[0]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size not in _POWERS:
-        _POWERS.clear()
-        inverse = pow(_RADIX, -1, 2**64)
-        _POWERS[size] = tuple(np.multiply.accumulate(np.concatenate([_ONE, np.full(size - 1, r, np.uint64)])) for r in (_RADIX, inverse))
-    return _POWERS[size]
-
-
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the lower-cased words of all texts, each text followed by END, and the number
-    of tokens of each text. A polynomial over random letters, read off prefix sums of the whole batch."""
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    joined = np.frombuffer(b" ".join([*raw, b""]).lower() or b" ", np.uint8)
-    space = np.concatenate([[True], _SPACE[joined], [True]])
-    starts = np.flatnonzero(space[:-2] & ~space[1:-1])
-    ends = np.flatnonzero(~space[1:-1] & space[2:]) + 1
-    up, down = _powers(len(joined) + 1)
-    sums = np.concatenate([_ONE - _ONE, np.cumsum(_LETTERS[joined] * up[: len(joined)])])
-    words = _mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
-    bounds = np.cumsum([len(x) + 1 for x in raw])
-    text_of = np.searchsorted(bounds, starts, "right")
-    out = np.full(len(words) + len(raw), END, np.uint64)
-    out[np.arange(len(words)) + text_of] = words
-    return out, np.bincount(text_of, minlength=len(raw)) + 1
+    """64-bit hashes (XXH64) of the lower-cased words of all texts, each text followed by END, and the
+    number of tokens of each text. Octets are lowered and split, so A-Z and ASCII white space alone."""
+    split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
+    sizes = np.array([len(x) for x in split], np.int64)
+    words = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(split)), np.uint64, int(sizes.sum()))
+    out = np.full(len(words) + len(texts), END, np.uint64)
+    out[np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)] = words
+    return out, sizes + 1
 
 
 def _portions(texts: pd.Series) -> Iterator[list[str]]:
@@ -151,8 +146,8 @@ def _count(batches: Iterator[pd.DataFrame], shard_bits: int) -> Iterator[pd.Data
             for kind in (0, 1):
                 joined = np.concatenate(have[kind])
                 hashes, counts = _summed(joined, np.ones(len(joined), np.int64))
-                cuts = np.searchsorted(hashes >> np.uint64(64 - shard_bits), np.arange((1 << shard_bits) + 1).astype(np.uint64))
-                rows += [(k, kind, hashes[a:z].tobytes(), counts[a:z].astype("<u4").tobytes()) for k, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
+                shards, cuts = np.unique(hashes >> np.uint64(64 - shard_bits), return_index=True)
+                rows += [(int(k), kind, hashes[a:z].tobytes(), counts[a:z].astype("<u4").tobytes()) for k, a, z in zip(shards, cuts, [*cuts[1:], len(hashes)], strict=True)]
             yield pd.DataFrame(rows, columns=["shard", "kind", "hashes", "counts"])
             have = [[], []]
 
@@ -191,8 +186,9 @@ class Model:
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Counts over all texts of docs (null: empty). Batches are counted where they are read, the
     shuffle moves sorted hashes and counts, and each shard makes its part of the filter; the number
-    of shards follows the number of input partitions, so a shard's size doesn't grow."""
-    shard_bits = int(np.clip(np.ceil(np.log2(4 * max(1, docs.rdd.getNumPartitions()))), 4, 14))
+    of shards follows the number of input partitions, so a shard's size doesn't grow. Where there are
+    more shards than distinct hashes in a batch, a batch sends a row for each of its hashes at most."""
+    shard_bits = int(np.clip(np.ceil(np.log2(4 * max(1, docs.rdd.getNumPartitions()))), 4, 30))
     counted = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(lambda x: _count(x, shard_bits), "shard int, kind int, hashes binary, counts binary")
     parts = materialise(counted.groupBy("shard").applyInPandas(_gather, _PARTS), "lm")
     total = parts.agg(F.sum("n"), F.sum("v"), F.sum("octets")).first()
@@ -231,10 +227,11 @@ def _known(hashes: np.ndarray, words: np.ndarray, often: np.ndarray) -> np.ndarr
     return np.where(words[at] == hashes, often[at], 0).astype(np.int64) if len(words) else np.zeros(len(hashes), np.int64)
 
 
-def _logs(c_pair, c_before, c_word, n: int, v: int):
-    """log10 of the smoothed probability: the pair's count, with PRIOR words' worth of the unigrams
-    (which are smoothed by one) mixed in. Columns or arrays."""
-    return (c_pair + PRIOR * (c_word + 1.0) / (n + v + 1.0)) / (c_before + PRIOR)
+def _logs(c_pair, c_before, c_word, n: int, v: int, least):
+    """The smoothed probability: the pair's count, with PRIOR words' worth of the unigrams (which are
+    smoothed by one) mixed in. Counts are estimates: a pair's is held to its context's, and a word's
+    share to one, so it is a probability. Columns or arrays, with their function `least`."""
+    return (least(c_pair, c_before) + PRIOR * least((c_word + 1.0) / (n + v + 1.0), 0 * c_word + 1.0)) / (c_before + PRIOR)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
@@ -243,7 +240,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     empty table gives an empty result, and an empty training set a uniform model.
 
     base_score uses exact counts of words, held by 64-bit hashes. score uses the filter for all
-    counts, so it may be too high by the filter's few false hits, never by missing ones. Up to
+    counts; a filter has false hits and misses none, so no count is estimated below its level. Up to
     most_bytes the model goes to every node; a larger one stays in its shards, and the distinct
     hashes of the texts are sent there."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -272,7 +269,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 estimated = estimate(distinct)
                 pairs, pair_at = np.unique(bigrams(seq), return_inverse=True)
                 before = np.concatenate([estimate(np.array([END])), estimated[at][:-1]])
-                p = np.log10(_logs(estimate(pairs)[pair_at], before, estimated[at], n, v))
+                p = np.log10(_logs(estimate(pairs)[pair_at], before, estimated[at], n, v, np.minimum))
                 known.append(sizes_of)
                 exact.append(np.add.reduceat((c > 0)[at].astype(np.int64), first))
                 base.append(np.add.reduceat(np.log10((c + 1.0) / (n + v + 1.0))[at], first))
@@ -316,5 +313,5 @@ def _score_sharded(rows: DataFrame, model: Model) -> DataFrame:
         F.count("*").alias("n_tokens"),
         F.sum((F.col("c_w") > 0).cast("long")).alias("n_known"),
         F.sum(F.log10((F.col("c_w") + 1.0) / (n + v + 1.0))).alias("base_score"),
-        F.sum(F.log10(_logs(F.col("e_p"), F.col("e_b"), F.col("e_w"), n, v))).alias("score"),
+        F.sum(F.log10(_logs(F.col("e_p"), F.col("e_b"), F.col("e_w"), n, v, F.least))).alias("score"),
     ).drop("row")

@@ -132,16 +132,16 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = 6000, id_col: str = "d
     return FactorisationMachine().fit(made, got.y.to_numpy(float))
 
 
-def score(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Every row of docs as (all its columns, score): 0 to 1, higher where quality is likelier. Only
-    the text is looked at; a null text counts as empty and an empty one is scored too. The score is in
-    a struct-free column named `quality_score`, which replaces one of that name."""
+def score(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id", text_col: str = "text", out: str = "quality_score") -> DataFrame:
+    """Every row of docs as (all its columns, out): 0 to 1, higher where quality is likelier. Only the
+    text is looked at; a null text counts as empty and an empty one is scored too; repeated rows come
+    back as often as read. The column named by out replaces one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in texts:
-            out = [shared.value.scores([features(t) for t in s.iloc[a : a + 256]]) for a in range(0, len(s), 256)]
-            yield pd.Series(np.concatenate([np.zeros(0), *out]))
+            found = [shared.value.scores([features(t) for t in s.iloc[a : a + 256]]) for a in range(0, len(s), 256)]
+            yield pd.Series(np.concatenate([np.zeros(0), *found]))
 
-    return docs.withColumn("quality_score", of(F.coalesce(F.col(text_col), F.lit(""))))
+    return docs.withColumn(out, of(F.coalesce(F.col(text_col), F.lit(""))))
