@@ -62,6 +62,40 @@ def test_empty_documents(spark, corpus):
         assert stage(spark, docs, corpus).count() == 0
 
 
+def test_clashing_columns_and_no_n_chars(spark, corpus):
+    schema = "doc_id long, text string, quality_score string, row_id string, _row_id string, row_text string, row_spans string, digest int, key string, rep int, fp int, id int, size int, kind int"
+    texts = [(1, "plain words of a text with password=hunter2hunter2 in it"), (1, "plain words of a text with password=hunter2hunter2 in it"), (2, None), (None, "other words"), (3, ""), (4, "x" * 300_000)]
+    docs = spark.createDataFrame([(i, t, "q", "a", "b", "c", "d", 1, "k", 2, 3, 4, 5, 6) for i, t in texts], schema)
+    for name, stage in pipeline.STAGES[:4]:
+        out = stage(spark, docs, corpus)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert all(r[2:] == ("q", "a", "b", "c", "d", 1, "k", 2, 3, 4, 5, 6) for r in rows), name
+    assert sorted(r.text for r in rows if r.doc_id == 1) == ["plain words of a text with [SECRET] in it"] * 2
+    assert pipeline.packing(spark, docs, corpus).count() > len(texts)
+
+
+def test_near_stage_keeps_what_brute_force_keeps(spark, corpus):
+    """Pairs of similarity 0.80 to 0.95, and just below: recall and precision of the stage's decisions."""
+    rng = np.random.default_rng(21)
+    vocabulary, rows = [f"w{i}" for i in range(6000)], []
+    for k in range(90):
+        words = list(rng.choice(vocabulary, int(rng.integers(60, 400))))
+        copy = words.copy()
+        for p in np.linspace(2, len(words) - 8, max(1, int(len(words) * rng.uniform(0.005, 0.035)))).astype(int):
+            copy[p] = f"new{k}x{p}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(copy))]
+    sets = [set(zip(*[t.split()[i:] for i in range(5)], strict=False)) for _, t in rows]
+    linked = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets])
+    similarity = [len(sets[2 * k] & sets[2 * k + 1]) / len(sets[2 * k] | sets[2 * k + 1]) for k in range(90)]
+    assert sum(0.8 <= x < 0.85 for x in similarity) > 8 and sum(0.72 < x < 0.8 for x in similarity) > 4
+    label = np.arange(len(rows))
+    for _ in range(len(rows)):
+        label = np.array([label[linked[i]].min() for i in range(len(rows))])
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    assert sorted(r.doc_id for r in pipeline.near(spark, docs, corpus).select("doc_id").collect()) == sorted(set(label.tolist()))
+
+
 @pytest.mark.parametrize("name", sorted(registered.oracle_sql()))
 def test_sql(spark, name):
     con = duckdb.connect()
