@@ -50,7 +50,9 @@ def dedup_report(df: DataFrame, ts: str = "sip_timestamp", by: Sequence[str] = (
 
 
 def latest(df: DataFrame, by: Sequence[str] = ("ticker",), ts: str = "timestamp", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The newest row of each group; of one time the one of the lowest tiebreak values."""
+    """The newest row of each group; of one time the one of the lowest tiebreak values, and of equal ones
+    the one of the lowest values of its other columns. Rows without a time come last."""
     rest = [c for c in df.columns if c not in by]
-    row = F.max_by(F.struct(*rest), F.struct(ts, *[-F.col(c) for c in tiebreak]))
+    age = F.coalesce(-F.expr(f"timestampdiff(microsecond, timestamp_ntz '1970-01-01', cast(`{ts}` as timestamp_ntz))"), F.lit(2**63 - 1))
+    row = F.min_by(F.struct(*rest), F.struct(age, *tiebreak, *rest))
     return df.groupBy(*by).agg(row.alias("_r")).select(*by, *[F.col(f"_r.{c}").alias(c) for c in rest]).select(*df.columns)

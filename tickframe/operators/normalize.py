@@ -39,10 +39,11 @@ def normalize_minmax(master: DataFrame, n: int = 100, guard: int = 0) -> DataFra
     """Each measure between its lowest and highest of the last n rows and this one, times 5. A flat
     frame (range 0) gives null; guard=1 gives null for a range of exactly 1 as well.
 
-    Rows are framed in blocks with a halo, so a ticker's series is spread over tasks. Within a frame of
+    Rows that carry their number rn along the ticker (see `row_index`) aren't numbered again: number the
+    bars before the joins, so that a master is made once. Rows are framed in blocks with a halo, so a ticker's series is spread over tasks. Within a frame of
     n + 1 rows, extremes are those of a suffix of one stretch of n + 1 rows and of a prefix of the
     next, each a running extreme: a row costs the same for any n."""
-    indexed, over = with_halo(row_index(master), n, max(4096, 8 * (n + 1)))
+    indexed, over = with_halo(master if "rn" in master.columns else row_index(master), n, max(4096, 8 * (n + 1)))
     d = indexed.withColumn("_stretch", F.floor(F.col("rn") / (n + 1)))
     inner = Window.partitionBy("ticker", "_block", "_stretch")
     before = inner.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
@@ -59,4 +60,4 @@ def normalize_minmax(master: DataFrame, n: int = 100, guard: int = 0) -> DataFra
             width = F.nullif(width, F.lit(1.0))
         return round2(5 * F.try_divide(F.col(c) - low, width)).alias(c)
 
-    return d.where("not _halo").select(*[scaled(c) if c in SCALES else F.col(c) for c in master.columns])
+    return d.where("not _halo").select(*[scaled(c) if c in SCALES else F.col(c) for c in master.columns if c != "rn"])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.functions.scalar import minute_of
+from tickframe.operators.sequence import row_index, with_halo
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,12 +93,12 @@ def news(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A light long form: two means and rows of the shape of MACD."""
-    w = Window.partitionBy("ticker").orderBy("timestamp")
+    indexed, w = with_halo(row_index(bars(spark, sf_dir).select("ticker", "timestamp", "close")), 19)
 
     def mean(n: int) -> Column:
         return six(F.avg("close").over(w.rowsBetween(1 - n, 0)))
 
-    d = bars(spark, sf_dir).select("ticker", "timestamp", "close", mean(5).alias("a"), mean(20).alias("b"), mean(9).alias("c"), F.row_number().over(w).alias("n"))
+    d = indexed.select("ticker", "timestamp", "close", mean(5).alias("a"), mean(20).alias("b"), mean(9).alias("c"), (F.col("rn") + 1).alias("n"), "_halo").where("not _halo")
     none = F.lit(None).cast("double")
     value = six(F.col("close") - F.col("b"))
     rows = F.array(

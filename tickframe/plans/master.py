@@ -39,30 +39,32 @@ def _unmatched(df: DataFrame, columns, kind: str) -> DataFrame:
 
 def bar_features(bars: DataFrame, session: str = "day", prev: str = "prev_day", null_target: int | None = 5) -> DataFrame:
     """All that comes from bars alone."""
-    d = W.rounded_prices(bars.select(*_BARS))
+    d = W.rounded_prices(bars.select(*_BARS, *[c for c in ("rn",) if c in bars.columns]))
     d = d.withColumn("volume", impute(F.col("volume"))).withColumn("vwap", round2(impute(F.col("vwap"), 2.0))).withColumn("transactions", impute(F.col("transactions")))
     d = W.daily_range(W.max_price_diff(W.future_close(d, 15, session), 15, session))
     return W.atr(W.true_ranges(W.labels(W.previous_close(d, prev), null_target)), 14, session)
 
 
 def master(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, session: str = "day", unmatched: str = "zero", prev: str = "prev_day") -> DataFrame:
-    """51 columns for each bar. Ticks are aggregated to minutes before they are joined; windows are
-    partitioned by ticker and day, so all days are made in one plan."""
+    """51 columns for each bar, and rn (`row_index`) where bars have it. Ticks are aggregated to minutes
+    before they are joined; windows are partitioned by ticker and day, so all days are made in one plan."""
     wide = joined(bar_features(bars, session, prev), quote_minute(quotes), trade_minute(trades), pivot_indicators(indicators))
-    return _unmatched(wide, (*_QUOTES, *_TRADES, *_INDICATORS), unmatched).select(*MASTER)
+    return _unmatched(wide, (*_QUOTES, *_TRADES, *_INDICATORS), unmatched).select(*MASTER, *[c for c in ("rn",) if c in bars.columns])
 
 
-def master_range(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, start, end, halo_days: int = 10, **options) -> DataFrame:
-    """master of the days from start to end alone. Bars of up to halo_days before are read for the
-    previous day's close (weekends and holidays between); all else is pruned to the days."""
+def master_range(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, start, end, **options) -> DataFrame:
+    """master of the days from start to end alone. Of the bars before, each ticker's last one is taken
+    along for the previous day's close, however long ago it was: a partial aggregate of one row for each
+    ticker. All else is pruned to the days."""
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
 
-    def between(df: DataFrame, ts: str, halo: int = 0) -> DataFrame:
-        low = F.date_sub(first, halo).cast("timestamp_ntz")
-        return df.where((F.col(ts) >= low) & (F.col(ts) < F.date_add(last, 1).cast("timestamp_ntz")))
+    def between(df: DataFrame, ts: str) -> DataFrame:
+        return df.where((F.col(ts) >= first.cast("timestamp_ntz")) & (F.col(ts) < F.date_add(last, 1).cast("timestamp_ntz")))
 
-    out = master(between(bars, "timestamp", halo_days), between(quotes, "sip_timestamp"), between(trades, "sip_timestamp"), between(indicators, "timestamp"), **options)
-    return between(out, "timestamp")
+    rest = [c for c in _BARS if c != "ticker"]
+    earlier = bars.where(F.col("timestamp") < first.cast("timestamp_ntz")).groupBy("ticker").agg(F.max_by(F.struct(*rest), "timestamp").alias("_r"))
+    own = between(bars, "timestamp").select(*_BARS).unionByName(earlier.select("ticker", "_r.*"))
+    return between(master(own, between(quotes, "sip_timestamp"), between(trades, "sip_timestamp"), between(indicators, "timestamp"), **options), "timestamp")
 
 
 def master_view(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame) -> DataFrame:

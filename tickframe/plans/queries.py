@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,12 +16,13 @@ from tickframe.operators import indicators as I
 from tickframe.operators import quality as Q
 from tickframe.operators import ticks as A
 from tickframe.operators.normalize import PASS_THROUGH, SCALES, normalize_minmax, normalize_sigmoid
+from tickframe.operators.sequence import row_index
 from tickframe.plans import fixtures as X
 from tickframe.plans import master as M
 from tickframe.plans.fixtures import r2, r6
 from tickframe.sources import feeds as S
 from tickframe.sources.scratch import new_path
-from tickframe.sources.sinks import append, ensure_table, drop_table, export_sorted, read_table, recreate_table, upsert
+from tickframe.sources.sinks import append, ensure_table, drop_table, export_normalized, read_table, recreate_table, upsert
 from tickframe.streaming import streams as ST
 
 
@@ -245,7 +247,10 @@ def _(d: Data):
 
 @_query("export_sorted", "select ticker, timestamp, close, volume from bars_v")
 def _(d: Data):
-    return export_sorted(d.bars, ["ticker", "timestamp", "close", "volume"])
+    """Written as range-sorted files, and read again."""
+    path = d.new("export")
+    export_normalized(d.bars, path, ["ticker", "timestamp", "close", "volume"])
+    return d.spark.read.parquet(path)
 
 
 @_query("news_by_ticker", "select id, published_utc, tickers from news_v where list_contains(tickers, 'view')")
@@ -376,7 +381,7 @@ _query("master_day", f"{_SMALL} select * from mst where timestamp::date = date '
 )
 _PASS = ", ".join(PASS_THROUGH)
 _query("normalized_sigmoid", f"{_MASTER} select {_PASS}, {', '.join(f'{_sigmoid(c)} as {c}' for c in SCALES)} from mst")(lambda d: normalize_sigmoid(d.master))
-_query("normalized_minmax", f"{_MASTER} select {_PASS}, {', '.join(f'{_minmax(c)} as {c}' for c in SCALES)} from mst {_M100}")(lambda d: normalize_minmax(d.master))
+_query("normalized_minmax", f"{_MASTER} select {_PASS}, {', '.join(f'{_minmax(c)} as {c}' for c in SCALES)} from mst {_M100}")(lambda d: normalize_minmax(M.master(row_index(d.bars), d.quotes, d.trades, d.full)))
 _SOME = ("open", "high", "low", "close", "volume", "vwap", "transactions")
 _query("norm_sigmoid", f"select ticker, timestamp, {', '.join(f'{_sigmoid(c)} as {c}' for c in _SOME)} from bars_v")(lambda d: normalize_sigmoid(d.bars))
 _query("norm_minmax", f"select ticker, timestamp, {', '.join(f'{_minmax(c)} as {c}' for c in _SOME)} from bars_v {_M100}")(lambda d: normalize_minmax(d.bars))
@@ -438,6 +443,16 @@ def _(d: Data):
     return D.dedup_last(read_table(d.spark, path), ["ticker", "timestamp"], ["chunk"]).select(*d.daily.columns)
 
 
+@_query("backfill_indicators", "select * from ind_v where timestamp >= timestamp '2024-01-02' and timestamp <= timestamp '2024-01-25'")
+def _(d: Data):
+    """Weeks loaded one by one, whose closed ranges share their boundaries, then deduplicated by type."""
+    first, path = datetime.date(2024, 1, 2), d.new("backfill")
+    cuts = [first + datetime.timedelta(days=min(7 * k, 23)) for k in range(5)]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        append(S.scan_range(d.light, "timestamp", str(a), str(b)).withColumn("chunk", F.lit(k)), path)
+    return D.dedup_last(read_table(d.spark, path), ["ticker", "timestamp", "indicator_type"], ["chunk"]).select(*d.light.columns)
+
+
 # duplicates
 _KEY = ["ticker", "sip_timestamp"]
 _query("dedup_last", "select * from ticks_dup qualify row_number() over (partition by ticker, sip_timestamp order by ingest_seq desc, sequence_number desc) = 1")(
@@ -556,11 +571,14 @@ _query("stream_norm", f"select sequence_number, ticker, {r2('5 / (1 + exp(-5 * c
 )
 
 
-def _landed(d: Data, df: DataFrame) -> DataFrame:
-    """df as a stream of files."""
+def _landed(d: Data, df: DataFrame, batches: int = 1) -> DataFrame:
+    """df as a stream of files, in so many batches by time."""
     path = d.new("feed")
-    df.write.parquet(path)
-    return d.spark.readStream.schema(df.schema).parquet(path)
+    if batches == 1:
+        df.write.parquet(path)
+        return d.spark.readStream.schema(df.schema).parquet(path)
+    df.repartitionByRange(batches, "timestamp").write.parquet(path)
+    return d.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 @_query("stream_latest", "select * from bars_v qualify row_number() over (partition by ticker order by timestamp desc) = 1", _BARS_SIX)
@@ -570,6 +588,15 @@ def _(d: Data):
     return D.latest(read_table(d.spark, out)).select(*d.bars.columns)
 
 
+@_query("stream_latest_open", """select * from bars_v where isodow(timezone('America/New_York', timezone('UTC', timestamp))) <= 5
+ and timezone('America/New_York', timezone('UTC', timestamp))::time between time '09:30:00' and time '16:00:00' qualify row_number() over (partition by ticker order by timestamp desc) = 1""", _BARS_SIX)
+def _(d: Data):
+    """With the market gate, in several batches."""
+    out = d.new("latest")
+    ST.start_latest(_landed(d, d.bars, 2), out, d.new("state"), available=True).awaitTermination()
+    return D.latest(read_table(d.spark, out)).select(*d.bars.columns)
+
+
 @_query("stream_master", _DEFS["master_view"][1], _DEFS["master_view"][2])
 def _(d: Data):
     out, columns = d.new("master"), M.master_view(d.bars, d.quotes, d.trades, d.light).columns

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -23,31 +26,57 @@ def recreate_table(spark: SparkSession, name: str, schema: str, partition: str |
 
 
 def append(df: DataFrame, path: str, ts: str = "timestamp") -> None:
-    """Add rows to Parquet files by day; an empty frame adds nothing."""
-    if not df.isEmpty():
-        day = df.withColumn("date", F.to_date(ts))
-        order = [c for c in (ts, "ticker") if c in df.columns]
-        day.repartition("date").sortWithinPartitions("date", *order).write.mode("append").partitionBy("date").parquet(path)
+    """Add rows to Parquet files by day; an empty frame adds none. Days of many rows get several files,
+    each sorted by time."""
+    day = df.withColumn("date", F.to_date(ts))
+    order = [c for c in (ts, "ticker") if c in df.columns]
+    day.hint("rebalance", "date").sortWithinPartitions("date", *order).write.mode("append").partitionBy("date").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path).drop("date")
 
 
-def upsert(df: DataFrame, path: str, keys: list[str], ts: str = "timestamp") -> None:
-    """Rows of df replace those of their keys; only the days that df touches are read and written. The
-    new days are staged beside the table first, since a plan can't overwrite what it reads."""
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def upsert(df: DataFrame, path: str, keys: list[str], ts: str = "timestamp", order: Sequence[str] = ()) -> None:
+    """Rows of df replace those of their keys; only the days that df touches are read and written. Of
+    several rows of a key in df the last by `order` stays (any one without it). An empty frame changes
+    nothing.
+
+    The new rows, and then the new days, are staged beside the table first, in a folder of this call's
+    own, since a plan can't overwrite what it reads, and df is evaluated once. Two writers of the same
+    day need a lock of their own: the later one replaces the day."""
     spark = df.sparkSession
-    staged = f"{path.rstrip('/')}_staging"
-    new = df.withColumn("date", F.to_date(ts)).withColumn("_new", F.lit(1))
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path):
-        old = spark.read.parquet(path).join(new.select("date").distinct(), "date", "left_semi").withColumn("_new", F.lit(0))
-        new = new.unionByName(old.select(*new.columns))
-    last = Window.partitionBy(*keys).orderBy(F.col("_new").desc())
-    kept = new.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new")
-    kept.write.mode("overwrite").parquet(staged)
-    spark.read.parquet(staged).repartition("date").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    staged = f"{path.rstrip('/')}_staging-{uuid.uuid4().hex[:12]}"
+    whole = df.withColumn("date", F.to_date(ts))
+    schema = whole.schema
+    try:
+        whole.write.parquet(f"{staged}/new")
+        new = spark.read.schema(schema).parquet(f"{staged}/new")
+        days = [r["date"] for r in new.select("date").distinct().collect()]
+        if not days:
+            return
+        both = new.withColumn("_new", F.lit(1))
+        if _exists(spark, path):
+            known = [d for d in days if d is not None]
+            touched = F.col("date").isin(known) if known else F.lit(False)
+            touched = touched | F.col("date").isNull() if None in days else touched
+            both = both.unionByName(spark.read.schema(schema).parquet(path).where(touched).withColumn("_new", F.lit(0)))
+        last = Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *[F.col(c).desc() for c in order])
+        both.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new").write.parquet(f"{staged}/days")
+        kept = spark.read.schema(schema).parquet(f"{staged}/days").hint("rebalance", "date")
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    finally:
+        _remove(spark, staged)
 
 
 def export_sorted(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -4,9 +4,10 @@ Streams carry `timestamp` columns (watermarks don't take timestamp_ntz); `as_str
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -14,7 +15,7 @@ from tickframe.functions.scalar import concat_codes, last_known, market_hours
 from tickframe.operators.dedup import latest
 from tickframe.operators.normalize import normalize_minmax
 from tickframe.plans.master import master_view
-from tickframe.sources.sinks import read_table, upsert
+from tickframe.sources.sinks import upsert
 
 
 def as_stream_time(df: DataFrame, *columns: str) -> DataFrame:
@@ -104,19 +105,35 @@ def start_master(bars: DataFrame, sources: Callable[[], tuple[DataFrame, DataFra
     return _each(bars, batch, checkpoint, available, interval)
 
 
+def _reaching_back(source: str, rows: DataFrame, n: int) -> DataFrame:
+    """The stored rows from as many days before those of `rows` on as each of its tickers needs for n rows
+    before its first one. The days are doubled until they are enough or there are no more; only tickers
+    and days are read for that."""
+    stored = rows.sparkSession.read.parquet(source)
+    first = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"))
+    start, earliest = rows.agg(F.to_date(F.min("timestamp"))).first()[0], stored.agg(F.min("date")).first()[0]
+    back = 4
+    while True:
+        low = start - dt.timedelta(days=back)
+        before = stored.where(F.col("date") >= F.lit(low)).join(F.broadcast(first), "ticker").where("timestamp < _from").groupBy("ticker").agg(F.count("*").alias("c"))
+        short = first.join(before, "ticker", "left").where(F.coalesce("c", F.lit(0)) < n)
+        if low <= earliest or short.isEmpty():
+            return stored.where(F.col("date") >= F.lit(low))
+        back *= 2
+
+
 def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: int = 100, available: bool = False, interval: str = "1 minute") -> StreamingQuery:
     """Rolling scaling of new master rows: a block is stored at source, then scaled together with the n
-    rows of each ticker before it, and the block's rows replace theirs at out."""
+    rows of each ticker before it, and the block's rows replace theirs at out. Of the stored rows only
+    the days that hold these are read. An empty block changes nothing."""
 
     def batch(rows: DataFrame, _: int) -> None:
         columns = rows.columns
         rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        if rows.isEmpty():
+            return
         upsert(rows, source, ["ticker", "timestamp"])
-        first = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"))
-        stored = read_table(rows.sparkSession, source).select(*columns).join(first, "ticker")
-        back = F.row_number().over(Window.partitionBy("ticker").orderBy(F.col("timestamp").desc()))
-        halo = stored.where("timestamp < _from").withColumn("_n", back).where(F.col("_n") <= n).drop("_n")
-        scaled = normalize_minmax(stored.where("timestamp >= _from").unionByName(halo).drop("_from").select(*columns), n)
+        scaled = normalize_minmax(_reaching_back(source, rows, n).select(*columns), n)
         new = scaled.join(rows.select("ticker", "timestamp"), ["ticker", "timestamp"], "left_semi")
         upsert(new, out, ["ticker", "timestamp"])
 
