@@ -10,6 +10,7 @@ from tickframe.operators import dedup as D
 from tickframe.operators import features as W
 from tickframe.operators import indicators as I
 from tickframe.operators import quality as Q
+from tickframe.operators import sequence
 from tickframe.operators.normalize import normalize_minmax
 from tickframe.operators.sequence import block_scan, row_index, with_halo
 from tickframe.plans.master import MASTER, master
@@ -95,6 +96,17 @@ def test_block_scan_is_the_recursion(spark, size):
         assert values(d, name) == pytest.approx(want, rel=1e-9)
 
 
+def test_block_scan_over_many_stretches(spark, monkeypatch):
+    monkeypatch.setattr(sequence, "STRETCH", 3)
+    xs = [float((i * 37) % 23) for i in range(100)]
+    y, want = None, []
+    for x in xs:
+        y = x if y is None else 0.8 * y + 0.2 * x
+        want.append(y)
+    d = block_scan(bars(spark, xs, step=dt.timedelta(minutes=30)), [("e", "close", 0.2)], 4)
+    assert values(d, "e") == pytest.approx(want, rel=1e-9) and values(d, "rn") == list(range(100))
+
+
 @pytest.mark.parametrize(("block", "step"), [(None, 1), (7, 1), (1, 45), (None, 2000), (3, 700)])
 def test_indicators_are_the_recursions(spark, block, step):
     xs = [100 + float((i * 37) % 23) - float((i * 11) % 7) for i in range(70)]

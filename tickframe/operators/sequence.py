@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Blocks that are folded by themselves.
+STRETCH = 256
+
+
 def row_index(df: DataFrame, ts: str = "timestamp", tiebreak: Sequence[str] = ()) -> DataFrame:
     """df with rn: 0, 1, ... along each ticker's time. Days are counted and summed up (a few rows for
     each ticker), and rows are numbered within their day only."""
@@ -48,18 +52,22 @@ def carry_blocks(d: DataFrame, end: Sequence[Column], zero: Column, step) -> Dat
     """d with `_c`: what is carried into each block. end: columns of a block's last row; zero: what is
     carried into a ticker's first block; step(carried, end) gives what goes into the next one.
 
-    A row per block is folded along each ticker, in one aggregate; the blocks' rows are joined."""
+    A row per block is folded along each ticker; the blocks' rows are joined. The list of blocks is
+    folded by stretches, since a fold copies what it has made so far at every step."""
     ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct(*end), "_i").alias("_end"))
     listed = ends.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct("_b", "_end"))).alias("_ends"))
-    start = F.struct(F.expr("cast(null as struct<_day:date,k:bigint>)").alias("_b"), zero.alias("_c"))
+    none = F.slice(F.array(F.struct(F.expr("cast(null as struct<_day:date,k:bigint>)").alias("_b"), zero.alias("_c"))), 1, 0)
+    cuts = F.sequence(F.lit(0), F.floor((F.size("_ends") - 1) / STRETCH).cast("int"))
+
+    def one(acc: Column, e: Column) -> Column:
+        return F.struct(step(acc["now"], e["_end"]).alias("now"), F.concat(acc["made"], F.array(F.struct(e["_b"].alias("_b"), acc["now"].alias("_c")))).alias("made"))
 
-    def fold(acc: Column, e: Column) -> Column:
-        now = F.element_at(acc, -1)["_c"]
-        own = F.struct(e["_b"].alias("_b"), now.alias("_c"))
-        return F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(own), F.array(F.struct(F.lit(None).cast("struct<_day:date,k:bigint>").alias("_b"), step(now, e["_end"]).alias("_c"))))
+    def stretch(acc: Column, k: Column) -> Column:
+        own = F.aggregate(F.slice("_ends", k * STRETCH + 1, F.lit(STRETCH)), F.struct(acc["now"].alias("now"), none.alias("made")), one)
+        return F.transform(F.array(own), lambda r: F.struct(r["now"].alias("now"), F.concat(acc["made"], F.array(r["made"])).alias("made")))[0]
 
-    carried = listed.select("ticker", F.inline(F.aggregate("_ends", F.array(start), fold))).where("_b is not null")
-    return d.join(carried, ["ticker", "_b"])
+    made = F.aggregate(cuts, F.struct(zero.alias("now"), F.slice(F.array(none), 1, 0).alias("made")), stretch, lambda acc: F.flatten(acc["made"]))
+    return d.join(listed.select("ticker", F.inline(made)), ["ticker", "_b"])
 
 
 def ema_term(x: Column, alpha: float, running) -> Column:
