@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components, smallest_of_component
 from tickframe.llm.simhash import blocked
-from tickframe.llm.storage import materialise
+from tickframe.llm.storage import materialise, sampled
 
 BITS = 64
 TABLES = 4
@@ -139,8 +139,8 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
     null) and dimensions are linked at a cosine of at least `least`, computed in double precision.
 
     Equal vectors of a label are merged first, into classes with numbers of their own: ids only come
-    back in with the answer. Codes are learnt on at most `sample_rows` vectors for
-    all; every vector is indexed in TABLES tables by a part of its code, and a pair is retrieved by
+    back in with the answer. Codes are learnt on about `sample_rows` vectors
+    (twice that at most) for all; every vector is indexed in TABLES tables by a part of its code, and a pair is retrieved by
     any part that differs in at most REACH bits: at a cosine of 0.93 the expected recall is 0.99, and
     higher above (the tests measure it against brute force). All retrieved pairs are reranked by the original
     vectors, so no link is wrong. A label of more than SHARD_ROWS vectors is sharded by the leading
@@ -163,7 +163,8 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
     reps = rows.where("good").groupBy("label", "vector").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
     reps = materialise(reps.withColumn("node", F.monotonically_increasing_id()), "distinct")  # numbers are fixed once written
     named = reps.withColumn("dim", F.size("vector")).drop("rep")
-    sample = named.select("dim", "vector").orderBy(F.xxhash64("label", "vector")).limit(sample_rows).toPandas()
+    total = named.count()
+    sample = sampled(named, sample_rows, total, "label", "vector").select("dim", "vector").toPandas()
     made: dict[int, Quantiser] = {int(d): Quantiser(_unit(np.stack(list(x)).astype(float)), int(d)) for d, x in sample.groupby("dim").vector}
     quantisers = spark.sparkContext.broadcast(made)
 
@@ -176,7 +177,6 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
             yield b.assign(code=codes.view(np.int64), vector=[np.asarray(v).astype(floats).tobytes() for v in b.vector])
 
     coded = materialise(named.mapInPandas(encode, "label string, vector binary, copies long, node long, dim int, code long"), "codes")
-    total = coded.count()
     sizes = coded.groupBy("label").agg(F.count("*").alias("n"))
     depth = F.greatest(F.lit(0), F.least(F.lit(WIDTH), F.ceil(F.log2(F.col("n") / SHARD_ROWS)))).cast("int")
     tables = coded.join(materialise(sizes.select("label", depth.alias("depth")), "labels"), "label").withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(TABLES - 1))))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components, smallest_of_component
-from tickframe.llm.storage import discard, materialise
+from tickframe.llm.storage import discard, materialise, sampled
 
 SEED = 42
 BINS = 128
@@ -201,8 +201,8 @@ def near_duplicates(
     trees: int = 3,
     similarity: float | None = None,
     shard_rows: int = 8192,
-    max_depth: int = 18,
-    sample_rows: int = 1 << 18,
+    max_depth: int = 16,
+    sample_rows: int = 1 << 16,
     leaf_rows: int = LEAF,
 ) -> DataFrame:
     """Every row of docs as (doc_id, fingerprint long, component_id, text_hash): rows whose fingerprints
@@ -214,7 +214,7 @@ def near_duplicates(
 
     Rows of one fingerprint (with a similarity, of one set of shingles) are merged first, so copies of
     any number count once; such a class goes by its fingerprint (or its set's hash), and ids only come
-    back in with the answer. The forest is fitted on at most `sample_rows` fingerprints and routes every
+    back in with the answer. The forest is fitted on about `sample_rows` fingerprints (twice that at most) and routes every
     one; its depth follows the number of different ones, and it is broadcast with at most
     trees * 2**max_depth nodes of 16 bytes. Within its task a shard is split on by vantage points of its
     own down to leaves of leaf_rows, within which all pairs are compared. A shard above 4 * shard_rows is cut into blocks and its pairs of blocks go to
@@ -255,7 +255,7 @@ def near_duplicates(
     named = materialise(named, "classes")
     n = named.count()
     depth = min(max_depth, max(0, math.ceil(math.log2(max(n, 1) / shard_rows))))
-    sample = named.select("fp").orderBy(F.xxhash64("fp")).limit(sample_rows).toPandas().fp.to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
+    sample = sampled(named.select("fp"), sample_rows, n, "fp").toPandas().fp.to_numpy(np.int64).view(np.uint64) if depth else np.zeros(0, np.uint64)
     forest = docs.sparkSession.sparkContext.broadcast(Forest(sample, radius, trees, depth))
 
     def route(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

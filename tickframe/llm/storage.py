@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tickframe.sources.scratch import new_path, shared_dir
 
-__all__ = ["discard", "materialise", "new_path", "shared_dir"]
+__all__ = ["discard", "materialise", "new_path", "sampled", "shared_dir"]
 
 
 def materialise(df: DataFrame, tag: str = "table") -> DataFrame:
@@ -26,3 +27,11 @@ def discard(df: DataFrame) -> None:
         spark = df.sparkSession
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def sampled(df: DataFrame, rows: int, total: int, *columns: str) -> DataFrame:
+    """About `rows` of the `total` rows of df, twice that at most: those whose columns hash below a bound.
+    A plain filter, so no task sends more than its share."""
+    parts = 1 << 40
+    below = parts if total <= rows else parts * rows // total
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(parts)) < F.lit(below)).limit(2 * rows)
