@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components, smallest_of_component
 from tickframe.llm.simhash import blocked
-from tickframe.llm.storage import materialise, sampled
+from tickframe.llm.storage import discard, materialise, sampled
 
 BITS = 64
 TABLES = 4
@@ -188,9 +188,12 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.93, id_col: str = "v
     tables = tables.withColumn("shard", shard.bitwiseAND(F.lit(-TABLES)).bitwiseOR(F.col("t").cast("long")))
     found = blocked(tables, "shard", "node", 4 * SHARD_ROWS).groupBy("shard", "i", "j").applyInPandas(lambda g: _search(g, least, floats), "node long, links long, root long")
     found = materialise(found, "links")
+    discard(coded)
     known = reps.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node", "left")
     known = smallest_of_component(known, connected_components(found.select(F.col("node").alias("src"), F.col("root").alias("dst"))), "node", "rep")
     known = materialise(known.select("label", "vector", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"), "classes")
+    discard(found)
+    discard(reps)
     linked = rows.where("good").join(known, ["label", "vector"]).select("vec_id", "n_links", "component_id")
     alone = rows.where("not good").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
