@@ -21,6 +21,9 @@ BINS = 128
 #: Shingles that the order of the prefix join knows as common, texts that it learns them from, and bits of the map of linked texts.
 COMMON, COMMON_TEXTS, ID_BITS = 500_000, 8192, 1 << 22
 LEAF = 256
+#: How far below the similarity an estimate by sketches may be for a pair to be verified still: over four
+#: standard errors of BINS bins at a similarity of 0.8.
+MARGIN = 0.15
 #: Room for the rounding of a similarity times a count.
 EPS = 1e-9
 
@@ -165,12 +168,14 @@ class Links:
         if self.similarity is not None:
             i, j = np.nonzero(near)
             for k in range(0, len(i), 100_000):
-                x, y = a[i[k : k + 100_000]], b[j[k : k + 100_000]]
-                both, either = self.full[x] & self.full[y], self.full[x] | self.full[y]
-                same = ((self.values[x] == self.values[y]) & both).sum(axis=1)
-                near[i[k : k + 100_000], j[k : k + 100_000]] = same >= self.similarity * either.sum(axis=1)
+                near[i[k : k + 100_000], j[k : k + 100_000]] = self.alike(a[i[k : k + 100_000]], b[j[k : k + 100_000]])
         return near
 
+    def alike(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether the sketches of rows x and y, one by one, show at least the similarity."""
+        both, either = self.full[x] & self.full[y], self.full[x] | self.full[y]
+        return ((self.values[x] == self.values[y]) & both).sum(axis=1) >= self.similarity * either.sum(axis=1)
+
     def roots(self, direct: bool = False) -> np.ndarray:
         """Per row the first row of its component, or if direct the row that the walk reached it from,
         which it has a link with; itself if alone. Linear memory: blocks of comparisons, then a
@@ -210,7 +215,8 @@ def near_duplicates(
     With a similarity, rows are linked if and only if the Jaccard similarity of their whole sets of
     shingles (as 64-bit hashes) is at least that, whatever their fingerprints: the forest's links, less
     those that min-hash sketches estimate as less similar, are verified and group most copies; all pairs
-    between these groups come by a prefix join and are verified too. text_hash is xxhash64 of the whole text.
+    between these groups come by a prefix join and are verified too, but for those whose sketches show
+    less than the similarity by MARGIN (a pair that is similar does so about once in 100,000). text_hash is xxhash64 of the whole text.
 
     Rows of one fingerprint (with a similarity, of one set of shingles) are merged first, so copies of
     any number count once; such a class goes by its fingerprint (or its set's hash), and ids only come
@@ -269,9 +275,11 @@ def near_duplicates(
     discard(routed)
     if similarity is not None:
         edges = _verified(edges, named, source, width, similarity)
-        edges = edges.unionByName(_verified(_beyond(rows, connected_components(edges), similarity), named, source, width, similarity))
+        edges = edges.unionByName(_verified(_likely(_beyond(rows, connected_components(edges), similarity), named, similarity), named, source, width, similarity))
     known = smallest_of_component(named.select("key", "rep"), connected_components(edges), "key", "rep")
-    return rows.join(materialise(known.select("key", "component_id"), "known"), "key").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
+    known = materialise(known.select("key", "component_id"), "known")
+    discard(named)
+    return rows.join(known, "key").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
 
 
 def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -311,6 +319,22 @@ def _beyond(rows: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
     return materialise(pairs.where(fits("n_a", "n_b") & fits("n_b", "n_a")).select(F.col("key_a").alias("src"), F.col("key_b").alias("dst")).distinct(), "pairs")
 
 
+def _likely(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that their sketches don't rule out: passages that many documents share make many pairs
+    of a much lower similarity, whose texts needn't travel."""
+    sketches = named.select("key", "sketch")
+    for end in ("src", "dst"):
+        pairs = pairs.join(sketches.select(F.col("key").alias(end), F.col("sketch").alias(f"sketch_{end}")), end)
+
+    def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            n = len(b)
+            links = Links(np.zeros(2 * n, np.uint64), 0, [*b.sketch_src, *b.sketch_dst], similarity - MARGIN)
+            yield b.loc[links.alike(np.arange(n), n + np.arange(n)) if n else np.zeros(0, bool), ["src", "dst"]]
+
+    return pairs.mapInPandas(likely, "src long, dst long")
+
+
 def _verified(pairs: DataFrame, named: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs of classes (written out) whose whole sets of shingles have the similarity. One text
     travels for each class of a pair: a map of ID_BITS bits keeps others back, and the join those that
