@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -31,20 +31,7 @@ LEVELS = np.unique(np.floor(2.0 ** (np.arange(100) / 2))).astype(np.int64)
 #: What a level stands for: the middle of its range, in ratio.
 MIDDLE = np.concatenate([[0.0], np.sqrt(LEVELS[:-1] * (LEVELS[1:] - 1.0)), [float(LEVELS[-1])]])
 _ONE = np.ones(1, np.uint64)  # a plain 1 beside uint64 would make floats
-SEED, KNOWN_WORDS = 7, 1_000_000
-
-
-class _Hashes(dict):
-    """XXH64 of words, kept for the words that come again."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        out = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return out
-
-
-_HASHES = _Hashes()
+SEED = 7
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -61,7 +48,7 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     number of tokens of each text. Octets are lowered and split, so A-Z and ASCII white space alone."""
     split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
     sizes = np.array([len(x) for x in split], np.int64)
-    words = np.fromiter(map(_HASHES.__getitem__, chain.from_iterable(split)), np.uint64, int(sizes.sum()))
+    words = np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(split), repeat(SEED)), np.uint64, int(sizes.sum()))
     out = np.full(len(words) + len(texts), END, np.uint64)
     out[np.arange(len(words)) + np.repeat(np.arange(len(texts)), sizes)] = words
     return out, sizes + 1
