@@ -18,6 +18,8 @@ LEAST_QUALITY = 0.7
 #: Fingerprints within RADIUS bits, found by TREES trees, group most copies first; all other pairs come by
 #: a prefix join (see `simhash.near_duplicates`), so neither number decides which documents are linked.
 WIDTH, SIMILARITY, RADIUS, TREES = 5, 0.8, 9, 5
+#: Parts in which documents come to the exact index: each costs a commit.
+PARTS = 2
 
 
 def _free(docs: DataFrame, *names: str) -> list[str]:
@@ -68,7 +70,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns come back as they were (those of one of the repeated rows)."""
     ship(spark)
     names = _free(docs, "row_id", "row_text")
-    kept = _named(exact_duplicates(docs).where("kept"), names).distinct()
+    kept = _named(exact_duplicates(docs, batches=PARTS).where("kept"), names).distinct()
     return _keyed(docs, names).join(kept, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
