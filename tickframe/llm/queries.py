@@ -123,6 +123,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _op13_texts(docs: DataFrame) -> DataFrame:
+    """The texts that op13 reads: in one document of ten the words from one on are a repeated stretch. A
+    null id changes nothing."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    d = docs.select("doc_id", "text", F.expr("crc32(cast(doc_id as string)) div 10").alias("g"), F.when(h % 10 == 0, words).alias("words")).withColumn("n", F.size("words"))
+    d = d.withColumn("a", F.when(F.col("n") > 0, F.try_mod("g", F.col("n").cast("long"))).cast("int"))
+    d = d.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    times = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")  # eleven at most
+    repeated = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), F.col("n") - F.col("a"))
+    changed = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), repeated), " ")
+    return d.select("doc_id", F.when(F.col("a").isNotNull(), changed).otherwise(F.col("text")).alias("text"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.periodic import periodic_runs
+
+    found = periodic_runs(_op13_texts(_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("less"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(F.lit(""))
+    d = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return d.select(
+        "doc_id", "n_runs", (-F.col("best.before")).alias("start"), F.col("best.length").alias("length"), (-F.col("best.less")).alias("period"),
+        F.expr("(1000 * best.length) div -best.less").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_itq": op1_itq,
@@ -135,6 +163,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": op8_pieces,
         "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
+        "op13_runs": op13_runs,
     }
 
 
