@@ -115,3 +115,138 @@ def test_op13_query(spark, tmp_path):
     for i, t in rows:
         assert got[i] == plain_op13(i, t)
     assert sum(r[1] > 0 for r in got.values()) > 50
+
+
+# operator 12
+
+
+def tokenizer():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def topical(n=300, seed=2):
+    """Texts of ten topics, each with words of its own among common ones."""
+    rng, common = random.Random(seed), [f"com{i}" for i in range(60)]
+    out = []
+    for i in range(n):
+        own = [f"t{i % 10}x{j}" for j in range(25)]
+        out.append((i, " ".join(rng.choice(own if rng.random() < 0.4 else common) for _ in range(rng.choice([3, 20, 60, 200, 700])))))
+    return out
+
+
+def check_packing(rows, got, capacity):
+    """Every id once, whole, in order, in gapless sequences; returns ids lost to padding."""
+    from tickframe.llm.bpe import Encoder
+
+    encoder, own = Encoder(tokenizer()), {}
+    for r in got:
+        own.setdefault(r.doc_id, []).append(r)
+    assert sorted(own) == sorted(i for i, _ in rows)
+    for doc, text in rows:
+        ids = np.append(encoder.ids(text or ""), 0).astype("<u4")
+        at = 0
+        for p in sorted(own[doc], key=lambda p: p.start):
+            assert (p.start, p.doc_tokens) == (at, len(ids)) and p.length > 0
+            at += p.length
+            assert p.ids_crc32 == zlib.crc32(ids[p.start : at].tobytes())
+        assert at == len(ids)
+    sequences = {}
+    for r in got:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    padding = 0
+    for s in sequences.values():
+        at = 0
+        for p in sorted(s, key=lambda p: p.offset):
+            assert p.offset == at
+            at += p.length
+        assert at <= capacity
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    return padding, sequences
+
+
+@pytest.mark.parametrize("shard", [40, 1024])
+def test_retrieval_packing(spark, shard):
+    from tickframe.llm.retrieval import pack
+
+    rows = [*topical(), (900, ""), (901, None), (902, "same words here " * 40), (903, "same words here " * 40), (904, "long " * 5000)]
+    got = pack(spark.createDataFrame(rows, DOCS).repartition(3), tokenizer(), shard=shard).collect()
+    padding, sequences = check_packing(rows, got, 1024)
+    assert padding == 0
+    short = [s for s in sequences.values() if sum(p.length for p in s) < 1024]
+    assert len(short) <= 10 * 4  # what a task's end leaves
+    pairs = [(a.doc_id % 10, b.doc_id % 10) for s in sequences.values() for a in s for b in s if a.doc_id < b.doc_id < 900]
+    assert sum(a == b for a, b in pairs) / len(pairs) > (0.25 if shard == 40 else 0.5)  # by chance a tenth
+
+
+def test_retrieval_edges(spark):
+    from tickframe.llm.retrieval import pack
+
+    rows = spark.createDataFrame([(1, "a b", 1), (1, "a b", 1), (None, None, 2)], "doc_id long, text string, tokens int")
+    got = pack(rows, tokenizer()).collect()
+    assert sorted((r.doc_id or 0, r.start, r.length, r.doc_tokens) for r in got) == [(0, 0, 1, 1), (1, 0, 3, 3), (1, 0, 3, 3)] or sum(r.length for r in got) == 7
+    assert pack(rows.limit(0), tokenizer()).count() == 0
+    with pytest.raises(ValueError):
+        pack(rows, tokenizer(), capacity=1000)
+
+
+def test_shard_is_greedy_by_plain_bm25():
+    """Each window against plain BM25: the seed is the longest, every next piece the best that fits."""
+    import math
+
+    import pandas as pd
+
+    from tickframe.llm import retrieval as R
+
+    texts = [t for _, t in topical(120, 9)]
+    bags = R._bags(texts)
+    sets = [dict(zip(np.frombuffer(b, "<u4").tolist(), np.frombuffer(t, "u1").tolist(), strict=True)) for _, b, t in bags]
+    held = {b: sum(b in s for s in sets) for s in sets for b in s}
+    n, mean = len(texts), np.mean([len(t.split()) for t in texts])
+
+    def plain(query, doc):
+        out = 0.0
+        for b in sets[query]:
+            if b in sets[doc]:
+                tf, idf = sets[doc][b], math.log(1 + (n - held[b] + 0.5) / (held[b] + 0.5))
+                out += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(texts[doc].split()) / mean))
+        return out
+
+    sizes = [min(1000, 3 * len(t.split())) for t in texts]
+    items = pd.DataFrame({"size": sizes, "buckets": [b for _, b, _ in bags]})
+    items["weights"] = [
+        R.weights(np.frombuffer(t, "u1").astype(float), np.array([held[x] for x in np.frombuffer(b, "<u4").tolist()], float), np.full(len(t), float(w)), n, mean).astype("<f4").tobytes() for w, b, t in bags
+    ]
+    shard, left = R._Shard(items), list(sizes)
+    scores = shard.scores(5)
+    assert np.allclose(scores, [plain(5, d) for d in range(n)], rtol=1e-5)
+    count = 0
+    for window in shard.windows(1024, 0):
+        seed = window[0][0]
+        assert sizes[seed] == max(sizes[d] for d in range(n) if left[d])
+        left[seed] -= window[0][2]
+        gap = 1024 - window[0][2]
+        for item, _, length in window[1:]:
+            open_ = [d for d in range(n) if left[d] and d not in {w[0] for w in window[:1]}]
+            fits = [d for d in open_ if left[d] <= gap] or open_
+            assert plain(seed, item) >= max(plain(seed, d) for d in fits) - 1e-4 and item in fits
+            assert length == min(gap, left[item])
+            left[item] -= length
+            gap -= length
+        assert gap == 0
+        count += 1
+    assert count > 5 and sum(left) < 1024
+    rest = list(shard.rest(1024))
+    assert [sum(p[2] for p in w) for w in rest] == [1 << k for k in reversed(range(10)) if sum(left) >> k & 1]
+
+
+def test_document_counts(spark):
+    from tickframe.llm import retrieval as R
+
+    texts = [t for _, t in topical(50)]
+    made = R.features(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3), tokenizer(), "doc_id", "text", 1024)
+    want = np.zeros(R.BUCKETS, np.int64)
+    for _, b, _ in R._bags(texts):
+        want[np.frombuffer(b, "<u4")] += 1
+    assert np.array_equal(R.document_counts(made), want)

@@ -123,6 +123,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op12_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from tickframe.llm.retrieval import pack
+
+    return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def _op13_texts(docs: DataFrame) -> DataFrame:
     """The texts that op13 reads: in one document of ten the words from one on are a repeated stretch. A
     null id changes nothing."""
@@ -163,6 +171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": op8_pieces,
         "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
+        "op12_retrieval": op12_retrieval,
         "op13_runs": op13_runs,
     }
 
