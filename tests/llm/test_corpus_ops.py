@@ -250,3 +250,93 @@ def test_document_counts(spark):
     for _, b, _ in R._bags(texts):
         want[np.frombuffer(b, "<u4")] += 1
     assert np.array_equal(R.document_counts(made), want)
+
+
+# operator 11
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("kind,d", [("flat", 1), ("flat", 5), ("flat", 9), ("flat", 40), ("flat", 200), ("decay", 200), ("rank", 60), ("equal", 120), ("none", 30)])
+def test_jacobi_davidson(kind, d):
+    from tickframe.llm.whitening import jacobi_davidson
+
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(1000, d))
+    if kind == "decay":
+        x = x * 0.8 ** np.arange(d)
+    elif kind == "rank":
+        x = rng.normal(size=(1000, 3)) @ rng.normal(size=(3, d))
+    elif kind == "equal":  # twelve equal ones at the top
+        x = np.linalg.qr(x)[0] * np.where(np.arange(d) < 12, 3.0, 1.0)
+    elif kind == "none":
+        x = x * 0
+    c = x.T @ x / len(x)
+    got, want = jacobi_davidson(lambda u: x.T @ (x @ u) / len(x), d, 8), np.linalg.eigvalsh(c)[::-1][:8]
+    scale = max(want[0], 1e-300)
+    assert np.abs(got.values - want).max() <= 1e-13 * scale and got.residuals.max() <= 1e-12 * scale
+    assert np.abs(got.vectors.T @ got.vectors - np.eye(len(want))).max() < 1e-13
+    assert np.abs(c @ got.vectors - got.vectors * got.values).max() <= 1e-12 * scale
+
+
+def test_minres():
+    from tickframe.llm.whitening import minres
+
+    rng = np.random.default_rng(0)
+    a = rng.normal(size=(30, 30))
+    a = a + a.T  # indefinite
+    b = np.concatenate([rng.normal(size=(30, 3)), np.zeros((30, 1))], 1)
+    assert np.allclose(a @ minres(lambda v: a @ v, b, 1e-12, 200), b, atol=1e-8)
+
+
+def plain_whitening(rows):
+    good = [(i, [float(x) for x in v]) for i, v, _ in rows if v and all(x is not None and np.isfinite(x) for x in v)]
+    x = np.array([[int(np.floor(1024 * c)) + 100000 for c in v] for _, v in good], dtype=object)
+    n, s = len(x), x.sum(0)
+    deviation = ((n * x - s) ** 2).sum(1)
+    centred = (n * x - s).astype(float) / n
+    e, u = np.linalg.eigh(centred.T @ centred / n)
+    e, u = e[::-1][:8], u[:, ::-1][:, :8]
+    return [i for i, _ in good], n, deviation, centred @ u / np.sqrt(e), e / (centred**2).sum() * n
+
+
+def embedded(n=400, d=20):
+    rng = np.random.default_rng(4)
+    v = (rng.normal(size=(n, d)) * 0.9 ** np.arange(d) + 3).astype(np.float32)
+    return [(i * 3, v[i].tolist(), 0) for i in range(n)]
+
+
+def test_whitening_against_plain(spark, monkeypatch):
+    from tickframe.llm import whitening as W
+
+    monkeypatch.setattr(W, "BLOCK", 8 * 20 * 50)
+    rows = [*embedded(), (7, None, 0), (8, [], 0), (9, [None] + [1.0] * 19, 0), (10, [float("nan")] * 20, 0), (11, [float("inf")] * 20, 0), (13, [1.0] * 3, 1), (None, [3.0] * 20, 0), (0, [2.5] * 20, 1)]
+    got = W.whiten(spark.createDataFrame(rows, VECTORS).repartition(3)).collect()
+    ids, n, deviation, whitened, explained = plain_whitening([r for r in rows if r[0] != 13])
+    want = {}
+    for i, d, z in zip(ids, deviation, whitened, strict=True):
+        want.setdefault(i, []).append((d, z))
+    assert len(got) == 8 * len(ids) and {r.vec_id for r in got} == set(ids)
+    signs = {}
+    for r in got:
+        assert r.n == n and r.identity_error < 1e-10 and abs(r.explained - explained[r.component - 1]) < 1e-12
+        near = [z[r.component - 1] for d, z in want[r.vec_id] if d == r.deviation]
+        assert min(abs(abs(z) - abs(r.whitened)) for z in near) < 1e-9
+        if len(near) == 1 and abs(near[0]) > 1e-3:
+            signs.setdefault(r.component, set()).add(near[0] * r.whitened > 0)
+    assert all(len(s) == 1 for s in signs.values())  # one sign for all rows
+
+
+def test_whitening_edges(spark):
+    from tickframe.llm.whitening import whiten
+
+    def run(rows):
+        return whiten(spark.createDataFrame(rows, VECTORS)).collect()
+
+    assert run([]) == [] and run([(1, None, 0)]) == []
+    one = run([(1, [1.0, 2.0], 0)])
+    assert [(r.component, r.n, r.deviation, r.whitened, r.explained, r.identity_error) for r in one] == [(1, 1, 0, None, None, None), (2, 1, 0, None, None, None)]
+    flat = sorted(run([(1, [0.0, 5.0], 0), (2, [1.0, 5.0], 0), (2, [1.0, 5.0], 0)]), key=repr)
+    assert [r.whitened is None for r in sorted(flat, key=lambda r: r.component)] == [False] * 3 + [True] * 3
+    big = run([(1, [1e12, 0.0], 0), (2, [-1e12, 1.0], 0), (3, [0.0, 2.0], 0)])  # beyond a long's range
+    assert {r.vec_id: r.deviation is None for r in big} == {1: True, 2: True, 3: False} and all(r.identity_error < 1e-9 for r in big)

@@ -123,6 +123,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickframe.llm.whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op12_retrieval(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -171,6 +177,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_pieces": op8_pieces,
         "op9_token_counts": op9_token_counts,
         "op10_simhash": op10_simhash,
+        "op11_whitening": op11_whitening,
         "op12_retrieval": op12_retrieval,
         "op13_runs": op13_runs,
     }
