@@ -274,7 +274,10 @@ def _weightiest(doc: np.ndarray, own: np.ndarray, weight: np.ndarray, n: int) ->
     """For each document the bucket of the greatest weight above 0 (of equal ones the lowest), or -1."""
     out = np.full(n, -1, np.int32)
     doc, own, weight = doc[weight > 0], own[weight > 0], weight[weight > 0]
-    order = np.lexsort((own, -weight, doc))
-    first = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])] if len(order) else order
-    out[doc[first]] = own[first]
+    if len(doc):
+        first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        best = np.repeat(np.maximum.reduceat(weight, first), np.diff(np.append(first, len(doc))))
+        at = np.flatnonzero(weight == best)  # buckets are in order within a document
+        at = at[np.concatenate([[True], doc[at][1:] != doc[at][:-1]])]
+        out[doc[at]] = own[at]
     return out
