@@ -116,3 +116,82 @@ def test_master_range_reaches_back_over_a_gap(spark):
     got = master_range(all_bars, quotes, trades, indicators, day, day).orderBy("timestamp").collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in master(all_bars, quotes, trades, indicators).where(f"timestamp >= '{day}'").orderBy("timestamp").collect()]
     assert [r.previous_close for r in got] == [11.0, 11.0]
+
+
+def test_extremes_against_plain():
+    import numpy as np
+
+    from tickframe.streaming.rolling import extremes
+
+    rng = np.random.default_rng(0)
+    for rows, n in ((1, 0), (1, 5), (7, 0), (7, 3), (30, 4), (101, 100), (250, 100)):
+        v = rng.integers(0, 9, (rows, 3)).astype(float)
+        v[rng.random((rows, 3)) < 0.2] = np.nan
+        low, high = extremes(v, n)
+        for i in range(rows):
+            for c in range(3):
+                frame = v[max(0, i - n) : i + 1, c]
+                frame = frame[~np.isnan(frame)]
+                want = (frame.min(), frame.max()) if len(frame) else (None, None)
+                assert want == (None if np.isnan(low[i, c]) else low[i, c], None if np.isnan(high[i, c]) else high[i, c])
+
+
+def minmax_state(stream, tmp_path, **more):
+    ST.start_minmax_state(stream, f"{tmp_path}/out", f"{tmp_path}/state", available=True, **more).awaitTermination()
+
+
+def test_minmax_state_takes_late_rows_and_restarts(spark, tmp_path):
+    """Rows come shuffled over batches, a correction and a new ticker among them; the query restarts
+    between batches; stored rows aren't there to be read."""
+    import random
+
+    xs = [float((i * 29) % 31) for i in range(60)]
+    minute = dt.timedelta(minutes=1)
+    whole = [("A", FRIDAY + minute * i, x, x, x, x, int(x), None, i % 3) for i, x in enumerate(xs)] + [("B", FRIDAY + minute * i, 2.0, 3.0, 1.0, x, 4, x, None) for i, x in enumerate(xs[:25])]
+    order = sorted(range(len(whole)), key=lambda i: (whole[i][1] - FRIDAY).seconds // 60 + random.Random(i).uniform(0, 14))  # up to 14 minutes late
+    path, stream = landing(spark, tmp_path, "in")
+    stream = ST.as_stream_time(stream, "timestamp")
+    for k in range(0, len(order), 17):
+        part = [whole[i] for i in order[k : k + 17]]
+        if k:
+            part.append((*part[0][:2], 30.0, *part[0][3:]))  # its row is replaced in a batch
+            whole[order[k]] = part.pop(0)[:2] + (30.0,) + whole[order[k]][3:]
+        spark.createDataFrame(part, S.BARS).coalesce(1).write.mode("append").parquet(path)
+        minmax_state(stream, tmp_path, n=10)
+    fixed = ("A", FRIDAY + minute * 50, 0.5, 40.0, 0.5, 0.5, 1, 7.0, 1)
+    spark.createDataFrame([fixed], S.BARS).coalesce(1).write.mode("append").parquet(path)
+    minmax_state(stream, tmp_path, n=10)
+    want = normalize_minmax(spark.createDataFrame([r for r in whole if r[:2] != fixed[:2]] + [fixed], S.BARS), 10)
+    got = read_table(spark, f"{tmp_path}/out").select(*want.columns)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_minmax_state_keeps_what_is_too_late_apart(spark, tmp_path):
+    path, stream = landing(spark, tmp_path, "in")
+    stream = ST.as_stream_time(stream, "timestamp")
+    early = FRIDAY - dt.timedelta(minutes=30)
+    for part in (bars(spark, [1.0, 4.0, 2.0]), bars(spark, [9.0], early), bars(spark, [3.0], FRIDAY + dt.timedelta(minutes=3))):
+        part.coalesce(1).write.mode("append").parquet(path)
+        minmax_state(stream, tmp_path, n=2, late=f"{tmp_path}/late")
+    assert [x[1:] for x in closes(read_table(spark, f"{tmp_path}/late"))] == [(early, 9.0)]
+    assert closes(read_table(spark, f"{tmp_path}/out")) == closes(normalize_minmax(bars(spark, [1.0, 4.0, 2.0, 3.0]), 2))
+
+
+def test_minmax_state_expires(spark, tmp_path):
+    import time
+
+    path, stream = landing(spark, tmp_path, "in")
+    stream = ST.as_stream_time(stream, "timestamp")
+    run = lambda **more: ST.start_minmax_state(stream, f"{tmp_path}/out", f"{tmp_path}/state", n=5, ttl=dt.timedelta(seconds=1), **more)
+    with pytest.raises(ValueError):
+        run(available=True)
+    for k, part in enumerate((bars(spark, [1.0, 4.0]), bars(spark, [2.0], FRIDAY + dt.timedelta(minutes=2)))):
+        part.coalesce(1).write.mode("append").parquet(path)
+        query, until = run(interval="1 second"), time.time() + 60
+        try:
+            while time.time() < until and sum(p.numInputRows for p in query.recentProgress) < 2 - k:
+                time.sleep(0.5)
+        finally:
+            query.stop()
+        time.sleep(2)
+    assert [x[2] for x in closes(read_table(spark, f"{tmp_path}/out"))] == [None, 5.0, None]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.scalar import round2, sigmoid
@@ -35,6 +35,14 @@ def normalize_sigmoid(master: DataFrame) -> DataFrame:
     return master.select(*[sigmoid(F.col(c).cast("double"), SCALES[c]).alias(c) if c in SCALES else F.col(c) for c in master.columns])
 
 
+def between(c: Column, low: Column, high: Column, guard: int = 0) -> Column:
+    """Where c is between low and high, 0 to 5; null where these are equal (guard=1: or one apart)."""
+    width = (high - low).cast("double")
+    if guard == 1:
+        width = F.nullif(width, F.lit(1.0))
+    return round2(5 * F.try_divide(c - low, width))
+
+
 def normalize_minmax(master: DataFrame, n: int = 100, guard: int = 0) -> DataFrame:
     """Each measure between its lowest and highest of the last n rows and this one, times 5. A flat
     frame (range 0) gives null; guard=1 gives null for a range of exactly 1 as well.
@@ -53,11 +61,5 @@ def normalize_minmax(master: DataFrame, n: int = 100, guard: int = 0) -> DataFra
     d = d.withColumns({f"_s_{c}": F.struct(F.min(c).over(after).alias("lo"), F.max(c).over(after).alias("hi")) for c in measures})
     d = d.withColumns({f"_s_{c}": F.lag(f"_s_{c}", n).over(over) for c in measures})
 
-    def scaled(c: str):
-        low, high = F.least(F.col(f"_p_{c}.lo"), F.col(f"_s_{c}.lo")), F.greatest(F.col(f"_p_{c}.hi"), F.col(f"_s_{c}.hi"))
-        width = (high - low).cast("double")
-        if guard == 1:
-            width = F.nullif(width, F.lit(1.0))
-        return round2(5 * F.try_divide(F.col(c) - low, width)).alias(c)
-
-    return d.where("not _halo").select(*[scaled(c) if c in SCALES else F.col(c) for c in master.columns if c != "rn"])
+    low, high = (lambda c: F.least(F.col(f"_p_{c}.lo"), F.col(f"_s_{c}.lo"))), (lambda c: F.greatest(F.col(f"_p_{c}.hi"), F.col(f"_s_{c}.hi")))
+    return d.where("not _halo").select(*[between(F.col(c), low(c), high(c), guard).alias(c) if c in SCALES else F.col(c) for c in master.columns if c != "rn"])

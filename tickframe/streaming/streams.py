@@ -13,9 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickframe.functions.scalar import concat_codes, last_known, market_hours
 from tickframe.operators.dedup import latest
-from tickframe.operators.normalize import normalize_minmax
+from tickframe.operators.normalize import SCALES, between, normalize_minmax
 from tickframe.plans.master import master_view
-from tickframe.sources.sinks import upsert
+from tickframe.sources.sinks import append, upsert
+from tickframe.streaming.rolling import rolling_extremes
 
 
 def as_stream_time(df: DataFrame, *columns: str) -> DataFrame:
@@ -138,3 +139,31 @@ def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: i
         upsert(new, out, ["ticker", "timestamp"])
 
     return _each(master, batch, checkpoint, available, interval)
+
+
+def start_minmax_state(
+    master: DataFrame, out: str, checkpoint: str, n: int = 100, delay: dt.timedelta = dt.timedelta(minutes=15), guard: int = 0, late: str | None = None, ttl: dt.timedelta | None = None,
+    available: bool = False, interval: str = "1 minute",
+) -> StreamingQuery:
+    """Rolling scaling whose frames are kept as state: no stored row is read. A row may come `delay` after
+    its ticker's newest one; it and the n rows after it replace theirs at out, so out is what
+    `normalize_minmax` makes of all rows. What comes later than that is added to the table `late`, if one is
+    named, and is in no frame. With ttl the state of a ticker without rows for so long goes (Spark then looks
+    at the clock in batches without rows, so the query can't end by itself). A ticker's state is its last n
+    rows and those of the delay."""
+    if ttl is not None and available:
+        raise ValueError("a query whose state expires by the clock never runs out of work")
+    columns, measures = master.columns, [c for c in master.columns if c in SCALES]
+    framed = rolling_extremes(master, n, measures, int(delay.total_seconds() * 1e6), None if ttl is None else int(ttl.total_seconds() * 1000))
+
+    def batch(rows: DataFrame, _: int) -> None:
+        rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).persist()
+        try:
+            if late:
+                append(rows.where("_late").select(*columns), late)
+            scaled = [between(F.col(c), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"), guard).alias(c) if c in measures else F.col(c) for c in columns]
+            upsert(rows.where("not _late").select(*scaled), out, ["ticker", "timestamp"])
+        finally:
+            rows.unpersist()
+
+    return _each(framed, batch, checkpoint, available, interval)
