@@ -93,6 +93,29 @@ def test_minmax_in_batches(spark, tmp_path, days):
     assert closes(read_table(spark, f"{tmp_path}/out")) == closes(normalize_minmax(whole, 10))
 
 
+def test_minmax_after_late_rows_and_new_tickers(spark, tmp_path):
+    """Rows days late change those after them; a new ticker doesn't widen what is read."""
+    xs, hour = [float((i * 29) % 31) for i in range(90)], dt.timedelta(hours=9)
+    whole = bars(spark, xs, step=hour).collect()
+    path, stream = landing(spark, tmp_path, "in")
+    late = {3, 20, 21, 40}
+    parts = [[i for i in range(45) if i not in late], [i for i in range(45, 90)], sorted(late)]
+    for part in parts:
+        spark.createDataFrame([whole[i] for i in part], S.BARS).coalesce(1).write.mode("append").parquet(path)
+    run = lambda: ST.start_minmax(stream, f"{tmp_path}/rows", f"{tmp_path}/out", f"{tmp_path}/state", n=10, available=True).awaitTermination()
+    run()
+    new = bars(spark, [5.0, 6.0], FRIDAY + hour * 89, "NEW")
+    new.coalesce(1).write.mode("append").parquet(path)
+    run()
+    want = normalize_minmax(spark.createDataFrame(whole, S.BARS).unionByName(new), 10)
+    assert closes(read_table(spark, f"{tmp_path}/out")) == closes(want)
+    near = ST._affected(f"{tmp_path}/rows", new.unionByName(spark.createDataFrame(whole[89:], S.BARS)), 10)
+    assert near.where("ticker = 'A'").count() == 11 and near.where("ticker = 'NEW'").count() == 2
+    assert min(r.timestamp for r in near.collect()) == whole[79].timestamp
+    plan = ST._affected(f"{tmp_path}/rows", new, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and str((FRIDAY + hour * 89).date() - dt.timedelta(days=1)) in plan  # a day before, no more
+
+
 def test_master_in_batches_and_late_rows(spark, tmp_path):
     quotes, trades, indicators = (spark.createDataFrame([], s) for s in (S.QUOTES, S.TRADES, S.INDICATORS))
     path, stream = landing(spark, tmp_path, "in")

@@ -604,10 +604,37 @@ def _(d: Data):
     return read_table(d.spark, out).select(*columns)
 
 
+def _shuffled(d: Data, df: DataFrame, cuts: tuple[str, ...], late: str = "pmod(xxhash64(ticker, timestamp), 7) = 0") -> DataFrame:
+    """df as a stream of one file a batch: parts by time at the cuts, of which the late rows come one part later."""
+    path = d.new("feed")
+    part = sum((F.col("timestamp") >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts) + F.when(F.expr(late), 1).otherwise(0)
+    for k in range(len(cuts) + 2):
+        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
+    return d.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+_CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
 @_query("stream_minmax", _DEFS["norm_minmax"][1])
 def _(d: Data):
+    """Several batches, each with late rows of the one before."""
     out = d.new("minmax")
-    ST.start_minmax(_landed(d, d.bars), d.new("rows"), out, d.new("state"), available=True).awaitTermination()
+    ST.start_minmax(_shuffled(d, d.bars, _CUTS), d.new("rows"), out, d.new("state"), available=True).awaitTermination()
+    return read_table(d.spark, out).select(*d.bars.columns)
+
+
+@_query("stream_minmax_state", _DEFS["norm_minmax"][1])
+def _(d: Data):
+    """The same by state: all batches but the last, and the last after a restart."""
+    out, state = d.new("minmax"), d.new("state")
+    path = d.new("feed")
+    part = sum((F.col("timestamp") >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in _CUTS) + F.expr("if(pmod(xxhash64(ticker, timestamp), 7) = 0, 1, 0)")
+    for parts in ((0, 1, 2), (3, 4)):
+        for k in parts:
+            d.bars.where(part == k).coalesce(1).write.mode("append").parquet(path)
+        feed = ST.as_stream_time(d.spark.readStream.schema(d.bars.schema).option("maxFilesPerTrigger", 1).parquet(path), "timestamp")
+        ST.start_minmax_state(feed, out, state, delay=datetime.timedelta(days=20), available=True).awaitTermination()
     return read_table(d.spark, out).select(*d.bars.columns)
 
 

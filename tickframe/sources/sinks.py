@@ -37,7 +37,7 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path).drop("date")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
@@ -66,7 +66,7 @@ def upsert(df: DataFrame, path: str, keys: list[str], ts: str = "timestamp", ord
         if not days:
             return
         both = new.withColumn("_new", F.lit(1))
-        if _exists(spark, path):
+        if exists(spark, path):
             known = [d for d in days if d is not None]
             touched = F.col("date").isin(known) if known else F.lit(False)
             touched = touched | F.col("date").isNull() if None in days else touched

@@ -7,7 +7,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,7 +15,7 @@ from tickframe.functions.scalar import concat_codes, last_known, market_hours
 from tickframe.operators.dedup import latest
 from tickframe.operators.normalize import SCALES, between, normalize_minmax
 from tickframe.plans.master import master_view
-from tickframe.sources.sinks import append, upsert
+from tickframe.sources.sinks import append, exists, upsert
 from tickframe.streaming.rolling import rolling_extremes
 
 
@@ -106,37 +106,64 @@ def start_master(bars: DataFrame, sources: Callable[[], tuple[DataFrame, DataFra
     return _each(bars, batch, checkpoint, available, interval)
 
 
-def _reaching_back(source: str, rows: DataFrame, n: int) -> DataFrame:
-    """The stored rows from as many days before those of `rows` on as each of its tickers needs for n rows
-    before its first one. The days are doubled until they are enough or there are no more; only tickers
-    and days are read for that."""
+def _firsts(source: str, rows: DataFrame) -> DataFrame:
+    """(ticker, first): the first day of every ticker of the table at source, of which `rows` are part. It is
+    kept beside the table, to which a row is added for a new ticker or an earlier day."""
+    spark, path = rows.sparkSession, f"{source.rstrip('/')}_firsts"
+    if exists(spark, path):
+        known = spark.read.parquet(path).groupBy("ticker").agg(F.min("first").alias("first"))
+        own = rows.groupBy("ticker").agg(F.to_date(F.min("timestamp")).alias("own")).join(known, "ticker", "left")
+        new = own.where("first is null or own < first").select("ticker", F.col("own").alias("first"))
+    else:
+        new = spark.read.parquet(source).groupBy("ticker").agg(F.to_date(F.min("timestamp")).alias("first"))
+    new.write.mode("append").parquet(path)
+    return spark.read.parquet(path).groupBy("ticker").agg(F.min("first").alias("first"))
+
+
+def _affected(source: str, rows: DataFrame, n: int) -> DataFrame:
+    """The stored rows that `rows`, which are among them, may change (`_changed`), and those that these need:
+    of each ticker of `rows` all from its first to its last row there, n after and n before.
+
+    Days are read on from these rows' own both ways, twice as many each time, until every ticker has enough
+    or no more: before its first day (`_firsts`), or after the table's last, it has none. So a new ticker
+    doesn't widen what is read. Only tickers and times are read for that."""
     stored = rows.sparkSession.read.parquet(source)
-    first = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"))
-    start, earliest = rows.agg(F.to_date(F.min("timestamp"))).first()[0], stored.agg(F.min("date")).first()[0]
-    back = 4
+    ends = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to")).join(_firsts(source, rows), "ticker")
+    low, high = ends.agg(F.to_date(F.min("_from")), F.to_date(F.max("_to"))).first()
+    last, back, ahead = stored.agg(F.max("date")).first()[0], 1, 1
     while True:
-        low = start - dt.timedelta(days=back)
-        before = stored.where(F.col("date") >= F.lit(low)).join(F.broadcast(first), "ticker").where("timestamp < _from").groupBy("ticker").agg(F.count("*").alias("c"))
-        short = first.join(before, "ticker", "left").where(F.coalesce("c", F.lit(0)) < n)
-        if low <= earliest or short.isEmpty():
-            return stored.where(F.col("date") >= F.lit(low))
-        back *= 2
+        start, end = low - dt.timedelta(days=back), high + dt.timedelta(days=ahead)
+        days = stored.where(F.col("date").between(F.lit(start), F.lit(end))).join(ends, "ticker")
+        has = days.groupBy("ticker", "first").agg(F.count_if(F.col("timestamp") < F.col("_from")).alias("before"), F.count_if(F.col("timestamp") > F.col("_to")).alias("after"))
+        short = has.agg(F.count_if((F.col("before") < n) & (F.col("first") < F.lit(start))), F.count_if(F.col("after") < n)).first()
+        more = bool(short[0]), bool(short[1]) and end < last
+        if not any(more):
+            break
+        back, ahead = back * (1 + more[0]), ahead * (1 + more[1])
+    side = F.when(F.col("timestamp") < F.col("_from"), -1).when(F.col("timestamp") > F.col("_to"), 1).otherwise(0)
+    away = F.when(F.col("_side") < 0, -1).otherwise(1) * F.unix_micros(F.col("timestamp").cast("timestamp"))
+    near = days.withColumn("_side", side).withColumn("_n", F.row_number().over(Window.partitionBy("ticker", "_side").orderBy(away)))
+    return near.where((F.col("_side") == 0) | (F.col("_n") <= n)).withColumn("_changed", F.col("_side") >= 0).drop("_from", "_to", "first", "_side", "_n")
 
 
 def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: int = 100, available: bool = False, interval: str = "1 minute") -> StreamingQuery:
-    """Rolling scaling of new master rows: a block is stored at source, then scaled together with the n
-    rows of each ticker before it, and the block's rows replace theirs at out. Of the stored rows only
-    the days that hold these are read. An empty block changes nothing."""
+    """Rolling scaling of new master rows, however late: a block is stored at source, and its rows and the n
+    of each ticker after them, which they may change, are scaled together with the n before and replace
+    theirs at out. Of the stored rows only the days that hold these are read. An empty block changes
+    nothing. (`start_minmax_state` reads no stored row, for rows that are late by a bounded time.)"""
 
     def batch(rows: DataFrame, _: int) -> None:
         columns = rows.columns
-        rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-        if rows.isEmpty():
-            return
-        upsert(rows, source, ["ticker", "timestamp"])
-        scaled = normalize_minmax(_reaching_back(source, rows, n).select(*columns), n)
-        new = scaled.join(rows.select("ticker", "timestamp"), ["ticker", "timestamp"], "left_semi")
-        upsert(new, out, ["ticker", "timestamp"])
+        rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).persist()
+        try:
+            if rows.isEmpty():
+                return
+            upsert(rows, source, ["ticker", "timestamp"])
+            near = _affected(source, rows, n)
+            scaled = normalize_minmax(near.select(*columns), n)
+            upsert(scaled.join(near.where("_changed").select("ticker", "timestamp"), ["ticker", "timestamp"], "left_semi"), out, ["ticker", "timestamp"])
+        finally:
+            rows.unpersist()
 
     return _each(master, batch, checkpoint, available, interval)
 
