@@ -200,17 +200,18 @@ def test_shard_is_greedy_by_plain_bm25():
     from tickframe.llm import retrieval as R
 
     texts = [t for _, t in topical(120, 9)]
-    bags = R._bags(texts)
+    bags = words_of(texts)
     sets = [dict(zip(np.frombuffer(b, "<u4").tolist(), np.frombuffer(t, "u1").tolist(), strict=True)) for _, b, t in bags]
     held = {b: sum(b in s for s in sets) for s in sets for b in s}
-    n, mean = len(texts), np.mean([len(t.split()) for t in texts])
+    n, sizes_of = len(texts), [b[0] for b in bags]
+    mean = np.mean(sizes_of)
 
     def plain(query, doc):
         out = 0.0
         for b in sets[query]:
             if b in sets[doc]:
                 tf, idf = sets[doc][b], math.log(1 + (n - held[b] + 0.5) / (held[b] + 0.5))
-                out += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(texts[doc].split()) / mean))
+                out += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * sizes_of[doc] / mean))
         return out
 
     sizes = [min(1000, 3 * len(t.split())) for t in texts]
@@ -241,13 +242,27 @@ def test_shard_is_greedy_by_plain_bm25():
     assert [sum(p[2] for p in w) for w in rest] == [1 << k for k in reversed(range(10)) if sum(left) >> k & 1]
 
 
+def words_of(texts):
+    from tickframe.llm import retrieval as R
+
+    encoder, _, words = R._encoder(tokenizer())
+    return words.bags([np.append(encoder.ids(t), 0).astype("<u4") for t in texts])
+
+
+def test_words_from_ids():
+    """Case, spaces and what stands beside a word make no difference; other words have other buckets."""
+    (n, a, _), (_, b, _), (_, c, t), (end, e, _) = words_of(["house time", "Time (house)", " time time houses", ""])
+    a, b, c, e = (set(np.frombuffer(x, "<u4").tolist()) for x in (a, b, c, e))
+    assert (n, end) == (3, 1) and a <= b and len((a & c) - e) == 1 and 2 in t
+
+
 def test_document_counts(spark):
     from tickframe.llm import retrieval as R
 
     texts = [t for _, t in topical(50)]
     made = R.features(spark.createDataFrame(list(enumerate(texts)), DOCS).repartition(3), tokenizer(), "doc_id", "text", 1024)
     want = np.zeros(R.BUCKETS, np.int64)
-    for _, b, _ in R._bags(texts):
+    for _, b, _ in words_of(texts):
         want[np.frombuffer(b, "<u4")] += 1
     assert np.array_equal(R.document_counts(made), want)
 

@@ -70,9 +70,10 @@ class Encoder(_Bpe):
             model = json.load(f)
         added = {x["content"]: x["id"] for x in model.get("added_tokens", ())}
         letters = _byte_letters()
-        #: The highest id.
+        #: The highest id, and the octets of each token but the added ones.
         self.most = max([*model["model"]["vocab"].values(), *added.values()])
-        super().__init__({bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in added})
+        self.octets = {i: bytes(letters[c] for c in token) for token, i in model["model"]["vocab"].items() if token not in added}
+        super().__init__({token: i for i, token in self.octets.items()})
         self._added = {} if special_as_text else added
         self._split = re.compile("|".join(map(re.escape, sorted(self._added, key=len, reverse=True)))) if self._added else None
 

@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-import itertools
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
 from typing import Any
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,24 +35,53 @@ SHARD, CARRIED = 1024, 1 / 8
 _FEATURES = "doc_id long, tokens long, sequence long, crcs array<bigint>, ids binary, words long, buckets binary, times binary"
 
 
-@cache
-def _encoder(path: str) -> tuple[Encoder, str]:
-    encoder = Encoder(path)
-    return encoder, "<u2" if encoder.most < 1 << 16 else "<u4"
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Words:
+    """Words straight from ids: a word is the tokens of letters, digits and octets above ASCII that follow
+    each other; any other token is a word by itself. Case and a space before it make no difference to a
+    token that the vocabulary has in both forms."""
+
+    def __init__(self, encoder: Encoder):
+        n = encoder.most + 1
+        place = {token: i for i, token in encoder.octets.items()}
+        self._own, self._begins, self._ends = np.arange(n, dtype=np.uint64), np.zeros(n, bool), np.zeros(n, bool)
+        for i, token in encoder.octets.items():
+            plain = token.lower().removeprefix(b" ") or token
+            self._own[i] = place.get(plain, i)
+            self._begins[i], self._ends[i] = _letter(token[0]), _letter(token[-1])
+        self._own = _mixed(self._own + np.uint64(1))
+
+    def bags(self, texts: list[np.ndarray]) -> list[tuple[int, bytes, bytes]]:
+        """For the ids of each text its number of words, its buckets in order, and how often it has each (255
+        at most)."""
+        ids, sizes = np.concatenate(texts), np.array([len(t) for t in texts], np.int64)
+        new = np.ones(len(ids), bool)
+        new[1:] = ~(self._begins[ids[1:]] & self._ends[ids[:-1]])
+        new[np.cumsum(sizes)[:-1]] = True  # texts end with END, so none is empty
+        first = np.flatnonzero(new)
+        within = np.arange(len(ids)) - np.repeat(first, np.diff(np.append(first, len(ids))))
+        power = np.cumprod(np.full(int(within.max()) + 1, 0x9E3779B97F4A7C15, np.uint64))
+        word = _mixed(np.add.reduceat(self._own[ids] * power[within], first)) % np.uint64(BUCKETS)
+        doc = np.repeat(np.arange(len(texts)), sizes)[first]
+        keys, times = np.unique(doc * BUCKETS + word.astype(np.int64), return_counts=True)
+        cuts = np.searchsorted(keys, np.arange(len(texts) + 1) * BUCKETS)
+        own, often = (keys % BUCKETS).astype("<u4"), np.minimum(times, 255).astype("u1")
+        return [(int(n), own[a:z].tobytes(), often[a:z].tobytes()) for n, a, z in zip(np.bincount(doc, minlength=len(texts)), cuts, cuts[1:], strict=False)]
+
+
+def _letter(octet: int) -> bool:
+    return octet >= 128 or chr(octet).isalnum()
 
 
-def _bags(texts: list[str]) -> list[tuple[int, bytes, bytes]]:
-    """For each text its number of words (lower-cased, parted by ASCII white space), its buckets in order,
-    and how often it has each (255 at most)."""
-    split = [t.encode("utf-8", "surrogatepass").lower().split() for t in texts]
-    sizes = np.array([len(x) for x in split], np.int64)
-    number = defaultdict(itertools.count().__next__)
-    words = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), np.int64, int(sizes.sum()))
-    bucket = np.fromiter((xxhash.xxh64_intdigest(w) % BUCKETS for w in number), np.int64, len(number))
-    keys, times = np.unique(np.repeat(np.arange(len(texts)), sizes) * BUCKETS + bucket[words], return_counts=True)
-    cuts = np.searchsorted(keys, np.arange(len(texts) + 1) * BUCKETS)
-    own, often = (keys % BUCKETS).astype("<u4"), np.minimum(times, 255).astype("u1")
-    return [(int(n), own[a:z].tobytes(), often[a:z].tobytes()) for n, a, z in zip(sizes, cuts, cuts[1:], strict=False)]
+@cache
+def _encoder(path: str) -> tuple[Encoder, str, _Words]:
+    encoder = Encoder(path)
+    return encoder, "<u2" if encoder.most < 1 << 16 else "<u4", _Words(encoder)
 
 
 def features(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capacity: int) -> DataFrame:
@@ -63,12 +89,12 @@ def features(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capaci
     a tail, whose ids are kept; and its words for the index."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, kind = _encoder(tokenizer)
+        encoder, kind, words = _encoder(tokenizer)
         at = TaskContext.get().partitionId() << 40
         for b in batches:
             rows = []
-            for doc, text, bag in zip(b.doc_id, b.text, _bags(list(b.text)), strict=True):
-                ids = np.append(encoder.ids(text), np.uint32(END)).astype("<u4", copy=False)
+            texts = [np.append(encoder.ids(t), np.uint32(END)).astype("<u4", copy=False) for t in b.text]
+            for doc, ids, bag in zip(b.doc_id, texts, words.bags(texts) if texts else (), strict=True):
                 whole = len(ids) // capacity
                 crcs = [zlib.crc32(ids[k * capacity : (k + 1) * capacity]) for k in range(whole)]
                 rows.append((doc, len(ids), 2 * at, crcs, ids[whole * capacity :].astype(kind).tobytes(), *bag))
