@@ -218,3 +218,44 @@ def test_minmax_state_expires(spark, tmp_path):
             query.stop()
         time.sleep(2)
     assert [x[2] for x in closes(read_table(spark, f"{tmp_path}/out"))] == [None, 5.0, None]
+
+
+def scans(df):
+    """The partition filters of each file scan that has some."""
+    import re
+
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[([^\]]+)\]", plan)
+
+
+def test_scans_are_pruned_to_days(spark, tmp_path):
+    from tickframe.plans.master import stored_range
+    from tickframe.sources.sinks import days_of, last_before
+
+    day = dt.timedelta(days=1)
+    quotes = spark.createDataFrame([("A", FRIDAY + day * i, 1, 2.0, 3.0, 1, 2.0, 3.0, [i], [], None, i, 1, None) for i in range(10)], S.QUOTES)
+    trades = spark.createDataFrame([("A", FRIDAY + day * i, None, None, i, 2.0, 3, [i], 1, 1) for i in range(10)], S.TRADES)
+    indicators = spark.createDataFrame([("A", FRIDAY + day * i, "SMA_5", 5, float(i), None, None) for i in range(10)], S.INDICATORS)
+    all_bars = bars(spark, [float(i) for i in range(10)], step=day).unionByName(bars(spark, [5.0], FRIDAY, "OLD")).unionByName(bars(spark, [6.0, 7.0], FRIDAY + day * 8, "OLD")).unionByName(bars(spark, [8.0], FRIDAY + day * 8, "NEW"))
+    feeds = {"bars": (all_bars, "timestamp"), "quotes": (quotes, "sip_timestamp"), "trades": (trades, "sip_timestamp"), "indicators": (indicators, "timestamp")}
+    for name, (df, ts) in feeds.items():
+        append(df, f"{tmp_path}/{name}", ts)
+    assert len(days_of(spark, f"{tmp_path}/bars")) == 10
+    want = str((FRIDAY + day * 8).date())
+
+    part = S.scan_range(spark.read.parquet(f"{tmp_path}/bars"), "timestamp", FRIDAY, FRIDAY + day, "left")
+    assert len(scans(part)) == 1 and "date" in scans(part)[0] and part.count() == 2
+    got = stored_range(spark, str(tmp_path), want, want)
+    assert [f for f in scans(got) if want not in f and "2024-01" not in f] == [] and len(scans(got)) >= 4
+    whole = master(all_bars, *(feeds[n][0] for n in ("quotes", "trades", "indicators"))).where(f"to_date(timestamp) = '{want}'")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert {r.ticker: r.previous_close for r in got.collect()} == {"A": 7.0, "OLD": 5.0, "NEW": None}
+    tickers = spark.createDataFrame([("A",), ("NEW",)], "ticker string")
+    back = last_before(f"{tmp_path}/bars", tickers, want)  # NEW isn't waited for: one day is read
+    assert [(r.ticker, r.close) for r in back.collect()] == [("A", 7.0)]
+    assert all("2024-01-12" in f for f in scans(back) if "date" in f and "<=" in f)
+
+    days = [FRIDAY.date(), (FRIDAY + day).date(), (FRIDAY + day * 4).date()]
+    some = S.on_days(spark.read.parquet(f"{tmp_path}/quotes"), "sip_timestamp", days)
+    assert some.count() == 3 and "date" in scans(some)[0]
+    assert S.on_days(quotes, "sip_timestamp", days).count() == 3 and S.on_days(quotes, "sip_timestamp", []).count() == 0

@@ -81,9 +81,12 @@ def wide_indicators() -> list[tuple[str, str, str]]:
 def pivot_indicators(indicators: DataFrame, imputed: bool = True) -> DataFrame:
     """Long to wide. The types are given, so no pass is needed to find them; of several values of a
     type the highest counts."""
-    return indicators.groupBy("ticker", "timestamp").agg(
-        *[_filled(F.max(F.when(F.col("indicator_type") == kind, F.col(field))), imputed, True).alias(name) for name, kind, field in wide_indicators()]
-    )
+    return indicators.groupBy("ticker", "timestamp").agg(*indicator_columns(imputed))
+
+
+def indicator_columns(imputed: bool = True) -> list[Column]:
+    """The aggregates of `pivot_indicators`."""
+    return [_filled(F.max(F.when(F.col("indicator_type") == kind, F.col(field))), imputed, True).alias(name) for name, kind, field in wide_indicators()]
 
 
 def date_range(df: DataFrame, ts: str = "timestamp") -> DataFrame:

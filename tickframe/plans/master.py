@@ -52,46 +52,67 @@ def master(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: Da
     return _unmatched(wide, (*_QUOTES, *_TRADES, *_INDICATORS), unmatched).select(*MASTER, *[c for c in ("rn",) if c in bars.columns])
 
 
-def master_range(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, start, end, **options) -> DataFrame:
-    """master of the days from start to end alone. Of the bars before, each ticker's last one is taken
-    along for the previous day's close, however long ago it was: a partial aggregate of one row for each
-    ticker. All else is pruned to the days."""
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+def master_range(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, start, end, earlier: DataFrame | None = None, **options) -> DataFrame:
+    """master of the days from start to end alone, to which all feeds are pruned, by their partition `date`
+    too where they have that column. For the previous day's close each ticker's last bar before them is
+    taken along, however long ago it was: `earlier`, or where that isn't given a partial aggregate over all
+    earlier bars. Of stored tables `stored_range` finds it by walking back over few days."""
+    first, after = F.lit(start).cast("date"), F.date_add(F.lit(end).cast("date"), 1)
 
-    def between(df: DataFrame, ts: str) -> DataFrame:
-        return df.where((F.col(ts) >= first.cast("timestamp_ntz")) & (F.col(ts) < F.date_add(last, 1).cast("timestamp_ntz")))
+    def pruned(df: DataFrame, ts: str) -> DataFrame:
+        return feeds.scan_range(df, ts, first, after, "left")
 
     rest = [c for c in _BARS if c != "ticker"]
-    earlier = bars.where(F.col("timestamp") < first.cast("timestamp_ntz")).groupBy("ticker").agg(F.max_by(F.struct(*rest), "timestamp").alias("_r"))
-    own = between(bars, "timestamp").select(*_BARS).unionByName(earlier.select("ticker", "_r.*"))
-    return between(master(own, between(quotes, "sip_timestamp"), between(trades, "sip_timestamp"), between(indicators, "timestamp"), **options), "timestamp")
+    if earlier is None:
+        earlier = bars.where(F.col("timestamp") < first.cast("timestamp_ntz")).groupBy("ticker").agg(F.max_by(F.struct(*rest), "timestamp").alias("_r")).select("ticker", "_r.*")
+    own = pruned(bars, "timestamp").select(*_BARS).unionByName(earlier.select(*_BARS))
+    return feeds.scan_range(master(own, pruned(quotes, "sip_timestamp"), pruned(trades, "sip_timestamp"), pruned(indicators, "timestamp"), **options), "timestamp", first, after, "left")
+
+
+def stored_range(spark, root: str, start, end, **options) -> DataFrame:
+    """`master_range` of the tables bars, quotes, trades and indicators below root. Read are the days from
+    start to end, and of the bars as many days before as the tickers of the range need for their last one:
+    mostly one."""
+    bars, quotes, trades, indicators = (spark.read.parquet(f"{root}/{name}") for name in ("bars", "quotes", "trades", "indicators"))
+    wanted = feeds.scan_range(bars, "timestamp", start, F.date_add(F.lit(end).cast("date"), 1), "left").select("ticker").distinct()
+    return master_range(bars, quotes, trades, indicators, start, end, sinks.last_before(f"{root}/bars", wanted, start), **options)
 
 
 def master_view(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame) -> DataFrame:
     """The push form: raw minutes, whose unmatched numbers are 0 while codes and exchanges stay null,
     beside pivoted indicators as they are."""
-    raw = joined(bars.select(*_BARS), quote_minute(quotes, False), trade_minute(trades, False), pivot_indicators(indicators, False))
+    return view_columns(joined(bars.select(*_BARS), quote_minute(quotes, False), trade_minute(trades, False), pivot_indicators(indicators, False)))
+
+
+def view_columns(raw: DataFrame) -> DataFrame:
+    """The push form's columns of bars joined with their minutes."""
     zeros = (*_QUOTES[:7], "trade_volume", "trade_count")
     return _unmatched(raw, zeros, "zero").select(*_BARS, *_QUOTES, "trade_volume", "trade_count", "trade_conditions", "trade_exchange", *_INDICATORS)
 
 
 def build_all(spark, src: str, out: str, start, end, tickers=None) -> None:
-    """The whole historical run: landed feeds of a range and a universe into tables, indicators
-    computed from bars, then the master and its normalised form. src and out are folders with one
-    table each in bars, trades, quotes, news."""
+    """The whole historical run: landed feeds of a range and a universe into tables, the master of the
+    range's days and its normalised form. src has a folder each for bars, trades, quotes and news, and may
+    have daily (bars of days) and indicators; where these weren't landed they are computed from all stored
+    bars. Of the stored ticks only the range's days are read."""
     universe = tickers or feeds.DEFAULT_UNIVERSE
-    bars = feeds.in_universe(feeds.scan_range(feeds.read_bars(spark, f"{src}/bars"), "timestamp", start, end), universe)
-    ticks = {
-        "trades": feeds.in_universe(feeds.scan_range(feeds.read_trades(spark, f"{src}/trades"), "sip_timestamp", start, end, "left"), universe),
-        "quotes": feeds.in_universe(feeds.scan_range(feeds.read_quotes(spark, f"{src}/quotes"), "sip_timestamp", start, end, "left"), universe),
-    }
-    sinks.upsert(bars, f"{out}/bars", ["ticker", "timestamp"])
-    for name, df in ticks.items():
-        sinks.upsert(df, f"{out}/{name}", ["ticker", "sip_timestamp", "sequence_number"], "sip_timestamp")
-    news = feeds.scan_range(feeds.read_news(spark, f"{src}/news"), "published_utc", start, end, "left")
-    sinks.upsert(news, f"{out}/news", ["id"], "published_utc")
-    stored = {name: sinks.read_table(spark, f"{out}/{name}") for name in ("bars", "trades", "quotes")}
-    sinks.upsert(indicators_long(stored["bars"]), f"{out}/indicators", ["ticker", "timestamp", "indicator_type"])
-    wide = master(stored["bars"], stored["quotes"], stored["trades"], sinks.read_table(spark, f"{out}/indicators"))
-    sinks.upsert(wide, f"{out}/master", ["ticker", "timestamp"])
-    sinks.upsert(normalize_sigmoid(sinks.read_table(spark, f"{out}/master").select(*MASTER)), f"{out}/normalized", ["ticker", "timestamp"])
+
+    def land(name: str, read, ts: str, keys: list[str], closed: str = "both") -> None:
+        rows = feeds.scan_range(read(spark, f"{src}/{name}"), ts, start, end, closed)
+        sinks.upsert(feeds.in_universe(rows, universe) if "ticker" in keys else rows, f"{out}/{name}", keys, ts)
+
+    key, tick = ["ticker", "timestamp"], ["ticker", "sip_timestamp", "sequence_number"]
+    land("bars", feeds.read_bars, "timestamp", key)
+    land("trades", feeds.read_trades, "sip_timestamp", tick, "left")
+    land("quotes", feeds.read_quotes, "sip_timestamp", tick, "left")
+    land("news", feeds.read_news, "published_utc", ["id"], "left")
+    if sinks.exists(spark, f"{src}/daily"):
+        land("daily", feeds.read_daily, "timestamp", key)
+    if sinks.exists(spark, f"{src}/indicators"):
+        land("indicators", feeds.read_indicators, "timestamp", [*key, "indicator_type"])
+    else:
+        made = indicators_long(sinks.read_table(spark, f"{out}/bars"))
+        sinks.upsert(feeds.scan_range(made, "timestamp", start, end), f"{out}/indicators", [*key, "indicator_type"])
+    sinks.upsert(stored_range(spark, out, start, end), f"{out}/master", key)
+    wide = feeds.scan_range(spark.read.parquet(f"{out}/master"), "timestamp", start, F.date_add(F.lit(end).cast("date"), 1), "left")
+    sinks.upsert(normalize_sigmoid(wide.select(*MASTER)), f"{out}/normalized", key)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -387,6 +387,15 @@ _query("norm_sigmoid", f"select ticker, timestamp, {', '.join(f'{_sigmoid(c)} as
 _query("norm_minmax", f"select ticker, timestamp, {', '.join(f'{_minmax(c)} as {c}' for c in _SOME)} from bars_v {_M100}")(lambda d: normalize_minmax(d.bars))
 
 
+@_query("master_stored_day", f"{_SMALL} select * from mst where timestamp::date = date '2024-01-04'", _MASTER_SIX)
+def _(d: Data):
+    """The same day from stored tables, of which few days are read."""
+    root = d.new("stored")
+    for name, df, ts in (("bars", d.bars, "timestamp"), ("quotes", d.quotes, "sip_timestamp"), ("trades", d.trades, "sip_timestamp"), ("indicators", d.light, "timestamp")):
+        append(df, f"{root}/{name}", ts)
+    return M.stored_range(d.spark, root, "2024-01-04", "2024-01-04")
+
+
 @_query("master_upsert", f"{_SMALL} select ticker, timestamp, close, case when timestamp::date = date '2024-01-04' then 2 else 1 end as version from mst")
 def _(d: Data):
     """The whole master, then one day of it again: the day's rows are replaced."""
@@ -420,17 +429,39 @@ def _(d: Data):
     return d.spark.read.parquet(path)
 
 
-@_query("history_run", _DEFS["normalized_sigmoid"][1])
-def _(d: Data):
-    """Landed feeds through the whole run; its normalised table."""
+def _stats(t: str, ts: str = "timestamp") -> str:
+    return f"select count(*) as total_rows, count(distinct ticker) as unique_tickers, min({ts}) as earliest, max({ts}) as latest, count(distinct {ts}::date) as unique_days from {t}"
+
+
+def _history(d: Data, indicators: bool = False) -> str:
+    """Landed feeds through the whole run; the folder of its tables."""
     src, out = d.new("landing"), d.new("history")
     d.bars.withColumn("timestamp", _ms("timestamp")).write.json(f"{src}/bars")
+    d.daily.withColumn("timestamp", _ms("timestamp")).write.json(f"{src}/daily")
     times = {c: _ns(c) for c in ("sip_timestamp", "participant_timestamp", "trf_timestamp")}
     d.trades.withColumns(times).write.json(f"{src}/trades")
     d.quotes.withColumns(times).write.json(f"{src}/quotes")
     d.news.withColumn("published_utc", F.col("published")).withColumn("publisher", F.struct(F.col("publisher").alias("name"))).drop("published").write.json(f"{src}/news")
-    M.build_all(d.spark, src, out, "2024-01-01", "2035-01-01", ["click", "view", "purchase", "error", "signup"])
-    return read_table(d.spark, f"{out}/normalized").select(*M.MASTER)
+    if indicators:
+        d.light.withColumn("timestamp", _ms("timestamp")).write.json(f"{src}/indicators")
+    M.build_all(d.spark, src, out, "1998-06-01", "2035-01-01", ["click", "view", "purchase", "error", "signup", "1-URGENT", "2-HIGH"])
+    return out
+
+
+@_query("history_run", _DEFS["normalized_sigmoid"][1])
+def _(d: Data):
+    return read_table(d.spark, f"{_history(d)}/normalized").select(*M.MASTER)
+
+
+_HELD = {"bars": "bars_v", "daily": "(from daily_v where ticker in ('1-URGENT', '2-HIGH') and timestamp >= timestamp '1998-06-01')", "trades": "trades_v", "quotes": "quotes_v", "indicators": "ind_v", "master": "bars_v", "normalized": "bars_v"}
+
+
+@_query("history_tables", " union all ".join(f"select '{n}' as table_name, * from ({_stats(t, D.KEYS.get(n, ('timestamp',))[0])})" for n, t in _HELD.items()))
+def _(d: Data):
+    """What the run stores of each feed, daily bars and a landed indicator feed among them."""
+    out = _history(d, indicators=True)
+    parts = [Q.table_stats(read_table(d.spark, f"{out}/{n}"), D.KEYS.get(n, ("timestamp",))[0]).select(F.lit(n).alias("table_name"), "*") for n in _HELD]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @_query("backfill_daily", "select * from daily_v where timestamp >= timestamp '1995-03-01' and timestamp <= timestamp '1995-12-31'", _BARS_SIX)
@@ -474,10 +505,6 @@ _query("latest_indicator", "select * from ind_v qualify row_number() over (parti
 # profiles
 
 
-def _stats(t: str, ts: str = "timestamp") -> str:
-    return f"select count(*) as total_rows, count(distinct ticker) as unique_tickers, min({ts}) as earliest, max({ts}) as latest, count(distinct {ts}::date) as unique_days from {t}"
-
-
 def _dup(of: str, t: str) -> str:
     n, u = "count(*)", f"count(distinct {of})"
     return f"select {n} as total_rows, {u} as unique_rows, {n} - {u} as duplicate_rows, coalesce(({n} - {u}) * 100::double / nullif({n}, 0), 0) as duplicate_pct from {t}"
@@ -604,23 +631,36 @@ def _(d: Data):
     return read_table(d.spark, out).select(*columns)
 
 
-def _shuffled(d: Data, df: DataFrame, cuts: tuple[str, ...], late: str = "pmod(xxhash64(ticker, timestamp), 7) = 0") -> DataFrame:
+_CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+_LATE = "pmod(xxhash64(ticker, timestamp), 7) = 0"
+
+
+def _shuffled(d: Data, df: DataFrame, cuts: tuple[str, ...], late: str = "false", ts: str = "timestamp") -> DataFrame:
     """df as a stream of one file a batch: parts by time at the cuts, of which the late rows come one part later."""
     path = d.new("feed")
-    part = sum((F.col("timestamp") >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts) + F.when(F.expr(late), 1).otherwise(0)
+    part = sum((F.col(ts) >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts) + F.when(F.expr(late), 1).otherwise(0)
     for k in range(len(cuts) + 2):
         df.where(part == k).coalesce(1).write.mode("append").parquet(path)
     return d.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
-_CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+@_query("stream_view", f"""select * from ({_DEFS['master_view'][1]}) where timestamp + interval 1 minute <= (select least((select max(timestamp) from bars_v), (select max(sip_timestamp) from quotes_v),
+ (select max(sip_timestamp) from trades_v), (select max(timestamp) from ind_v))) - interval 10 seconds""", _DEFS["master_view"][2])
+def _(d: Data):
+    """Four streams in several batches each."""
+    feeds = []
+    for df, ts in ((d.bars, "timestamp"), (d.quotes, "sip_timestamp"), (d.trades, "sip_timestamp"), (d.light, "timestamp")):
+        feeds.append(ST.as_stream_time(_shuffled(d, df, _CUTS, ts=ts), ts))
+    return _ran(d, ST.stream_view(*feeds))
 
 
 @_query("stream_minmax", _DEFS["norm_minmax"][1])
 def _(d: Data):
     """Several batches, each with late rows of the one before."""
     out = d.new("minmax")
-    ST.start_minmax(_shuffled(d, d.bars, _CUTS), d.new("rows"), out, d.new("state"), available=True).awaitTermination()
+    ST.start_minmax(_shuffled(d, d.bars, _CUTS, _LATE), d.new("rows"), out, d.new("state"), available=True).awaitTermination()
     return read_table(d.spark, out).select(*d.bars.columns)
 
 
@@ -629,7 +669,7 @@ def _(d: Data):
     """The same by state: all batches but the last, and the last after a restart."""
     out, state = d.new("minmax"), d.new("state")
     path = d.new("feed")
-    part = sum((F.col("timestamp") >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in _CUTS) + F.expr("if(pmod(xxhash64(ticker, timestamp), 7) = 0, 1, 0)")
+    part = sum((F.col("timestamp") >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in _CUTS) + F.expr(f"if({_LATE}, 1, 0)")
     for parts in ((0, 1, 2), (3, 4)):
         for k in parts:
             d.bars.where(part == k).coalesce(1).write.mode("append").parquet(path)

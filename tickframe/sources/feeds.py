@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -113,11 +114,31 @@ def read_indicators(spark: SparkSession, path: str, kind: str = "json") -> DataF
     return indicators_from(_files(spark, path, _RAW_INDICATORS, kind))
 
 
-def scan_range(df: DataFrame, ts: str, start, end, closed: str = "both") -> DataFrame:
-    """Rows from start to end; closed "left" leaves end out. Plain comparisons, so files are skipped."""
+def scan_range(df: DataFrame, ts: str, start, end, closed: str = "both", day: str = "date") -> DataFrame:
+    """Rows from start to end (times, dates or columns of these); closed "left" leaves end out. Plain
+    comparisons, so row groups are skipped; and where df has the date column `day` of a stored table, which
+    is the date of ts, the same for it, so only the partitions of these days are listed and read."""
+    c, first, last = F.col(ts), _time(start), _time(end)
+    rows = (c >= first) & ((c <= last) if closed == "both" else (c < last))
+    if dict(df.dtypes).get(day) == "date":
+        rows = F.col(day).between(F.to_date(first), F.to_date(last)) & rows
+    return df.where(rows)
+
+
+def _time(t) -> Column:
+    return (t if isinstance(t, Column) else F.lit(t)).cast("timestamp_ntz")
+
+
+def on_days(df: DataFrame, ts: str, days: Sequence, day: str = "date") -> DataFrame:
+    """Rows of some days, which are joined to stretches; pruned like `scan_range`."""
+    ordered, terms = sorted(set(days)), []
+    for k, d in enumerate(ordered):
+        if not k or (d - ordered[k - 1]).days > 1:
+            terms.append([d, d])
+        terms[-1][1] = d
     c = F.col(ts)
-    last = c <= F.lit(end).cast("timestamp_ntz") if closed == "both" else c < F.lit(end).cast("timestamp_ntz")
-    return df.where((c >= F.lit(start).cast("timestamp_ntz")) & last)
+    rows = reduce(lambda a, b: a | b, [(c >= _time(a)) & (c < _time(b + timedelta(days=1))) for a, b in terms], F.lit(False))
+    return df.where(F.col(day).isin(ordered) & rows if dict(df.dtypes).get(day) == "date" else rows)
 
 
 _COMPARE = {"gt": lambda c, v: c > v, "gte": lambda c, v: c >= v, "lt": lambda c, v: c < v, "lte": lambda c, v: c <= v}

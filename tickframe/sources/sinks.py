@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +82,49 @@ def upsert(df: DataFrame, path: str, keys: list[str], ts: str = "timestamp", ord
         _remove(spark, staged)
 
 
+def days_of(spark: SparkSession, path: str) -> list[dt.date]:
+    """The days of a stored table, by the names of its partitions."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    return sorted(dt.date.fromisoformat(n[5:]) for n in names if re.fullmatch(r"date=\d{4}-\d\d-\d\d", n))
+
+
+def first_days(path: str, rows: DataFrame) -> DataFrame:
+    """(ticker, first): the first day of every ticker of the table at path, of which `rows` are part. It is
+    kept beside the table, to which a row is added for a new ticker or an earlier day."""
+    spark, kept = rows.sparkSession, f"{path.rstrip('/')}_firsts"
+    if exists(spark, kept):
+        known = spark.read.parquet(kept).groupBy("ticker").agg(F.min("first").alias("first"))
+        own = rows.groupBy("ticker").agg(F.to_date(F.min("timestamp")).alias("own")).join(known, "ticker", "left")
+        new = own.where("first is null or own < first").select("ticker", F.col("own").alias("first"))
+    else:
+        new = spark.read.parquet(path).groupBy("ticker").agg(F.to_date(F.min("timestamp")).alias("first"))
+    new.write.mode("append").parquet(kept)
+    return spark.read.parquet(kept).groupBy("ticker").agg(F.min("first").alias("first"))
+
+
+def last_before(path: str, tickers: DataFrame, start) -> DataFrame:
+    """Of each of the tickers the last row of the stored table at path before the day `start`. Days are read
+    back from start, twice as many each time, until every ticker has one; those whose first day isn't
+    before start (`first_days`) have none and aren't waited for."""
+    spark, day = tickers.sparkSession, dt.date.fromisoformat(str(start)[:10])
+    stored = spark.read.parquet(path)
+    columns = [c for c in stored.columns if c != "date"]
+    rest = [c for c in columns if c != "ticker"]
+    days = [d for d in reversed(days_of(spark, path)) if d < day]
+    none = stored.select(*columns).limit(0)
+    if not days:
+        return none
+    missing = tickers.join(first_days(path, none).where(F.col("first") < F.lit(day)), "ticker").select("ticker").persist()
+    found, at, step = [none], 0, 1
+    while at < len(days) and not missing.isEmpty():
+        part = stored.where(F.col("date").between(F.lit(days[min(at + step, len(days)) - 1]), F.lit(days[at]))).join(missing, "ticker", "left_semi")
+        part = part.groupBy("ticker").agg(F.max_by(F.struct(*rest), "timestamp").alias("_r")).select("ticker", "_r.*").persist()
+        found.append(part)
+        missing, at, step = missing.join(part, "ticker", "left_anti").persist(), at + step, 2 * step
+    return reduce(DataFrame.unionByName, found)
+
+
 def export_sorted(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*columns).orderBy("timestamp", "ticker")
 

@@ -14,8 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from tickframe.functions.scalar import concat_codes, last_known, market_hours
 from tickframe.operators.dedup import latest
 from tickframe.operators.normalize import SCALES, between, normalize_minmax
-from tickframe.plans.master import master_view
-from tickframe.sources.sinks import append, exists, upsert
+from tickframe.operators.ticks import indicator_columns
+from tickframe.plans.master import master_view, view_columns
+from tickframe.sources.feeds import on_days
+from tickframe.sources.sinks import append, first_days, upsert
 from tickframe.streaming.rolling import rolling_extremes
 
 
@@ -32,29 +34,46 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select("ticker", F.col("w.start").alias("timestamp"), *rest)
 
 
-def stream_minute_quotes(quotes: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    """Raw quote minutes; a window comes out once the watermark has passed it, later ticks are dropped."""
+def _quote_windows(quotes: DataFrame, delay: str) -> DataFrame:
     at, seq = F.col("sip_timestamp"), F.col("sequence_number")
-    return _flat(
-        _minutes(quotes, delay).agg(
-            F.avg("bid_price").alias("avg_bid_price"), F.avg("ask_price").alias("avg_ask_price"), F.min("bid_price").alias("min_bid_price"), F.max("ask_price").alias("max_ask_price"),
-            F.sum("bid_size").alias("total_bid_size"), F.sum("ask_size").alias("total_ask_size"), F.count("*").alias("quote_count"),
-            concat_codes(at, seq, F.col("conditions")).alias("quote_conditions"),
-            last_known(F.col("ask_exchange"), at, seq).alias("ask_exchange"), last_known(F.col("bid_exchange"), at, seq).alias("bid_exchange"),
-        )
+    return _minutes(quotes, delay).agg(
+        F.avg("bid_price").alias("avg_bid_price"), F.avg("ask_price").alias("avg_ask_price"), F.min("bid_price").alias("min_bid_price"), F.max("ask_price").alias("max_ask_price"),
+        F.sum("bid_size").alias("total_bid_size"), F.sum("ask_size").alias("total_ask_size"), F.count("*").alias("quote_count"),
+        concat_codes(at, seq, F.col("conditions")).alias("quote_conditions"),
+        last_known(F.col("ask_exchange"), at, seq).alias("ask_exchange"), last_known(F.col("bid_exchange"), at, seq).alias("bid_exchange"),
     )
 
 
-def stream_minute_trades(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
+def _trade_windows(trades: DataFrame, delay: str) -> DataFrame:
     at, seq = F.col("sip_timestamp"), F.col("sequence_number")
-    return _flat(
-        _minutes(trades, delay).agg(
-            F.sum("size").alias("trade_volume"), F.count("*").alias("trade_count"), concat_codes(at, seq, F.col("conditions")).alias("trade_conditions"),
-            last_known(F.col("exchange"), at, seq).alias("trade_exchange"),
-        )
+    return _minutes(trades, delay).agg(
+        F.sum("size").alias("trade_volume"), F.count("*").alias("trade_count"), concat_codes(at, seq, F.col("conditions")).alias("trade_conditions"),
+        last_known(F.col("exchange"), at, seq).alias("trade_exchange"),
     )
 
 
+def stream_minute_quotes(quotes: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """Raw quote minutes; a window comes out once the watermark has passed it, later ticks are dropped."""
+    return _flat(_quote_windows(quotes, delay))
+
+
+def stream_minute_trades(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    return _flat(_trade_windows(trades, delay))
+
+
+def stream_view(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, delay: str = "10 seconds") -> DataFrame:
+    """`master_view` of four streams: left outer joins of the bars with the minutes of the others, on ticker
+    and window. Each stream has a watermark of its own; the slowest one decides. A minute comes out once,
+    when the watermark has passed it, with what of the other streams came before; then its rows leave the
+    state, which holds the minutes still open and no history. Rows later than the delay are dropped."""
+    own = bars.withWatermark("timestamp", delay).withColumn("w", F.window("timestamp", "1 minute"))
+    own = own.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))  # the window alone carries the watermark
+    pivoted = indicators.withWatermark("timestamp", delay).groupBy("ticker", F.window("timestamp", "1 minute").alias("w")).agg(*indicator_columns(False))
+    for side in (_quote_windows(quotes, delay), _trade_windows(trades, delay), pivoted):
+        own = own.join(side, ["ticker", "w"], "left")
+    return view_columns(own)
+
+
 def stream_bars(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
     """Minute bars of a stream of trades."""
     at = F.struct("sip_timestamp", "sequence_number")
@@ -95,40 +114,31 @@ def start_latest(df: DataFrame, out: str, checkpoint: str, ts: str = "timestamp"
 
 def start_master(bars: DataFrame, sources: Callable[[], tuple[DataFrame, DataFrame, DataFrame]], out: str, checkpoint: str, available: bool = False, interval: str = "1 minute") -> StreamingQuery:
     """Each block of bars is joined with the quotes, trades and indicators there are for its days, and
-    replaces its keys in the table at out."""
+    replaces its keys in the table at out. The days of a block are few, so they are plain predicates on
+    time, and on the partition `date` where a source has that column. (`stream_view` joins streams.)"""
 
     def batch(rows: DataFrame, _: int) -> None:
-        rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
-        days = rows.select(F.to_date("timestamp").alias("_d")).distinct()
-        quotes, trades, indicators = (df.join(days, F.to_date(ts) == F.col("_d"), "left_semi") for df, ts in zip(sources(), ("sip_timestamp", "sip_timestamp", "timestamp"), strict=True))
-        upsert(master_view(rows, quotes, trades, indicators), out, ["ticker", "timestamp"])
+        rows = rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).persist()
+        try:
+            days = [r[0] for r in rows.select(F.to_date("timestamp")).distinct().collect() if r[0] is not None]
+            if days:
+                quotes, trades, indicators = (on_days(df, ts, days) for df, ts in zip(sources(), ("sip_timestamp", "sip_timestamp", "timestamp"), strict=True))
+                upsert(master_view(rows, quotes, trades, indicators), out, ["ticker", "timestamp"])
+        finally:
+            rows.unpersist()
 
     return _each(bars, batch, checkpoint, available, interval)
 
 
-def _firsts(source: str, rows: DataFrame) -> DataFrame:
-    """(ticker, first): the first day of every ticker of the table at source, of which `rows` are part. It is
-    kept beside the table, to which a row is added for a new ticker or an earlier day."""
-    spark, path = rows.sparkSession, f"{source.rstrip('/')}_firsts"
-    if exists(spark, path):
-        known = spark.read.parquet(path).groupBy("ticker").agg(F.min("first").alias("first"))
-        own = rows.groupBy("ticker").agg(F.to_date(F.min("timestamp")).alias("own")).join(known, "ticker", "left")
-        new = own.where("first is null or own < first").select("ticker", F.col("own").alias("first"))
-    else:
-        new = spark.read.parquet(source).groupBy("ticker").agg(F.to_date(F.min("timestamp")).alias("first"))
-    new.write.mode("append").parquet(path)
-    return spark.read.parquet(path).groupBy("ticker").agg(F.min("first").alias("first"))
-
-
 def _affected(source: str, rows: DataFrame, n: int) -> DataFrame:
     """The stored rows that `rows`, which are among them, may change (`_changed`), and those that these need:
     of each ticker of `rows` all from its first to its last row there, n after and n before.
 
     Days are read on from these rows' own both ways, twice as many each time, until every ticker has enough
-    or no more: before its first day (`_firsts`), or after the table's last, it has none. So a new ticker
+    or no more: before its first day (`first_days`), or after the table's last, it has none. So a new ticker
     doesn't widen what is read. Only tickers and times are read for that."""
     stored = rows.sparkSession.read.parquet(source)
-    ends = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to")).join(_firsts(source, rows), "ticker")
+    ends = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to")).join(first_days(source, rows), "ticker")
     low, high = ends.agg(F.to_date(F.min("_from")), F.to_date(F.max("_to"))).first()
     last, back, ahead = stored.agg(F.max("date")).first()[0], 1, 1
     while True:
