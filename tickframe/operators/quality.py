@@ -85,17 +85,12 @@ def consistency(master: DataFrame, bars: DataFrame, quotes: DataFrame, trades: D
     def minutes(df: DataFrame, ts: str) -> DataFrame:
         return df.agg(F.countDistinct(F.struct("ticker", F.date_trunc("minute", ts))).alias("source_count"))
 
-    def check(name: str, source: DataFrame, held) -> DataFrame:
-        both = source.crossJoin(master.agg(held.alias("master_count")))  # one row each
-        return both.select(F.lit(name).alias("check_name"), "source_count", "master_count", F.abs(F.col("source_count") - F.col("master_count")).alias("difference"))
-
-    parts = [
-        check("bars", bars.agg(F.count("*").alias("source_count")), F.count("*")),
-        check("quotes", minutes(quotes, "sip_timestamp"), F.count("quote_count")),
-        check("trades", minutes(trades, "sip_timestamp"), F.count("trade_count")),
-        check("indicators", minutes(indicators, "timestamp"), F.count("sma_5")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    sources = {"bars": bars.agg(F.count("*").alias("source_count")), "quotes": minutes(quotes, "sip_timestamp"), "trades": minutes(trades, "sip_timestamp"), "indicators": minutes(indicators, "timestamp")}
+    counted = {"bars": F.count("*"), "quotes": F.count("quote_count"), "trades": F.count("trade_count"), "indicators": F.count("sma_5")}
+    held = master.agg(*[c.alias(n) for n, c in counted.items()])  # once for all checks
+    held = held.select(F.inline(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("master_count")) for n in counted])))
+    every = reduce(DataFrame.unionByName, [df.select(F.lit(n).alias("check_name"), "source_count") for n, df in sources.items()])
+    return every.join(held, "check_name").withColumn("difference", F.abs(F.col("source_count") - F.col("master_count")))
 
 
 def coverage(tables: Mapping[str, DataFrame]) -> DataFrame:

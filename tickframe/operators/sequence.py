@@ -26,14 +26,16 @@ def row_index(df: DataFrame, ts: str = "timestamp", tiebreak: Sequence[str] = ()
     return numbered.join(starts, ["ticker", "_day"]).withColumn("rn", F.col("_start") + F.col("_n") - 1).drop("_day", "_n", "_start")
 
 
-def with_halo(df: DataFrame, rows: int, block: int = 4096) -> tuple[DataFrame, object]:
+def with_halo(df: DataFrame, rows: int, block: int = 4096, ahead: bool = False) -> tuple[DataFrame, object]:
     """(df with the last `rows` rows of each block repeated in the next one, a window over blocks).
-    A frame of up to `rows` preceding rows is whole for all but the repeated rows (`_halo`)."""
+    A frame of up to `rows` preceding rows is whole for all but the repeated rows (`_halo`). With `ahead` the
+    first rows of each block are repeated in the one before, for frames of following rows."""
     if rows > block:
         raise ValueError("a block must be at least as long as its halo")
     own = F.floor(F.col("rn") / block)
-    blocks = F.when(F.col("rn") % block >= block - rows, F.array(own, own + 1)).otherwise(F.array(own))
-    out = df.withColumn("_block", F.explode(blocks)).withColumn("_halo", F.col("_block") > own)
+    near, beside = (F.col("rn") % block < rows, own - 1) if ahead else (F.col("rn") % block >= block - rows, own + 1)
+    blocks = F.when(near & (beside >= 0), F.array(own, beside)).otherwise(F.array(own))
+    out = df.withColumn("_block", F.explode(blocks)).withColumn("_halo", F.col("_block") != own)
     return out, Window.partitionBy("ticker", "_block").orderBy("rn")
 
 

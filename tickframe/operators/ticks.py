@@ -33,11 +33,17 @@ def _filled(c: Column, imputed: bool, rounded: bool = False) -> Column:
     return round2(impute(c, 2.0)) if rounded else impute(c)
 
 
+def _by(df: DataFrame) -> list[str]:
+    """ticker, and the day where a stored table has it: it changes no group, and where the table is laid out
+    by both its rows needn't be moved."""
+    return ["ticker", "date"] if dict(df.dtypes).get("date") == "date" else ["ticker"]
+
+
 def quote_minute(quotes: DataFrame, imputed: bool = True) -> DataFrame:
     """Per ticker and minute: mean, lowest bid and highest ask, sizes, number, codes, last exchanges."""
     at, seq = F.col("sip_timestamp"), F.col("sequence_number")
     codes = concat_codes(at, seq, F.col("conditions"))
-    return quotes.groupBy("ticker", minute_of(at).alias("timestamp")).agg(
+    return quotes.groupBy(*_by(quotes), minute_of(at).alias("timestamp")).agg(
         _filled(F.avg("bid_price"), imputed, True).alias("avg_bid_price"),
         _filled(F.avg("ask_price"), imputed, True).alias("avg_ask_price"),
         _filled(F.min("bid_price"), imputed, True).alias("min_bid_price"),
@@ -56,7 +62,7 @@ def trade_minute(trades: DataFrame, imputed: bool = True) -> DataFrame:
     Without imputation the view's set: trade_volume, number, codes and exchange."""
     at, seq = F.col("sip_timestamp"), F.col("sequence_number")
     codes = concat_codes(at, seq, F.col("conditions"))
-    grouped = trades.groupBy("ticker", minute_of(at).alias("timestamp"))
+    grouped = trades.groupBy(*_by(trades), minute_of(at).alias("timestamp"))
     if not imputed:
         return grouped.agg(
             F.sum("size").alias("trade_volume"), F.count("*").alias("trade_count"), codes.alias("trade_conditions"), last_known(F.col("exchange"), at, seq).alias("trade_exchange")
@@ -81,7 +87,7 @@ def wide_indicators() -> list[tuple[str, str, str]]:
 def pivot_indicators(indicators: DataFrame, imputed: bool = True) -> DataFrame:
     """Long to wide. The types are given, so no pass is needed to find them; of several values of a
     type the highest counts."""
-    return indicators.groupBy("ticker", "timestamp").agg(*indicator_columns(imputed))
+    return indicators.groupBy(*_by(indicators), "timestamp").agg(*indicator_columns(imputed))
 
 
 def indicator_columns(imputed: bool = True) -> list[Column]:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +12,7 @@ from tickframe.functions.scalar import impute, round2
 from tickframe.operators import features as W
 from tickframe.operators.indicators import indicators_long
 from tickframe.operators.normalize import normalize_sigmoid
+from tickframe.operators.sequence import row_index
 from tickframe.operators.ticks import pivot_indicators, quote_minute, trade_minute, wide_indicators
 from tickframe.sources import feeds, sinks
 
@@ -23,9 +27,12 @@ MASTER = (*_BARS, "price_diff", "max_price_diff", "target", *_QUOTES, *_TRADES,
 
 
 def joined(bars: DataFrame, *sides: DataFrame) -> DataFrame:
-    """bars with each side's columns by (ticker, timestamp); sides have one row for a key."""
+    """bars with each side's columns by (ticker, timestamp); sides have one row for a key. Where bars and a
+    side have the day of a stored table, it is a key too."""
     for side in sides:
-        bars = bars.join(side, ["ticker", "timestamp"], "left")
+        if "date" in side.columns and "date" not in bars.columns:
+            side = side.drop("date")
+        bars = bars.join(side, [k for k in ("ticker", "date", "timestamp") if k in side.columns], "left")
     return bars
 
 
@@ -38,8 +45,12 @@ def _unmatched(df: DataFrame, columns, kind: str) -> DataFrame:
 
 
 def bar_features(bars: DataFrame, session: str = "day", prev: str = "prev_day", null_target: int | None = 5) -> DataFrame:
-    """All that comes from bars alone."""
-    d = W.rounded_prices(bars.select(*_BARS, *[c for c in ("rn",) if c in bars.columns]))
+    """All that comes from bars alone, with the day as `date`: a column, so that all windows of a day share
+    one exchange."""
+    bars = bars.withColumn("date", W.day_of(bars))
+    if session == "none" and "rn" not in bars.columns:
+        bars = row_index(bars)  # once for all frames
+    d = W.rounded_prices(bars.select(*_BARS, *[c for c in ("rn", "date") if c in bars.columns]))
     d = d.withColumn("volume", impute(F.col("volume"))).withColumn("vwap", round2(impute(F.col("vwap"), 2.0))).withColumn("transactions", impute(F.col("transactions")))
     d = W.daily_range(W.max_price_diff(W.future_close(d, 15, session), 15, session))
     return W.atr(W.true_ranges(W.labels(W.previous_close(d, prev), null_target)), 14, session)
@@ -48,8 +59,9 @@ def bar_features(bars: DataFrame, session: str = "day", prev: str = "prev_day",
 def master(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, session: str = "day", unmatched: str = "zero", prev: str = "prev_day") -> DataFrame:
     """51 columns for each bar, and rn (`row_index`) where bars have it. Ticks are aggregated to minutes
     before they are joined; windows are partitioned by ticker and day, so all days are made in one plan."""
+    numbered = ["rn"] if "rn" in bars.columns else []
     wide = joined(bar_features(bars, session, prev), quote_minute(quotes), trade_minute(trades), pivot_indicators(indicators))
-    return _unmatched(wide, (*_QUOTES, *_TRADES, *_INDICATORS), unmatched).select(*MASTER, *[c for c in ("rn",) if c in bars.columns])
+    return _unmatched(wide, (*_QUOTES, *_TRADES, *_INDICATORS), unmatched).select(*MASTER, *numbered)
 
 
 def master_range(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, start, end, earlier: DataFrame | None = None, **options) -> DataFrame:
@@ -84,6 +96,45 @@ def master_view(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicator
     return view_columns(joined(bars.select(*_BARS), quote_minute(quotes, False), trade_minute(trades, False), pivot_indicators(indicators, False)))
 
 
+#: What the tables of a co-located store are laid out by.
+LAID_OUT = ("ticker", "date")
+
+
+def colocate(name: str, feed: str, df: DataFrame, buckets: int) -> None:
+    """Add the rows of a feed to the table `name`, made if it isn't there, which is bucketed by ticker and
+    day and sorted by ticker and time: the joins by minute and the windows of a day of `master` over tables
+    of as many buckets need no exchange of their own, and a ticker's days lie in different buckets."""
+    ts, schema = _LANDED[feed]
+    spark = df.sparkSession
+    sinks.ensure_table(spark, name, f"{schema}, date date", buckets=(LAID_OUT, ("ticker", ts), buckets))
+    rows = df.withColumn("date", F.to_date(ts)).select(*spark.table(name).columns)
+    rows.repartition(buckets, *LAID_OUT).sortWithinPartitions("ticker", ts).write.insertInto(name)
+
+
+_KEYS = "spark.sql.requireAllClusterKeysForCoPartition"
+
+
+@contextmanager
+def laid_out(spark):
+    """Within it joins by minute are planned to take tables laid out by ticker and day as they lie: by itself
+    Spark moves both sides unless the layout is by all keys of a join."""
+    before = spark.conf.get(_KEYS)
+    spark.conf.set(_KEYS, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_KEYS, before)
+
+
+def master_colocated(spark, names: dict[str, str], path: str, **options) -> None:
+    """The master over co-located tables (names of bars, quotes, trades, indicators), as Parquet."""
+    with laid_out(spark):
+        master(*[spark.table(names[feed]) for feed in ("bars", "quotes", "trades", "indicators")], **options).write.parquet(path)
+
+
+_LANDED = {"bars": ("timestamp", feeds.BARS), "quotes": ("sip_timestamp", feeds.QUOTES), "trades": ("sip_timestamp", feeds.TRADES), "indicators": ("timestamp", feeds.INDICATORS)}
+
+
 def view_columns(raw: DataFrame) -> DataFrame:
     """The push form's columns of bars joined with their minutes."""
     zeros = (*_QUOTES[:7], "trade_volume", "trade_count")
@@ -94,7 +145,8 @@ def build_all(spark, src: str, out: str, start, end, tickers=None) -> None:
     """The whole historical run: landed feeds of a range and a universe into tables, the master of the
     range's days and its normalised form. src has a folder each for bars, trades, quotes and news, and may
     have daily (bars of days) and indicators; where these weren't landed they are computed from all stored
-    bars. Of the stored ticks only the range's days are read."""
+    bars. Of the stored ticks only the range's days are read. Landed records that can't be read or don't fit
+    their columns go to out/quarantine, with the reason."""
     universe = tickers or feeds.DEFAULT_UNIVERSE
 
     def land(name: str, read, ts: str, keys: list[str], closed: str = "both") -> None:
@@ -106,6 +158,8 @@ def build_all(spark, src: str, out: str, start, end, tickers=None) -> None:
     land("trades", feeds.read_trades, "sip_timestamp", tick, "left")
     land("quotes", feeds.read_quotes, "sip_timestamp", tick, "left")
     land("news", feeds.read_news, "published_utc", ["id"], "left")
+    bad = [feeds.quarantined(spark, f"{src}/{name}", name) for name in feeds.RAW if sinks.exists(spark, f"{src}/{name}")]
+    reduce(DataFrame.unionByName, bad).write.mode("overwrite").parquet(f"{out}/quarantine")
     if sinks.exists(spark, f"{src}/daily"):
         land("daily", feeds.read_daily, "timestamp", key)
     if sinks.exists(spark, f"{src}/indicators"):

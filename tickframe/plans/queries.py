@@ -210,6 +210,28 @@ def _(d: Data):
     return S.indicators_from(raw)
 
 
+def _landing(d: Data) -> str:
+    """Bars as landed lines, of which some are cut off, and some have a volume or a time that fits no column."""
+    path = d.new("landing")
+    raw = d.bars.withColumn("timestamp", _ms("timestamp")).withColumn("volume", F.col("volume").cast("double"))
+    m = F.minute(F.timestamp_millis("timestamp")) % 10
+    raw = raw.withColumn("m", m).withColumn("volume", F.when(F.col("m") == 3, F.lit(1e30)).otherwise(F.col("volume"))).withColumn("timestamp", F.when(F.col("m") == 5, F.lit(2**62)).otherwise(F.col("timestamp")))
+    line = F.to_json(F.struct(*d.bars.columns))
+    raw.select(F.when(F.col("m") == 7, F.substring(line, 1, 40)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+@_query("src_bars_bad", "select * from bars_v where minute(timestamp) % 10 not in (3, 5, 7)", _BARS_SIX)
+def _(d: Data):
+    return S.read_bars(d.spark, _landing(d))
+
+
+@_query("quarantine", """select 'bars' as feed, case minute(timestamp) % 10 when 3 then 'volume' when 5 then 'timestamp' else 'unreadable' end as reason, count(*) as records
+ from bars_v where minute(timestamp) % 10 in (3, 5, 7) group by all""")
+def _(d: Data):
+    return S.quarantined(d.spark, _landing(d), "bars").groupBy("feed", "reason").agg(F.count("*").alias("records"))
+
+
 @_query("scan_closed", "select * from bars_v where timestamp >= timestamp '2024-01-03' and timestamp <= timestamp '2024-01-05'", _BARS_SIX)
 def _(d: Data):
     return S.scan_range(d.bars, "timestamp", "2024-01-03", "2024-01-05")
@@ -341,6 +363,23 @@ _query("previous_close_row", *_feature("previous_row as previous_close"))(lambda
 _TRS = ("tr_current", "tr_high_close", "tr_low_close", "tr_value")
 _query("true_range", *_feature(", ".join(_TRS), ",".join(_TRS)))(lambda d: W.true_ranges(W.previous_close(W.daily_range(_rounded(d)))).select("ticker", "timestamp", *_TRS))
 _query("atr", *_feature("atr_value", "atr_value"))(lambda d: W.atr(W.true_ranges(W.previous_close(W.daily_range(_rounded(d))))).select("ticker", "timestamp", "atr_value"))
+#: The same over all days of a ticker.
+_ALONG = f"""{_FEATURES}, c1 as (select *, lead(close, 15) over w as ahead, max(close) over f as top, min(close) over f as low_, avg(tr_value) over g as atr_all from b2
+  window w as (partition by ticker order by timestamp), f as (partition by ticker order by timestamp rows between 1 following and 15 following),
+  g as (partition by ticker order by timestamp rows between 13 preceding and current row))"""
+
+
+def _along(columns: str, six: str = ""):
+    return f"with {_ALONG.strip()} select ticker, timestamp, {columns} from c1", six
+
+
+_query("future_close_none", *_along("ahead as future_close"))(lambda d: W.future_close(_rounded(d), session="none").select("ticker", "timestamp", "future_close"))
+_query("max_price_diff_none", *_along(r2(f"case when abs({_pct('top', 'close')}) > abs({_pct('low_', 'close')}) then {_pct('top', 'close')} else {_pct('low_', 'close')} end") + " as max_price_diff"))(
+    lambda d: W.max_price_diff(_rounded(d), session="none").select("ticker", "timestamp", "max_price_diff")
+)
+_query("atr_none", *_along("atr_all as atr_value", "atr_value"))(
+    lambda d: W.atr(W.true_ranges(W.previous_close(W.daily_range(_rounded(d)))), session="none").select("ticker", "timestamp", "atr_value")
+)
 _query(
     "atr_daily",
     """with t as (select ticker, timestamp, greatest(high - low, abs(high - p), abs(low - p)) as tr_value from (select *, lag(close) over (partition by ticker order by timestamp) as p from daily_v))
@@ -396,6 +435,20 @@ def _(d: Data):
     return M.stored_range(d.spark, root, "2024-01-04", "2024-01-04")
 
 
+@_query("master_colocated", f"{_SMALL} select * from mst", _MASTER_SIX)
+def _(d: Data):
+    """The master over tables laid out by ticker and day."""
+    tag = "tickframe_" + d.new("x")[-8:]
+    names = {feed: f"{tag}_{feed}" for feed in M._LANDED}
+    for feed, df in (("bars", d.bars), ("quotes", d.quotes), ("trades", d.trades), ("indicators", d.light)):
+        M.colocate(names[feed], feed, df, 8)
+    path = d.new("master")
+    M.master_colocated(d.spark, names, path)
+    for name in names.values():
+        drop_table(d.spark, name)
+    return d.spark.read.parquet(path)
+
+
 @_query("master_upsert", f"{_SMALL} select ticker, timestamp, close, case when timestamp::date = date '2024-01-04' then 2 else 1 end as version from mst")
 def _(d: Data):
     """The whole master, then one day of it again: the day's rows are replaced."""

@@ -43,51 +43,91 @@ _RAW_NEWS = (
 _RAW_INDICATORS = "ticker string, timestamp bigint, indicator_type string, window int, value double, signal double, histogram double"
 
 
-def _shaped(df: DataFrame, schema: str) -> DataFrame:
-    """df in the order and types of schema."""
-    return df.select(*[F.col(f"`{name}`").cast(kind).alias(name) for name, kind in (x.split(" ", 1) for x in schema.split(", "))])
+#: Landed schemas by feed, and the column that takes records which can't be read.
+RAW = {"bars": _RAW_BARS, "daily": _RAW_BARS, "trades": _RAW_TRADES, "quotes": _RAW_QUOTES, "news": _RAW_NEWS, "indicators": _RAW_INDICATORS}
+CORRUPT = "_corrupt"
+#: Milliseconds and nanoseconds that a timestamp of microseconds can hold.
+_MOST_MS = 9 * 10**15
+_NONE_INT, _NONE_TEXT = "cast(array() as array<int>)", "cast(array() as array<string>)"
+
+
+def _columns(schema: str) -> list[tuple[str, str]]:
+    return [tuple(x.split(" ", 1)) for x in schema.split(", ")]
 
 
 def _files(spark: SparkSession, path: str, schema: str, kind: str) -> DataFrame:
+    """Landed files; of text forms, records that don't parse come as `_corrupt`, what fits of them beside it."""
+    if kind == "json":
+        return spark.read.schema(f"{schema}, {CORRUPT} string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
     return spark.read.schema(schema).format(kind).load(path)
 
 
+def _ms(c: str) -> Column:
+    return epoch_ms(F.when(F.col(c).between(-_MOST_MS, _MOST_MS), F.col(c)))
+
+
+def _made(feed: str, fallback: Column | None = None) -> tuple[str, dict[str, Column]]:
+    """A feed's schema, and the columns of it that aren't the landed ones cast."""
+    if feed in ("bars", "daily"):
+        return BARS, {"timestamp": _ms("timestamp")}
+    if feed in ("trades", "quotes"):
+        times = {c: epoch_ns(F.col(c)) for c in ("sip_timestamp", "participant_timestamp", "trf_timestamp")}
+        lists = {c: F.coalesce(c, F.expr(_NONE_INT)) for c in (("conditions",) if feed == "trades" else ("conditions", "indicators"))}
+        return (TRADES if feed == "trades" else QUOTES) + ", sip_nanos bigint", times | lists | {"sip_nanos": F.col("sip_timestamp")}
+    if feed == "news":
+        texts = {c: F.coalesce(c, F.lit("")) for c in ("id", "title", "author", "article_url", "amp_url", "image_url", "description")}
+        lists = {c: F.coalesce(c, F.expr(_NONE_TEXT)) for c in ("tickers", "keywords")}
+        return NEWS, {"publisher": F.coalesce("publisher.name", F.lit("")), "published_utc": parse_utc(F.col("published_utc"), fallback), **texts, **lists}
+    return INDICATORS, {"timestamp": _ms("timestamp"), "value": F.coalesce("value", F.lit(0.0))}
+
+
+def _reason(raw: DataFrame, feed: str) -> Column:
+    """Null, or what of a record can't be read or doesn't fit."""
+    schema, made = _made(feed)
+    out = [F.when(F.col(CORRUPT).isNotNull(), F.lit("unreadable"))] if CORRUPT in raw.columns else []
+    if feed != "news":  # texts fit, and what is missing or no time has its value
+        out += [F.when(F.col(n).isNotNull() & made.get(n, F.col(n)).try_cast(k).isNull(), F.lit(n)) for n, k in _columns(schema) if n in raw.columns]
+    return F.nullif(F.concat_ws(", ", *out), F.lit(""))
+
+
+def _good(raw: DataFrame, feed: str, fallback: Column | None = None) -> DataFrame:
+    schema, made = _made(feed, fallback)
+    return raw.where(_reason(raw, feed).isNull()).select(*[made.get(n, F.col(n)).try_cast(k).alias(n) for n, k in _columns(schema)])
+
+
+def quarantined(spark: SparkSession, path: str, feed: str, kind: str = "json") -> DataFrame:
+    """(feed, reason, record) of the landed records that `read_...` leaves out: as text, as far as they
+    could be read. The reason is "unreadable", or the columns that they don't fit."""
+    raw = _files(spark, path, RAW[feed], kind)
+    text = F.to_json(F.struct(*[c for c in raw.columns if c != CORRUPT]))
+    record = F.coalesce(CORRUPT, text) if CORRUPT in raw.columns else text
+    return raw.select(F.lit(feed).alias("feed"), _reason(raw, feed).alias("reason"), record.alias("record")).where("reason is not null")
+
+
 def bars_from(raw: DataFrame) -> DataFrame:
-    """Landed bars with epoch milliseconds -> BARS."""
-    return _shaped(raw.withColumn("timestamp", epoch_ms(F.col("timestamp"))), BARS)
+    """Landed bars with epoch milliseconds -> BARS. Here and below, records that don't fit are left out: see
+    `quarantined`."""
+    return _good(raw, "bars")
 
 
 def trades_from(raw: DataFrame) -> DataFrame:
     """Landed trades with epoch nanoseconds -> TRADES and sip_nanos; conditions are never null."""
-    out = raw.withColumn("sip_nanos", F.col("sip_timestamp")).withColumn("conditions", F.coalesce("conditions", F.expr("cast(array() as array<int>)")))
-    for c in ("sip_timestamp", "participant_timestamp", "trf_timestamp"):
-        out = out.withColumn(c, epoch_ns(F.col(c)))
-    return _shaped(out, TRADES + ", sip_nanos bigint")
+    return _good(raw, "trades")
 
 
 def quotes_from(raw: DataFrame) -> DataFrame:
     """Landed quotes with epoch nanoseconds -> QUOTES and sip_nanos."""
-    out = raw.withColumn("sip_nanos", F.col("sip_timestamp"))
-    for c in ("conditions", "indicators"):
-        out = out.withColumn(c, F.coalesce(c, F.expr("cast(array() as array<int>)")))
-    for c in ("sip_timestamp", "participant_timestamp", "trf_timestamp"):
-        out = out.withColumn(c, epoch_ns(F.col(c)))
-    return _shaped(out, QUOTES + ", sip_nanos bigint")
+    return _good(raw, "quotes")
 
 
 def news_from(raw: DataFrame, fallback: Column | None = None) -> DataFrame:
     """Landed news -> NEWS: the publisher's name, blanks for null texts, empty arrays for null ones."""
-    out = raw.withColumn("publisher", F.col("publisher.name")).withColumn("published_utc", parse_utc(F.col("published_utc"), fallback))
-    for c in ("id", "publisher", "title", "author", "article_url", "amp_url", "image_url", "description"):
-        out = out.withColumn(c, F.coalesce(c, F.lit("")))
-    for c in ("tickers", "keywords"):
-        out = out.withColumn(c, F.coalesce(c, F.expr("cast(array() as array<string>)")))
-    return _shaped(out, NEWS)
+    return _good(raw, "news", fallback)
 
 
 def indicators_from(raw: DataFrame) -> DataFrame:
     """Landed indicators with epoch milliseconds -> INDICATORS; a null value counts 0."""
-    return _shaped(raw.withColumn("timestamp", epoch_ms(F.col("timestamp"))).withColumn("value", F.coalesce("value", F.lit(0.0))), INDICATORS)
+    return _good(raw, "indicators")
 
 
 def read_bars(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:

@@ -14,8 +14,11 @@ from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 
-def ensure_table(spark: SparkSession, name: str, schema: str, partition: str | None = None) -> None:
+def ensure_table(spark: SparkSession, name: str, schema: str, partition: str | None = None, buckets: tuple[Sequence[str], Sequence[str], int] | None = None) -> None:
+    """buckets: (columns that choose a row's bucket, columns to sort by, how many)."""
     by = f" partitioned by ({partition})" if partition else ""
+    if buckets:
+        by += f" clustered by ({', '.join(buckets[0])}) sorted by ({', '.join(buckets[1])}) into {buckets[2]} buckets"
     spark.sql(f"create table if not exists {name} ({schema}) using parquet{by}")
 
 
