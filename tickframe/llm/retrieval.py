@@ -5,6 +5,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 from typing import Any
 
 import numpy as np
@@ -94,7 +95,7 @@ def features(docs: DataFrame, tokenizer: str, id_col: str, text_col: str, capaci
         for b in batches:
             rows = []
             texts = [np.append(encoder.ids(t), np.uint32(END)).astype("<u4", copy=False) for t in b.text]
-            for doc, ids, bag in zip(b.doc_id, texts, words.bags(texts) if texts else (), strict=True):
+            for doc, ids, bag in zip(b.doc_id, texts, chain.from_iterable(words.bags(texts[k : k + 64]) for k in range(0, len(texts), 64)), strict=True):
                 whole = len(ids) // capacity
                 crcs = [zlib.crc32(ids[k * capacity : (k + 1) * capacity]) for k in range(whole)]
                 rows.append((doc, len(ids), 2 * at, crcs, ids[whole * capacity :].astype(kind).tobytes(), *bag))
@@ -173,22 +174,29 @@ class _Shard:
         """Whole windows until at most `keep` ids are left, or less than a window: the item that was
         the longest of the unused ones is the seed; its neighbours follow in order of their scores as long as they fit whole, and the best
         one that is left is cut to fill the gap. Items without a score come last."""
-        order, at = np.argsort(-self.left, kind="stable"), 0
+        order, at, indexed = np.argsort(-self.left, kind="stable"), 0, len(self.left)
         while (total := int(self.left.sum())) >= capacity and total > keep:
             while not self.left[order[at]]:
                 at += 1
+            if 2 * (left := int(np.count_nonzero(self.left))) < indexed:
+                self._thin()
+                indexed = left
+            score = self.scores(order[at])
             window = [self.take(order[at], capacity)]
-            gap, score = capacity - window[0][2], self.scores(order[at])
-            near = np.flatnonzero(self.left)
-            near = near[np.argsort(-score[near], kind="stable")]
+            gap = capacity - window[0][2]
             while gap:
-                fits = np.flatnonzero(self.left[near] <= gap)
-                best = int(fits[0]) if len(fits) else 0
-                window.append(self.take(near[best], gap))
+                open_ = self.left > 0
+                fits = open_ & (self.left <= gap)
+                window.append(self.take(int(np.argmax(np.where(fits if fits.any() else open_, score, -1.0))), gap))
                 gap -= window[-1][2]
-                near = np.delete(near, best)
             yield window
 
+    def _thin(self) -> None:
+        """Leaves items that are given out out of the index."""
+        stay = self.left[self.post] > 0
+        self.starts = np.concatenate([[0], np.cumsum(stay)])[self.starts]
+        self.post, self.weight = self.post[stay], self.weight[stay]
+
     def rest(self, capacity: int) -> Iterator[list[tuple[int, int, int]]]:
         """What is left, less than a window, in sequences of powers of two, which need no padding."""
         open_, total = [int(i) for i in np.flatnonzero(self.left)], int(self.left.sum())
