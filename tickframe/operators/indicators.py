@@ -32,7 +32,8 @@ def recursions(bars: DataFrame, emas: Sequence[int] = EMA_WINDOWS, short: int =
     spans = sorted({*emas, short, long})
     alpha = {n: 2 / (n + 1) for n in spans}
     sig, wild = 2 / (signal + 1), 1 / rsi
-    d, running = in_blocks(bars.select("ticker", "timestamp", "close"), "timestamp", block or block_size([*alpha.values(), sig, wild]))
+    size = block or block_size([*alpha.values(), sig, wild])
+    d, running = in_blocks(bars.select("ticker", "timestamp", "close"), "timestamp", size)
     close = F.col("close")
     in_order = Window.partitionBy("ticker", "_day", "_b").orderBy("timestamp")
     change = close - F.lag("close", 1).over(in_order)  # null in a block's first row
@@ -49,14 +50,14 @@ def recursions(bars: DataFrame, emas: Sequence[int] = EMA_WINDOWS, short: int =
     )
     kept = 1 - wild
 
+    def pull(n: int, i: Column) -> Column:
+        """What one of a carried EMA adds to the signal at place i."""
+        b = 1 - alpha[n]
+        return F.lit(sig * b / (b - (1 - sig))) * (F.pow(F.lit(b), i + 1) - F.pow(F.lit(1 - sig), i + 1))
+
     def driven(c: Column, i: Column) -> Column:
         """What the carried EMAs add to the signal at place i."""
-
-        def one(n: int) -> Column:
-            b = 1 - alpha[n]
-            return c[f"e{n}"] * F.lit(sig * b / (b - (1 - sig))) * (F.pow(F.lit(b), i + 1) - F.pow(F.lit(1 - sig), i + 1))
-
-        return one(short) - one(long)
+        return c[f"e{short}"] * pull(short, i) - c[f"e{long}"] * pull(long, i)
 
     def given(c: Column, e: Column) -> Column:
         """The carried values as they act on this block: a ticker's first close stands for all before
@@ -84,13 +85,29 @@ def recursions(bars: DataFrame, emas: Sequence[int] = EMA_WINDOWS, short: int =
         return out
 
     own = [F.col(c) for c in ("_i", "_first", "_second", "_sig", "_mu", "_md", *[f"_e{n}" for n in spans])]
-    zero = F.struct(F.lit(0).cast("long").alias("rn"), F.lit(0.0).alias("last"), *[F.lit(0.0).alias(f"e{n}") for n in spans], *[F.lit(0.0).alias(k) for k in ("sig", "mu", "md")])
 
-    def step(c: Column, e: Column) -> Column:
-        after = at(given(c, e), e, e["_i"])
-        return F.struct((c["rn"] + e["_i"].cast("long") + 1).alias("rn"), e["close"].alias("last"), *[v.alias(k) for k, v in after.items()])
+    def block_map(e: Column, rn: Column, last: Column) -> dict[str, Column]:
+        """`at` of a block's last place as a map of what is carried. A ticker's first block depends on
+        nothing carried, nor do the means of the block that has its first change (see `given`)."""
+        i, none = e["_i"], F.lit(0.0)
+        out = {}
+        for n in spans:
+            power = F.pow(F.lit(1 - alpha[n]), i + 1)
+            out[f"a_e{n}_e{n}"] = F.when(rn == 0, none).otherwise(power)
+            out[f"b_e{n}"] = e[f"_e{n}"] + F.when(rn == 0, e["_first"] * power).otherwise(none)
+        for x, c in (("sig", F.pow(F.lit(1 - sig), i + 1)), (f"e{short}", pull(short, i)), (f"e{long}", -pull(long, i))):
+            out[f"a_sig_{x}"] = F.when(rn == 0, none).otherwise(c)
+        out["b_sig"] = e["_sig"] + F.when(rn == 0, e["_first"] * (pull(short, i) - pull(long, i))).otherwise(none)
+        for x, sign in (("mu", 1), ("md", -1)):
+            jump, later = F.greatest(sign * (e["_first"] - last), none), F.greatest(F.coalesce(sign * (e["_second"] - e["_first"]), none), none)
+            power = F.pow(F.lit(kept), i + 1)
+            out[f"a_{x}_{x}"] = F.when(rn <= 1, none).otherwise(power)
+            now = wild * jump * F.pow(F.lit(kept), i)
+            out[f"b_{x}"] = e[f"_{x}"] + F.when(rn == 0, later / kept * power).when(rn == 1, jump * power + now).otherwise(now)
+        return out
 
-    d = carry_blocks(d, [*own, close], zero, step)
+    pattern = {**{f"e{n}": (f"e{n}",) for n in spans}, "sig": ("sig", f"e{short}", f"e{long}"), "mu": ("mu",), "md": ("md",)}
+    d = carry_blocks(d, size, [*own, close], pattern, block_map, "close")
     # _second of the block, for the ticker's first block: known from its second row on, where it is needed
     d = d.withColumn("_g", given(F.col("_c"), F.struct("_first", "_second"))).withColumn("rn", F.col("_c.rn") + F.col("_i").cast("long"))
     v = at(F.col("_g"), F.struct(*own), F.col("_i"))

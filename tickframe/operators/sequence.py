@@ -4,13 +4,14 @@ first-order recursions by blocks."""
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Blocks that are folded by themselves.
+#: Blocks, or stretches of blocks, whose maps become one.
 STRETCH = 256
 
 
@@ -50,26 +51,75 @@ def in_blocks(df: DataFrame, ts: str, size: int) -> tuple[DataFrame, object]:
     return d.drop("_n"), running
 
 
-def carry_blocks(d: DataFrame, end: Sequence[Column], zero: Column, step) -> DataFrame:
-    """d with `_c`: what is carried into each block. end: columns of a block's last row; zero: what is
-    carried into a ticker's first block; step(carried, end) gives what goes into the next one.
+#: What each state after a block depends on: itself and others before it.
+Pattern = Mapping[str, Sequence[str]]
 
-    A row per block is folded along each ticker; the blocks' rows are joined. The list of blocks is
-    folded by stretches, since a fold copies what it has made so far at every step."""
-    ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct(*end), "_i").alias("_end"))
-    listed = ends.groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct("_b", "_end"))).alias("_ends"))
-    none = F.slice(F.array(F.struct(F.expr("cast(null as struct<_day:date,k:bigint>)").alias("_b"), zero.alias("_c"))), 1, 0)
-    cuts = F.sequence(F.lit(0), F.floor((F.size("_ends") - 1) / STRETCH).cast("int"))
 
-    def one(acc: Column, e: Column) -> Column:
-        return F.struct(step(acc["now"], e["_end"]).alias("now"), F.concat(acc["made"], F.array(F.struct(e["_b"].alias("_b"), acc["now"].alias("_c")))).alias("made"))
+def _plus(terms: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a + b, terms)
 
-    def stretch(acc: Column, k: Column) -> Column:
-        own = F.aggregate(F.slice("_ends", k * STRETCH + 1, F.lit(STRETCH)), F.struct(acc["now"].alias("now"), none.alias("made")), one)
-        return F.transform(F.array(own), lambda r: F.struct(r["now"].alias("now"), F.concat(acc["made"], F.array(r["made"])).alias("made")))[0]
 
-    made = F.aggregate(cuts, F.struct(zero.alias("now"), F.slice(F.array(none), 1, 0).alias("made")), stretch, lambda acc: F.flatten(acc["made"]))
-    return d.join(listed.select("ticker", F.inline(made)), ["ticker", "_b"])
+def _composed(pattern: Pattern, one: Column, two: Column) -> Column:
+    """The affine map that is `one` and then `two`: a struct of a_x_y, what x takes of y, and b_x."""
+    out = []
+    for x, ys in pattern.items():
+        out += [_plus([two[f"a_{x}_{z}"] * one[f"a_{z}_{y}"] for z in ys if y in pattern[z]]).alias(f"a_{x}_{y}") for y in ys]
+        out.append((two[f"b_{x}"] + _plus([two[f"a_{x}_{z}"] * one[f"b_{z}"] for z in ys])).alias(f"b_{x}"))
+    return F.struct(*out)
+
+
+def _applied(pattern: Pattern, m: Column, state: Column) -> Column:
+    return F.struct(*[(m[f"b_{x}"] + _plus([m[f"a_{x}_{y}"] * state[y] for y in ys])).alias(x) for x, ys in pattern.items()])
+
+
+def _before_each(pattern: Pattern, listed: str, state: Column, entry: Callable[[Column, Column], Column]) -> Column:
+    """For each element x of a list with maps x.m, in order: entry(x, the state before it)."""
+    first = F.transform(F.slice(listed, 1, 1), lambda x: entry(x, state))
+
+    def one(acc: Column, x: Column) -> Column:
+        return F.struct(_applied(pattern, x["m"], acc["now"]).alias("now"), F.concat(acc["made"], F.array(entry(x, acc["now"]))).alias("made"))
+
+    return F.aggregate(listed, F.struct(state.alias("now"), F.slice(first, F.lit(1), F.lit(0)).alias("made")), one, lambda acc: acc["made"])
+
+
+def carry_blocks(d: DataFrame, size: int, end: Sequence[Column], pattern: Pattern, block_map: Callable[[Column, Column, Column], Mapping[str, Column]], last: str | None = None) -> DataFrame:
+    """d (see `in_blocks`) with `_c`: rn, the ticker's rows before the block; last, the field `last` of the
+    block before; and the states that are carried into the block.
+
+    end: columns of a block's last row; block_map(end, rn, last): the affine map from states before the
+    block to states after it, as a_x_y and b_x. A ticker's first block must not depend on what is carried
+    into it (its a_x_y are 0). Maps compose, so they are folded as a tree: STRETCH blocks to one map, STRETCH
+    of these to one, and what is left of a ticker (one for each STRETCH^2 blocks, 33 million rows) in order;
+    then states are handed down the same way. A list holds STRETCH maps, whatever a ticker's length."""
+    ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct(*end), "_i").alias("_end")).withColumn("_day", F.col("_b._day"))
+    held = F.col(f"_end.{last}") if last else F.lit(None).cast("double")
+    days = ends.groupBy("ticker", "_day").agg(F.count("*").alias("_blocks"), F.sum(F.col("_end._i").cast("long") + 1).alias("_rows"), F.max_by(held, F.col("_b.k")).alias("_held"))
+    along = Window.partitionBy("ticker").orderBy("_day")  # a row for each day
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    days = days.select("ticker", "_day", F.coalesce(F.sum("_blocks").over(before), F.lit(0)).alias("_block0"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row0"), F.lag("_held", 1).over(along).alias("_held0"))
+    blocks = ends.join(days, ["ticker", "_day"])
+    own = F.lag(held, 1).over(Window.partitionBy("ticker", "_day").orderBy(F.col("_b.k")))
+    blocks = blocks.select("ticker", "_b", (F.col("_block0") + F.col("_b.k")).alias("idx"), (F.col("_row0") + F.col("_b.k") * size).alias("rn"), F.coalesce(own, F.col("_held0")).alias("last"), "_end")
+    m = F.struct(*[c.alias(name) for name, c in block_map(F.col("_end"), F.col("rn"), F.col("last")).items()])
+    listed = blocks.withColumn("m", m).groupBy("ticker", F.floor(F.col("idx") / STRETCH).alias("s")).agg(F.array_sort(F.collect_list(F.struct("idx", "_b", "rn", "last", "m"))).alias("l"))
+
+    def whole(df: DataFrame) -> Column:
+        return F.aggregate(F.slice("l", F.lit(2), F.size("l")), F.element_at("l", 1)["m"], lambda acc, x: _composed(pattern, acc, x["m"]))
+
+    upper = listed.select("ticker", "s", whole(listed).alias("m")).groupBy("ticker", F.floor(F.col("s") / STRETCH).alias("t")).agg(F.array_sort(F.collect_list(F.struct("s", "m"))).alias("l"))
+    top = upper.select("ticker", "t", whole(upper).alias("m")).groupBy("ticker").agg(F.array_sort(F.collect_list(F.struct("t", "m"))).alias("l"))
+    none = F.struct(*[F.lit(0.0).alias(x) for x in pattern])
+
+    def down(df: DataFrame, state: Column, entry) -> DataFrame:
+        return df.select("ticker", F.inline(_before_each(pattern, "l", state, entry)))
+
+    to_upper = down(top, none, lambda x, now: F.struct(x["t"].alias("t"), now.alias("now")))
+    to_listed = down(upper.join(to_upper, ["ticker", "t"]), F.col("now"), lambda x, now: F.struct(x["s"].alias("s"), now.alias("now")))
+    states = down(
+        listed.join(to_listed, ["ticker", "s"]), F.col("now"),
+        lambda x, now: F.struct(x["_b"].alias("_b"), F.struct(x["rn"].alias("rn"), x["last"].alias("last"), *[now[s].alias(s) for s in pattern]).alias("_c")),
+    )
+    return d.join(states, ["ticker", "_b"])
 
 
 def ema_term(x: Column, alpha: float, running) -> Column:
@@ -88,21 +138,21 @@ def block_scan(df: DataFrame, series: Sequence[tuple[str, str, float]], block: i
 
     Within a block, y is (1 - alpha)^i times a running sum of alpha (1 - alpha)^(-i) x; what is carried
     into it is added on. The input is read twice, whatever the number of series."""
-    d, running = in_blocks(df, ts, block or block_size([a for _, _, a in series]))
+    size = block or block_size([a for _, _, a in series])
+    d, running = in_blocks(df, ts, size)
     d = d.withColumns({f"_y_{out}": F.coalesce(ema_term(F.col(x), a, running), F.lit(0.0)) for out, x, a in series})
     d = d.withColumns({f"_x_{out}": F.first(F.coalesce(F.col(x), F.lit(0.0))).over(running) for out, x, _ in series})
     end = [F.col(c) for c in ("_i", *[f"_{k}_{out}" for out, _, _ in series for k in "yx"])]
-    zero = F.struct(F.lit(0).cast("long").alias("rn"), *[F.lit(0.0).alias(out) for out, _, _ in series])
-
-    def into(c: Column, e: Column, out: str) -> Column:
-        return F.when(c["rn"] == 0, e[f"_x_{out}"]).otherwise(c[out])  # as if the first x had always been
-
-    def step(c: Column, e: Column) -> Column:
-        power = e["_i"] + 1
-        ys = [(into(c, e, out) * F.pow(F.lit(1 - a), power) + e[f"_y_{out}"]).alias(out) for out, _, a in series]
-        return F.struct((c["rn"] + power.cast("long")).alias("rn"), *ys)
 
-    d = carry_blocks(d, end, zero, step)
-    c, here = F.col("_c"), F.struct(*[f"_x_{out}" for out, _, _ in series])
-    ys = {out: F.col(f"_y_{out}") + into(c, here, out) * F.pow(F.lit(1 - a), F.col("_i") + 1) for out, _, a in series}
+    def block_map(e: Column, rn: Column, _: Column) -> dict[str, Column]:
+        out = {}
+        for name, _, a in series:
+            power = F.pow(F.lit(1 - a), e["_i"] + 1)  # a ticker's first x stands for all before it
+            out[f"a_{name}_{name}"] = F.when(rn == 0, F.lit(0.0)).otherwise(power)
+            out[f"b_{name}"] = e[f"_y_{name}"] + F.when(rn == 0, e[f"_x_{name}"] * power).otherwise(F.lit(0.0))
+        return out
+
+    d = carry_blocks(d, size, end, {out: (out,) for out, _, _ in series}, block_map)
+    c = F.col("_c")
+    ys = {out: F.col(f"_y_{out}") + F.when(c["rn"] == 0, F.col(f"_x_{out}")).otherwise(c[out]) * F.pow(F.lit(1 - a), F.col("_i") + 1) for out, _, a in series}
     return d.withColumns({**ys, "rn": c["rn"] + F.col("_i").cast("long")}).select(*[c for c in df.columns if c != "rn"], "rn", *ys)
