@@ -234,6 +234,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     n, mean = made.agg(F.count("*"), F.avg("words")).first()
     held_by = document_counts(made)
     most = max(2, int(n * MOST))
+    kind = _encoder(tokenizer)[1]
     shared = made.sparkSession.sparkContext.broadcast(held_by.astype(np.float32 if n < 1 << 24 else np.float64))
 
     @F.pandas_udf("topic int, second int, buckets binary, weights binary")
@@ -253,7 +254,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
         )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kind, at = _encoder(tokenizer)[1], TaskContext.get().partitionId() << 40
+        at = TaskContext.get().partitionId() << 40
         have: list[pd.DataFrame] = []
 
         def put(windows: Iterator[list[tuple[int, int, int]]], items: pd.DataFrame) -> pd.DataFrame:
