@@ -107,7 +107,7 @@ def recursions(bars: DataFrame, emas: Sequence[int] = EMA_WINDOWS, short: int =
         return out
 
     pattern = {**{f"e{n}": (f"e{n}",) for n in spans}, "sig": ("sig", f"e{short}", f"e{long}"), "mu": ("mu",), "md": ("md",)}
-    d = carry_blocks(d, size, [*own, close], pattern, block_map, "close")
+    d = carry_blocks(d, [*own, close], pattern, block_map, "close")
     # _second of the block, for the ticker's first block: known from its second row on, where it is needed
     d = d.withColumn("_g", given(F.col("_c"), F.struct("_first", "_second"))).withColumn("rn", F.col("_c.rn") + F.col("_i").cast("long"))
     v = at(F.col("_g"), F.struct(*own), F.col("_i"))

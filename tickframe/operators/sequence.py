@@ -82,7 +82,7 @@ def _before_each(pattern: Pattern, listed: str, state: Column, entry: Callable[[
     return F.aggregate(listed, F.struct(state.alias("now"), F.slice(first, F.lit(1), F.lit(0)).alias("made")), one, lambda acc: acc["made"])
 
 
-def carry_blocks(d: DataFrame, size: int, end: Sequence[Column], pattern: Pattern, block_map: Callable[[Column, Column, Column], Mapping[str, Column]], last: str | None = None) -> DataFrame:
+def carry_blocks(d: DataFrame, end: Sequence[Column], pattern: Pattern, block_map: Callable[[Column, Column, Column], Mapping[str, Column]], last: str | None = None) -> DataFrame:
     """d (see `in_blocks`) with `_c`: rn, the ticker's rows before the block; last, the field `last` of the
     block before; and the states that are carried into the block.
 
@@ -90,16 +90,15 @@ def carry_blocks(d: DataFrame, size: int, end: Sequence[Column], pattern: Patter
     block to states after it, as a_x_y and b_x. A ticker's first block must not depend on what is carried
     into it (its a_x_y are 0). Maps compose, so they are folded as a tree: STRETCH blocks to one map, STRETCH
     of these to one, and what is left of a ticker (one for each STRETCH^2 blocks, 33 million rows) in order;
-    then states are handed down the same way. A list holds STRETCH maps, whatever a ticker's length."""
-    ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct(*end), "_i").alias("_end")).withColumn("_day", F.col("_b._day"))
+    then states are handed down the same way. A list holds STRETCH maps, whatever a ticker's length. All of
+    a ticker that one task sees is a row for each block, one after the other."""
+    ends = d.groupBy("ticker", "_b").agg(F.max_by(F.struct(*end), "_i").alias("_end"))
     held = F.col(f"_end.{last}") if last else F.lit(None).cast("double")
-    days = ends.groupBy("ticker", "_day").agg(F.count("*").alias("_blocks"), F.sum(F.col("_end._i").cast("long") + 1).alias("_rows"), F.max_by(held, F.col("_b.k")).alias("_held"))
-    along = Window.partitionBy("ticker").orderBy("_day")  # a row for each day
+    along = Window.partitionBy("ticker").orderBy("_b")  # a row for each block, streamed
     before = along.rowsBetween(Window.unboundedPreceding, -1)
-    days = days.select("ticker", "_day", F.coalesce(F.sum("_blocks").over(before), F.lit(0)).alias("_block0"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_row0"), F.lag("_held", 1).over(along).alias("_held0"))
-    blocks = ends.join(days, ["ticker", "_day"])
-    own = F.lag(held, 1).over(Window.partitionBy("ticker", "_day").orderBy(F.col("_b.k")))
-    blocks = blocks.select("ticker", "_b", (F.col("_block0") + F.col("_b.k")).alias("idx"), (F.col("_row0") + F.col("_b.k") * size).alias("rn"), F.coalesce(own, F.col("_held0")).alias("last"), "_end")
+    blocks = ends.select(
+        "ticker", "_b", (F.row_number().over(along) - 1).alias("idx"), F.coalesce(F.sum(F.col("_end._i").cast("long") + 1).over(before), F.lit(0)).alias("rn"), F.lag(held, 1).over(along).alias("last"), "_end",
+    )
     m = F.struct(*[c.alias(name) for name, c in block_map(F.col("_end"), F.col("rn"), F.col("last")).items()])
     listed = blocks.withColumn("m", m).groupBy("ticker", F.floor(F.col("idx") / STRETCH).alias("s")).agg(F.array_sort(F.collect_list(F.struct("idx", "_b", "rn", "last", "m"))).alias("l"))
 
@@ -119,7 +118,7 @@ def carry_blocks(d: DataFrame, size: int, end: Sequence[Column], pattern: Patter
         listed.join(to_listed, ["ticker", "s"]), F.col("now"),
         lambda x, now: F.struct(x["_b"].alias("_b"), F.struct(x["rn"].alias("rn"), x["last"].alias("last"), *[now[s].alias(s) for s in pattern]).alias("_c")),
     )
-    return d.join(states, ["ticker", "_b"])
+    return d.join(states.hint("shuffle_hash"), ["ticker", "_b"])  # a hash table of blocks: rows are neither sorted again nor, where few, sent to one task
 
 
 def ema_term(x: Column, alpha: float, running) -> Column:
@@ -152,7 +151,7 @@ def block_scan(df: DataFrame, series: Sequence[tuple[str, str, float]], block: i
             out[f"b_{name}"] = e[f"_y_{name}"] + F.when(rn == 0, e[f"_x_{name}"] * power).otherwise(F.lit(0.0))
         return out
 
-    d = carry_blocks(d, size, end, {out: (out,) for out, _, _ in series}, block_map)
+    d = carry_blocks(d, end, {out: (out,) for out, _, _ in series}, block_map)
     c = F.col("_c")
     ys = {out: F.col(f"_y_{out}") + F.when(c["rn"] == 0, F.col(f"_x_{out}")).otherwise(c[out]) * F.pow(F.lit(1 - a), F.col("_i") + 1) for out, _, a in series}
     return d.withColumns({**ys, "rn": c["rn"] + F.col("_i").cast("long")}).select(*[c for c in df.columns if c != "rn"], "rn", *ys)
