@@ -76,7 +76,7 @@ def test_latest_starts_on_a_weekend(spark, tmp_path):
     bars(spark, [0.5], FRIDAY).coalesce(1).write.mode("append").parquet(path)
     bars(spark, [5.0], saturday + dt.timedelta(days=2, hours=1), "B").coalesce(1).write.mode("append").parquet(path)
     run()
-    got = closes(D.latest(read_table(spark, f"{tmp_path}/out")))
+    got = closes(ST.latest_rows(spark, f"{tmp_path}/out"))
     assert [(x[0], x[2]) for x in got] == [("A", 4.0), ("B", 5.0)]
 
 

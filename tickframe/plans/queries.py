@@ -21,6 +21,7 @@ from tickframe.plans import fixtures as X
 from tickframe.plans import master as M
 from tickframe.plans.fixtures import r2, r6
 from tickframe.sources import feeds as S
+from tickframe.sources import upkeep as U
 from tickframe.sources.scratch import new_path
 from tickframe.sources.sinks import append, ensure_table, drop_table, export_normalized, read_table, recreate_table, upsert
 from tickframe.streaming import streams as ST
@@ -570,6 +571,41 @@ def _quality_sql(t: str, columns: list[tuple[str, bool]]) -> str:
 
 _QUOTE_COLS = [(x.split(" ")[0], x.split(" ")[1] in ("int", "double", "bigint")) for x in S.QUOTES.split(", ") if "array" not in x]
 _query("table_stats", _stats("bars_v"))(lambda d: Q.table_stats(d.bars))
+
+
+def _written(d: Data) -> str:
+    """The bars in three writes of which profiles are kept: two appends, and one day again over zeroed rows."""
+    path, day = d.new("profiled"), "2024-01-04"
+    early = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp_ntz")
+    zeroed = F.when(F.to_date("timestamp") == day, F.lit(0.0)).otherwise(F.col("close"))
+    U.append_profiled(d.bars.where(early).withColumn("close", zeroed), path)
+    U.append_profiled(d.bars.where(~early), path)
+    U.upsert_profiled(d.bars.where(F.to_date("timestamp") == day), path, ["ticker", "timestamp"])
+    return path
+
+
+_BAR_COLS = [(x.split(" ")[0], x.split(" ")[1] in ("int", "double", "bigint")) for x in S.BARS.split(", ")]
+_query("profile_stats", _stats("bars_v"))(lambda d: U.profile_stats(d.spark, _written(d)))
+_query("profile_quality", _quality_sql("bars_v", _BAR_COLS))(lambda d: U.profile_quality(d.spark, _written(d)))
+
+
+def _stored_dup(d: Data) -> str:
+    path = d.new("duplicates")
+    append(d.dup, path, "sip_timestamp")
+    return path
+
+
+@_query("dedup_stored", "select * from ticks_dup qualify row_number() over (partition by ticker, sip_timestamp order by ingest_seq desc, sequence_number desc) = 1")
+def _(d: Data):
+    """Duplicates of a stored table go, in place."""
+    path = _stored_dup(d)
+    U.dedup_stored(d.spark, path, _KEY, ["ingest_seq", "sequence_number"], "sip_timestamp")
+    return read_table(d.spark, path).select(*d.dup.columns)
+
+
+_query("dedup_stored_dry", "select n as total_rows, u as unique_rows, n - u as would_delete from (select count(*) as n, count(distinct (ticker, sip_timestamp)) as u from ticks_dup)")(
+    lambda d: U.stored_duplicates(d.spark, _stored_dup(d), _KEY)
+)
 _query(
     "date_gaps",
     """select ticker, gap_start, gap_end, date_diff('day', gap_start, gap_end)::int as days_gap from (select ticker, lag(d) over (partition by ticker order by d) as gap_start, d as gap_end
@@ -664,8 +700,8 @@ def _landed(d: Data, df: DataFrame, batches: int = 1) -> DataFrame:
 @_query("stream_latest", "select * from bars_v qualify row_number() over (partition by ticker order by timestamp desc) = 1", _BARS_SIX)
 def _(d: Data):
     out = d.new("latest")
-    ST.start_latest(_landed(d, d.bars), out, d.new("state"), open_only=False, available=True).awaitTermination()
-    return D.latest(read_table(d.spark, out)).select(*d.bars.columns)
+    ST.start_latest(_shuffled(d, d.bars, _CUTS), out, d.new("state"), open_only=False, available=True).awaitTermination()
+    return ST.latest_rows(d.spark, out).select(*d.bars.columns)
 
 
 @_query("stream_latest_open", """select * from bars_v where isodow(timezone('America/New_York', timezone('UTC', timestamp))) <= 5
@@ -673,8 +709,8 @@ def _(d: Data):
 def _(d: Data):
     """With the market gate, in several batches."""
     out = d.new("latest")
-    ST.start_latest(_landed(d, d.bars, 2), out, d.new("state"), available=True).awaitTermination()
-    return D.latest(read_table(d.spark, out)).select(*d.bars.columns)
+    ST.start_latest(_shuffled(d, d.bars, _CUTS), out, d.new("state"), available=True).awaitTermination()
+    return ST.latest_rows(d.spark, out).select(*d.bars.columns)
 
 
 @_query("stream_master", _DEFS["master_view"][1], _DEFS["master_view"][2])

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
@@ -31,58 +33,147 @@ def recreate_table(spark: SparkSession, name: str, schema: str, partition: str |
     ensure_table(spark, name, schema, partition)
 
 
-def append(df: DataFrame, path: str, ts: str = "timestamp") -> None:
+def append(df: DataFrame, path: str, ts: str = "timestamp", seen: tuple[Observation, Sequence[Column]] | None = None) -> None:
     """Add rows to Parquet files by day; an empty frame adds none. Days of many rows get several files,
-    each sorted by time."""
+    each sorted by time. seen: an observation and what it measures of the rows written."""
     day = df.withColumn("date", F.to_date(ts))
     order = [c for c in (ts, "ticker") if c in df.columns]
-    day.hint("rebalance", "date").sortWithinPartitions("date", *order).write.mode("append").partitionBy("date").parquet(path)
+    rows = day.hint("rebalance", "date").sortWithinPartitions("date", *order)
+    # after the last exchange: a stage made again for a lost executor would be measured twice
+    (rows.observe(seen[0], *seen[1]) if seen else rows).write.mode("append").partitionBy("date").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     return (spark.read.schema(schema) if schema else spark.read).parquet(path).drop("date")
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def files_of(spark: SparkSession, path: str):
+    """The file system of a path, and the path in it."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
-def _remove(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
-
-def upsert(df: DataFrame, path: str, keys: list[str], ts: str = "timestamp", order: Sequence[str] = ()) -> None:
+def exists(spark: SparkSession, path: str) -> bool:
+    files, place = files_of(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, place = files_of(spark, path)
+    files.delete(place, True)
+
+
+def rename(spark: SparkSession, path: str, new: str) -> None:
+    files, place = files_of(spark, path)
+    if not files.rename(place, files_of(spark, new)[1]):
+        raise OSError(f"{path} can't be renamed to {new}")
+
+
+def create(spark: SparkSession, path: str, text: str = "") -> None:
+    """A small file; an error where it is there already."""
+    files, place = files_of(spark, path)
+    out = files.create(place, False)
+    out.write(text.encode())
+    out.close()
+
+
+def _beside(spark: SparkSession, path: str, tag: str) -> list[str]:
+    """Files and folders beside a table whose names are the table's with the tag and more."""
+    files, place = files_of(spark, path.rstrip("/") + tag)
+    parent, name = place.getParent(), place.getName()
+    found = [x.getPath() for x in files.listStatus(parent)] if files.exists(parent) else []
+    return sorted(x.toString() for x in found if x.getName().startswith(name))
+
+
+class DaysTaken(RuntimeError):
+    """Another writer holds a day of the table."""
+
+
+def _claim(spark: SparkSession, path: str, days: Sequence[dt.date | None], owner: str, wait: float) -> list[str]:
+    """Take the days, all or none; of two writers the later one waits up to `wait` seconds."""
+    until = time.monotonic() + wait
+    while True:
+        held: list[str] = []
+        try:
+            for day in sorted(map(str, days)):
+                asked = f"{path.rstrip('/')}_claim-{day}"
+                create(spark, asked, owner)
+                held.append(asked)
+            return held
+        except Py4JJavaError as error:
+            for name in held:
+                remove(spark, name)
+            if not error.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
+                raise
+            if time.monotonic() >= until:
+                raise DaysTaken(f"{asked}: another writer has the day, or has died with it (then call settle)") from error
+            time.sleep(min(1.0, wait))
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """After a writer has died: days that it had staged whole are put in place, what it had not is thrown
+    away, and its claims go. Not to be called beside a living writer of the table."""
+    for staged in _beside(spark, path, "_staging-"):
+        if exists(spark, f"{staged}/ready"):
+            _place(spark, path, staged)
+        remove(spark, staged)
+    for claim in _beside(spark, path, "_claim-"):
+        remove(spark, claim)
+
+
+def _place(spark: SparkSession, path: str, staged: str, seen: tuple[Observation, Sequence[Column]] | None = None) -> None:
+    """Staged days replace the table's; doing it again changes nothing."""
+    kept = spark.read.parquet(f"{staged}/days").hint("rebalance", "date")
+    kept = kept.observe(seen[0], *seen[1]) if seen else kept
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+
+
+def upsert(
+    df: DataFrame, path: str, keys: list[str], ts: str = "timestamp", order: Sequence[str] = (), wait: float = 0.0,
+    before: Callable[[DataFrame], None] | None = None, seen: tuple[Observation, Sequence[Column]] | None = None,
+) -> bool:
     """Rows of df replace those of their keys; only the days that df touches are read and written. Of
     several rows of a key in df the last by `order` stays (any one without it). An empty frame changes
-    nothing.
+    nothing; the answer is whether anything was written.
 
     The new rows, and then the new days, are staged beside the table first, in a folder of this call's
-    own, since a plan can't overwrite what it reads, and df is evaluated once. Two writers of the same
-    day need a lock of their own: the later one replaces the day."""
+    own, since a plan can't overwrite what it reads, and df is evaluated once. The days are claimed
+    between these: a second writer of one of them waits so many seconds for it, then fails (DaysTaken)
+    with the table as it was, and what it reads is what the first one left. Once the days are staged
+    whole, a crash is mended by `settle`. before is given the touched days as they were; seen as in
+    `append`."""
     spark = df.sparkSession
     staged = f"{path.rstrip('/')}_staging-{uuid.uuid4().hex[:12]}"
     whole = df.withColumn("date", F.to_date(ts))
     schema = whole.schema
+    held: list[str] = []
     try:
         whole.write.parquet(f"{staged}/new")
         new = spark.read.schema(schema).parquet(f"{staged}/new")
         days = [r["date"] for r in new.select("date").distinct().collect()]
-        if not days:
-            return
-        both = new.withColumn("_new", F.lit(1))
-        if exists(spark, path):
-            known = [d for d in days if d is not None]
-            touched = F.col("date").isin(known) if known else F.lit(False)
-            touched = touched | F.col("date").isNull() if None in days else touched
-            both = both.unionByName(spark.read.schema(schema).parquet(path).where(touched).withColumn("_new", F.lit(0)))
-        last = Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *[F.col(c).desc() for c in order])
-        both.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new").write.parquet(f"{staged}/days")
-        kept = spark.read.schema(schema).parquet(f"{staged}/days").hint("rebalance", "date")
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
-    finally:
-        _remove(spark, staged)
+        if days:
+            held = _claim(spark, path, days, staged, wait)
+            both = new.withColumn("_new", F.lit(1))
+            if exists(spark, path):
+                known = [d for d in days if d is not None]
+                touched = F.col("date").isin(known) if known else F.lit(False)
+                touched = touched | F.col("date").isNull() if None in days else touched
+                old = spark.read.schema(schema).parquet(path).where(touched)
+                if before is not None:
+                    before(old)
+                both = both.unionByName(old.withColumn("_new", F.lit(0)))
+            last = Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *[F.col(c).desc() for c in order])
+            both.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new").write.parquet(f"{staged}/days")
+            create(spark, f"{staged}/ready")
+    except BaseException:
+        for name in (staged, *held):
+            remove(spark, name)
+        raise
+    if days:
+        _place(spark, path, staged, seen)  # where this fails, staged days and claims stay for `settle`
+    for name in (staged, *held):
+        remove(spark, name)
+    return bool(days)
 
 
 def days_of(spark: SparkSession, path: str) -> list[dt.date]:

@@ -7,17 +7,16 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickframe.functions.scalar import concat_codes, last_known, market_hours
-from tickframe.operators.dedup import latest
 from tickframe.operators.normalize import SCALES, between, normalize_minmax
 from tickframe.operators.ticks import indicator_columns
 from tickframe.plans.master import master_view, view_columns
 from tickframe.sources.feeds import on_days
-from tickframe.sources.sinks import append, first_days, upsert
+from tickframe.sources.sinks import append, exists, files_of, first_days, remove, settle, upsert
 from tickframe.streaming.rolling import rolling_extremes
 
 
@@ -96,20 +95,66 @@ def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append
     df.writeStream.format("parquet").outputMode(mode).option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
-def _each(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, available: bool, interval: str) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+def _each(df: DataFrame, batch: Callable[[DataFrame, int], None], checkpoint: str, available: bool, interval: str, mode: str = "append") -> StreamingQuery:
+    writer = df.writeStream.outputMode(mode).foreachBatch(batch).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available else writer.trigger(processingTime=interval)).start()
 
 
-def start_latest(df: DataFrame, out: str, checkpoint: str, ts: str = "timestamp", open_only: bool = True, available: bool = False, interval: str = "1 minute") -> StreamingQuery:
-    """Each minute the newest row of each ticker, in market hours, into the table at out."""
+def _newest(rows: DataFrame, by: Sequence, ts: str) -> DataFrame:
+    """The newest row of each group, ties as in `latest`; one aggregate, so that it can be a stream's state."""
+    rest = [c for c in rows.columns if c not in ("ticker", "w")]
+    row = F.min_by(F.struct(*rest), F.struct(-F.unix_micros(F.col(ts).cast("timestamp")), *[c for c in rest if c != ts]))
+    return rows.groupBy(*by).agg(row.alias("_r")).select("ticker", "_r.*")
 
-    def batch(rows: DataFrame, _: int) -> None:
-        rows = rows.withColumn(ts, F.col(ts).cast("timestamp_ntz"))
-        rows = rows.where(market_hours(F.col(ts))) if open_only else rows
-        upsert(latest(rows, ("ticker",), ts), out, ["ticker", ts], ts)
 
-    return _each(df, batch, checkpoint, available, interval)
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The versions of a table of latest rows that are whole, in order."""
+    if not exists(spark, path):
+        return []
+    files, place = files_of(spark, path)
+    names = [x.getPath().getName() for x in files.listStatus(place)]
+    return sorted(int(n[8:]) for n in names if n.startswith("version=") and exists(spark, f"{path}/{n}/_SUCCESS"))
+
+
+def latest_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The table that `start_latest` keeps: one row a ticker."""
+    return spark.read.parquet(f"{path}/version={_versions(spark, path)[-1]}")
+
+
+def _merge_latest(rows: DataFrame, path: str, batch: int, ts: str) -> None:
+    """The version of a batch: the last one before it, with newer rows in place of older ones. The same
+    batch again makes the same version; the one before stays for readers, those before that go."""
+    spark = rows.sparkSession
+    versions = _versions(spark, path)
+    past = [v for v in versions if v < batch]
+    every = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{path}/version={past[-1]}")) if past else rows
+    _newest(every, ["ticker"], ts).select(*rows.columns).coalesce(1).write.mode("overwrite").parquet(f"{path}/version={batch}")  # a row a ticker
+    for v in past[:-1]:
+        remove(spark, f"{path}/version={v}")
+
+
+def start_latest(
+    df: DataFrame, out: str, checkpoint: str, ts: str = "timestamp", open_only: bool = True, delay: str = "10 seconds", available: bool = False, interval: str = "1 minute"
+) -> StreamingQuery:
+    """Each minute the newest row of each ticker, in market hours, into the table at out (`latest_rows`).
+
+    The state is the newest row of each ticker in the minutes that the watermark has not passed: a row
+    that is late by less than the delay still counts, a later one is dropped, and a minute's state goes
+    once it is passed. What changed in a batch is merged into the table, which has a version for each
+    batch, so a batch that is run again after a crash counts once."""
+    rows = as_stream_time(df, ts).withWatermark(ts, delay)
+    rows = rows.where(market_hours(F.col(ts).cast("timestamp_ntz"))) if open_only else rows
+    newest = _newest(rows, ["ticker", F.window(ts, "1 minute").alias("w")], ts).select(*df.columns)
+
+    def batch(rows: DataFrame, number: int) -> None:
+        rows = rows.withColumn(ts, F.col(ts).cast("timestamp_ntz")).persist()
+        try:
+            if not rows.isEmpty():
+                _merge_latest(rows, out, number, ts)
+        finally:
+            rows.unpersist()
+
+    return _each(newest, batch, checkpoint, available, interval, "update")
 
 
 def start_master(bars: DataFrame, sources: Callable[[], tuple[DataFrame, DataFrame, DataFrame]], out: str, checkpoint: str, available: bool = False, interval: str = "1 minute") -> StreamingQuery:
@@ -127,6 +172,7 @@ def start_master(bars: DataFrame, sources: Callable[[], tuple[DataFrame, DataFra
         finally:
             rows.unpersist()
 
+    settle(bars.sparkSession, out)
     return _each(bars, batch, checkpoint, available, interval)
 
 
@@ -175,6 +221,8 @@ def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: i
         finally:
             rows.unpersist()
 
+    for table in (source, out):
+        settle(master.sparkSession, table)
     return _each(master, batch, checkpoint, available, interval)
 
 
@@ -203,4 +251,5 @@ def start_minmax_state(
         finally:
             rows.unpersist()
 
+    settle(master.sparkSession, out)
     return _each(framed, batch, checkpoint, available, interval)
