@@ -6,6 +6,8 @@ import re
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 import tickframe.llm.hamming as hamming
 from tickframe.llm.components import connected_components
 from tickframe.llm.cuckoo import CuckooFilter, CuckooIndex, digest_of, exact_duplicates
@@ -314,3 +316,25 @@ def test_similarity_is_verified(spark):
     links = Links(prints, 9, [sketch_of(shingle_hashes(t, 5)) for _, t in rows], 0.8)
     estimated = [bool(links.between(np.array([k]), np.array([k + 1]))[0, 0]) for k in range(0, 120, 2)]
     assert any(e and got[2 * k] != got[2 * k + 1] for k, e in enumerate(estimated))
+
+
+def test_shards_before_rows(spark, monkeypatch):
+    """A first insert, and a larger second one, never put many more keys than twice keys_per_shard into one group."""
+    from tickframe.llm import cuckoo
+
+    index, sizes = CuckooIndex(spark, keys_per_shard=50), []
+    shard = CuckooIndex._shard
+
+    def seen(self, df):
+        out = shard(self, df)
+        sizes.append(max((r["count"] for r in out.groupBy("shard").count().collect()), default=0))
+        return out
+
+    monkeypatch.setattr(CuckooIndex, "_shard", seen)
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), digest_of(F.col("id").cast("string")).alias("digest"))
+    index.insert(rows.where("doc_id < 700"))
+    assert index.shards == 8 and index.total == 700 and max(sizes) < 130
+    index.insert(rows)
+    assert index.shards == 64 and index.total == 3000 and max(sizes) < 140 and index.resized >= 1  # room for all that came, repeats too
+    again = cuckoo.CuckooIndex(spark, index.path, keys_per_shard=50)
+    assert again.lookup(rows).where("keep_id = doc_id and copies = 1").count() == 3000

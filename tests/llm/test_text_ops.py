@@ -64,7 +64,7 @@ def plain_probe(bits, h, levels=len(bloom_lm.LEVELS)):
     for level in range(1, levels + 1):
         a = mixed((h + level * 0x9E3779B97F4A7C15) % 2**64)
         step = mixed(a) | 1
-        for _ in range(bloom_lm.PROBES):
+        for _ in range(bloom_lm._probes(level)):
             place = (a >> 32) * (8 * len(bits)) >> 32
             if not bits[place >> 3] >> (place & 7) & 1:
                 return level - 1
@@ -85,12 +85,13 @@ def test_lm_scores_against_a_plain_filter(spark):
 
     end = int(bloom_lm.END)
     seqs = [[*(xxhash.xxh64_intdigest(w, bloom_lm.SEED) for w in words_of(t)), end] for t in texts]
-    want, exact = {}, Counter(h for k, s in enumerate(seqs) if k % 3 != 1 for h in s)
+    want: dict = {}
+    exact = Counter(h for k, s in enumerate(seqs) if k % 3 != 1 for h in s)
     for k, seq in enumerate(seqs):
         total = 0.0
         for before, word in zip([end, *seq], seq, strict=False):
             pair = int(bloom_lm.bigrams(np.array([before, word], np.uint64))[1])
-            c_before, c_word = count(before), count(word)
+            c_before, c_word = exact[before], count(word)
             share = min(1.0, (c_word + 1) / (model.n + model.v + 1))
             total += math.log10((min(count(pair), c_before) + bloom_lm.PRIOR * share) / (c_before + bloom_lm.PRIOR))
         want[k] = total
@@ -117,7 +118,35 @@ def test_filter_levels_never_fall_short():
     found, true = bloom_lm._levels(hashes, raw, starts, sizes), np.searchsorted(bloom_lm.LEVELS, counts, "right")
     assert (found >= true).all() and (found > true).mean() < 0.08
     absent = np.random.default_rng(3).integers(0, 2**63, 3000, dtype=np.uint64)
-    assert (bloom_lm._levels(absent, raw, starts, sizes) > 0).mean() < 0.06
+    assert not bloom_lm._levels(absent, raw, starts, sizes).any()
+
+
+def test_lm_mass_of_a_context_is_one(spark):
+    """P(word | context) summed over all words, for contexts of count 1, about 10 and about 100, on real text."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = bloom_lm.train(d)
+    parts = model.parts.orderBy("shard").collect()
+    words, often = (np.concatenate([np.frombuffer(bytes(r[k]), "<u8") for r in parts]) for k in ("words", "often"))
+    bits = np.frombuffer(b"".join(bytes(r["bits"]) for r in parts), "u1")
+    lengths = np.array([len(r["bits"]) for r in parts])
+    starts, sizes = np.zeros(1 << model.shard_bits, np.int64), np.full(1 << model.shard_bits, 64, np.uint64)
+    own = [r["shard"] for r in parts]
+    starts[own], sizes[own] = np.cumsum(lengths) - lengths, (8 * lengths).astype(np.uint64)
+
+    def count(h):
+        shard = (h >> np.uint64(64 - model.shard_bits)).astype(np.int64)
+        return bloom_lm.MIDDLE[bloom_lm._levels(h, bits, starts[shard], sizes[shard])]
+
+    c_word = count(words)
+    for low, high in ((1, 1), (9, 11), (90, 110)):
+        context = words[(often >= low) & (often <= high)][:40]
+        mass = []
+        for h in context:
+            pair = bloom_lm._mixed(h * np.uint64(0x9E3779B97F4A7C15) + words)
+            c = np.full(len(words), float(often[words == h][0]))
+            mass.append(bloom_lm._logs(count(pair), c, c_word, model.n, model.v, np.minimum).sum())
+        print(low, len(context), np.mean(mass), np.min(mass), np.max(mass))
+        assert len(context) and 0.95 <= np.mean(mass) <= 1.05 and 0.9 <= min(mass) and max(mass) <= 1.1
 
 
 def base_spans(x):

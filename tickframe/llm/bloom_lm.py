@@ -21,13 +21,15 @@ from tickframe.llm.storage import materialise
 
 STEP_BYTES = 2_000_000
 FLUSH = 3_000_000
-BITS_PER_ENTRY = 8
-PROBES = 5
+#: Probes of an entry: of level 1, which decides whether an n-gram is there at all, and of further levels.
+#: With half of the bits set, a pair that was never seen is taken for one in 1 of 2**24 cases. A false
+#: successor of a context gets at most 1/31, so V words add V / 5e8 to its mass: 2 % for ten million words.
+FIRST_PROBES, PROBES = 24, 5
 PRIOR = 30.0
 #: A node takes filter and vocabulary as files up to this size; beyond it they stay sharded.
 MOST_BYTES = 1 << 30
-#: Least counts of the levels: powers of the root of two. A count's level is the last that it reaches.
-LEVELS = np.unique(np.floor(2.0 ** (np.arange(100) / 2))).astype(np.int64)
+#: Least counts of the levels: powers of the fourth root of two (1 to 6 are exact). A count's level is the last that it reaches.
+LEVELS = np.unique(np.floor(2.0 ** (np.arange(200) / 4))).astype(np.int64)
 #: What a level stands for: the middle of its range, in ratio.
 MIDDLE = np.concatenate([[0.0], np.sqrt(LEVELS[:-1] * (LEVELS[1:] - 1.0)), [float(LEVELS[-1])]])
 _ONE = np.ones(1, np.uint64)  # a plain 1 beside uint64 would make floats
@@ -91,14 +93,19 @@ def _bit(a: np.ndarray, size) -> np.ndarray:
     return ((a >> np.uint64(32)) * size) >> np.uint64(32)
 
 
+def _probes(level: int) -> int:
+    return FIRST_PROBES if level == 1 else PROBES
+
+
 def _filter(hashes: np.ndarray, counts: np.ndarray) -> bytes:
-    """Bloom filter of the entries (hash, 1), ..., (hash, level of its count)."""
+    """Bloom filter of the entries (hash, 1), ..., (hash, level of its count), of which half the bits are set."""
     levels = np.searchsorted(LEVELS, counts, "right")
-    size = max(64, int(levels.sum()) * BITS_PER_ENTRY // 8 * 8)
+    probes = len(levels) * FIRST_PROBES + int((levels - 1).sum()) * PROBES
+    size = max(64, int(probes / np.log(2)) // 8 * 8)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         a, step = _walk(hashes[levels >= level], level)
-        for _ in range(PROBES):
+        for _ in range(_probes(level)):
             bits[_bit(a, np.uint64(size)).astype(np.int64)] = True
             a = a + step
     return np.packbits(bits, bitorder="little").tobytes()
@@ -110,7 +117,7 @@ def _levels(hashes: np.ndarray, bits: np.ndarray, starts: np.ndarray, sizes: np.
     out, alive = np.zeros(len(hashes), np.int64), np.arange(len(hashes))
     for level in range(1, len(LEVELS) + 1):
         a, step = _walk(hashes[alive], level)
-        for _ in range(PROBES):
+        for _ in range(_probes(level)):
             place = _bit(a, sizes[alive])
             hit = (bits[starts[alive] + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
             alive, a, step = alive[hit], a[hit] + step[hit], step[hit]
@@ -216,8 +223,9 @@ def _known(hashes: np.ndarray, words: np.ndarray, often: np.ndarray) -> np.ndarr
 
 def _logs(c_pair, c_before, c_word, n: int, v: int, least):
     """The smoothed probability: the pair's count, with PRIOR words' worth of the unigrams (which are
-    smoothed by one) mixed in. Counts are estimates: a pair's is held to its context's, and a word's
-    share to one, so it is a probability. Columns or arrays, with their function `least`."""
+    smoothed by one) mixed in. Counts of pairs and words are estimates: a pair's is held to its context's
+    (which is exact), and a word's share to one. Over all words it sums to one but for the steps between
+    levels, some per cent. Columns or arrays, with their function `least`."""
     return (least(c_pair, c_before) + PRIOR * least((c_word + 1.0) / (n + v + 1.0), 0 * c_word + 1.0)) / (c_before + PRIOR)
 
 
@@ -226,8 +234,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     and have the end token alone; repeated rows come back as often as read, null ids stay null; an
     empty table gives an empty result, and an empty training set a uniform model.
 
-    base_score uses exact counts of words, held by 64-bit hashes. score uses the filter for all
-    counts; a filter has false hits and misses none, so no count is estimated below its level. Up to
+    base_score uses exact counts of words, held by 64-bit hashes. score uses them for contexts, and the
+    filter for pairs and for the words that smooth them; a filter has false hits and misses none, so no count is estimated below its level. Up to
     most_bytes the model goes to every node; a larger one stays in its shards, and the distinct
     hashes of the texts are sent there."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -255,7 +263,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 c = _known(distinct, words, often)
                 estimated = estimate(distinct)
                 pairs, pair_at = np.unique(bigrams(seq), return_inverse=True)
-                before = np.concatenate([estimate(np.array([END])), estimated[at][:-1]])
+                before = np.concatenate([_known(np.array([END]), words, often), c[at][:-1]])
                 p = np.log10(_logs(estimate(pairs)[pair_at], before, estimated[at], n, v, np.minimum))
                 known.append(sizes_of)
                 exact.append(np.add.reduceat((c > 0)[at].astype(np.int64), first))
@@ -300,5 +308,5 @@ def _score_sharded(rows: DataFrame, model: Model) -> DataFrame:
         F.count("*").alias("n_tokens"),
         F.sum((F.col("c_w") > 0).cast("long")).alias("n_known"),
         F.sum(F.log10((F.col("c_w") + 1.0) / (n + v + 1.0))).alias("base_score"),
-        F.sum(F.log10(_logs(F.col("e_p"), F.col("e_b"), F.col("e_w"), n, v, F.least))).alias("score"),
+        F.sum(F.log10(_logs(F.col("e_p"), F.col("c_b"), F.col("e_w"), n, v, F.least))).alias("score"),
     ).drop("row")

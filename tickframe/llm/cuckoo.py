@@ -6,7 +6,7 @@ entry is in log/:
   v<n>/members  (digest, doc_id, n)                 rows that came (n > 0) or went (n < 0)
   v<n>/filters  (shard, cells)                      the cuckoo filters of all shards, about 2.5 octets a key
 The filter decides what happens to a digest: one that it misses is new and is looked up nowhere; one that
-it hits is verified against the stored keys, which are bucketed by digest. Tasks only see distinct digests,
+it hits is verified against the stored keys. Tasks only see distinct digests,
 so a text that a third of all rows share is one key."""
 
 from __future__ import annotations
@@ -134,6 +134,7 @@ class CuckooIndex:
     def __init__(self, spark: SparkSession, path: str | None = None, keys_per_shard: int = KEYS_PER_SHARD):
         self.spark, self.path, self.keys_per_shard = spark, path or new_path(spark, "cuckoo"), keys_per_shard
         self.version, self.shards, self.total, self.resized = 0, 1, 0, 0
+        self._regrown: DataFrame | None = None  # filters of more shards than the last version has
         fs, place = self._fs(f"{self.path}/log")
         if fs.exists(place):
             self.version = max((int(x.getPath().getName()) for x in fs.listStatus(place) if x.getPath().getName().isdigit()), default=0)
@@ -165,11 +166,26 @@ class CuckooIndex:
         return rows.groupBy("digest", "doc_id").agg(F.sum("n").alias("n")).where("n > 0")
 
     def filters(self) -> DataFrame:
+        if self._regrown is not None:
+            return self._regrown
         return self._read("filters", _FILTERS, [self.version]) if self.version else self.spark.createDataFrame([], _FILTERS)
 
     def _shard(self, df: DataFrame) -> DataFrame:
         return df.withColumn("shard", F.pmod(F.xxhash64("digest"), F.lit(self.shards)).cast("int"))
 
+    def _make_room(self, coming: int) -> None:
+        """Shards for so many more keys, before any row is dealt to one: no shard is ever given many more than
+        twice keys_per_shard. What there is of filters is made anew from the stored keys."""
+        shards = self.shards
+        while self.total + coming > 2 * shards * self.keys_per_shard:
+            shards *= 2
+        if shards == self.shards:
+            return
+        self.shards = shards
+        if self.version:
+            self.resized += 1
+            self._regrown = materialise(self._shard(self.keys().select("digest")).groupBy("shard").applyInPandas(_made, _FILTERS), "filters")
+
     def probe(self, digests: DataFrame) -> DataFrame:
         """digests(digest) with hit: whether its shard's filter has it (it may be wrong where it says yes)."""
 
@@ -182,7 +198,9 @@ class CuckooIndex:
 
     def insert(self, rows: DataFrame) -> None:
         pairs = materialise(rows.groupBy("digest", "doc_id").agg(F.count("*").alias("n")), "pairs")
-        probed = self.probe(pairs.select("digest").distinct())
+        asked = materialise(pairs.select("digest").distinct(), "asked")
+        self._make_room(asked.count())
+        probed = self.probe(asked)
         hits = probed.where("hit")
         stored = materialise(self.keys(hits), "stored")  # what the filter hit, and rightly so
         there = self.members(stored).select(F.col("digest").alias("d"), F.col("doc_id").alias("i"))
@@ -193,7 +211,7 @@ class CuckooIndex:
         old = stored.select("digest", F.col("keep_id").alias("k"), F.col("copies").alias("c"))
         keys = materialise(groups.join(old, "digest", "left").select("digest", F.least("keep_id", "k").alias("keep_id"), (F.col("copies") + F.coalesce("c", F.lit(0))).alias("copies"), F.col("c").isNull().alias("new")), "keys")
         self._commit(keys, came, keys.where("new").select("digest", F.lit(1).alias("sign")))
-        for old in (pairs, probed, stored, came, keys):
+        for old in (pairs, asked, probed, stored, came, keys):
             discard(old)
 
     def delete(self, rows: DataFrame) -> None:
@@ -211,26 +229,21 @@ class CuckooIndex:
 
     def _commit(self, keys: DataFrame, members: DataFrame, changes: DataFrame) -> None:
         """Write the next version. changes(digest, sign): what goes into the filters and out of them. A
-        filter that overflows is made anew, larger, from the stored keys of its shard; where the keys
-        have become too many for the shards, there are more of these, and all are made anew."""
+        filter that overflows is made anew, larger, from the stored keys of its shard."""
         filters, last = self.filters(), self.version + 1
         place = f"{self.path}/v{last}"
         keys.select("digest", "keep_id", "copies", F.lit(last).cast("long").alias("version")).write.parquet(f"{place}/keys")
         members.select("digest", "doc_id", "n").write.parquet(f"{place}/members")
         changed = materialise(filters.groupBy("shard").cogroup(self._shard(changes).groupBy("shard")).applyInPandas(_changed, _FILTERS), "filters")
-        self.version, shards = last, self.shards
+        self.version = last
         self.total += changes.agg(F.sum("sign")).first()[0] or 0
-        while self.total > 2 * shards * self.keys_per_shard:
-            shards *= 2
-        again = changed.where("cells is null").select("shard")
-        if shards != self.shards:
-            self.shards, again, changed = shards, None, changed.limit(0)
-        held = self._shard(self.keys().select("digest"))
-        held = held if again is None else held.join(again, "shard", "left_semi")
-        if again is None or not again.isEmpty():
+        whole, again = changed.where("cells is not null"), changed.where("cells is null").select("shard")
+        if not again.isEmpty():
             self.resized += 1
-        made = held.groupBy("shard").applyInPandas(_made, _FILTERS)
-        changed.where("cells is not null").unionByName(made).write.parquet(f"{place}/filters")
+            held = self._shard(self.keys().select("digest")).join(again, "shard", "left_semi")
+            whole = whole.unionByName(held.groupBy("shard").applyInPandas(_made, _FILTERS))
+        whole.write.parquet(f"{place}/filters")
+        self._regrown = None
         fs, entry = self._fs(f"{self.path}/log/{last}")
         out = fs.create(entry, False)
         out.write(json.dumps({"shards": self.shards, "keys": self.total}).encode())
