@@ -22,9 +22,10 @@ from tickframe.llm.storage import materialise
 STEP_BYTES = 2_000_000
 FLUSH = 3_000_000
 #: Probes of an entry: of level 1, which decides whether an n-gram is there at all, and of further levels.
-#: With half of the bits set, a pair that was never seen is taken for one in 1 of 2**24 cases. A false
-#: successor of a context gets at most 1/31, so V words add V / 5e8 to its mass: 2 % for ten million words.
-FIRST_PROBES, PROBES = 24, 5
+FIRST_PROBES, PROBES = 12, 5
+#: With half of the bits set, so many of the pairs that were never seen are taken for pairs seen once. Of V
+#: words a context has V * FALSE false successors; its total is raised by as many, so it stays a probability.
+FALSE = 0.5**FIRST_PROBES
 PRIOR = 30.0
 #: A node takes filter and vocabulary as files up to this size; beyond it they stay sharded.
 MOST_BYTES = 1 << 30
@@ -224,9 +225,10 @@ def _known(hashes: np.ndarray, words: np.ndarray, often: np.ndarray) -> np.ndarr
 def _logs(c_pair, c_before, c_word, n: int, v: int, least):
     """The smoothed probability: the pair's count, with PRIOR words' worth of the unigrams (which are
     smoothed by one) mixed in. Counts of pairs and words are estimates: a pair's is held to its context's
-    (which is exact), and a word's share to one. Over all words it sums to one but for the steps between
-    levels, some per cent. Columns or arrays, with their function `least`."""
-    return (least(c_pair, c_before) + PRIOR * least((c_word + 1.0) / (n + v + 1.0), 0 * c_word + 1.0)) / (c_before + PRIOR)
+    (which is exact), and a word's share to one. The false successors that a context is expected to have
+    are in its total, so over all words it sums to one but for the steps between levels and the chance of
+    having more or fewer of these, some per cent. Columns or arrays, with their function `least`."""
+    return (least(c_pair, c_before) + PRIOR * least((c_word + 1.0) / (n + v + 1.0), 0 * c_word + 1.0)) / (c_before + v * FALSE * least(c_before + 0.0, 0 * c_before + 1.0) + PRIOR)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
