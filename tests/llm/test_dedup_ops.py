@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tickframe.llm.hamming as hamming
+import tickframe.llm.simhash as simhash
 from tickframe.llm.components import connected_components
 from tickframe.llm.cuckoo import CuckooFilter, CuckooIndex, digest_of, exact_duplicates
 from tickframe.llm.simhash import Forest, Links, fingerprint_of, near_duplicates, shingle_hashes, sketch_of
@@ -338,3 +340,61 @@ def test_shards_before_rows(spark, monkeypatch):
     assert index.shards == 64 and index.total == 3000 and max(sizes) < 140 and index.resized >= 1  # room for all that came, repeats too
     again = cuckoo.CuckooIndex(spark, index.path, keys_per_shard=50)
     assert again.lookup(rows).where("keep_id = doc_id and copies = 1").count() == 3000
+
+
+def test_parity_never_exceeds_the_difference():
+    """The bound by parities holds for sets of any two sizes, and rules out most pairs far below 0.8."""
+    rng, ruled_out = np.random.default_rng(3), 0
+    for k in range(400):
+        pool = np.unique(rng.integers(0, 2**64, int(rng.integers(1, 3000)), dtype=np.uint64))
+        a, b = (np.sort(rng.choice(pool, int(rng.integers(0, len(pool) + 1)), replace=False)) for _ in "ab")
+        if k % 2:
+            b = np.setdiff1d(a, rng.choice(a, len(a) // 9, replace=False)) if len(a) else a
+        least, real = simhash.least_difference(simhash.parity_of(a), simhash.parity_of(b)), len(np.setxor1d(a, b))
+        assert least <= real and (least - real) % 2 == 0
+        if len(a) + len(b) > 500 and simhash.jaccard(a, b) < 0.5:
+            ruled_out += least > (len(a) + len(b)) / 9
+    assert ruled_out > 40
+
+
+def test_common_shingles_are_counted_over_all_texts(spark):
+    texts = [f"one passage that all of these share number {i % 7} and then {i} words of its own {'x ' * (i % 3)}" for i in range(60)] + ["", " ", "alone"]
+    source = spark.createDataFrame([(t,) for t in texts], "text string").repartition(9)
+    hashes, counts = simhash._common(source, 5)
+    plain = Counter(h for t in texts for h in set(simhash.shingle_hashes(t, 5).tolist()))
+    assert dict(zip(hashes.tolist(), counts.tolist(), strict=True)) == {h: n for h, n in plain.items() if n > 1}
+    none, _ = simhash._common(source.limit(0), 5)
+    assert len(none) == 0
+
+
+def test_shared_passages_make_few_pairs_and_lose_no_link(spark, monkeypatch):
+    """Six hundred texts that share a passage of a tenth to nineteen twentieths of their words: links equal
+    brute force, and the join's pairs stay in proportion to the texts but for those that the passage fills."""
+    rng = np.random.default_rng(5)
+    passage, texts = [f"p{i}" for i in range(200)], []
+    for i in range(600):
+        own = int(rng.integers(20, 1800)) if i % 15 else int(rng.integers(5, 60))
+        at = int(rng.integers(0, own + 1))
+        words = [f"w{x}" for x in rng.integers(0, 10**6, own)]
+        texts.append(" ".join([*words[:at], *passage, *words[at:]]))
+    texts += [t + " tail" for t in texts[:40]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    pairs, beyond = [], simhash._beyond
+
+    def counted(*args):
+        pairs.append(out := beyond(*args))
+        return out
+
+    monkeypatch.setattr(simhash, "_beyond", counted)
+    found = simhash.near_duplicates(docs, width=5, radius=9, trees=5, similarity=0.8).collect()
+    sets = [np.unique(simhash.shingle_hashes(t, 5)) for t in texts]
+    label = np.arange(len(texts))
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if simhash.jaccard(sets[i], sets[j]) >= 0.8 - 1e-9]
+    while True:
+        before = label.copy()
+        for i, j in links:
+            label[i] = label[j] = min(label[i], label[j])
+        if (before == label).all():
+            break
+    assert {r.doc_id: r.component_id for r in found} == dict(enumerate(label.tolist()))
+    assert len(links) > 60 and pairs[0].count() < 3 * len(texts)

@@ -18,12 +18,9 @@ from tickframe.llm.storage import discard, materialise, sampled
 
 SEED = 42
 BINS = 128
-#: Shingles that the order of the prefix join knows as common, texts that it learns them from, and bits of the map of linked texts.
-COMMON, COMMON_TEXTS, ID_BITS = 500_000, 8192, 1 << 22
+#: Shingles that the order of the prefix join knows as common, shingles counted by one task at a time, and bits of the map of linked texts.
+COMMON, COUNTED_AT_ONCE, ID_BITS = 500_000, 1 << 22, 1 << 22
 LEAF = 256
-#: How far below the similarity an estimate by sketches may be for a pair to be verified still: over four
-#: standard errors of BINS bins at a similarity of 0.8.
-MARGIN = 0.15
 #: Room for the rounding of a similarity times a count.
 EPS = 1e-9
 
@@ -77,6 +74,23 @@ def prefix_of(hashes: np.ndarray, similarity: float, common: np.ndarray, counts:
     return hashes[np.lexsort((hashes, seen))[: n - math.ceil(similarity * n - EPS) + 1]]
 
 
+def parity_of(hashes: np.ndarray) -> bytes:
+    """Whether each of about 2 to 4 bins for a hash holds an odd number of the distinct hashes. A bin whose
+    parity differs between two sets holds a hash that only one of them has, so the number of such bins is
+    a lower bound of the symmetric difference, whatever the hashes are."""
+    bins = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    return np.packbits(np.bincount((hashes & np.uint64(bins - 1)).astype(np.int64), minlength=bins) & 1, bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """The lower bound of the symmetric difference of two sets by their parities; the finer one is folded."""
+    x, y = (np.frombuffer(v, np.uint8) for v in (a, b))
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 class Forest:
     """Vantage-point trees, one for each of `len(masks)` disjoint groups of bits.
 
@@ -215,8 +229,9 @@ def near_duplicates(
     With a similarity, rows are linked if and only if the Jaccard similarity of their whole sets of
     shingles (as 64-bit hashes) is at least that, whatever their fingerprints: the forest's links, less
     those that min-hash sketches estimate as less similar, are verified and group most copies; all pairs
-    between these groups come by a prefix join and are verified too, but for those whose sketches show
-    less than the similarity by MARGIN (a pair that is similar does so about once in 100,000). text_hash is xxhash64 of the whole text.
+    between these groups come by a prefix join and are verified too, but for those that a lower bound of
+    their difference (parities of bins) rules out for certain. The prefixes are of the shingles that the
+    fewest of all texts have. text_hash is xxhash64 of the whole text.
 
     Rows of one fingerprint (with a similarity, of one set of shingles) are merged first, so copies of
     any number count once; such a class goes by its fingerprint (or its set's hash), and ids only come
@@ -233,7 +248,7 @@ def near_duplicates(
     empty result; other columns of docs are not looked at."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
-    common = docs.sparkSession.sparkContext.broadcast(_common(source, width, COMMON_TEXTS) if similarity is not None else None)
+    common = docs.sparkSession.sparkContext.broadcast(_common(source, width) if similarity is not None else None)
 
     def prints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -252,12 +267,14 @@ def near_duplicates(
                 sets = [np.unique(h) for h in hashes]
                 out["key"] = np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], np.uint64).view("<i8")
                 out["n"] = np.array([len(h) for h in sets], np.int32)
+                out["parity"] = [parity_of(h) for h in sets]
                 out["prefix"] = [prefix_of(h, similarity, *common.value).view("<i8") for h in sets]
             yield out
 
-    more = ", n int, prefix array<long>" if similarity is not None else ""
+    more = ", n int, parity binary, prefix array<long>" if similarity is not None else ""
     rows = materialise(source.mapInPandas(prints, "doc_id long, fp long, sketch binary, text_hash long, key long" + more), "prints")
-    named = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.min("fp").alias("fp"), F.min("sketch").alias("sketch"), F.min("text_hash").alias("text_hash"))
+    of_class = [F.min(c).alias(c) for c in ("fp", "sketch", "text_hash", *(["n", "parity"] if similarity is not None else []))]
+    named = rows.groupBy("key").agg(F.min("doc_id").alias("rep"), *of_class)
     named = materialise(named, "classes")
     n = named.count()
     depth = min(max_depth, max(0, math.ceil(math.log2(max(n, 1) / shard_rows))))
@@ -275,64 +292,96 @@ def near_duplicates(
     discard(routed)
     if similarity is not None:
         edges = _verified(edges, named, source, width, similarity)
-        edges = edges.unionByName(_verified(_likely(_beyond(rows, connected_components(edges), similarity), named, similarity), named, source, width, similarity))
+        edges = edges.unionByName(_verified(_possible(_beyond(rows, connected_components(edges), similarity), named, similarity), named, source, width, similarity))
     known = smallest_of_component(named.select("key", "rep"), connected_components(edges), "key", "rep")
     known = materialise(known.select("key", "component_id"), "known")
     discard(named)
     return rows.join(known, "key").select("doc_id", F.col("fp").alias("fingerprint"), "component_id", "text_hash")
 
 
-def _common(source: DataFrame, width: int, sample: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of shingles that occur in several of about `sample` texts, sorted, with the number of these
-    texts: at most COMMON. They only set the order of the prefixes, which holds for any counts."""
+def _common(source: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of shingles that several of all texts have, sorted, with the number of these texts: the most
+    frequent ones, COMMON at most (of a number of texts all its shingles or none). They only set the
+    order of the prefixes, which holds for any counts.
 
-    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for t in b.text:
-                yield pd.DataFrame({"h": np.unique(shingle_hashes(t, width)).view("<i8")})
+    Each batch of texts is counted where it is read, so a shingle that all texts have is one entry of a
+    batch; entries travel as packed arrays to shards of hashes, whose number follows the texts' length."""
+    size = source.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = max(6, math.ceil(math.log2(max(1, size / (6 * COUNTED_AT_ONCE)))))
 
-    every = max(1, source.count() // max(1, sample))
-    texts = source.where(F.pmod(F.xxhash64("text_hash"), F.lit(every)) == 0).dropDuplicates(["text_hash"]).select("text").limit(2 * sample)
-    counted = texts.mapInPandas(shingles, "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 1")
-    found = counted.orderBy(F.desc("n"), "h").limit(COMMON).toPandas()
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                h, n = np.unique(np.concatenate([np.unique(shingle_hashes(t, width)) for t in b.text]), return_counts=True)
+                shard, first = np.unique(h >> np.uint64(64 - bits), return_index=True)
+                ends = [*first[1:], len(h)]
+                yield pd.DataFrame(
+                    {
+                        "shard": shard.astype(np.int64),
+                        "h": [h[s:e].tobytes() for s, e in zip(first, ends, strict=True)],
+                        "n": [n[s:e].astype("<u4").tobytes() for s, e in zip(first, ends, strict=True)],
+                    }
+                )
+
+    def added(g: pd.DataFrame) -> pd.DataFrame:
+        h, at = np.unique(np.frombuffer(b"".join(g.h), "<u8"), return_inverse=True)
+        n = np.bincount(at, np.frombuffer(b"".join(g.n), "<u4"), len(h)).astype(np.int64)
+        return pd.DataFrame({"h": h[n > 1].view("<i8"), "n": n[n > 1]})
+
+    several = source.select("text").mapInPandas(counted, "shard long, h binary, n binary").groupBy("shard").applyInPandas(added, "h long, n long")
+    several = materialise(several, "common")
+    level = F.floor(F.log2("n") * 8).cast("int")
+    levels = several.groupBy(level.alias("level")).count().orderBy(F.desc("level")).toPandas()
+    levels = levels[levels["count"].cumsum() <= COMMON]
+    found = several.where(level >= int(levels.level.min())).toPandas() if len(levels) else pd.DataFrame({"h": [], "n": []})
+    discard(several)
     hashes, counts = found.h.to_numpy(np.int64).view(np.uint64), found.n.to_numpy(np.int64)
     order = np.argsort(hashes)
     return hashes[order], counts[order]
 
 
 def _beyond(rows: DataFrame, parts: DataFrame, similarity: float) -> DataFrame:
-    """(src, dst): pairs of classes in different components that share a hash of their prefixes and whose
-    numbers of shingles allow the similarity. A hash that a single set or component has goes before any
-    join of its rows, and inside a component no pair is made, so a group of linked copies stays linear."""
-    entries = rows.select(F.explode("prefix").alias("h"), "key", "n").repartition("h")
-    shared = entries.groupBy("h").agg(F.min("key").alias("_a"), F.max("key").alias("_b")).where("_a < _b").select("h")
+    """(src, dst): pairs of classes in different components that may have the similarity by a hash that
+    their prefixes share.
+
+    Sets of x and y hashes have it if they share k (x + y) or more, k = similarity / (1 + similarity). In
+    the common order of hashes the first one that they share has all others behind it in both, so as
+    many must be left from there on in either: `room`, what is left less k times the own number, is at
+    least k times the other's number. This keeps sets apart that share a passage behind their own rarer
+    shingles. A hash that a single set or component has goes before any join of its rows, and inside a
+    component no pair is made, so a group of linked copies stays linear."""
+    k = similarity / (1 + similarity)
+    entries = rows.select("key", "n", F.posexplode("prefix").alias("at", "h"))
+    entries = entries.select("h", "key", "n", (F.col("n") - F.col("at") - k * F.col("n") + EPS).alias("room")).repartition("h")
+    # the smaller set of a pair has room for its own number
+    both = [F.max(F.col("room") >= k * F.col("n")).alias("_small")]
+    shared = entries.groupBy("h").agg(F.min("key").alias("_a"), F.max("key").alias("_b"), *both).where("_a < _b and _small").select("h")
     entries = entries.join(shared, "h", "left_semi").join(parts.withColumnRenamed("node", "key"), "key", "left")
-    entries = materialise(entries.select("h", "key", "n", F.coalesce("component", "key").alias("c")).distinct(), "entries")
+    entries = materialise(entries.select("h", "key", "n", "room", F.coalesce("component", "key").alias("c")).distinct(), "entries")
     shared = entries.groupBy("h").agg(F.min("c").alias("_a"), F.max("c").alias("_b")).where("_a < _b").select("h")
     entries = materialise(entries.join(shared, "h", "left_semi"), "entries")
-    groups = entries.groupBy("h", "c").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    left, right = (groups.select("h", *[F.col(c).alias(f"{c}_{k}") for c in ("c", "least", "most")]) for k in "ab")
-    fits = lambda small, large: F.col(large) * F.lit(similarity) <= F.col(small) + F.lit(EPS)
-    pairs = left.join(right, "h").where(F.col("c_a") < F.col("c_b")).where(fits("least_a", "most_b") & fits("least_b", "most_a")).select("h", "c_a", "c_b")
-    for k in "ab":
-        pairs = pairs.join(entries.select("h", F.col("c").alias(f"c_{k}"), F.col("key").alias(f"key_{k}"), F.col("n").alias(f"n_{k}")), ["h", f"c_{k}"])
-    return materialise(pairs.where(fits("n_a", "n_b") & fits("n_b", "n_a")).select(F.col("key_a").alias("src"), F.col("key_b").alias("dst")).distinct(), "pairs")
-
-
-def _likely(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
-    """The pairs that their sketches don't rule out: passages that many documents share make many pairs
-    of a much lower similarity, whose texts needn't travel."""
-    sketches = named.select("key", "sketch")
+    groups = entries.groupBy("h", "c").agg(F.min("n").alias("n"), F.max("room").alias("room"))
+    left, right = (groups.select("h", *[F.col(c).alias(f"{c}_{end}") for c in ("c", "n", "room")]) for end in "ab")
+    fits = (F.col("room_a") >= k * F.col("n_b")) & (F.col("room_b") >= k * F.col("n_a"))
+    pairs = left.join(right, "h").where(F.col("c_a") < F.col("c_b")).where(fits).select("h", "c_a", "c_b")
+    for end in "ab":
+        pairs = pairs.join(entries.select("h", *[F.col(c).alias(f"{c}_{end}") for c in ("c", "key", "n", "room")]), ["h", f"c_{end}"])
+    return materialise(pairs.where(fits).select(F.col("key_a").alias("src"), F.col("key_b").alias("dst")).distinct(), "pairs")
+
+
+def _possible(pairs: DataFrame, named: DataFrame, similarity: float) -> DataFrame:
+    """The pairs that their parities don't rule out: sets of x and y hashes have the similarity if and only
+    if they differ in (x + y) (1 - similarity) / (1 + similarity) hashes at most. No pair is lost."""
+    parities = named.select("key", "n", "parity")
     for end in ("src", "dst"):
-        pairs = pairs.join(sketches.select(F.col("key").alias(end), F.col("sketch").alias(f"sketch_{end}")), end)
+        pairs = pairs.join(parities.select(*[F.col(c).alias(a) for c, a in (("key", end), ("n", f"n_{end}"), ("parity", f"parity_{end}"))]), end)
 
-    def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def possible(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            n = len(b)
-            links = Links(np.zeros(2 * n, np.uint64), 0, [*b.sketch_src, *b.sketch_dst], similarity - MARGIN)
-            yield b.loc[links.alike(np.arange(n), n + np.arange(n)) if n else np.zeros(0, bool), ["src", "dst"]]
+            least = np.array([least_difference(x, y) for x, y in zip(b.parity_src, b.parity_dst, strict=True)], np.int64)
+            yield b.loc[least <= (b.n_src + b.n_dst).to_numpy() * (1 - similarity) / (1 + similarity) + EPS, ["src", "dst"]]
 
-    return pairs.mapInPandas(likely, "src long, dst long")
+    return pairs.mapInPandas(possible, "src long, dst long")
 
 
 def _verified(pairs: DataFrame, named: DataFrame, source: DataFrame, width: int, similarity: float) -> DataFrame:
