@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.components import connected_components, smallest_of_component
-from tickframe.llm.storage import discard, materialise, sampled
+from tickframe.llm.storage import discard, gathered, materialise, sampled
 
 SEED = 42
 BINS = 128
@@ -333,9 +333,9 @@ def _common(source: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     level = F.floor(F.log2("n") * 8).cast("int")
     levels = several.groupBy(level.alias("level")).count().orderBy(F.desc("level")).toPandas()
     levels = levels[levels["count"].cumsum() <= COMMON]
-    found = several.where(level >= int(levels.level.min())).toPandas() if len(levels) else pd.DataFrame({"h": [], "n": []})
+    hashes, counts = gathered(several.where(level >= int(levels.level.min()) if len(levels) else F.lit(False)).select("h", "n"))
     discard(several)
-    hashes, counts = found.h.to_numpy(np.int64).view(np.uint64), found.n.to_numpy(np.int64)
+    hashes = hashes.view(np.uint64)
     order = np.argsort(hashes)
     return hashes[order], counts[order]
 
@@ -394,7 +394,7 @@ def _verified(pairs: DataFrame, named: DataFrame, source: DataFrame, width: int,
     pairs = materialise(pairs, "pairs")
     bit = F.pmod(F.xxhash64("text_hash"), F.lit(ID_BITS)).cast("int").alias("bit")
     linked = np.zeros(ID_BITS, bool)
-    linked[pairs.select(F.explode(F.array("text_src", "text_dst")).alias("text_hash")).select(bit).distinct().toPandas().bit.to_numpy(np.int64)] = True
+    linked[gathered(pairs.select(F.explode(F.array("text_src", "text_dst")).alias("text_hash")).select(bit.cast("long").alias("bit")).distinct())[0]] = True
     linked = source.sparkSession.sparkContext.broadcast(np.packbits(linked))
 
     def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
