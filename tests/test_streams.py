@@ -259,3 +259,45 @@ def test_scans_are_pruned_to_days(spark, tmp_path):
     some = S.on_days(spark.read.parquet(f"{tmp_path}/quotes"), "sip_timestamp", days)
     assert some.count() == 3 and "date" in scans(some)[0]
     assert S.on_days(quotes, "sip_timestamp", days).count() == 3 and S.on_days(quotes, "sip_timestamp", []).count() == 0
+
+
+def test_view_of_four_streams_is_one_state(spark, tmp_path):
+    """Bars with and without quotes and trades, one without a ticker; the minutes of all streams are one store a partition."""
+    at, end = FRIDAY, FRIDAY + dt.timedelta(minutes=9)
+    quote = lambda t, s, n, codes: (t, s, 1, 2.0, 3.0, 4, 1.0, 5.0, codes, [], s, n, 1, None)
+    trade = lambda t, s, n, codes: (t, s, s, None, n, 9.0, 7, codes, 3, 1)
+    own = [("A", at), ("A", at + dt.timedelta(minutes=1)), (None, at), ("B", at), ("Z", end)]
+    frames = {
+        "timestamp0": spark.createDataFrame([(t, s, 1.0, 1.0, 1.0, 1.0, 1, 1.0, 1) for t, s in own], S.BARS),
+        "sip_timestamp1": spark.createDataFrame([quote("A", at, 2, [5]), quote("A", at, 1, [4]), quote(None, at, 3, [1]), quote("B", at, 4, None), quote("Z", end, 5, [])], S.QUOTES),
+        "sip_timestamp2": spark.createDataFrame([trade("A", at, 1, [8, 9]), trade(None, at, 2, [1]), trade("Z", end, 3, [])], S.TRADES),
+        "timestamp3": spark.createDataFrame([(t, s, "SMA_5", 5, 6.0, None, None) for t, s in (("A", at), (None, at), ("Z", end))], S.INDICATORS),
+    }
+    feeds = []
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        feeds.append(ST.as_stream_time(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/{name}"), name[:-1]))
+    q = ST.stream_view(*feeds).writeStream.format("memory").queryName("one_view").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert {len(p["stateOperators"]) for p in q.recentProgress} == {1}
+    got = spark.table("one_view").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    expected = master_view(*frames.values()).where(F.col("timestamp") < F.lit(end))
+    assert got.columns == expected.columns
+    key = lambda r: (str(r.ticker), r.timestamp)
+    assert sorted(got.collect(), key=key) == sorted(expected.collect(), key=key) and got.count() == 4
+
+
+def test_feed_in_batches_of_several_files(spark, tmp_path, monkeypatch):
+    """A part of many rows has several files, a small or empty one as many; a batch is a part."""
+    from tickframe.plans import queries as Q
+
+    monkeypatch.setattr(Q, "_FILE_ROWS", 40)
+    made, new = [], Q.Data.new
+    monkeypatch.setattr(Q.Data, "new", lambda d, tag: made.append(new(d, tag)) or made[-1])
+    d, days = Q.Data(spark, str(tmp_path)), [1] * 3 + [9] * 150 + [23] * 2
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, day)) for i, day in enumerate(days)], "i int, timestamp timestamp_ntz")
+    stream, seen = Q._shuffled(d, df, Q._CUTS), []
+    ST._each(stream, lambda rows, _: seen.append((rows.count(), sorted({r.timestamp.day for r in rows.collect()}))), f"{tmp_path}/c", True, "").awaitTermination()
+    assert seen == [(3, [1]), (150, [9]), (0, []), (2, [23]), (0, [])]
+    feed = next(p for p in made if "feed-" in p).removeprefix("file://")
+    assert len([n for n in os.listdir(feed) if n.endswith(".parquet")]) == 20

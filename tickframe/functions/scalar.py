@@ -68,9 +68,10 @@ def parse_utc(c: Column, fallback: Column | None = None) -> Column:
     return F.coalesce(read, fallback if fallback is not None else F.localtimestamp())
 
 
-def concat_codes(ts: Column, seq: Column, codes: Column) -> Column:
-    """Aggregate: all code arrays of a group in order of (ts, seq), as one string of digits."""
-    ordered = F.array_sort(F.collect_list(F.struct(ts.alias("ts"), seq.alias("seq"), F.coalesce(codes, F.expr("cast(array() as array<int>)")).alias("codes"))))
+def concat_codes(ts: Column, seq: Column, codes: Column, where: Column | None = None) -> Column:
+    """Aggregate: all code arrays of a group in order of (ts, seq), as one string of digits; of the rows `where` alone, if given."""
+    one = F.struct(ts.alias("ts"), seq.alias("seq"), F.coalesce(codes, F.expr("cast(array() as array<int>)")).alias("codes"))
+    ordered = F.array_sort(F.collect_list(one if where is None else F.when(where, one)))
     return F.array_join(F.transform(F.flatten(F.transform(ordered, lambda x: x["codes"])), lambda x: x.cast("string")), "")
 
 

@@ -90,9 +90,9 @@ def pivot_indicators(indicators: DataFrame, imputed: bool = True) -> DataFrame:
     return indicators.groupBy(*_by(indicators), "timestamp").agg(*indicator_columns(imputed))
 
 
-def indicator_columns(imputed: bool = True) -> list[Column]:
-    """The aggregates of `pivot_indicators`."""
-    return [_filled(F.max(F.when(F.col("indicator_type") == kind, F.col(field))), imputed, True).alias(name) for name, kind, field in wide_indicators()]
+def indicator_columns(imputed: bool = True, of: str = "") -> list[Column]:
+    """The aggregates of `pivot_indicators`; of: what stands before the names of columns."""
+    return [_filled(F.max(F.when(F.col(f"{of}indicator_type") == kind, F.col(f"{of}{field}"))), imputed, True).alias(name) for name, kind, field in wide_indicators()]
 
 
 def date_range(df: DataFrame, ts: str = "timestamp") -> DataFrame:

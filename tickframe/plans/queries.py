@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import math
 from collections.abc import Callable
 from functools import cached_property, reduce
 
@@ -23,7 +24,7 @@ from tickframe.plans.fixtures import r2, r6
 from tickframe.sources import feeds as S
 from tickframe.sources import upkeep as U
 from tickframe.sources.scratch import new_path
-from tickframe.sources.sinks import append, ensure_table, drop_table, export_normalized, read_table, recreate_table, upsert
+from tickframe.sources.sinks import append, ensure_table, drop_table, export_normalized, files_of, read_table, recreate_table, upsert
 from tickframe.streaming import streams as ST
 
 
@@ -724,15 +725,36 @@ _CUTS = ("2024-01-08", "2024-01-15", "2024-01-22")
 _LATE = "pmod(xxhash64(ticker, timestamp), 7) = 0"
 
 
+#: Rows of a file of a stream that comes in several batches, about.
+_FILE_ROWS = 1 << 18
+
+
+def _dealt(d: Data, df: DataFrame) -> tuple[str, int, Callable[[int], None]]:
+    """The rows of df by `part` as a folder of files: (folder, files of a part, what puts the next part there).
+    Each part has as many files as the largest one needs (what it lacks is made up by empty ones), so that
+    number is a batch. df is evaluated once, and no part goes through one task."""
+    staged, path = d.new("parts"), d.new("feed")
+    df.write.partitionBy("part").parquet(staged)
+    rows = d.spark.read.schema(df.schema).parquet(staged)
+    each = math.ceil(max([1, *[r[1] for r in rows.groupBy("part").count().collect()]]) / _FILE_ROWS)
+    files, folder = files_of(d.spark, path)
+
+    def put(k: int) -> None:
+        part = rows.where(F.col("part") == k).drop("part")
+        part.repartition(each).write.mode("append").parquet(path)
+        while sum(x.getPath().getName().endswith(".parquet") for x in files.listStatus(folder)) % each:
+            part.limit(0).coalesce(1).write.mode("append").parquet(path)
+
+    return path, each, put
+
+
 def _shuffled(d: Data, df: DataFrame, cuts: tuple[str, ...], late: str = "false", ts: str = "timestamp") -> DataFrame:
-    """df as a stream of one file a batch: parts by time at the cuts, of which the late rows come one part later."""
-    path = d.new("feed")
+    """df as a stream: parts by time at the cuts, a batch each, of which the late rows come one part later."""
     part = sum((F.col(ts) >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in cuts) + F.when(F.expr(late), 1).otherwise(0)
+    path, each, put = _dealt(d, df.withColumn("part", part))
     for k in range(len(cuts) + 2):
-        df.where(part == k).coalesce(1).write.mode("append").parquet(path)
-    return d.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(path)
-
-
+        put(k)
+    return d.spark.readStream.schema(df.schema).option("maxFilesPerTrigger", each).parquet(path)
 
 
 @_query("stream_view", f"""select * from ({_DEFS['master_view'][1]}) where timestamp + interval 1 minute <= (select least((select max(timestamp) from bars_v), (select max(sip_timestamp) from quotes_v),
@@ -757,12 +779,12 @@ def _(d: Data):
 def _(d: Data):
     """The same by state: all batches but the last, and the last after a restart."""
     out, state = d.new("minmax"), d.new("state")
-    path = d.new("feed")
     part = sum((F.col("timestamp") >= F.lit(c).cast("timestamp_ntz")).cast("int") for c in _CUTS) + F.expr(f"if({_LATE}, 1, 0)")
+    path, each, put = _dealt(d, d.bars.withColumn("part", part))
     for parts in ((0, 1, 2), (3, 4)):
         for k in parts:
-            d.bars.where(part == k).coalesce(1).write.mode("append").parquet(path)
-        feed = ST.as_stream_time(d.spark.readStream.schema(d.bars.schema).option("maxFilesPerTrigger", 1).parquet(path), "timestamp")
+            put(k)
+        feed = ST.as_stream_time(d.spark.readStream.schema(d.bars.schema).option("maxFilesPerTrigger", each).parquet(path), "timestamp")
         ST.start_minmax_state(feed, out, state, delay=datetime.timedelta(days=20), available=True).awaitTermination()
     return read_table(d.spark, out).select(*d.bars.columns)
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,44 +33,58 @@ def _flat(df: DataFrame) -> DataFrame:
     return df.select("ticker", F.col("w.start").alias("timestamp"), *rest)
 
 
-def _quote_windows(quotes: DataFrame, delay: str) -> DataFrame:
-    at, seq = F.col("sip_timestamp"), F.col("sequence_number")
-    return _minutes(quotes, delay).agg(
-        F.avg("bid_price").alias("avg_bid_price"), F.avg("ask_price").alias("avg_ask_price"), F.min("bid_price").alias("min_bid_price"), F.max("ask_price").alias("max_ask_price"),
-        F.sum("bid_size").alias("total_bid_size"), F.sum("ask_size").alias("total_ask_size"), F.count("*").alias("quote_count"),
-        concat_codes(at, seq, F.col("conditions")).alias("quote_conditions"),
-        last_known(F.col("ask_exchange"), at, seq).alias("ask_exchange"), last_known(F.col("bid_exchange"), at, seq).alias("bid_exchange"),
-    )
+def _quote_columns(quote: str | None = None) -> list[Column]:
+    """Aggregates of quotes: of whole rows, or of the column `quote` that holds them where a row is one."""
+    c = (lambda name: F.col(f"{quote}.{name}")) if quote else F.col
+    at, seq = c("sip_timestamp"), c("sequence_number")
+    codes = concat_codes(at, seq, c("conditions"), F.col(quote).isNotNull() if quote else None)
+    return [
+        F.avg(c("bid_price")).alias("avg_bid_price"), F.avg(c("ask_price")).alias("avg_ask_price"), F.min(c("bid_price")).alias("min_bid_price"), F.max(c("ask_price")).alias("max_ask_price"),
+        F.sum(c("bid_size")).alias("total_bid_size"), F.sum(c("ask_size")).alias("total_ask_size"), F.count(quote or "*").alias("quote_count"),
+        (F.when(F.count(quote) > 0, codes) if quote else codes).alias("quote_conditions"),
+        last_known(c("ask_exchange"), at, seq).alias("ask_exchange"), last_known(c("bid_exchange"), at, seq).alias("bid_exchange"),
+    ]
 
 
-def _trade_windows(trades: DataFrame, delay: str) -> DataFrame:
-    at, seq = F.col("sip_timestamp"), F.col("sequence_number")
-    return _minutes(trades, delay).agg(
-        F.sum("size").alias("trade_volume"), F.count("*").alias("trade_count"), concat_codes(at, seq, F.col("conditions")).alias("trade_conditions"),
-        last_known(F.col("exchange"), at, seq).alias("trade_exchange"),
-    )
+def _trade_columns(trade: str | None = None) -> list[Column]:
+    """The same of trades."""
+    c = (lambda name: F.col(f"{trade}.{name}")) if trade else F.col
+    at, seq = c("sip_timestamp"), c("sequence_number")
+    codes = concat_codes(at, seq, c("conditions"), F.col(trade).isNotNull() if trade else None)
+    return [
+        F.sum(c("size")).alias("trade_volume"), F.count(trade or "*").alias("trade_count"), (F.when(F.count(trade) > 0, codes) if trade else codes).alias("trade_conditions"),
+        last_known(c("exchange"), at, seq).alias("trade_exchange"),
+    ]
 
 
 def stream_minute_quotes(quotes: DataFrame, delay: str = "10 seconds") -> DataFrame:
     """Raw quote minutes; a window comes out once the watermark has passed it, later ticks are dropped."""
-    return _flat(_quote_windows(quotes, delay))
+    return _flat(_minutes(quotes, delay).agg(*_quote_columns()))
 
 
 def stream_minute_trades(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    return _flat(_trade_windows(trades, delay))
+    return _flat(_minutes(trades, delay).agg(*_trade_columns()))
 
 
 def stream_view(bars: DataFrame, quotes: DataFrame, trades: DataFrame, indicators: DataFrame, delay: str = "10 seconds") -> DataFrame:
-    """`master_view` of four streams: left outer joins of the bars with the minutes of the others, on ticker
-    and window. Each stream has a watermark of its own; the slowest one decides. A minute comes out once,
-    when the watermark has passed it, with what of the other streams came before; then its rows leave the
-    state, which holds the minutes still open and no history. Rows later than the delay are dropped."""
-    own = bars.withWatermark("timestamp", delay).withColumn("w", F.window("timestamp", "1 minute"))
-    own = own.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))  # the window alone carries the watermark
-    pivoted = indicators.withWatermark("timestamp", delay).groupBy("ticker", F.window("timestamp", "1 minute").alias("w")).agg(*indicator_columns(False))
-    for side in (_quote_windows(quotes, delay), _trade_windows(trades, delay), pivoted):
-        own = own.join(side, ["ticker", "w"], "left")
-    return view_columns(own)
+    """`master_view` of four streams, by ticker and minute: the streams are put together and a minute's rows of
+    all four are one aggregate, so the state is one store a partition (as three joins of streams it was
+    fifteen, whose commits took the time). Each stream has a watermark of its own; the slowest one decides. A
+    minute comes out once, when the watermark has passed it, with what of the other streams came before; then
+    its rows leave the state, which holds the minutes still open and no history. Rows later than the delay are
+    dropped."""
+    rows = None
+    for name, df, ts in (("bar", bars, "timestamp"), ("quote", quotes, "sip_timestamp"), ("trade", trades, "sip_timestamp"), ("indicator", indicators, "timestamp")):
+        marked = df.withWatermark(ts, delay)
+        if name != "bar":
+            marked = marked.where("ticker is not null")  # a bar without a ticker has no match
+        fields = [F.col(c).cast("timestamp_ntz").alias(c) if c == ts else F.col(c) for c in df.columns if c != "ticker"]  # `at` alone carries the watermark
+        own = marked.select("ticker", F.col(ts).alias("at"), F.struct(*fields).alias(name))
+        rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
+    minutes = rows.groupBy("ticker", F.window("at", "1 minute").alias("w"))
+    measures = [*_quote_columns("quote"), *_trade_columns("trade"), *indicator_columns(False, "indicator.")]
+    wide = minutes.agg(F.collect_list("bar").alias("bars"), *measures)
+    return view_columns(wide.select("ticker", F.inline("bars"), *wide.columns[3:]))
 
 
 def stream_bars(trades: DataFrame, delay: str = "10 seconds") -> DataFrame:
