@@ -171,3 +171,33 @@ def test_latest_by_state(spark, tmp_path):
         ST._merge_latest(bars(spark, [7.0], FRIDAY + 5 * minute - dt.timedelta(seconds=5), "NEW"), f"{tmp_path}/out", versions[-1], "timestamp")
     assert sorted((r.ticker, r.timestamp, r.close) for r in ST.latest_rows(spark, f"{tmp_path}/out").collect()) == late
     assert ST._versions(spark, f"{tmp_path}/out") == versions
+
+
+def test_upsert_moves_whole_days(spark, tmp_path, monkeypatch):
+    """Days are written once where they are staged and then moved; one that was moved before a crash isn't
+    staged any more, and the rest follow. Days of many rows are spread over tasks."""
+    path, day = f"{tmp_path}/t", dt.timedelta(days=1)
+    written, parquet = [], type(spark.range(0).write).parquet
+    monkeypatch.setattr(type(spark.range(0).write), "parquet", lambda w, p, *a, **k: written.append(p.rsplit("/", 1)[1]) or parquet(w, p, *a, **k))
+    null = bars(spark, [9.0]).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))
+    rows = bars(spark, [float(i) for i in range(40)], step=day).unionByName(null)
+    sinks.upsert(rows, path, KEYS)
+    assert written == ["new", "days"] and len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("date=")]) == 41
+    move, moved = sinks.rename, []
+
+    def dies(spark, old, new):
+        if len(moved) == 2:
+            raise OSError("lost")
+        moved.append(new)
+        move(spark, old, new)
+
+    again = bars(spark, [100.0 + i for i in range(4)], step=day)
+    with monkeypatch.context() as m, pytest.raises(OSError):
+        m.setattr(sinks, "_at_once", lambda do, names: [do(n) for n in names])
+        m.setattr(sinks, "rename", dies)
+        sinks.upsert(again, path, KEYS)
+    sinks.settle(spark, path)
+    monkeypatch.setattr(sinks, "_DAY_ROWS", 0)
+    sinks.upsert(bars(spark, [200.0], FRIDAY + 50 * day), path, KEYS)
+    got = sorted(r.close for r in sinks.read_table(spark, path).collect())
+    assert got == sorted([9.0, *[float(i) for i in range(4, 40)], *[100.0 + i for i in range(4)], 200.0]) and [p.name for p in tmp_path.iterdir()] == ["t"]

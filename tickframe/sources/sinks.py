@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import re
 import time
 import uuid
-from collections.abc import Callable, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import cache, reduce
+from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -47,9 +50,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return (spark.read.schema(schema) if schema else spark.read).parquet(path).drop("date")
 
 
+@cache
+def _paths(jvm):
+    """The class of paths: to find it by its name each time costs far more than a file operation."""
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def files_of(spark: SparkSession, path: str):
     """The file system of a path, and the path in it."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place = _paths(spark._jvm)(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
@@ -77,6 +86,12 @@ def create(spark: SparkSession, path: str, text: str = "") -> None:
     out.close()
 
 
+def _at_once(do: Callable[[Any], Any], names: Iterable[Any]) -> list[Any]:
+    """do for each name, several at a time: of a table of many days each file operation is a wait of its own."""
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(do, names))
+
+
 def _beside(spark: SparkSession, path: str, tag: str) -> list[str]:
     """Files and folders beside a table whose names are the table's with the tag and more."""
     files, place = files_of(spark, path.rstrip("/") + tag)
@@ -90,24 +105,33 @@ class DaysTaken(RuntimeError):
 
 
 def _claim(spark: SparkSession, path: str, days: Sequence[dt.date | None], owner: str, wait: float) -> list[str]:
-    """Take the days, all or none; of two writers the later one waits up to `wait` seconds."""
+    """Take the days, all or none; of two writers the later one waits up to `wait` seconds. The first day is
+    taken before the others, so that writers of the same days don't turn each other away."""
     until = time.monotonic() + wait
-    while True:
-        held: list[str] = []
+    names = [f"{path.rstrip('/')}_claim-{day}" for day in sorted(map(str, days))]
+
+    def take(name: str) -> Exception | None:
         try:
-            for day in sorted(map(str, days)):
-                asked = f"{path.rstrip('/')}_claim-{day}"
-                create(spark, asked, owner)
-                held.append(asked)
-            return held
-        except Py4JJavaError as error:
-            for name in held:
-                remove(spark, name)
-            if not error.java_exception.getClass().getName().endswith("FileAlreadyExistsException"):
-                raise
-            if time.monotonic() >= until:
-                raise DaysTaken(f"{asked}: another writer has the day, or has died with it (then call settle)") from error
-            time.sleep(min(1.0, wait))
+            create(spark, name, owner)
+        except Exception as error:  # whatever it is, what was taken is given back first
+            return error
+        return None
+
+    while True:
+        answers = _at_once(take, names[:1])
+        if answers == [None]:
+            answers += _at_once(take, names[1:])
+        failed = [(name, error) for name, error in zip(names, answers, strict=False) if error is not None]
+        if not failed:
+            return names
+        _at_once(lambda name: remove(spark, name), [name for name, error in zip(names, answers, strict=False) if error is None])
+        asked, error = failed[0]
+        for _, e in failed:
+            if not (isinstance(e, Py4JJavaError) and e.java_exception.getClass().getName().endswith("FileAlreadyExistsException")):
+                raise e
+        if time.monotonic() >= until:
+            raise DaysTaken(f"{asked}: another writer has the day, or has died with it (then call settle)") from error
+        time.sleep(min(1.0, wait))
 
 
 def settle(spark: SparkSession, path: str) -> None:
@@ -117,15 +141,25 @@ def settle(spark: SparkSession, path: str) -> None:
         if exists(spark, f"{staged}/ready"):
             _place(spark, path, staged)
         remove(spark, staged)
-    for claim in _beside(spark, path, "_claim-"):
-        remove(spark, claim)
+    _at_once(lambda claim: remove(spark, claim), _beside(spark, path, "_claim-"))
+
+
+def _place(spark: SparkSession, path: str, staged: str) -> None:
+    """Staged days are moved to where the table's were. A day that was moved isn't staged any more, so after
+    a crash the rest can be."""
+    files, place = files_of(spark, path)
+    files.mkdirs(place)
 
+    def move(name: str) -> None:
+        remove(spark, f"{path.rstrip('/')}/{name}")
+        rename(spark, f"{staged}/days/{name}", f"{path.rstrip('/')}/{name}")
 
-def _place(spark: SparkSession, path: str, staged: str, seen: tuple[Observation, Sequence[Column]] | None = None) -> None:
-    """Staged days replace the table's; doing it again changes nothing."""
-    kept = spark.read.parquet(f"{staged}/days").hint("rebalance", "date")
-    kept = kept.observe(seen[0], *seen[1]) if seen else kept
-    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    names = [x.getPath().getName() for x in files.listStatus(files_of(spark, f"{staged}/days")[1])]
+    _at_once(move, [n for n in names if n.startswith("date=")])
+
+
+#: Rows of a day that one task can write; days of more are spread over several.
+_DAY_ROWS = 1 << 18
 
 
 def upsert(
@@ -150,7 +184,8 @@ def upsert(
     try:
         whole.write.parquet(f"{staged}/new")
         new = spark.read.schema(schema).parquet(f"{staged}/new")
-        days = [r["date"] for r in new.select("date").distinct().collect()]
+        counts = {r["date"]: r["count"] for r in new.groupBy("date").count().collect()}
+        days = list(counts)
         if days:
             held = _claim(spark, path, days, staged, wait)
             both = new.withColumn("_new", F.lit(1))
@@ -162,24 +197,29 @@ def upsert(
                 if before is not None:
                     before(old)
                 both = both.unionByName(old.withColumn("_new", F.lit(0)))
-            last = Window.partitionBy(*keys).orderBy(F.col("_new").desc(), *[F.col(c).desc() for c in order])
-            both.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new").write.parquet(f"{staged}/days")
+            apart = ts in keys and max(counts.values()) <= _DAY_ROWS
+            if apart:  # a day is one task, which has all rows of its keys
+                both = both.repartition(max(math.ceil(len(days) / 32), min(len(days), sum(counts.values()) >> 16)), "date")
+            last = Window.partitionBy(*(["date"] if apart else []), *keys).orderBy(F.col("_new").desc(), *[F.col(c).desc() for c in order])
+            kept = both.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n", "_new")
+            kept = kept if apart else kept.hint("rebalance", "date")
+            # after the last exchange: a stage made again for a lost executor would be measured twice
+            (kept.observe(seen[0], *seen[1]) if seen else kept).write.partitionBy("date").parquet(f"{staged}/days")
             create(spark, f"{staged}/ready")
     except BaseException:
-        for name in (staged, *held):
-            remove(spark, name)
+        _at_once(lambda name: remove(spark, name), (staged, *held))
         raise
     if days:
-        _place(spark, path, staged, seen)  # where this fails, staged days and claims stay for `settle`
-    for name in (staged, *held):
-        remove(spark, name)
+        _place(spark, path, staged)  # where this fails, staged days and claims stay for `settle`
+    remove(spark, staged)
+    _at_once(lambda name: remove(spark, name), held)
     return bool(days)
 
 
 def days_of(spark: SparkSession, path: str) -> list[dt.date]:
     """The days of a stored table, by the names of its partitions."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    files, place = files_of(spark, path)
+    names = [s.getPath().getName() for s in files.listStatus(place)]
     return sorted(dt.date.fromisoformat(n[5:]) for n in names if re.fullmatch(r"date=\d{4}-\d\d-\d\d", n))
 
 
