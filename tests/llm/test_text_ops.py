@@ -571,3 +571,17 @@ def test_digest_is_of_the_normal_form(spark):
     from tickframe.llm.cuckoo import digest_of
 
     assert bytes(spark.range(1).select(digest_of(F.lit("a \t\n b")).alias("d")).first().d) == hashlib.sha256(b"a b").digest()
+
+
+def test_pre_tokens_without_look_ahead():
+    """Runs of white space leave their last character to what follows, by cuts; ids are those of the file's own library."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tickframe.llm import bpe
+
+    assert "(?!" not in bpe.PATTERN
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder, library = bpe.Encoder(path), Tokenizer.from_file(path)
+    for text in ("", " ", "a  b", "a \n\n b\n", "\n\n\nx  ", "a" + " " * 1500 + "b", "a\x1c\x1c b　　c", "it's   'll", "x  <|endoftext|>  y"):
+        assert encoder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
