@@ -3,11 +3,13 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -121,6 +123,26 @@ def test_filter_levels_never_fall_short():
     assert (bloom_lm._levels(absent, raw, starts, sizes) > 0).sum() < 8  # 0.7 are expected
 
 
+def test_lm_counting_holds_little(monkeypatch):
+    """A counting task holds its tokens, sorts them in place, and never keeps an order or ones beside them."""
+    monkeypatch.setattr(bloom_lm, "FLUSH", 1_000_000)
+    monkeypatch.setattr(bloom_lm, "STEP_BYTES", 100_000)
+    rng = np.random.default_rng(3)
+    texts = pd.DataFrame({"text": [" ".join(map(str, rng.integers(0, 50_000, 1000))) for _ in range(1000)]})
+    counted = bloom_lm._count(iter([texts]), 4)
+    tracemalloc.start()
+    try:
+        held = [g.drop(columns="hashes").assign(n=g.hashes.str.len() // 8) for g in counted]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    rows = pd.concat(held)
+    total = lambda kind: sum(int(np.frombuffer(x, "<u4").sum()) for x in rows[rows.kind == kind].counts)
+    assert (total(0), total(1)) == (1_001_000, 1_001_000)
+    assert peak < 64 * bloom_lm.FLUSH
+
+
+
 def test_lm_mass_of_a_context_is_one(spark):
     """P(word | context) summed over all words, for contexts of count 1, about 10 and about 100, on real text."""
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")

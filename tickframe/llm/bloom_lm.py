@@ -77,10 +77,23 @@ def bigrams(words: np.ndarray) -> np.ndarray:
     return _mixed(_before(words) * np.uint64(0x9E3779B97F4A7C15) + words)
 
 
+def _firsts(x: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.zeros(0, np.int64)
+
+
+def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes in order, and how often each is there. They are sorted in place: an order beside them
+    would take as much room again, and twice the time."""
+    hashes.sort()
+    first = _firsts(hashes)
+    return hashes[first], np.diff(first, append=len(hashes))
+
+
 def _summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(hashes)
     hashes, counts = hashes[order], counts[order]
-    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]])) if len(hashes) else np.zeros(0, np.int64)
+    first = _firsts(hashes)
     return hashes[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
@@ -120,8 +133,10 @@ def _levels(hashes: np.ndarray, bits: np.ndarray, starts: np.ndarray, sizes: np.
         a, step = _walk(hashes[alive], level)
         for _ in range(_probes(level)):
             place = _bit(a, sizes[alive])
-            hit = (bits[starts[alive] + (place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            alive, a, step = alive[hit], a[hit] + step[hit], step[hit]
+            hit = np.flatnonzero((bits[starts[alive] + (place >> np.uint64(3)).view(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1)
+            if len(hit) < len(alive):
+                alive, a, step = alive[hit], a[hit], step[hit]
+            a = a + step
         if not len(alive):
             break
         out[alive] = level
@@ -137,14 +152,13 @@ def _count(batches: Iterator[pd.DataFrame], shard_bits: int) -> Iterator[pd.Data
             have[0].append(words)
             have[1].append(bigrams(words))
         if have[0] and (b is None or sum(map(len, have[0])) > FLUSH):
-            rows = []
             for kind in (0, 1):
-                joined = np.concatenate(have[kind])
-                hashes, counts = _summed(joined, np.ones(len(joined), np.int64))
-                shards, cuts = np.unique(hashes >> np.uint64(64 - shard_bits), return_index=True)
-                rows += [(int(k), kind, hashes[a:z].tobytes(), counts[a:z].astype("<u4").tobytes()) for k, a, z in zip(shards, cuts, [*cuts[1:], len(hashes)], strict=True)]
-            yield pd.DataFrame(rows, columns=["shard", "kind", "hashes", "counts"])
-            have = [[], []]
+                joined, have[kind] = np.concatenate(have[kind]), []
+                hashes, counts = _counted(joined)
+                shards = hashes >> np.uint64(64 - shard_bits)
+                cuts = _firsts(shards)
+                rows = [(int(shards[a]), kind, hashes[a:z].tobytes(), counts[a:z].astype("<u4").tobytes()) for a, z in zip(cuts, [*cuts[1:], len(hashes)], strict=True)]
+                yield pd.DataFrame(rows, columns=["shard", "kind", "hashes", "counts"])
 
 
 def _with_last(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame | None]:
@@ -216,9 +230,13 @@ def _mapped(name: str, kind: str) -> np.ndarray:
         return np.frombuffer(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ), kind)
 
 
+def _place(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
+
+
 def _known(hashes: np.ndarray, words: np.ndarray, often: np.ndarray) -> np.ndarray:
     """Exact counts: 0 where a hash isn't among the sorted ones."""
-    at = np.minimum(np.searchsorted(words, hashes), max(0, len(words) - 1))
+    at = _place(hashes, words)
     return np.where(words[at] == hashes, often[at], 0).astype(np.int64) if len(words) else np.zeros(len(hashes), np.int64)
 
 
@@ -256,6 +274,18 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             shard = (hashes >> shift).astype(np.int64)
             return MIDDLE[_levels(hashes, bits, starts[shard], sizes[shard])]
 
+        levels = np.full(len(words), 255, np.uint8)  # of the words that this task has met: frequent ones have the most levels to probe
+
+        def estimate_words(hashes: np.ndarray, c: np.ndarray) -> np.ndarray:
+            at, there = _place(hashes, words), c > 0
+            out = np.full(len(hashes), 255, np.int64)
+            out[there] = levels[at[there]]
+            new = np.flatnonzero(out == 255)
+            shard = (hashes[new] >> shift).astype(np.int64)
+            out[new] = _levels(hashes[new], bits, starts[shard], sizes[shard])
+            levels[at[there]] = out[there]
+            return MIDDLE[out]
+
         for b in batches:
             known, exact, base, own = [], [], [], []
             for texts in _portions(b.text):
@@ -263,7 +293,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 first = np.cumsum(sizes_of) - sizes_of
                 distinct, at = np.unique(seq, return_inverse=True)
                 c = _known(distinct, words, often)
-                estimated = estimate(distinct)
+                estimated = estimate_words(distinct, c)
                 pairs, pair_at = np.unique(bigrams(seq), return_inverse=True)
                 before = np.concatenate([_known(np.array([END]), words, often), c[at][:-1]])
                 p = np.log10(_logs(estimate(pairs)[pair_at], before, estimated[at], n, v, np.minimum))
