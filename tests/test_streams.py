@@ -93,6 +93,18 @@ def test_minmax_in_batches(spark, tmp_path, days):
     assert closes(read_table(spark, f"{tmp_path}/out")) == closes(normalize_minmax(whole, 10))
 
 
+def test_minmax_makes_no_ticker_one_task(spark, tmp_path):
+    """Of rows to be scaled only the n beside a block are numbered by ticker (each task sends n at most), no
+    stored row moves to be joined, and blocks move once."""
+    whole = bars(spark, [float((i * 29) % 31) for i in range(60)], step=dt.timedelta(hours=9))
+    upsert(whole, f"{tmp_path}/rows", ["ticker", "timestamp"])
+    near = ST._affected(f"{tmp_path}/rows", whole.where("close = 7 or close = 8"), 5)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "SortMergeJoin" not in plan.split("Window [")[0]
+    scaled = normalize_minmax(near.select(*whole.columns, "_changed"), 5)
+    assert "_stretch" not in "".join(x for x in scaled._jdf.queryExecution().executedPlan().toString().split("\n") if "Exchange hashpartitioning" in x)
+
+
 def test_minmax_after_late_rows_and_new_tickers(spark, tmp_path):
     """Rows days late change those after them; a new ticker doesn't widen what is read."""
     xs, hour = [float((i * 29) % 31) for i in range(90)], dt.timedelta(hours=9)

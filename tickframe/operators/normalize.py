@@ -50,9 +50,10 @@ def normalize_minmax(master: DataFrame, n: int = 100, guard: int = 0) -> DataFra
     Rows that carry their number rn along the ticker (see `row_index`) aren't numbered again: number the
     bars before the joins, so that a master is made once. Rows are framed in blocks with a halo, so a ticker's series is spread over tasks. Within a frame of
     n + 1 rows, extremes are those of a suffix of one stretch of n + 1 rows and of a prefix of the
-    next, each a running extreme: a row costs the same for any n."""
+    next, each a running extreme: a row costs the same for any n. Blocks are dealt to tasks once, which does
+    for the windows of stretches as well; else rows would move again with all extremes beside them."""
     indexed, over = with_halo(master if "rn" in master.columns else row_index(master), n, max(4096, 8 * (n + 1)))
-    d = indexed.withColumn("_stretch", F.floor(F.col("rn") / (n + 1)))
+    d = indexed.repartition("ticker", "_block").withColumn("_stretch", F.floor(F.col("rn") / (n + 1)))
     inner = Window.partitionBy("ticker", "_block", "_stretch")
     before = inner.orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
     after = inner.orderBy(F.col("rn").desc()).rowsBetween(Window.unboundedPreceding, 0)  # runs backwards: a frame up to the end is made anew for each row

@@ -56,10 +56,17 @@ def _paths(jvm):
     return jvm.org.apache.hadoop.fs.Path
 
 
+@cache
+def _system(spark: SparkSession, root: str):
+    """The file system of scheme and authority, asked for once: three calls to the JVM, of which a table of many
+    days would make some thousands."""
+    return _paths(spark._jvm)(root or "/").getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def files_of(spark: SparkSession, path: str):
     """The file system of a path, and the path in it."""
-    place = _paths(spark._jvm)(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+    root = re.match(r"[^:/]+:(//[^/]*)?", path)
+    return _system(spark, f"{root[0]}/" if root else ""), _paths(spark._jvm)(path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -199,12 +199,13 @@ def _affected(source: str, rows: DataFrame, n: int) -> DataFrame:
     doesn't widen what is read. Only tickers and times are read for that."""
     stored = rows.sparkSession.read.parquet(source)
     ends = rows.groupBy("ticker").agg(F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to")).join(first_days(source, rows), "ticker")
-    low, high = ends.agg(F.to_date(F.min("_from")), F.to_date(F.max("_to"))).first()
+    low, high, begun, ending = ends.agg(*[F.to_date(x) for x in (F.min("_from"), F.max("_to"), F.max("_from"), F.min("_to"))]).first()
+    edges = (F.col("date") <= F.lit(begun)) | (F.col("date") >= F.lit(ending))  # days on which any ticker has rows before its first or after its last
     last, back, ahead = stored.agg(F.max("date")).first()[0], 1, 1
     while True:
         start, end = low - dt.timedelta(days=back), high + dt.timedelta(days=ahead)
-        days = stored.where(F.col("date").between(F.lit(start), F.lit(end))).join(ends, "ticker")
-        has = days.groupBy("ticker", "first").agg(F.count_if(F.col("timestamp") < F.col("_from")).alias("before"), F.count_if(F.col("timestamp") > F.col("_to")).alias("after"))
+        days = stored.where(F.col("date").between(F.lit(start), F.lit(end))).join(F.broadcast(ends), "ticker")  # a row a ticker; else a ticker's whole series is one task's
+        has = days.where(edges).groupBy("ticker", "first").agg(F.count_if(F.col("timestamp") < F.col("_from")).alias("before"), F.count_if(F.col("timestamp") > F.col("_to")).alias("after"))
         short = has.agg(F.count_if((F.col("before") < n) & (F.col("first") < F.lit(start))), F.count_if(F.col("after") < n)).first()
         more = bool(short[0]), bool(short[1]) and end < last
         if not any(more):
@@ -212,8 +213,9 @@ def _affected(source: str, rows: DataFrame, n: int) -> DataFrame:
         back, ahead = back * (1 + more[0]), ahead * (1 + more[1])
     side = F.when(F.col("timestamp") < F.col("_from"), -1).when(F.col("timestamp") > F.col("_to"), 1).otherwise(0)
     away = F.when(F.col("_side") < 0, -1).otherwise(1) * F.unix_micros(F.col("timestamp").cast("timestamp"))
-    near = days.withColumn("_side", side).withColumn("_n", F.row_number().over(Window.partitionBy("ticker", "_side").orderBy(away)))
-    return near.where((F.col("_side") == 0) | (F.col("_n") <= n)).withColumn("_changed", F.col("_side") >= 0).drop("_from", "_to", "first", "_side", "_n")
+    beside = days.where(edges).withColumn("_side", side).where("_side <> 0").withColumn("_n", F.row_number().over(Window.partitionBy("ticker", "_side").orderBy(away))).where(F.col("_n") <= n).drop("_n")
+    near = days.withColumn("_side", side).where("_side = 0").unionByName(beside)  # of a long range no window is made: its rows are all taken
+    return near.withColumn("_changed", F.col("_side") >= 0).drop("_from", "_to", "first", "_side")
 
 
 def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: int = 100, available: bool = False, interval: str = "1 minute") -> StreamingQuery:
@@ -229,9 +231,8 @@ def start_minmax(master: DataFrame, source: str, out: str, checkpoint: str, n: i
             if rows.isEmpty():
                 return
             upsert(rows, source, ["ticker", "timestamp"])
-            near = _affected(source, rows, n)
-            scaled = normalize_minmax(near.select(*columns), n)
-            upsert(scaled.join(near.where("_changed").select("ticker", "timestamp"), ["ticker", "timestamp"], "left_semi"), out, ["ticker", "timestamp"])
+            scaled = normalize_minmax(_affected(source, rows, n).select(*columns, "_changed"), n)
+            upsert(scaled.where("_changed").drop("_changed"), out, ["ticker", "timestamp"])
         finally:
             rows.unpersist()
 
