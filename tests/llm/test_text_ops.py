@@ -171,6 +171,68 @@ def test_lm_mass_of_a_context_is_one(spark):
         assert len(context) and 0.95 <= np.mean(mass) <= 1.05 and 0.7 <= min(mass) and max(mass) <= 1.3
 
 
+def test_lm_in_shards_makes_no_row_of_a_token(spark, monkeypatch):
+    """A model over most_bytes was joined with a row for each token, three times."""
+    d = docs(spark, more=[(None, "the cat"), (4, TEXTS[4])])
+    model, made = bloom_lm.train(d.where("doc_id % 3 <> 1")), []
+    materialise = bloom_lm.materialise
+    monkeypatch.setattr(bloom_lm, "materialise", lambda *a: made.append(materialise(*a)) or made[-1])
+    monkeypatch.setattr(bloom_lm, "discard", lambda _: None, raising=False)
+    tokens = sum(r.n_tokens for r in bloom_lm.score(d, model, most_bytes=0).collect())
+    assert tokens > 4000 and made and all(t.count() <= d.count() for t in made)
+
+
+@pytest.mark.parametrize("learn", ["doc_id % 3 <> 1", "doc_id >= 0 or doc_id is null", "false", "cast(null as boolean)"])
+def test_lm_in_one_pass_is_train_and_score(spark, learn):
+    d = docs(spark, more=[(None, "the cat"), (None, None), (4, TEXTS[4]), (4, TEXTS[4])]).repartition(3)
+    d = spark.createDataFrame(d.collect(), d.schema)
+    got, n = bloom_lm.train_and_score(d, F.expr(learn))
+    model = bloom_lm.train(d.where(learn))
+    assert n == model.n and got.schema == bloom_lm.score(d, model).schema
+    for mode in (1 << 30, 0):
+        assert sorted(got.collect(), key=repr) == sorted(bloom_lm.score(d, model, most_bytes=mode).collect(), key=repr)
+    assert bloom_lm.train_and_score(d.where("false"), F.expr(learn))[0].count() == 0
+
+
+def test_lm_query_sends_no_model_to_nodes(spark, monkeypatch):
+    from tickframe.llm.queries import op2_lm
+
+    sent = []
+    monkeypatch.setattr(type(spark.sparkContext), "addFile", lambda *a, **_: sent.append(a))
+    assert op2_lm(spark, "/root/testdata/sf0.001").columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"] and not sent
+
+
+def test_lm_batches_ask_shards_and_are_answered_in_order(monkeypatch):
+    """Many small batches of both kinds, from counting to the levels that come back, against one filter and exact counts."""
+    monkeypatch.setattr(bloom_lm, "BATCH", 50)
+    monkeypatch.setattr(bloom_lm, "STEP_BYTES", 100)
+    monkeypatch.setattr(bloom_lm, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": lambda self: 3})())}))
+    rng = np.random.default_rng(4)
+    texts = [" ".join(map(str, rng.zipf(1.5, rng.integers(0, 40)) % 300)) for _ in range(60)]
+    ids = pd.Series([None if i % 7 == 0 else 2**60 + i for i in range(60)], dtype="Int64")
+    table = pd.DataFrame({"doc_id": ids, "text": texts, "learn": [i % 4 != 1 for i in range(60)]})
+    seen = pd.concat(bloom_lm._seen(iter([table[:25], table[25:25], table[25:]])), ignore_index=True)
+    assert len(seen) > 10 and seen.tokens.sum() == len(bloom_lm.tokens(texts)[0]) and seen.batch.is_unique and set(seen.batch // 2**40) == {3}
+    back = pd.concat([pd.Series(np.frombuffer(r.ids, np.int64)).astype("Int64").where(np.frombuffer(r.there, bool)) for r in seen.itertuples()])
+    assert sorted(back.fillna(0)) == sorted(ids.fillna(0)) and back.isna().sum() == ids.isna().sum()
+    asked = pd.concat(bloom_lm._asked(iter([seen]), 4), ignore_index=True)
+    got = pd.concat([bloom_lm._answered(g, None) for _, g in asked.groupby("shard")])
+    learnt, _ = bloom_lm.tokens(list(table.text[table.learn]))
+    exact, word_count = Counter(), Counter(learnt.tolist())
+    sequences = {r.batch: (lambda words, sizes, at: words[at])(*bloom_lm._tokens_of(r.words, r.sizes, r.at)) for r in seen.itertuples()}
+    for r in seen[seen.learn].itertuples():
+        exact.update(bloom_lm.bigrams(sequences[r.batch]).tolist())
+    assert got.n.sum() == len(learnt) and got.v.sum() == len(word_count)
+    for batch, seq in sequences.items():
+        own = got[got.batch == batch].sort_values("shard")
+        words, pairs = np.unique(seq), np.unique(bloom_lm.bigrams(seq))
+        assert np.concatenate([bloom_lm._numbers(x, "<u8") for x in own.often]).tolist() == [word_count[w] for w in words.tolist()]
+        for found, hashes, count in ((own.words, words, word_count), (own.pairs, pairs, exact)):
+            levels = np.frombuffer(b"".join(found), np.uint8)
+            true = np.searchsorted(bloom_lm.LEVELS, [count[h] for h in hashes.tolist()], "right")
+            assert len(levels) == len(hashes) and (levels >= true).all() and (levels > true).mean() < 0.25
+
+
 def base_spans(x):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", x) if len(m[2]) >= 6]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", x) if len(m[0]) >= 20]

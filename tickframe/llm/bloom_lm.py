@@ -12,15 +12,20 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles, TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.storage import materialise
+from tickframe.llm.storage import discard, materialise
 
 STEP_BYTES = 2_000_000
 FLUSH = 3_000_000
+#: Tokens whose distinct hashes ask the shards together: more ask for less in all, and a task holds more.
+BATCH = 1_000_000
+#: Tokens of all texts for each shard, at most, where texts are learnt and scored in one pass.
+SHARD = 4_000_000
 #: Probes of an entry: of level 1, which decides whether an n-gram is there at all, and of further levels.
 FIRST_PROBES, PROBES = 12, 5
 #: With half of the bits set, so many of the pairs that were never seen are taken for pairs seen once. Of V
@@ -192,12 +197,16 @@ class Model:
     files: dict[str, str] = field(default_factory=dict)
 
 
+def _bits(shards: float) -> int:
+    return int(np.clip(np.ceil(np.log2(max(1, shards))), 4, 30))
+
+
 def train(docs: DataFrame, text_col: str = "text") -> Model:
     """Counts over all texts of docs (null: empty). Batches are counted where they are read, the
     shuffle moves sorted hashes and counts, and each shard makes its part of the filter; the number
     of shards follows the number of input partitions, so a shard's size doesn't grow. Where there are
     more shards than distinct hashes in a batch, a batch sends a row for each of its hashes at most."""
-    shard_bits = int(np.clip(np.ceil(np.log2(4 * max(1, docs.rdd.getNumPartitions()))), 4, 30))
+    shard_bits = _bits(4 * docs.rdd.getNumPartitions())
     counted = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInPandas(lambda x: _count(x, shard_bits), "shard int, kind int, hashes binary, counts binary")
     parts = materialise(counted.groupBy("shard").applyInPandas(_gather, _PARTS), "lm")
     total = parts.agg(F.sum("n"), F.sum("v"), F.sum("octets")).first()
@@ -249,6 +258,17 @@ def _logs(c_pair, c_before, c_word, n: int, v: int, least):
     return (least(c_pair, c_before) + PRIOR * least((c_word + 1.0) / (n + v + 1.0), 0 * c_word + 1.0)) / (c_before + v * FALSE * least(c_before + 0.0, 0 * c_before + 1.0) + PRIOR)
 
 
+_SCORES = "doc_id long, n_tokens long, n_known long, base_score double, score double"
+
+
+def _sums(sizes: np.ndarray, at: np.ndarray, c: np.ndarray, estimated: np.ndarray, pairs: np.ndarray, pair_at: np.ndarray, before: np.ndarray, n: int, v: int) -> tuple[np.ndarray, ...]:
+    """Known tokens, base score and score of each text. c, estimated: of the distinct words, at: each token's
+    place among these; pairs, pair_at: likewise; before: counts of the contexts."""
+    first = np.cumsum(sizes) - sizes
+    p = np.log10(_logs(pairs[pair_at], before, estimated[at], n, v, np.minimum))
+    return np.add.reduceat((c > 0)[at].astype(np.int64), first), np.add.reduceat(np.log10((c + 1.0) / (n + v + 1.0))[at], first), np.add.reduceat(p, first)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", most_bytes: int = MOST_BYTES) -> DataFrame:
     """Every row of docs as (doc_id, n_tokens, n_known, base_score, score); null texts count as empty
     and have the end token alone; repeated rows come back as often as read, null ids stay null; an
@@ -290,55 +310,168 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             known, exact, base, own = [], [], [], []
             for texts in _portions(b.text):
                 seq, sizes_of = tokens(texts)
-                first = np.cumsum(sizes_of) - sizes_of
                 distinct, at = np.unique(seq, return_inverse=True)
                 c = _known(distinct, words, often)
                 estimated = estimate_words(distinct, c)
                 pairs, pair_at = np.unique(bigrams(seq), return_inverse=True)
                 before = np.concatenate([_known(np.array([END]), words, often), c[at][:-1]])
-                p = np.log10(_logs(estimate(pairs)[pair_at], before, estimated[at], n, v, np.minimum))
-                known.append(sizes_of)
-                exact.append(np.add.reduceat((c > 0)[at].astype(np.int64), first))
-                base.append(np.add.reduceat(np.log10((c + 1.0) / (n + v + 1.0))[at], first))
-                own.append(np.add.reduceat(p, first))
+                sums = _sums(sizes_of, at, c, estimated, estimate(pairs), pair_at, before, n, v)
+                for held, x in zip((known, exact, base, own), (sizes_of, *sums), strict=True):
+                    held.append(x)
             out = [np.concatenate(x) if x else np.zeros(0) for x in (known, exact, base, own)]
             yield pd.DataFrame({"doc_id": b.doc_id.astype("Int64"), "n_tokens": out[0].astype(np.int64), "n_known": out[1].astype(np.int64), "base_score": out[2], "score": out[3]})
 
-    return rows.mapInPandas(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
+    return rows.mapInPandas(run, _SCORES)
 
 
-def _score_sharded(rows: DataFrame, model: Model) -> DataFrame:
-    """The same scores with the model left where it is: a row per token, joined with the counts of the
-    distinct hashes, each of which probes the filter of its own shard."""
-    n, v, bits = model.n, model.v, model.shard_bits
+def _planes(x: np.ndarray) -> bytes:
+    """First the least octets of all numbers and so on, so that the upper ones, mostly zero, compress."""
+    return x.view(np.uint8).reshape(-1, x.itemsize).T.tobytes()
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        row = TaskContext.get().partitionId() << 40
-        for b in batches:
-            at = 0
-            for texts in _portions(b.text):
-                seq, sizes = tokens(texts)
-                doc = np.repeat(np.arange(len(texts)), sizes)
-                yield pd.DataFrame({"row": row + at + doc, "doc_id": b.doc_id.astype("Int64").to_numpy()[at + doc], "w": seq.view(np.int64), "b": _before(seq).view(np.int64), "p": bigrams(seq).view(np.int64)}).astype({"doc_id": "Int64"})
+
+def _numbers(x: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
+
+
+def _gaps(hashes: np.ndarray) -> bytes:
+    return _planes(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def _from_gaps(x: bytes) -> np.ndarray:
+    return np.cumsum(_numbers(x, "<u8"), dtype=np.uint64)
+
+
+_SEEN = "batch long, learn boolean, tokens long, ids binary, there binary, sizes binary, words binary, at binary"
+_ASKED = "shard int, batch long, words binary, pairs binary, words_often binary, pairs_often binary"
+_ANSWERS = "batch long, shard int, words binary, pairs binary, often binary, n long, v long"
+
+
+def _seen(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """A row for each BATCH tokens of texts to learn from, or of others."""
+    batch, held = TaskContext.get().partitionId() << 40, {True: [], False: []}
+    for b in _with_last(batches):
+        for learn, have in held.items():
+            own, at = b[b.learn == learn] if b is not None else None, 0
+            for texts in _portions(own.text) if b is not None else ():
+                have.append((own.doc_id.iloc[at : at + len(texts)].astype("Int64"), *tokens(texts)))
                 at += len(texts)
-            row += at
-
-    def probe(asked: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
-        h = asked.h.to_numpy(np.int64).view(np.uint64)
-        if not len(part):
-            return asked[["h"]].assign(c=np.int64(0), e=0.0)
-        octets = np.frombuffer(part.bits.iloc[0], "u1")
-        found = _levels(h, octets, np.zeros(len(h), np.int64), np.full(len(h), 8 * len(octets), np.uint64))
-        return asked[["h"]].assign(c=_known(h, np.frombuffer(part.words.iloc[0], "<u8"), np.frombuffer(part.often.iloc[0], "<u8")), e=MIDDLE[found])
-
-    seen = materialise(rows.mapInPandas(spread, "row long, doc_id long, w long, b long, p long"), "tokens")
-    asked = seen.select("w").union(seen.select("b")).union(seen.select("p")).distinct().toDF("h").withColumn("shard", F.expr(f"cast(shiftrightunsigned(h, {64 - bits}) as int)"))
-    got = materialise(asked.groupBy("shard").cogroup(model.parts.groupBy("shard")).applyInPandas(probe, "h long, c long, e double"), "counts")
-    for k in ("w", "b", "p"):
-        seen = seen.join(got.select(F.col("h").alias(k), F.col("c").alias(f"c_{k}"), F.col("e").alias(f"e_{k}")), k)
-    return seen.groupBy("row", "doc_id").agg(
-        F.count("*").alias("n_tokens"),
-        F.sum((F.col("c_w") > 0).cast("long")).alias("n_known"),
-        F.sum(F.log10((F.col("c_w") + 1.0) / (n + v + 1.0))).alias("base_score"),
-        F.sum(F.log10(_logs(F.col("e_p"), F.col("c_b"), F.col("e_w"), n, v, F.least))).alias("score"),
-    ).drop("row")
+                if sum(len(x[1]) for x in have) > BATCH:
+                    yield _seen_row(batch, learn, have)
+                    batch += 1
+            if b is None and have:
+                yield _seen_row(batch, learn, have)
+                batch += 1
+
+
+def _seen_row(batch: int, learn: bool, have: list) -> pd.DataFrame:
+    """Ids and sizes of the texts, their distinct words, the most frequent first, and each token's place among these."""
+    ids, seqs, sizes = zip(*have, strict=True)
+    have.clear()
+    every = pd.concat(ids)
+    words, at, often = np.unique(np.concatenate(seqs), return_inverse=True, return_counts=True)
+    order = np.argsort(-often, kind="stable")
+    place = np.empty(len(words), "<u4")
+    place[order] = np.arange(len(words))
+    packed = pa.compress(_planes(place[at]), codec="zstd", asbytes=True)
+    return pd.DataFrame([(batch, learn, len(at), every.fillna(0).to_numpy(np.int64).tobytes(), every.notna().to_numpy(bool).tobytes(), np.concatenate(sizes).tobytes(), words[order].tobytes(), packed)], columns=["batch", "learn", "tokens", "ids", "there", "sizes", "words", "at"])
+
+
+def _tokens_of(words: bytes, sizes: bytes, at: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sizes = np.frombuffer(sizes, np.int64)
+    return np.frombuffer(words, "<u8"), sizes, _numbers(pa.decompress(at, decompressed_size=4 * int(sizes.sum()), codec="zstd", asbytes=True), "<u4")
+
+
+def _asked(batches: Iterator[pd.DataFrame], shard_bits: int) -> Iterator[pd.DataFrame]:
+    """Per shard of the hashes: the distinct words and pairs of a row of _seen, sorted, and how often each is there, if they are learnt."""
+    for b in batches:
+        for row in b.itertuples():
+            words, _, at = _tokens_of(row.words, row.sizes, row.at)
+            pairs, pairs_often = _counted(bigrams(words[at]))
+            order = np.argsort(words)
+            kinds = (words[order], np.bincount(at, minlength=len(words))[order]), (pairs, pairs_often)
+            shards = [x >> np.uint64(64 - shard_bits) for x, _ in kinds]
+            present = np.union1d(*(x[_firsts(x)] for x in shards))
+            cuts = [[*np.searchsorted(x, present), len(x)] for x in shards]
+            rows = []
+            for k, shard in enumerate(present):
+                own = [(x[c[k] : c[k + 1]], often[c[k] : c[k + 1]]) for (x, often), c in zip(kinds, cuts, strict=True)]
+                rows.append((int(shard), row.batch, *(_gaps(x) for x, _ in own), *(_planes(often.astype("<u4")) if row.learn else b"" for _, often in own)))
+            yield pd.DataFrame(rows, columns=["shard", "batch", "words", "pairs", "words_often", "pairs_often"])
+
+
+def _distinct(asked: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes that are asked for, how often those that are learnt are there, the place of each asked
+    among the distinct ones, and where each row of asked ends."""
+    hashes = [_from_gaps(x) for x in asked[kind]]
+    often = [_numbers(o, "<u4") if len(o) else np.zeros(len(h), "<u4") for h, o in zip(hashes, asked[f"{kind}_often"], strict=True)]
+    distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    return distinct, np.bincount(at, np.concatenate(often), len(distinct)).astype(np.int64), at, np.cumsum([len(h) for h in hashes])
+
+
+def _answered(asked: pd.DataFrame, part: pd.DataFrame | None) -> pd.DataFrame:
+    """One shard: exact counts of words, and levels of words and pairs, for the hashes that are asked for, in
+    their order. The filter is the one of part or, without it, is made of what is learnt. Each distinct
+    hash is probed once."""
+    kinds = [_distinct(asked, k) for k in ("words", "pairs")]
+    (words, often, *_), (pairs, pairs_often, *_) = kinds
+    n, v = int(often.sum()), int((often > 0).sum())
+    if part is None:
+        learnt = np.concatenate([words, pairs]), np.concatenate([often, pairs_often])
+        bits = _filter(*(x[learnt[1] > 0] for x in learnt))
+    elif len(part):
+        bits = part.bits.iloc[0]
+        often = _known(words, np.frombuffer(part.words.iloc[0], "<u8"), np.frombuffer(part.often.iloc[0], "<u8"))
+    else:
+        bits = bytes(8)
+    bits = np.frombuffer(bits, np.uint8)
+    out = asked[["batch", "shard"]].copy()
+    for name, (distinct, _, at, ends) in zip(("words", "pairs"), kinds, strict=True):
+        found = _levels(distinct, bits, np.zeros(len(distinct), np.int64), np.full(len(distinct), 8 * len(bits), np.uint64)).astype(np.uint8)[at]
+        out[name] = [x.tobytes() for x in np.split(found, ends[:-1])]
+    out["often"] = [_planes(x) for x in np.split(often.astype("<u8")[kinds[0][2]], kinds[0][3][:-1])]
+    first = np.arange(len(out)) == 0
+    return out.assign(n=np.where(first, n, 0), v=np.where(first, v, 0))
+
+
+def _summed_up(seen: DataFrame, got: DataFrame, n: int, v: int) -> DataFrame:
+    def summed(seen: pd.DataFrame, got: pd.DataFrame) -> pd.DataFrame:
+        row, got = seen.iloc[0], got.sort_values("shard")
+        words, sizes, at = _tokens_of(row["words"], row["sizes"], row["at"])
+        order, (c, estimated) = np.argsort(words), np.zeros((2, len(words)))
+        c[order] = np.concatenate([_numbers(x, "<u8") for x in got.often])
+        estimated[order] = MIDDLE[np.frombuffer(b"".join(got.words), np.uint8)]
+        _, pair_at = np.unique(bigrams(words[at]), return_inverse=True)
+        before = np.concatenate([c[words == END], c[at[:-1]]])
+        known, base, own = _sums(sizes, at, c, estimated, MIDDLE[np.frombuffer(b"".join(got.pairs), np.uint8)], pair_at, before, n, v)
+        ids = pd.Series(np.frombuffer(row["ids"], np.int64)).astype("Int64").where(np.frombuffer(row["there"], bool))
+        return pd.DataFrame({"doc_id": ids, "n_tokens": sizes, "n_known": known, "base_score": base, "score": own})
+
+    out = materialise(seen.groupBy("batch").cogroup(got.groupBy("batch")).applyInPandas(summed, _SCORES), "scores")
+    discard(seen)
+    return out
+
+
+def _score_sharded(rows: DataFrame, model: Model) -> DataFrame:
+    """The same scores with the model left where it is: BATCH tokens at a time ask the shards for their
+    distinct hashes, packed, and get an octet for each (and a word's count) in the same order."""
+    bits = model.shard_bits
+    seen = materialise(rows.withColumn("learn", F.lit(False)).mapInPandas(_seen, _SEEN), "tokens")
+    asked = seen.mapInPandas(lambda x: _asked(x, bits), _ASKED)
+    got = asked.groupBy("shard").cogroup(model.parts.groupBy("shard")).applyInPandas(lambda a, part: _answered(a, part) if len(a) else pd.DataFrame(columns=[x.split()[0] for x in _ANSWERS.split(", ")]), _ANSWERS)
+    return _summed_up(seen, got, model.n, model.v)
+
+
+def train_and_score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
+    """score(docs, train(docs.where(learn))), and the number of tokens learnt from, for models of any size (the
+    scores differ only in the filter's false hits, where train makes another number of shards). Texts are
+    read and split once: a shard of the hashes gets what is learnt and what is to be scored together, makes
+    its part of the filter and answers from it, so no model is sent to a node, and no task needs more of it
+    than one part, whose size doesn't grow."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
+    seen = materialise(rows.mapInPandas(_seen, _SEEN), "tokens")
+    bits = _bits((seen.agg(F.sum("tokens")).first()[0] or 0) / SHARD)
+    got = materialise(seen.mapInPandas(lambda x: _asked(x, bits), _ASKED).groupBy("shard").applyInPandas(lambda a: _answered(a, None), _ANSWERS), "levels")
+    n, v = (x or 0 for x in got.agg(F.sum("n"), F.sum("v")).first())
+    out = _summed_up(seen, got, n, v)
+    discard(got)
+    return out, n

@@ -19,13 +19,12 @@ def op1_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickframe.llm.bloom_lm import score, train
+    from tickframe.llm.bloom_lm import train_and_score
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(False))  # a null id is learnt from
-    model = train(docs.where(~held_out))
-    out = score(docs, model)
-    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.n).cast("long").alias("train_tokens"), "base_score", "score")
+    out, n = train_and_score(docs, ~held_out)
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
