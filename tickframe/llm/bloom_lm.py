@@ -25,7 +25,9 @@ FLUSH = 3_000_000
 #: Tokens whose distinct hashes ask the shards together: more ask for less in all, and a task holds more.
 BATCH = 1_000_000
 #: Tokens of all texts for each shard, at most, where texts are learnt and scored in one pass.
-SHARD = 4_000_000
+SHARD = 2_000_000
+#: Hashes that probe a part of the filter together.
+PIECE = 1 << 17
 #: Probes of an entry: of level 1, which decides whether an n-gram is there at all, and of further levels.
 FIRST_PROBES, PROBES = 12, 5
 #: With half of the bits set, so many of the pairs that were never seen are taken for pairs seen once. Of V
@@ -402,10 +404,19 @@ def _asked(batches: Iterator[pd.DataFrame], shard_bits: int) -> Iterator[pd.Data
 def _distinct(asked: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct hashes that are asked for, how often those that are learnt are there, the place of each asked
     among the distinct ones, and where each row of asked ends."""
-    hashes = [_from_gaps(x) for x in asked[kind]]
-    often = [_numbers(o, "<u4") if len(o) else np.zeros(len(h), "<u4") for h, o in zip(hashes, asked[f"{kind}_often"], strict=True)]
-    distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
-    return distinct, np.bincount(at, np.concatenate(often), len(distinct)).astype(np.int64), at, np.cumsum([len(h) for h in hashes])
+    sizes = asked[kind].str.len().to_numpy(np.int64) // 8
+    distinct, at = np.unique(np.concatenate([_from_gaps(x) for x in asked[kind]]), return_inverse=True)
+    often = np.concatenate([_numbers(x, "<u4") if len(x) else np.zeros(size, "<u4") for x, size in zip(asked[f"{kind}_often"], sizes, strict=True)])
+    return distinct, np.bincount(at, often, len(distinct)).astype(np.int64), at, np.cumsum(sizes)
+
+
+def _probed(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Level of each hash in one part of the filter, a piece of the hashes at a time."""
+    starts, sizes, out = np.zeros(PIECE, np.int64), np.full(PIECE, 8 * len(bits), np.uint64), np.zeros(len(hashes), np.uint8)
+    for i in range(0, len(hashes), PIECE):
+        own = hashes[i : i + PIECE]
+        out[i : i + PIECE] = _levels(own, bits, starts[: len(own)], sizes[: len(own)])
+    return out
 
 
 def _answered(asked: pd.DataFrame, part: pd.DataFrame | None) -> pd.DataFrame:
@@ -426,7 +437,7 @@ def _answered(asked: pd.DataFrame, part: pd.DataFrame | None) -> pd.DataFrame:
     bits = np.frombuffer(bits, np.uint8)
     out = asked[["batch", "shard"]].copy()
     for name, (distinct, _, at, ends) in zip(("words", "pairs"), kinds, strict=True):
-        found = _levels(distinct, bits, np.zeros(len(distinct), np.int64), np.full(len(distinct), 8 * len(bits), np.uint64)).astype(np.uint8)[at]
+        found = _probed(distinct, bits)[at]
         out[name] = [x.tobytes() for x in np.split(found, ends[:-1])]
     out["often"] = [_planes(x) for x in np.split(often.astype("<u8")[kinds[0][2]], kinds[0][3][:-1])]
     first = np.arange(len(out)) == 0
