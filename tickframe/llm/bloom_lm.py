@@ -26,7 +26,7 @@ FLUSH = 3_000_000
 BATCH = 1_000_000
 #: Tokens of all texts for each shard, at most, where texts are learnt and scored in one pass.
 SHARD = 2_000_000
-#: Hashes that probe a part of the filter together.
+#: Hashes that are set or probed in a part of the filter together.
 PIECE = 1 << 17
 #: Probes of an entry: of level 1, which decides whether an n-gram is there at all, and of further levels.
 FIRST_PROBES, PROBES = 12, 5
@@ -125,10 +125,12 @@ def _filter(hashes: np.ndarray, counts: np.ndarray) -> bytes:
     size = max(64, int(probes / np.log(2)) // 8 * 8)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        a, step = _walk(hashes[levels >= level], level)
-        for _ in range(_probes(level)):
-            bits[_bit(a, np.uint64(size)).astype(np.int64)] = True
-            a = a + step
+        own = hashes[levels >= level]
+        for i in range(0, len(own), PIECE):
+            a, step = _walk(own[i : i + PIECE], level)
+            for _ in range(_probes(level)):
+                bits[_bit(a, np.uint64(size)).astype(np.int64)] = True
+                a = a + step
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -401,11 +403,22 @@ def _asked(batches: Iterator[pd.DataFrame], shard_bits: int) -> Iterator[pd.Data
             yield pd.DataFrame(rows, columns=["shard", "batch", "words", "pairs", "words_often", "pairs_often"])
 
 
+def _placed(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, and the place of each hash among them: np.unique's inverse in half the room."""
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = hashes[1:] != hashes[:-1]
+    at = np.empty(len(hashes), np.uint32)
+    at[order] = np.cumsum(first, dtype=np.uint32) - np.uint32(1)
+    return hashes[first], at
+
+
 def _distinct(asked: pd.DataFrame, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The distinct hashes that are asked for, how often those that are learnt are there, the place of each asked
     among the distinct ones, and where each row of asked ends."""
     sizes = asked[kind].str.len().to_numpy(np.int64) // 8
-    distinct, at = np.unique(np.concatenate([_from_gaps(x) for x in asked[kind]]), return_inverse=True)
+    distinct, at = _placed(np.concatenate([_from_gaps(x) for x in asked[kind]]))
     often = np.concatenate([_numbers(x, "<u4") if len(x) else np.zeros(size, "<u4") for x, size in zip(asked[f"{kind}_often"], sizes, strict=True)])
     return distinct, np.bincount(at, often, len(distinct)).astype(np.int64), at, np.cumsum(sizes)
 
@@ -427,8 +440,7 @@ def _answered(asked: pd.DataFrame, part: pd.DataFrame | None) -> pd.DataFrame:
     (words, often, *_), (pairs, pairs_often, *_) = kinds
     n, v = int(often.sum()), int((often > 0).sum())
     if part is None:
-        learnt = np.concatenate([words, pairs]), np.concatenate([often, pairs_often])
-        bits = _filter(*(x[learnt[1] > 0] for x in learnt))
+        bits = _filter(*(np.concatenate([x[often > 0], y[pairs_often > 0]]) for x, y in ((words, pairs), (often, pairs_often))))
     elif len(part):
         bits = part.bits.iloc[0]
         often = _known(words, np.frombuffer(part.words.iloc[0], "<u8"), np.frombuffer(part.often.iloc[0], "<u8"))
